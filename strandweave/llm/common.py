@@ -88,3 +88,13 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
             out = (out ^ hashes[k : n - span + 1 + k]) * MIX_A
             out ^= out >> np.uint64(29)
     return scramble(out)
+
+
+#: Most ids for which an id list may be broadcast (16 bytes each in the hashed relation, so about 16 MB).
+BROADCAST_IDS = 500_000
+
+
+def by_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """rows semi- or anti-joined with ids on key: by broadcast where the counted ids are few, else by shuffle."""
+    ids = ids.select(key).where(F.col(key).isNotNull()).distinct()
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
