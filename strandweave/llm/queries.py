@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import mixing, near_dedup
+from . import line_dedup, mixing, near_dedup
 
-MODULES = (mixing, near_dedup)
+MODULES = (line_dedup, mixing, near_dedup)
 
 
 def queries() -> dict:
