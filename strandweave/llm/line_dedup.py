@@ -172,13 +172,13 @@ classes AS (
 sets AS (SELECT id, pos, list_distinct(regexp_split_to_array(line, '[\x20\x09-\x0D]+')) AS ws FROM classes),
 words AS (SELECT id, pos, len(ws) AS n, unnest(ws) AS w FROM sets),
 pairs AS (
-  SELECT b.id, any_value(b.pos) AS pos, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS both
+  SELECT b.id, any_value(b.pos) AS pos, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS shared
   FROM words a JOIN words b ON a.w = b.w AND a.pos < b.pos AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n)
   GROUP BY a.id, b.id),
 gone AS (
   SELECT k.doc_id, k.line_no FROM kept k JOIN classes c ON k.line = c.line WHERE k.doc_id <> c.pos.d OR k.line_no <> c.pos.l
   UNION
-  SELECT pos.d, pos.l FROM pairs WHERE both >= 0.8 * (n + m - both) - 1e-9),
+  SELECT pos.d, pos.l FROM pairs WHERE shared >= 0.8 * (n + m - shared) - 1e-9),
 per AS (SELECT doc_id, count(*) AS c, string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) AS r FROM gone GROUP BY doc_id)
 SELECT d.doc_id, coalesce(len(d.ls), 0) AS n_lines, coalesce(per.c, 0) AS n_removed, coalesce(per.r, '') AS removed
 FROM docs d LEFT JOIN per ON d.doc_id = per.doc_id
