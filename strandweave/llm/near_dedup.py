@@ -8,11 +8,13 @@ batch are made together in numpy.
 Documents with equal shingle sets are one class (found by a 128-bit key of the set), and only one document of a class
 goes on. Two classes whose signatures agree in all registers of a band are candidates. Within a bucket candidates are
 paired with a hub first; links are verified on full sets and united, and only buckets that still hold several
-components are taken up again: once with another hub, then with all pairs of different components. So a bucket with a
-third of all documents costs a pair per document, not per pair, and no candidate that could join two components stays
-unverified.
+components are taken up again: once with another hub, then all rows of different components are compared by sketches (8
+bits of each register) in blocks of bounded size, and what a sketch can't rule out is verified. So a group of linked
+copies costs a pair per document, rows of a large bucket are never paired in a table, and no candidate that could join
+two components is left out.
 
-With 20 bands of 4 registers a pair at Jaccard 0.85 shares no band with probability 4e-7 (0.80: 3e-5).
+With 20 bands of 4 registers a pair at Jaccard 0.85 shares no band with probability 4e-7 (0.80: 3e-5); sketches rule out
+what agrees in fewer registers than 4.5 standard deviations below the threshold (3e-6).
 
 Edge cases: null or blank text: no shingles, linked with nothing. Fewer words than a shingle: the whole sequence is
 one shingle. Rows with a null id form no links and are kept. Rows that repeat an id are one node. Empty table: no
@@ -31,9 +33,10 @@ from pyspark.sql import functions as F
 from .common import MIX_A, by_ids, materialize, scramble, shingle_hashes, word_hashes, words_of
 from .components import connected_components
 
-BANDS, ROWS = 20, 4
-#: Shingles walked together; bounds a worker's memory.
-WALK = 200_000
+#: The first BANDS * ROWS of the REGISTERS make bands, all of them the sketch.
+BANDS, ROWS, REGISTERS = 20, 4, 256
+#: Shingles walked together, and rows compared together; they bound a worker's memory.
+WALK, BLOCK = 80_000, 1024
 
 
 def super_minhash(elements: np.ndarray, owner: np.ndarray, docs: int, registers: int) -> np.ndarray:
@@ -54,7 +57,7 @@ def super_minhash(elements: np.ndarray, owner: np.ndarray, docs: int, registers:
         else:
             at = np.arange(len(el))
             if perm is None:
-                perm = np.tile(np.arange(registers, dtype=np.int16), (len(el), 1))
+                perm = np.tile(np.arange(registers, dtype=np.uint8), (len(el), 1))
                 for s, c in enumerate(chosen):
                     held = perm[at, c].copy()
                     perm[at, c] = perm[at, s]
@@ -78,12 +81,12 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 
 
 def _signatures(width: int, bands: int, rows: int):
-    names = ["doc_id", "n_shingles", "key1", "key2", "bands"]
+    names = ["doc_id", "n_shingles", "key1", "key2", "bands", "sketch"]
 
     def flush(ids, sets) -> pa.RecordBatch:
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
         el = np.concatenate(sets)
-        sig = super_minhash(el, np.repeat(np.arange(len(sets)), sizes), len(sets), bands * rows)
+        sig = super_minhash(el, np.repeat(np.arange(len(sets)), sizes), len(sets), REGISTERS)
         key = np.zeros((len(sets), bands), dtype=np.uint64)
         with np.errstate(over="ignore"):
             for b in range(bands):
@@ -94,8 +97,9 @@ def _signatures(width: int, bands: int, rows: int):
             starts = np.minimum(np.cumsum(sizes) - sizes, max(0, len(el) - 1))
             one = np.add.reduceat(scramble(el), starts) if len(el) else np.zeros(len(sets), np.uint64)
             two = np.bitwise_xor.reduceat(scramble(el ^ MIX_A), starts) if len(el) else np.zeros(len(sets), np.uint64)
+            short = (scramble(sig) >> np.uint64(56)).astype(np.uint8)
         values = [[int(x) for x in row] if n else [] for row, n in zip(key.view(np.int64).tolist(), sizes)]
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes), pa.array(np.where(sizes, one.view(np.int64), 0)), pa.array(np.where(sizes, two.view(np.int64), 0)), pa.array(values, pa.list_(pa.int64()))], names)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes), pa.array(np.where(sizes, one.view(np.int64), 0)), pa.array(np.where(sizes, two.view(np.int64), 0)), pa.array(values, pa.list_(pa.int64())), pa.array([x.tobytes() for x in short], pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,6 +129,38 @@ def _sets(width: int):
     return run
 
 
+def _compare(threshold_pct: int):
+    """Rows of one group (`key, i, j, block, rep, n, component, sketch`) to candidate pairs of different components."""
+    t = threshold_pct / 100
+    cut = int(REGISTERS * t - 4.5 * (REGISTERS * t * (1 - t)) ** 0.5)
+
+    def run(table: pa.Table) -> pa.Table:
+        key, block, rep, n, comp, i, j = (table.column(c).to_numpy() for c in ("key", "block", "rep", "n", "component", "i", "j"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+        order = np.lexsort((rep, key))
+        ends = np.flatnonzero(np.diff(key[order], append=key[order][-1:] + 1)) + 1
+        out_a, out_b, start = [], [], 0
+        for end in ends:
+            own = order[start:end]
+            start = end
+            left, right = own[block[own] == i[own]], own[block[own] == j[own]]
+            for at in range(0, len(left), 32):
+                x = left[at : at + 32]
+                ok = (comp[x][:, None] != comp[right][None, :]) & (np.minimum(n[x][:, None], n[right][None, :]) * 100 >= np.maximum(n[x][:, None], n[right][None, :]) * threshold_pct)
+                p, q = np.nonzero(ok)
+                if not len(p):
+                    continue
+                for s in range(0, len(p), 50_000):
+                    u, v = x[p[s : s + 50_000]], right[q[s : s + 50_000]]
+                    hit = (sketch[u] == sketch[v]).sum(axis=1) >= cut
+                    out_a.append(np.minimum(rep[u], rep[v])[hit])
+                    out_b.append(np.maximum(rep[u], rep[v])[hit])
+        both = np.unique(np.column_stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=0) if out_a else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
+
+    return run
+
+
 def _verify(num: int, den: int):
     """Keeps the pairs with den * |A & B| >= num * |A | B|."""
 
@@ -147,9 +183,10 @@ def near_duplicates(
 ) -> DataFrame:
     """`doc_id, n_shingles, component_id, kept` for every row: component_id is the smallest id linked with it."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = materialize(texts.mapInArrow(_signatures(width, bands, rows), "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>"))
-    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "key1", "key2").agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"))
+    signed = materialize(texts.mapInArrow(_signatures(width, bands, rows), "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>, sketch binary"))
+    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "key1", "key2").agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"))
     classes = materialize(classes)
+    sketches = classes.select("rep", "sketch").groupBy("rep").agg(F.min("sketch").alias("sketch"))
     keys = classes.select(F.explode("bands").alias("key"), "rep", F.col("n_shingles").alias("n"))
     several = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     keys = materialize(keys.join(several, "key"))  # only buckets with candidates
@@ -175,10 +212,15 @@ def near_duplicates(
         open_keys = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
         at = materialize(at.join(open_keys, "key"))
         if last:
-            x, y = at.alias("x"), at.alias("y")
-            apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-            close = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * threshold_pct
-            pairs = x.join(y, apart & close).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+            count = at.groupBy("key").agg(F.count("*").alias("c"))
+            groups = at.count() // (4 * BLOCK) + 1
+            blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+            rows_ = at.join(count, "key").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+            rows_ = rows_.join(sketches, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            rows_ = rows_.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+            rows_ = rows_.withColumn("bin", F.when(F.col("blocks") == 1, F.pmod("key", F.lit(groups))).otherwise(F.col("key")))
+            rows_ = rows_.select("bin", "key", "i", "j", "block", "rep", "n", "component", "sketch")
+            pairs = rows_.groupBy("bin", "i", "j").applyInArrow(_compare(threshold_pct), "a long, b long")
         else:
             hubs = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("o"), "rep", "n", "component")).alias("hub"))
             with_hub = at.join(hubs.select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hn"), F.col("hub.component").alias("hc")), "key")
