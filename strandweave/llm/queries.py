@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, near_dedup
+from . import langid, line_dedup, mixing, near_dedup, toxicity
 
-MODULES = (line_dedup, mixing, near_dedup)
+MODULES = (langid, line_dedup, mixing, near_dedup, toxicity)
 
 
 def queries() -> dict:
