@@ -179,11 +179,13 @@ def train(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS,
         return None
     in_pos, in_neg = Counter(w for b in pos for w in b), Counter(w for b in neg for w in b)
     alphabet = Alphabet(in_pos + in_neg)
-    # grams of four letters, ends included, and whole words that mark toxic documents: k of them by chance have probability
-    # (share of toxic)^k, and clean documents may hold them at a twentieth of the rate at most
+    # grams of four letters, ends included, and whole words that mark toxic documents: a gram of k documents is in toxic
+    # ones only with probability (share of toxic)^k by chance, so k is as large as leaves 0.1 of such grams; clean documents
+    # may hold them at a twentieth of the rate at most
     share = len(pos) / (len(pos) + len(neg))
     g_pos, g_neg = Counter(g for b in pos for g in {g for w in b for g in _grams(w)}), Counter(g for b in neg for g in {g for w in b for g in _grams(w)})
-    need = max(3, int(np.ceil(np.log(0.01 / max(len(g_pos), 1)) / np.log(min(share, 0.9)))))
+    held = Counter(k + g_neg[g] for g, k in g_pos.items())
+    need = next((k for k in range(3, 200) if held[k] * share**k <= 0.1), 200)
     rare = lambda k, n: 20 * (n + 0.04) / len(neg) <= k / len(pos)
     seeds = _explain(pos, {g for g, k in g_pos.items() if k >= need and rare(k, g_neg[g])}, {w for w in in_pos if rare(in_pos[w], in_neg[w])}, 0.2 * need)
     seeds = sorted(seeds, key=lambda w: (-in_pos[w], w))[:4000] or [max(sorted(in_pos), key=lambda w: in_pos[w] / len(pos) - in_neg[w] / len(neg))]
@@ -243,9 +245,9 @@ def train(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS,
                         toxic_words.append(mine[int(s.argmax())])
     best = np.array([(dot_table(alphabet, b, table) + bias).max() for b in pos + neg])
     is_pos = np.r_[np.ones(len(pos), bool), np.zeros(len(neg), bool)]
-    # the cut that is right most often, a false alarm counting three misses; in the middle of its gap
+    # the cut that is right most often, a false alarm counting ten misses; in the middle of its gap
     order = np.argsort(-best, kind="stable")
-    right = np.r_[0, np.cumsum(np.where(is_pos[order], 1, -3))]
+    right = np.r_[0, np.cumsum(np.where(is_pos[order], 1, -10))]
     top = int(right.argmax())
     ranked = best[order]
     cut = ranked[0] + 0.5 if top == 0 else ranked[-1] - 0.5 if top == len(ranked) else (ranked[top - 1] + ranked[top]) / 2
