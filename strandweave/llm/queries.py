@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import langid, line_dedup, mixing, near_dedup, toxicity
+from . import decontam, langid, line_dedup, mixing, near_dedup, toxicity, url_filter
 
-MODULES = (langid, line_dedup, mixing, near_dedup, toxicity)
+MODULES = (decontam, langid, line_dedup, mixing, near_dedup, toxicity, url_filter)
 
 
 def queries() -> dict:
