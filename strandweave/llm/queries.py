@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, line_dedup, metric_search, mixing, near_dedup, pii, toxicity, url_filter
+from . import decontam, langid, line_dedup, metric_search, mixing, near_dedup, pii, quality, toxicity, url_filter
 
-MODULES = (decontam, langid, line_dedup, metric_search, mixing, near_dedup, pii, toxicity, url_filter)
+MODULES = (decontam, langid, line_dedup, metric_search, mixing, near_dedup, pii, quality, toxicity, url_filter)
 
 
 def queries() -> dict:
