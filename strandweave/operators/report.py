@@ -111,7 +111,11 @@ def merge_samples(calls: DataFrame, columns: Sequence[str], *, by: str = "specie
     """One row for each species: columns concatenated over samples, most reads first, ties by sample (AGG-17)."""
     rows = F.array_sort(F.collect_list(F.struct((-F.col(order)).alias("_o"), F.col("sample").alias("_s"), *[F.col(c).cast("string").alias(c) for c in columns])))
     grouped = calls.groupBy(by).agg(rows.alias("_rows"))
-    return grouped.select(by, *[F.array_join(F.transform("_rows", lambda x, c=c: x[c]), sep, "NA").alias(c) for c in columns])
+
+    def joined(c: str) -> Column:
+        return F.array_join(F.transform("_rows", lambda x: x[c]), sep, "NA").alias(c)
+
+    return grouped.select(by, *[joined(c) for c in columns])
 
 
 def sheet_rollup(units: DataFrame) -> DataFrame:
