@@ -11,6 +11,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def oriented(start: str, end: str) -> tuple[Column, Column]:
@@ -114,7 +115,7 @@ def count_fragments(reads: DataFrame, parts: DataFrame, keys: Sequence[str], par
 
 def pack_lanes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A greedy lane for each interval, so that those of one lane don't overlap (REG-08). Groups are plot-sized."""
-    schema = df.schema.add("lane", "int")
+    schema = T.StructType([*df.schema.fields, T.StructField("lane", T.IntegerType())])
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start", "end"], kind="stable")
