@@ -6,8 +6,8 @@ distinct lower-cased words. Lines under `min_chars` characters always stay.
 1. Rarity: words are counted over all documents in 2^16 hash buckets; a word's order is (rank of its bucket, hash).
    Any total order is right, a rarer first word only makes buckets smaller, so the table has a fixed size.
 2. Equal lines are one class: grouped by hash, the first stays.
-3. Each line emits its prefix, the n - ceil(t n) + 1 rarest words, with n, the position and a 128-bit parity bitmap of
-   its words. A semi-join on the word keeps rows with a partner that passes the length filter (min >= t max), the
+3. Each line emits its prefix, the n - ceil(t n) + 1 rarest words, with n, the position and a parity bitmap of its
+   words (64 bits, 128 for long lines). A semi-join on the word keeps rows with a partner that passes the length filter (min >= t max), the
    positional filter (1 + min(words left) >= t / (1 + t) (n + m)) and the bitmap bound (the bits that differ are at most
    the words that differ). It stops at the first partner, so a hot word's rows are not paired with each other.
 4. What is left are lines with a likely partner. Each is verified, on words, against the first line of its buckets;
@@ -56,19 +56,20 @@ def rarity_ranks(docs: DataFrame) -> DataFrame:
     return ranked.agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "r"))), lambda x: x["r"].cast("long")).alias("ranks"))
 
 
-def _bitmap(keys: Column, half: int) -> Column:
-    def toggle(acc, x):
-        bit = F.expr("1L")
-        return acc.bitwiseXOR(F.when(F.shiftright(x, 6).bitwiseAND(1) == half, F.call_function("shiftleft", bit, x.bitwiseAND(63).cast("int"))).otherwise(F.lit(0).cast("long")))
+#: Lines of more words than this have a bitmap of 128 bits (m0, m1), others one of 64 (m0; m1 is 0). m0 ^ m1 folds 128 to 64.
+LONG = 64
 
-    return F.aggregate(keys, F.lit(0).cast("long"), toggle)
+
+def _toggled(keys: Column) -> Column:
+    return F.aggregate(keys, F.expr("0L"), lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.expr("1L"), x.bitwiseAND(63).cast("int"))))
 
 
 def _near(a: str, b: str, t: float) -> Column:
     """Length, positional and bitmap filters between the rows called a and b."""
     n, m, i, j = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.i", f"{b}.i"))
     need = F.ceil((n + m) * (t / (1 + t)) - 1e-9)
-    differ = F.bit_count(F.col(f"{a}.m0").bitwiseXOR(F.col(f"{b}.m0"))) + F.bit_count(F.col(f"{a}.m1").bitwiseXOR(F.col(f"{b}.m1")))
+    m0, m1 = (F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}")) for m in ("m0", "m1"))
+    differ = F.when((n > LONG) & (m > LONG), F.bit_count(m0) + F.bit_count(m1)).otherwise(F.bit_count(m0.bitwiseXOR(m1)))
     return (F.least(n, m) >= F.greatest(n, m) * t - 1e-9) & (F.least(n - i, m - j) >= need) & (n + m - need * 2 >= differ)
 
 
@@ -88,9 +89,12 @@ def repeated_lines(docs: DataFrame, *, threshold: float = 0.8, min_chars: int =
     parts = parts.select("h1", F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)).alias("hashes"), ranks.scalar().alias("ranks"))
     # key: 16 bits of rank, 47 of hash; equal keys within two lines are equal words but for a chance of 1e-11
     key = lambda h: F.shiftleft(F.get("ranks", h.bitwiseAND(BUCKETS - 1).cast("int")), 47).bitwiseOR(F.shiftrightunsigned(h, 17))
-    parts = parts.select("h1", F.sort_array(F.array_distinct(F.transform("hashes", key))).alias("keys"))
+    # each explode of a one-element array keeps the optimizer from copying what is below into all its uses
+    parts = parts.select("h1", F.explode(F.array(F.sort_array(F.array_distinct(F.transform("hashes", key))))).alias("keys"))
     n = F.size("keys")
-    parts = parts.select("h1", n.alias("n"), _bitmap(F.col("keys"), 0).alias("m0"), _bitmap(F.col("keys"), 1).alias("m1"), F.slice("keys", 1, (n - F.ceil(n * t - 1e-9) + 1).cast("int")).alias("prefix"))
+    upper = F.when(n > LONG, _toggled(F.filter("keys", lambda x: x.bitwiseAND(64) == 64))).otherwise(F.expr("0L"))
+    parts = parts.select("h1", F.slice("keys", 1, (n - F.ceil(n * t - 1e-9) + 1).cast("int")).alias("prefix"), F.explode(F.array(F.struct(n.alias("n"), _toggled(F.col("keys")).alias("m"), upper.alias("m1")))).alias("s"))
+    parts = parts.select("h1", "s.n", F.col("s.m").bitwiseXOR(F.col("s.m1")).alias("m0"), "s.m1", "prefix")
     index = parts.select("h1", "n", "m0", "m1", F.posexplode("prefix").alias("i", "key"))
 
     a, b = index.alias("a"), index.alias("b")
