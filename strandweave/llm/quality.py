@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, word_hashes
 
-BITS, SAMPLE, KEEP = 16, 6000, 0.5
+BITS, SAMPLE, KEEP, RATIO = 16, 6000, 0.5, 30
 _SYMBOL = str.maketrans("", "", "#$%&*|<>{}[]=@^~_\\/+")
 _DIGIT = str.maketrans("", "", "0123456789")
 _END = re.compile(r"[.!?…:;\"')\]]\s*$")
@@ -112,11 +112,10 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
         for v in range(3):
             table[:, :, v] = w @ (at == v) + np.where(v == 1, 1, [[1], [1]])
         table /= table.sum(axis=2, keepdims=True)
-        # a labeller is never read backwards: its bad vote is likelier for bad documents, its good vote for good ones
-        for v, c in ((0, 0), (2, 1)):
-            low = table[c, :, v] < table[1 - c, :, v]
-            mean = (table[0, :, v] + table[1, :, v]) / 2
-            table[0, low, v] = table[1, low, v] = mean[low]
+        # labellers are better than chance: a bad vote is RATIO times likelier for bad documents at least, a good one as likely
+        table[0, :, 0] = np.maximum(table[0, :, 0], np.minimum(RATIO * table[1, :, 0], 0.6))
+        table[1, :, 0] = np.minimum(table[1, :, 0], table[0, :, 0] / RATIO)
+        table[1, :, 2] = np.maximum(table[1, :, 2], table[0, :, 2])
         table /= table.sum(axis=2, keepdims=True)
     return post, prior
 
