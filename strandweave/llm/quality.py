@@ -129,12 +129,12 @@ def features(text: str, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return index.astype(np.int64), np.concatenate([value / np.linalg.norm(value), np.full(len(steps), 0.5)])
 
 
-def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = 8, rate: float = 0.3, decay: float = 1e-5, seed: int = 3) -> np.ndarray:
+def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, updates: int = 48_000, rate: float = 0.3, decay: float = 1e-5, seed: int = 3) -> np.ndarray:
     """Weights (the last is the bias) of a logistic model for soft labels y, by adaptive gradient steps."""
     w, g = np.zeros((1 << BITS) + 1), np.full((1 << BITS) + 1, 1e-3)
     rng = np.random.default_rng(seed)
     share = float(np.clip(y.mean(), 0.02, 0.98))
-    for _ in range(epochs):
+    for _ in range(-(-updates // len(rows))):
         for k in rng.permutation(len(rows)):
             i, v = rows[k]
             p = 1 / (1 + np.exp(-np.clip(w[i] @ v + w[-1], -30, 30)))

@@ -181,7 +181,7 @@ def test_quality(spark, edge, none):
     rng = random.Random(8)
     prose = lambda: ". ".join(" ".join(w if rng.random() < 0.6 else rng.choice(["the", "of", "and", "to"]) for w in words(rng, 12)).capitalize() for _ in range(8)) + "."
     good = [prose() for _ in range(120)]
-    bad = [" ".join(w + "%%%" for w in prose().split()) for _ in range(12)] + [" ".join(w.upper() + "!!" for w in words(rng, 90)) for _ in range(12)] + [" ".join(["same"] * 60 + words(rng, 5)) for _ in range(12)]
+    bad = [" ".join(w + "%%%" for w in prose().split()) for _ in range(12)] + [" ".join(w.upper() + "ZQ!!" for w in words(rng, 90)) for _ in range(12)] + [" ".join(["same"] * 60 + words(rng, 5)) for _ in range(12)]
     df = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
     out = {r["doc_id"]: r["kept"] for r in quality.score(df, quality.fit(df)).collect()}
     assert all(out[k] for k in range(120)) and not any(out[k] for k in range(120, 156))
