@@ -37,7 +37,7 @@ _FIND = re.compile(
     r"|(?P<date>(?<![\d/.-])(?:\d{4}-\d\d-\d\d|\d\d?/\d\d?/\d{4}|\d\d?\.\d\d?\.\d{4})(?![\d/-]))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d.])\d(?:[ -]?\d){12,18}(?![\d]))"
-    r"|(?P<phone>(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}|\d{3}[ .-]\d{3,4}[ .-]\d{4}|(?<=\+)\d{7,15}|(?<=\d[ .-])\d{2,4}(?:[ .-]\d{2,4}){1,3})(?![\w-]))"
+    r"|(?P<phone>(?<![\w.+])(?:\+\d(?:[ .()-]{0,3}\d){6,14}|(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{4})(?![\w-]))"
 )
 _MAYBE = re.compile(r"\d|@|[=:]")
 _SECRET = re.compile(r"(?i)^((?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?)(.*)$|^(AKIA|ASIA)(.*)$", re.S)

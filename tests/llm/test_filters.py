@@ -194,7 +194,7 @@ def test_quality(spark, edge, none):
 
 CASES = [
     ("pay 4785380592391139 now", 1), ("pay 4785-3805-9239-1139 now", 1), ("pay 4785380592391138 now", 0), ("at 152.143.123.131 or 300.1.1.1", 1), ("born 2024-02-29, not 2024-02-30", 1),
-    ("31/12/1999 and 12/31/1999", 2), ("GB82 WEST 1234 5698 7654 32", 1), ("call +1 (988) 555-2485!", 1), ("mail bo.sbt42@mail8.example.com", 1), ("password=7602ad27cf5550de1c", 1), ("ssn 123-45-6789 000-12-3456", 1), ("plain 12 words 7", 0), ("", 0),
+    ("31/12/1999 and 12/31/1999", 2), ("GB82 WEST 1234 5698 7654 32", 1), ("call +1 (988) 555-2485!", 1), ("+1 (269) 555-3296 4524132264652876", 2), ("call +14155552671 or +49 30 1234567 or (555) 123-4567 or 555-123-4567.", 4), ("mail bo.sbt42@mail8.example.com", 1), ("password=7602ad27cf5550de1c", 1), ("ssn 123-45-6789 000-12-3456", 1), ("plain 12 words 7", 0), ("", 0),
 ]
 
 
