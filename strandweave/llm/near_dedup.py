@@ -129,14 +129,36 @@ def _sets(width: int):
     return run
 
 
-def _compare(threshold_pct: int):
-    """Rows of one group (`key, i, j, block, rep, n, component, sketch`) to candidate pairs of different components."""
+def _cut(threshold_pct: int) -> int:
+    """Equal registers that a pair at the threshold reaches but with probability 3e-6."""
     t = threshold_pct / 100
-    cut = int(REGISTERS * t - 4.5 * (REGISTERS * t * (1 - t)) ** 0.5)
+    return int(REGISTERS * t - 4.5 * (REGISTERS * t * (1 - t)) ** 0.5)
+
+
+def _likely(threshold_pct: int):
+    """Keeps the pairs (a, b, sketch of a, sketch of b) that sketches can't rule out."""
+    cut = _cut(threshold_pct)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
+            keep = (x == y).sum(axis=1) >= cut
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _compare(threshold_pct: int):
+    """Rows of one group (`key, i, j, block, rep, n, component, bands, sketch`) to candidate pairs of different components.
+
+    A pair is compared in the first bucket that both rows are in, so it is met once, not in each bucket they share.
+    """
+    cut = _cut(threshold_pct)
 
     def run(table: pa.Table) -> pa.Table:
         key, block, rep, n, comp, i, j = (table.column(c).to_numpy() for c in ("key", "block", "rep", "n", "component", "i", "j"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+        bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)
         order = np.lexsort((rep, key))
         ends = np.flatnonzero(np.diff(key[order], append=key[order][-1:] + 1)) + 1
         out_a, out_b, start = [], [], 0
@@ -152,6 +174,9 @@ def _compare(threshold_pct: int):
                     continue
                 for s in range(0, len(p), 50_000):
                     u, v = x[p[s : s + 50_000]], right[q[s : s + 50_000]]
+                    same = bands[u] == bands[v]
+                    here = bands[u, same.argmax(axis=1)] == key[u]
+                    u, v = u[here], v[here]
                     hit = (sketch[u] == sketch[v]).sum(axis=1) >= cut
                     out_a.append(np.minimum(rep[u], rep[v])[hit])
                     out_b.append(np.maximum(rep[u], rep[v])[hit])
@@ -186,7 +211,7 @@ def near_duplicates(
     signed = materialize(texts.mapInArrow(_signatures(width, bands, rows), "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>, sketch binary"))
     classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "key1", "key2").agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"))
     classes = materialize(classes)
-    sketches = classes.select("rep", "sketch").groupBy("rep").agg(F.min("sketch").alias("sketch"))
+    sketches = classes.groupBy("rep").agg(F.min(F.struct("bands", "sketch")).alias("s")).select("rep", "s.*")
     keys = classes.select(F.explode("bands").alias("key"), "rep", F.col("n_shingles").alias("n"))
     several = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     keys = materialize(keys.join(several, "key"))  # only buckets with candidates
@@ -200,11 +225,16 @@ def near_duplicates(
         full = left.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "sa", "sb")
         return full.mapInArrow(_verify(threshold_pct, 100), "a long, b long")
 
+    def likely(pairs: DataFrame) -> DataFrame:
+        own = sketches.select("rep", "sketch")
+        both = pairs.join(own.toDF("b", "kb"), "b").join(own.toDF("a", "ka"), "a").select("a", "b", "ka", "kb")
+        return materialize(both.mapInArrow(_likely(threshold_pct), "a long, b long"))
+
     # a hub for each bucket: the smallest id
     hubs = keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("hub"))
     with_hub = keys.join(hubs.select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hn")), "key")
     pairs = materialize(with_hub.where(F.col("rep") != F.col("hub")).where(near).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
-    links = materialize(linked(pairs))
+    links = materialize(linked(likely(pairs)))
     tried = pairs
     labels = materialize(connected_components(links))
     for last in (False, True):
@@ -219,7 +249,7 @@ def near_duplicates(
             rows_ = rows_.join(sketches, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             rows_ = rows_.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
             rows_ = rows_.withColumn("bin", F.when(F.col("blocks") == 1, F.pmod("key", F.lit(groups))).otherwise(F.col("key")))
-            rows_ = rows_.select("bin", "key", "i", "j", "block", "rep", "n", "component", "sketch")
+            rows_ = rows_.select("bin", "key", "i", "j", "block", "rep", "n", "component", "bands", "sketch")
             pairs = rows_.groupBy("bin", "i", "j").applyInArrow(_compare(threshold_pct), "a long, b long")
         else:
             hubs = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("o"), "rep", "n", "component")).alias("hub"))
@@ -229,7 +259,7 @@ def near_duplicates(
         if pairs.isEmpty():
             continue
         tried = tried.unionByName(pairs)
-        links = materialize(links.unionByName(linked(pairs)))
+        links = materialize(links.unionByName(linked(pairs if last else likely(pairs))))
         labels = materialize(connected_components(links))
 
     member = classes.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select("n_shingles", "key1", "key2", F.coalesce("component", "rep").alias("component"))

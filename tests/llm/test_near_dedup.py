@@ -78,7 +78,7 @@ def test_blocks_compare_every_pair():
 
     n = 90
     same = np.zeros((n, REGISTERS), np.uint8).tobytes()
-    base = {"rep": list(range(n)), "n": [10] * n, "component": list(range(n)), "block": [k % 3 for k in range(n)], "sketch": [same[:REGISTERS]] * n}
+    base = {"rep": list(range(n)), "n": [10] * n, "component": list(range(n)), "block": [k % 3 for k in range(n)], "bands": [[1] * 20] * n, "sketch": [same[:REGISTERS]] * n}
     found = set()
     for i in range(3):
         for j in range(i, 3):
