@@ -14,8 +14,8 @@ distinct lower-cased words. Lines under `min_chars` characters always stay.
    those that don't match are verified against every earlier partner. So near copies of one line, however many, cost a
    pair each.
 
-A line that is more than 1 / 20,000 of all lines is hot; there are at most 20,000 of these, which are broadcast, so that
-their copies never reach the prefix index.
+The most frequent repeated lines, up to a bound on their number, are broadcast, so that their copies never reach the
+prefix index; copies of other lines do, and find their first line there or by step 2.
 
 Edge cases: null text has no lines; blank lines stay; ties can't arise, as (doc_id, line number) is total, but for rows
 that repeat an id, which count as one document whose equal line numbers keep each other; null ids come first.
@@ -29,27 +29,27 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_IDS, SPACE, materialize
 
 BUCKETS = 1 << 16
-HOT_SHARE = 20_000
 
 
-def _words(line: Column) -> Column:
-    return F.split(F.btrim(F.lower(line), F.lit(" \t\u000b\u000c\r\n")), SPACE)
+def _norm(text: Column) -> Column:
+    return F.btrim(F.lower(text), F.lit(" \t\u000b\u000c\r\n"))
 
 
-def _lines(docs: DataFrame, min_chars: int, *cols: Column) -> DataFrame:
-    exploded = docs.select(F.col("doc_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return exploded.where(F.length(F.btrim("line", F.lit(" \t\u000b\u000c\r"))) >= min_chars).select("doc_id", "line_no", *cols)
+def _words(norm: Column) -> Column:
+    return F.split(norm, SPACE)
 
 
-def _class_of(line: Column) -> tuple[Column, Column]:
-    norm = F.btrim(F.lower(line), F.lit(" \t\u000b\u000c\r"))
-    return F.xxhash64(norm).alias("h1"), F.xxhash64(F.lit(7), norm).alias("h2")
+def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
+    """`doc_id, line_no, norm` of lines that count."""
+    exploded = docs.select(F.col("doc_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    # the explode of a one-element array keeps the optimizer from normalising once for the filter and again for each use
+    return exploded.select("doc_id", "line_no", F.explode(F.array(_norm(F.col("line")))).alias("norm")).where(F.length("norm") >= min_chars)
 
 
 def rarity_ranks(docs: DataFrame) -> DataFrame:
     """One row: an array with the rank of each of the 2^16 buckets by its number of words."""
     spark = docs.sparkSession
-    words = docs.select(F.explode(_words(F.col("text"))).alias("w"))
+    words = docs.select(F.explode(_words(_norm(F.col("text")))).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(BUCKETS - 1).alias("b")).agg(F.count("*").alias("c"))
     counts = spark.range(BUCKETS).withColumnRenamed("id", "b").join(counts, "b", "left").fillna(0, ["c"])
     ranked = counts.select("b", (F.row_number().over(Window.orderBy("c", "b")) - 1).alias("r"))
@@ -77,19 +77,26 @@ def repeated_lines(docs: DataFrame, *, threshold: float = 0.8, min_chars: int =
     """`doc_id, line_no, like_doc_id, like_line_no` for every line that goes, with an earlier line that it is like."""
     t = threshold
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    lines = materialize(_lines(docs, min_chars, *_class_of(F.col("line"))))
+    lines = materialize(_lines(docs, min_chars).select("doc_id", "line_no", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(7), "norm").alias("h2")))
     classes = materialize(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("c")))
     several = classes.where("c > 1")
     copies = lines.join(several.select("h1", "h2", "at"), ["h1", "h2"]).where(F.struct("doc_id", "line_no") != F.col("at")).select("doc_id", "line_no", "at")
 
-    hot = several.where(F.col("c") * HOT_SHARE > max(lines.count(), 1)).select(F.col("h1"), F.col("at.doc_id").alias("hot_doc"), F.col("at.line_no").alias("hot_line"))
+    # the most frequent of them, as many as may be broadcast: copies of these don't reach the index
+    held, least = 0, 1 << 62
+    for r in several.groupBy(F.least("c", F.lit(1 << 20)).alias("c")).agg(F.count("*").alias("n")).orderBy(F.desc("c")).toLocalIterator():
+        held += r["n"]
+        if held > BROADCAST_IDS:
+            break
+        least = r["c"]
+    hot = several.where(F.col("c") >= least).select(F.col("h1"), F.col("at.doc_id").alias("hot_doc"), F.col("at.line_no").alias("hot_line"))
     ranks = materialize(rarity_ranks(docs))
-    parts = _lines(docs, min_chars, F.xxhash64(F.btrim(F.lower("line"), F.lit(" \t\u000b\u000c\r"))).alias("h1"), F.col("line"))
-    parts = parts.join(F.broadcast(hot), "h1", "left").where("hot_doc is null or (hot_doc = doc_id and hot_line = line_no)")
-    parts = parts.select("h1", F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)).alias("hashes"), ranks.scalar().alias("ranks"))
+    parts = _lines(docs, min_chars).select("doc_id", "line_no", "norm", F.xxhash64("norm").alias("h1"))
+    parts = parts.join(F.broadcast(hot), "h1", "left").where("hot_line is null or (hot_doc <=> doc_id and hot_line = line_no)")
+    parts = parts.select("h1", F.transform(_words(F.col("norm")), lambda w: F.xxhash64(w)).alias("hashes"), ranks.scalar().alias("ranks"))
     # key: 16 bits of rank, 47 of hash; equal keys within two lines are equal words but for a chance of 1e-11
     key = lambda h: F.shiftleft(F.get("ranks", h.bitwiseAND(BUCKETS - 1).cast("int")), 47).bitwiseOR(F.shiftrightunsigned(h, 17))
-    # each explode of a one-element array keeps the optimizer from copying what is below into all its uses
+    # as in _lines, explodes stand between what is computed and its uses
     parts = parts.select("h1", F.explode(F.array(F.sort_array(F.array_distinct(F.transform("hashes", key))))).alias("keys"))
     n = F.size("keys")
     upper = F.when(n > LONG, _toggled(F.filter("keys", lambda x: x.bitwiseAND(64) == 64))).otherwise(F.expr("0L"))
@@ -104,10 +111,10 @@ def repeated_lines(docs: DataFrame, *, threshold: float = 0.8, min_chars: int =
 
     # the words of likely lines, each class once
     wanted = materialize(likely.select("h1", "at").distinct())
-    own = _lines(docs, min_chars, F.xxhash64(F.btrim(F.lower("line"), F.lit(" \t\u000b\u000c\r"))).alias("h1"), F.col("line"))
+    own = _lines(docs, min_chars).select("doc_id", "line_no", "norm", F.xxhash64("norm").alias("h1"))
     at = wanted.select("h1", F.col("at.doc_id").alias("d"), F.col("at.line_no").alias("l"))
     own = own.join(F.broadcast(at) if wanted.count() <= BROADCAST_IDS else at, "h1").where((F.col("doc_id").eqNullSafe(F.col("d"))) & (F.col("line_no") == F.col("l")))
-    words = materialize(own.select("h1", F.array_distinct(_words(F.col("line"))).alias("words")).dropDuplicates(["h1"]))
+    words = materialize(own.select("h1", F.array_distinct(_words(F.col("norm"))).alias("words")).dropDuplicates(["h1"]))
 
     def alike(pairs: DataFrame) -> DataFrame:
         both = pairs.join(words.select(F.col("h1").alias("x"), F.col("words").alias("wx")), "x").join(words.select(F.col("h1").alias("y"), F.col("words").alias("wy")), "y")
