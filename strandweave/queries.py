@@ -56,7 +56,7 @@ _SEG = f"""{HITS_SQL}, p AS (SELECT DISTINCT sample, sacc, unnest([lo, hi + 1])
 @query(f"""WITH {_SEG} SELECT g.sample, g.sacc, g.start, g."end", count(h.ord) AS n, coalesce(string_agg(CAST(h.qacc AS VARCHAR), ',' ORDER BY h.ord), '') AS queries
   FROM g LEFT JOIN h ON g.sample = h.sample AND g.sacc = h.sacc AND h.lo <= g.start AND h.hi >= g."end" WHERE g."end" IS NOT NULL AND g.sample < 5 GROUP BY ALL""")
 def region_segments(spark, sf):
-    seg = intervals.segments(hits(spark, sf).where("sample < 5"), ["sample", "sacc"], "sstart", "send", "qacc", "ord")
+    seg = intervals.segments(hits(spark, sf), ["sample", "sacc"], "sstart", "send", "qacc", "ord")
     return seg.select("sample", "sacc", "start", "end", F.size("payload").cast("long").alias("n"), F.array_join(F.col("payload").cast("array<string>"), ",").alias("queries"))
 
 
