@@ -81,7 +81,7 @@ def merge_intervals_gap(spark, sf):
 @query(f"""WITH {HITS_SQL}, f AS (SELECT p_partkey % 7 AS sacc, p_partkey * 13 % 4800 + 1 AS fs, p_partkey * 13 % 4800 + p_size * 3 AS fe, p_partkey AS feature FROM part)
   SELECT h.sacc, h.ord, f.feature, greatest(h.lo, f.fs) AS start, least(h.hi, f.fe) AS "end" FROM h JOIN f ON h.sacc = f.sacc AND h.lo <= f.fe AND f.fs <= h.hi WHERE h.sample < 3""")
 def interval_overlap_join(spark, sf):
-    a = hits(spark, sf).where("sample < 3").select("sacc", "ord", F.least("sstart", "send").alias("start"), F.greatest("sstart", "send").alias("end"))
+    a = hits(spark, sf).select("sacc", "ord", F.least("sstart", "send").alias("start"), F.greatest("sstart", "send").alias("end"))
     b = table(spark, sf, "part").select((F.col("p_partkey") % 7).alias("sacc"), F.col("p_partkey").alias("feature"), (F.col("p_partkey") * 13 % 4800 + 1).alias("start"), (F.col("p_partkey") * 13 % 4800 + F.col("p_size") * 3).alias("end"))
     return intervals.overlap_join(a, b, ["sacc"], bin_width=500).select("sacc", F.col("a_ord").alias("ord"), F.col("b_feature").alias("feature"), "start", "end")
 

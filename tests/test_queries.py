@@ -43,3 +43,10 @@ def test_region_segments_of_all_samples(spark, lines_dir):
             want.add((*key, a, b - 1, len(over), ",".join(over)))
     got = [tuple(r) for r in queries.region_segments(spark, lines_dir).collect()]
     assert len(got) == len(want) and set(got) == want and {r[0] for r in got} == set(range(50))
+
+
+def test_overlaps_of_all_samples(spark, lines_dir):
+    features = [(p % 7, p, p * 13 % 4800 + 1, p * 13 % 4800 + (p * 7 % 50 + 1) * 3) for p in range(1, 61)]
+    want = {(sacc, ord_, f, max(lo, fs), min(hi, fe)) for _, sacc, ord_, _, lo, hi in plain_hits() for key, f, fs, fe in features if key == sacc and lo <= fe and fs <= hi}
+    got = [tuple(r) for r in queries.interval_overlap_join(spark, lines_dir).collect()]
+    assert len(got) == len(want) and set(got) == want and {r[1] // 1000 % 50 for r in got} - {0, 1, 2}
