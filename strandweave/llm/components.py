@@ -18,7 +18,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int
 
     Each step takes the smallest neighbour of a vertex by a map-side combined minimum and joins it back, so the
     neighbours of a hub are never gathered. Vertices of degree N need O(1) steps for stars, O(log^2 N) for any graph.
-    Loops and null ends are dropped; repeated edges don't matter. No edges: no rows.
+    Loops and null ends are dropped; repeated edges don't matter. No edges: no rows. Not done after `most` steps: an error.
     """
     e = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
     e = materialize(e)
@@ -36,6 +36,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most: int
         if mark == seen:
             break
         seen = mark
+    else:
+        raise RuntimeError(f"components still change after {most} steps")
     ids = e.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
     roots = e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return ids.unionByName(roots).groupBy("id").agg(F.min("component").alias("component"))

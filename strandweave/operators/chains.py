@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -124,23 +125,27 @@ def greedy_groups(chains: list[_Chain], alt: float = 0.9) -> list[list[tuple[str
     return out
 
 
-def query_components(hits: DataFrame, *, sample: str = "sample", rounds: int = 30) -> DataFrame:
+def query_components(hits: DataFrame, *, sample: str = "sample", rounds: int | None = None) -> DataFrame:
     """`sample, sacc, component`: subjects that share queries, directly or through others; the smallest subject names them.
 
-    Smallest labels pass from subjects to queries and back. Chains interact through shared queries only, so greedy
-    selection of each component alone selects the same groups as of the whole.
+    Subjects of one label hang on the smallest label that any of their queries has, and on the label of the subject
+    that this one names, until no label changes. More than `rounds`, where given, is an error.
+    Chains interact through shared queries only, so greedy selection of each component alone selects the same groups
+    as of the whole.
     """
+    kept = lambda df: df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
     edges = hits.select(sample, "qacc", "sacc").distinct().cache()
     labels = edges.select(sample, "sacc").distinct().withColumn("component", F.col("sacc"))
-    for _ in range(rounds):
-        low = edges.join(labels, [sample, "sacc"]).groupBy(sample, "qacc").agg(F.min("component").alias("m"))
-        new = edges.join(low, [sample, "qacc"]).groupBy(sample, "sacc").agg(F.min("m").alias("component"))
-        new = new.checkpoint() if new.sparkSession.sparkContext.getCheckpointDir() else new.cache()
-        changed = new.join(labels.withColumnRenamed("component", "_old"), [sample, "sacc"]).where("component <> _old").isEmpty()
-        labels = new
-        if changed:
-            break
-    return labels
+    for k in count(1):
+        own = edges.join(labels, [sample, "sacc"])
+        low = own.groupBy(sample, "qacc").agg(F.min("component").alias("m"))
+        hung = kept(own.join(low, [sample, "qacc"]).groupBy(sample, "component").agg(F.min("m").alias("_to")))
+        if hung.where("component <> _to").isEmpty():
+            return labels
+        if k == rounds:
+            raise RuntimeError(f"labels of subjects that share queries still change after {rounds} rounds")
+        ahead = labels.select(sample, F.col("sacc").alias("_to"), F.col("component").alias("_next"))
+        labels = kept(labels.join(hung, [sample, "component"]).join(ahead, [sample, "_to"]).select(sample, "sacc", F.col("_next").alias("component")))
 
 
 def greedy_select(hits: DataFrame, *, penalty: float = 20.0, alt: float = 0.9, alternatives: str = "post_prune", by_component: bool = True) -> DataFrame:
