@@ -24,13 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCAL: list[str] = []
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a folder of our own only where the session names none."""
+    """The cluster's shared folder (spark.checkpoint.dir). A session without one may use a folder of this machine only if it
+    runs on this machine only; on a cluster executors wouldn't see it, so that is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="strandweave-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+    if at:
+        return at.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="strandweave-"))
+    return _LOCAL[0]
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -41,6 +48,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, *tables: DataFrame) -> str:
+    """A column name that none of the tables has."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions_for(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
@@ -63,6 +78,22 @@ def words_of(text: str | None, lower: bool = True) -> list[bytes]:
     return (raw.lower() if lower else raw).split()
 
 
+_KINDS: list[np.ndarray] = []
+
+
+def character_kinds(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the code points are letters, and which are white space."""
+    if not _KINDS:
+        plane = [chr(i) for i in range(0x10000)]
+        _KINDS.extend((np.array([c.isalpha() for c in plane]), np.array([c.isspace() for c in plane])))
+    low = np.minimum(points, 0xFFFF)
+    high = points >= 0x10000
+    letter, space = np.where(high, False, _KINDS[0][low]), np.where(high, False, _KINDS[1][low])
+    for p in np.unique(points[high]):
+        letter[points == p] = chr(p).isalpha()
+    return letter, space
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     digest = xxhash.xxh3_64_intdigest
     return np.fromiter(map(digest, words), dtype=np.uint64, count=len(words))
@@ -90,11 +121,23 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return scramble(out)
 
 
+def hash_sample(rows: DataFrame, key: str, most: int, seed: int) -> DataFrame:
+    """At most `most` rows of distinct keys, those of the smallest hashes. A threshold on the hash, from a count, leaves
+    hardly more rows than these for the final sort, however many tasks there are."""
+    hashed = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30))
+    total = rows.count()
+    if total > 2 * most:
+        rows = rows.where(hashed < int((1 << 30) * (most + 10 * most**0.5 + 100) / total))
+    return rows.orderBy(hashed, key).limit(most)
+
+
 #: Most ids for which an id list may be broadcast (16 bytes each in the hashed relation, so about 16 MB).
 BROADCAST_IDS = 500_000
 
 
 def by_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
-    """rows semi- or anti-joined with ids on key: by broadcast where the counted ids are few, else by shuffle."""
-    ids = ids.select(key).where(F.col(key).isNotNull()).distinct()
-    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
+    """rows semi- or anti-joined with ids on key, null being an id like others: by broadcast where the counted ids are
+    few, else by shuffle."""
+    own = unused("joined_id", rows)
+    ids = ids.select(F.col(key).alias(own)).distinct()
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, rows[key].eqNullSafe(F.col(own)), how)

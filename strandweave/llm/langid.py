@@ -18,18 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_back
+from .common import character_kinds, held_back
 
 BITS = 15
 #: Characters scored together.
 CHUNK = 400_000
-_TABLE: list[np.ndarray] = []
-
-
-def _letters() -> np.ndarray:
-    if not _TABLE:
-        _TABLE.append(np.array([chr(i).isalpha() for i in range(0x10000)]))
-    return _TABLE[0]
 
 
 def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -38,9 +31,7 @@ def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     starts = np.zeros(len(texts), dtype=np.int64)
     np.cumsum([len(t) for t in lowered[:-1]], out=starts[1:])
-    letter = np.where(points < 0x10000, _letters()[np.minimum(points, 0xFFFF)], False)
-    for p in np.unique(points[points >= 0x10000]):
-        letter[points == p] = chr(p).isalpha()
+    letter, _ = character_kinds(points)
     has = np.logical_or.reduceat(letter, starts) if len(points) else np.zeros(0, bool)
     return np.where(letter, points, 32).astype(np.uint32), starts, has
 

@@ -1,6 +1,6 @@
 import pytest
 
-EDGE = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, component_id long"
+EDGE = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, component_id long, removed_id long, _gone string, slot long, hash string, key string, part int, joined_id long"
 
 
 @pytest.fixture(scope="session")
@@ -12,7 +12,7 @@ def edge(spark):
         (5, "the cat sat on the mat and looked at the dog.\nthe cat sat on the mat and looked at the dog.", "en", "a", 91, 7, 0.5, 9), (6, "the cat sat on the mat and looked at the dog.", "en", "b", 45, 7, 0.5, 9),
         (6, "the cat sat on the mat and looked at the dog.", "en", "b", 45, 7, 0.5, 9), (None, "no id at all here in this row", "fr", "c", 29, 7, 0.5, 9), (8, "one", "en", "c", 3, 7, 0.5, 9), (9, "12345 678", "de", "c", 9, 7, 0.5, 9),
     ]
-    return spark.createDataFrame(rows, EDGE)
+    return spark.createDataFrame([(*r, 1, "g", 2, "h", "k", 3, 4) for r in rows], EDGE)
 
 
 @pytest.fixture(scope="session")
