@@ -1,26 +1,33 @@
 """Toxicity by a support vector machine on a gap-weighted subsequence kernel, with Nystrom landmarks.
 
-Strings are units of sentences: words with all but letters removed (`i.d-i*o t` within a word is no hiding place), and
-runs of three or more single letters joined. The kernel compares two strings by their subsequences of three letters,
-word ends included, that span at most `SPAN` + 1 letters; a subsequence with g letters skipped weighs LAMBDA^g. So an
-inserted letter costs a factor, not the match. k(s, t) = <F(s), F(t)> / (N(s) N(t)), with F the explicit map and N(s)
-the root of the sum of squared weights of s's positions, which depends on its length only.
-
-Training, on a bounded sample of labelled documents: their sentences are cut to units. Labels are for whole documents,
-so positives are found as in multiple-instance learning: units that toxic documents hold and clean ones never do, then
-the best scored unit of each toxic document that has none. Positives and negatives are also trained with one letter
-inserted. Features are k(., landmarks) K_LL^(-1/2); a linear machine with squared hinge loss is fitted by Newton steps.
-
-Scoring folds landmarks and weights into one table over all letter triples: f(s) = <F(s), v> / N(s) + b, a few numpy
-gathers for the distinct words of a batch. A document's score is the calibrated largest f of its units.
-
-Edge cases: null, blank or letterless text: score 0. No labelled toxic or no clean documents: all scores 0. Repeated
-rows score alike; null ids are scored, never trained on. Extra columns pass through; `held_out`, `score` and
-`predicted` of the input are replaced.
+Sentences are strings of letters with a mark at each word's end. All but letters within a word is removed (`i.d-i*o t` is
+no hiding place), a letter's third and later repeats too, and runs of three or more single letters are read joined as well. The kernel compares two strings by
+their subsequences of three symbols, marks included, that span at most `SPAN` + 1 symbols; a subsequence with g symbols
+skipped weighs LAMBDA^g. So an inserted letter or blank costs a factor, not the match. k(s, t) = <F(s), F(t)> /
+(N(s) N(t)), with F the explicit map and N(s) the root of the sum of squared weights of s's positions, which depends on
+its length only. A long sentence would drown a short insult in this norm, so the strings that are compared are a
+sentence's stretches of 1 to `STRETCH` words, and a sentence counts as toxic as its worst stretch.
+
+Training, on a bounded sample of labelled documents, is one Spark task: the driver gets the model only. Labels are for
+whole documents, so it is known of clean sentences that all their stretches are clean, but not which of a toxic document
+are toxic. As in multiple-instance learning, first guesses are words whose parts clean documents never hold; each round
+then takes in the best scored stretch of every toxic document that has none yet, and the clean stretches that score
+worst. Positives and negatives are also trained with one letter inserted. Features are
+k(., landmarks) K_LL^(-1/2); a linear machine with squared hinge loss is fitted by Newton steps.
+
+Scoring folds landmarks and weights into one table over all symbol triples: f(s) = <F(s), v> / N(s) + b. Running sums of
+the triples' weights along a sentence give f of all its stretches by two gathers each. A document's score is the calibrated
+largest f of its stretches.
+
+Edge cases: null, blank or letterless text: score 0. No labelled toxic or no clean documents: all scores 0. Ids with
+both labels are left out of training; repeated rows score alike; null ids are scored, never trained on, and dropped by
+`drop_toxic` by the same rule as others. Very long texts are scored in pieces that overlap by a stretch. Extra columns
+pass through `drop_toxic`, `toxicity` ignores them.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -29,21 +36,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import by_ids, held_back, materialize
+from .common import character_kinds, hash_sample, held_back, materialize, unused
 
-LAMBDA, SPAN, LETTERS = 0.6, 5, 48
+LAMBDA, SPAN, LETTERS, STRETCH = 0.6, 5, 48, 3
 #: Labelled documents of either class that training takes at most, landmarks, negatives.
-SAMPLE, LANDMARKS, NEGATIVES = 2000, 160, 12000
+SAMPLE, LANDMARKS, NEGATIVES = 2000, 200, 12000
 #: (distance to the second, to the third letter, weight)
 STEPS = [(a, b, LAMBDA ** (a + b - 2)) for a in range(1, SPAN) for b in range(1, SPAN + 1 - a)]
 
 _SPACED = re.compile(r"(?:(?<=\s)|^)\w(?:[^\S\n]+\w){2,}(?=[\s.,;:!?]|$)")
-_SENTENCE = re.compile(r"[.!?\n]+")
+_REPEATED = re.compile(r"(.)\1{2,}")
+#: Characters scored together.
+CHUNK = 300_000
 
 
 def letters(word: str) -> str:
-    return word if word.isalpha() else "".join(filter(str.isalpha, word))
+    """The letters of a word, repeats beyond two left out."""
+    return _REPEATED.sub(r"\1\1", word if word.isalpha() else "".join(filter(str.isalpha, word)))
 
 
 def units(text: str | None) -> set[str]:
@@ -100,10 +111,10 @@ class Alphabet:
         self.table = np.ones(0x250, dtype=np.int64)
         for code, (c, _) in enumerate(sorted(((c, n) for c, n in seen.items() if ord(c) < 0x250), key=lambda x: (-x[1], x[0]))[: LETTERS - 2]):
             self.table[ord(c)] = code + 2
-        self.table[ord("\n")] = 0
+        self.table[ord("\n")] = self.table[ord(" ")] = 0
 
     def layout(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Codes of all words, each between two ends, with the word's number, and lengths with ends."""
+        """Codes of all strings, each between two marks, with the string's number, and lengths with marks."""
         points = np.frombuffer(("\n" + "\n\n".join(words) + "\n").encode("utf-32-le"), dtype=np.uint32)
         size = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
         return self.table[np.where(points < 0x250, points, 0x24F)], np.repeat(np.arange(len(words)), size), size
@@ -116,8 +127,13 @@ def norms(size: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(total, 1e-12))
 
 
+def triple(code: np.ndarray, a: int, b: int) -> np.ndarray:
+    n = max(0, len(code) - a - b)
+    return (code[:n] * LETTERS + code[a : a + n]) * LETTERS + code[a + b : a + b + n]
+
+
 def dot_table(alphabet: Alphabet, words: list[str], table: np.ndarray) -> np.ndarray:
-    """<F(w), table> / N(w) for every word."""
+    """<F(w), table> / N(w) for every string."""
     if not words:
         return np.zeros(0)
     code, own, size = alphabet.layout(words)
@@ -125,32 +141,176 @@ def dot_table(alphabet: Alphabet, words: list[str], table: np.ndarray) -> np.nda
     for a, b, w in STEPS:
         n = len(code) - a - b
         if n > 0:
-            value = table[(code[:n] * LETTERS + code[a : a + n]) * LETTERS + code[a + b : a + b + n]]
-            out += w * np.bincount(own[:n], np.where(own[:n] == own[a + b :], value, 0.0), minlength=len(words))
+            out += w * np.bincount(own[:n], np.where(own[:n] == own[a + b :], table[triple(code, a, b)], 0.0), minlength=len(words))
     return out / norms(size)
 
 
-def feature_tables(alphabet: Alphabet, words: list[str]) -> np.ndarray:
-    """F(w) / N(w) of every word as a dense row over letter triples."""
-    out = np.zeros((len(words), LETTERS**3), dtype=np.float32)
-    code, own, size = alphabet.layout(words)
-    for a, b, w in STEPS:
-        n = len(code) - a - b
-        if n > 0:
-            ok = own[:n] == own[a + b :]
-            np.add.at(out, (own[:n][ok], ((code[:n] * LETTERS + code[a : a + n]) * LETTERS + code[a + b : a + b + n])[ok]), w)
-    return out / norms(size)[:, None].astype(np.float32)
+class Landmarks:
+    """F(l) / N(l) of the landmarks, over those triples only that one of them holds."""
+
+    def __init__(self, alphabet: Alphabet, words: list[str]):
+        self.alphabet = alphabet
+        cells, own, values = [], [], []
+        code, at, size = alphabet.layout(words)
+        scale = 1 / norms(size)
+        for a, b, w in STEPS:
+            n = max(0, len(code) - a - b)
+            ok = at[:n] == at[a + b :]
+            cells.append(triple(code, a, b)[ok])
+            own.append(at[:n][ok])
+            values.append(w * scale[at[:n][ok]])
+        cells, own, values = map(np.concatenate, (cells, own, values))
+        self.cells, column = np.unique(cells, return_inverse=True)
+        self.where = np.full(LETTERS**3, len(self.cells), dtype=np.int32)  # the last column: triples that no landmark has
+        self.where[self.cells] = np.arange(len(self.cells))
+        flat = np.bincount(own * len(self.cells) + column, values, minlength=len(words) * len(self.cells))
+        self.rows = flat.reshape(len(words), len(self.cells)).astype(np.float32)
+
+    def kernel(self, words: list[str], block: int = 2000) -> np.ndarray:
+        """k(w, l) for all strings w and landmarks l."""
+        out, columns = np.zeros((len(words), len(self.rows)), dtype=np.float32), np.ascontiguousarray(self.rows.T)
+        for s in range(0, len(words), block):
+            code, at, size = self.alphabet.layout(words[s : s + block])
+            own, cell, value = [], [], []
+            for a, b, w in STEPS:
+                n = max(0, len(code) - a - b)
+                c = self.where[triple(code, a, b)]
+                ok = np.flatnonzero((at[:n] == at[a + b :]) & (c < len(self.cells)))
+                own.append(at[ok])
+                cell.append(c[ok])
+                value.append(np.full(len(ok), w, dtype=np.float32))
+            own, cell, value = map(np.concatenate, (own, cell, value))
+            order = np.argsort(own, kind="stable")
+            own, cell, value = own[order], cell[order], value[order]
+            if len(own):
+                heads = np.flatnonzero(np.r_[True, np.diff(own) != 0])
+                out[s + own[heads]] = np.add.reduceat(columns[cell] * value[:, None], heads, axis=0)
+            out[s : s + block] /= norms(size)[:, None]
+        return out
+
+    def table(self, weights: np.ndarray) -> np.ndarray:
+        """Sum of weights * F(l) / N(l), over all triples."""
+        out = np.zeros(LETTERS**3, dtype=np.float32)
+        out[self.cells] = weights.astype(np.float32) @ self.rows
+        return out
+
+
+class Stretches:
+    """The words of some texts as one string of codes with marks between them, and where its sentences' stretches lie."""
+
+    def __init__(self, alphabet: Alphabet, texts: list[str]):
+        texts = [_SPACED.sub(lambda m: f"{m.group()} {''.join(m.group().split())}", t.lower()) + "\n" for t in texts]
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letter, space = character_kinds(points)
+        dot = (points == 46) | (points == 33) | (points == 63)
+        dot[:-1] &= space[1:]
+        stop = dot | (points == 10)
+        kept = np.flatnonzero(letter | space | dot)
+        same = np.zeros(len(kept), dtype=bool)  # a letter that the two before it equal
+        same[2:] = (points[kept[2:]] == points[kept[1:-1]]) & (points[kept[2:]] == points[kept[:-2]])
+        kept = kept[~(same & letter[kept])]
+        letter, stop = letter[kept], stop[kept]
+        first = letter & ~np.r_[False, letter[:-1]]
+        at = np.flatnonzero(letter)
+        word = np.cumsum(first)[at] - 1
+        self.kept, self.first = kept, np.flatnonzero(first)
+        self.sentence = np.cumsum(stop)[self.first]
+        self.text_of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])[kept[self.first]]
+        self.code = np.zeros(len(at) + len(self.first) + 1, dtype=np.int64)
+        self.code[np.arange(len(at)) + word + 1] = alphabet.table[np.minimum(points[kept[at]], 0x24F)]
+        self.end = np.flatnonzero(self.code == 0)[1:]
+        self.start = np.r_[0, self.end[:-1]] if len(self.end) else self.end
+        self.texts = "".join(texts)
+
+    def margins(self, table: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(k, f without bias of the k words from each word on), -inf where the sentence ends before."""
+        n, runs = len(self.start), []
+        for a, b, w in STEPS:
+            runs.append((a + b, w * np.r_[0.0, np.cumsum(table[triple(self.code, a, b)], dtype=np.float64)]))
+        for k in range(1, STRETCH + 1):
+            out = np.full(n, -np.inf)
+            if n >= k:
+                s, e = self.start[: n - k + 1], self.end[k - 1 :]
+                total = np.zeros(len(s))
+                for span, run in runs:
+                    total += run[np.minimum(np.maximum(e - span + 1, s), len(run) - 1)] - run[np.minimum(s, len(run) - 1)]
+                out[: n - k + 1] = np.where(self.sentence[: n - k + 1] == self.sentence[k - 1 :], total / norms(e - s + 1), -np.inf)
+            yield k, out
+
+    def worst(self, table: np.ndarray, texts: int) -> tuple[np.ndarray, list[str]]:
+        """The largest f without bias of each text, and its stretch; -inf and an empty string without letters."""
+        best, where, size = np.full(texts, -np.inf), np.zeros(texts, np.int64), np.zeros(texts, np.int64)
+        if len(self.start):
+            heads = np.flatnonzero(np.r_[True, np.diff(self.text_of) != 0])
+            own = self.text_of[heads]
+            for k, f in self.margins(table):
+                top = np.maximum.reduceat(f, heads)
+                hit = np.flatnonzero(f == np.repeat(top, np.diff(np.r_[heads, len(f)])))[::-1]
+                place = np.zeros(texts, np.int64)
+                place[self.text_of[hit]] = hit
+                better = np.zeros(texts, bool)
+                better[own] = top > best[own]
+                best[own] = np.maximum(best[own], top)
+                where[better], size[better] = place[better], k
+        return best, [self.string(w, k) if k else "" for w, k in zip(where, size)]
+
+    def string(self, word: int, k: int) -> str:
+        end = self.first[word + k] if word + k < len(self.first) else len(self.kept)
+        own = self.kept[self.first[word] : end]
+        return " ".join("".join(c if c.isalpha() else " " if c.isspace() else "" for c in (self.texts[i] for i in own)).split()[:k])
+
+
+def pieces(text: str, size: int = CHUNK) -> Iterator[str]:
+    """A long text in parts of about `size` characters, cut at white space, each with the last words of the one before."""
+    at = 0
+    while len(text) - at > 2 * size:
+        end = text.find(" ", at + size)
+        if end < 0:
+            break
+        yield text[at:end]
+        back = end
+        for _ in range(STRETCH):
+            back = max(at + size // 2, text.rfind(" ", 0, back))
+        at = back
+    yield text[at:]
+
+
+def worst_stretches(alphabet: Alphabet, table: np.ndarray, texts: list[str | None]) -> tuple[np.ndarray, list[str]]:
+    """The largest f without bias of each text, and the stretch that has it."""
+    best, said = np.full(len(texts), -np.inf), [""] * len(texts)
+    own: list[int] = []
+    part: list[str] = []
+    held = 0
+
+    def flush():
+        f, words = Stretches(alphabet, part).worst(table, len(part))
+        for k, x, w in zip(own, f, words):
+            if x > best[k]:
+                best[k], said[k] = x, w
+
+    for k, text in enumerate(texts):
+        for p in pieces(text or ""):
+            own.append(k)
+            part.append(p)
+            held += len(p)
+            if held >= CHUNK:
+                flush()
+                own, part, held = [], [], 0
+    if part:
+        flush()
+    return best, said
 
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float) -> np.ndarray:
     """Newton steps over the active set; the last coefficient is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
     w, ridge = np.zeros(x.shape[1]), reg * np.eye(x.shape[1])
     ridge[-1, -1] *= 0.01
     for _ in range(40):
         on = y * (x @ w) < 1
-        xa, wa = x[on], weight[on]
-        new = np.linalg.solve(ridge + (xa * wa[:, None]).T @ xa, (xa * wa[:, None]).T @ y[on])
+        xa = x[on].astype(float)
+        xw = xa * weight[on][:, None]
+        new = np.linalg.solve(ridge + xw.T @ xa, xw.T @ y[on])
         if np.abs(new - w).max() < 1e-7:
             break
         w = new
@@ -163,32 +323,44 @@ class Model:
     def __init__(self, alphabet: Alphabet, table: np.ndarray, bias: float, slope: float, middle: float):
         self.alphabet, self.table, self.bias, self.slope, self.middle = alphabet, table, bias, slope, middle
 
-    def margins(self, words: list[str]) -> np.ndarray:
-        return dot_table(self.alphabet, words, self.table) + self.bias
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        worst = worst_stretches(self.alphabet, self.table, texts)[0]
+        found = np.isfinite(worst)
+        margin = np.where(found, worst, 0) + self.bias
+        return np.where(found, 1 / (1 + np.exp(-np.clip(self.slope * (margin - self.middle), -30, 30))), 0.0)
 
-    def probability(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (margin - self.middle), -30, 30)))
 
+def first_guesses(bags: list[list[str]], toxic: list[bool]) -> list[str]:
+    """Words that may make the toxic documents toxic, the most frequent first.
 
-def train(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS, negatives: int = NEGATIVES, seed: int = 5) -> Model | None:
-    """A model from whole labelled texts; None without both classes."""
-    rng = np.random.default_rng(seed)
-    bags = [sorted({u for s in _SENTENCE.split(t or "") for u in map(letters, units(s)) if u}) for t in texts]
-    pos, neg = [b for b, y in zip(bags, toxic) if y and b], [b for b, y in zip(bags, toxic) if not y and b]
-    if not pos or not neg:
-        return None
+    Parts of four letters, ends included, and whole words mark toxic documents: a part of k documents is in toxic ones only
+    with probability (share of toxic)^k by chance, so k is as large as leaves 0.1 of such parts; clean documents may hold
+    them at a twentieth of the rate at most.
+    """
+    pos, neg = [b for b, y in zip(bags, toxic) if y], [b for b, y in zip(bags, toxic) if not y]
     in_pos, in_neg = Counter(w for b in pos for w in b), Counter(w for b in neg for w in b)
-    alphabet = Alphabet(in_pos + in_neg)
-    # grams of four letters, ends included, and whole words that mark toxic documents: a gram of k documents is in toxic
-    # ones only with probability (share of toxic)^k by chance, so k is as large as leaves 0.1 of such grams; clean documents
-    # may hold them at a twentieth of the rate at most
     share = len(pos) / (len(pos) + len(neg))
     g_pos, g_neg = Counter(g for b in pos for g in {g for w in b for g in _grams(w)}), Counter(g for b in neg for g in {g for w in b for g in _grams(w)})
     held = Counter(k + g_neg[g] for g, k in g_pos.items())
     need = next((k for k in range(3, 200) if held[k] * share**k <= 0.1), 200)
     rare = lambda k, n: 20 * (n + 0.04) / len(neg) <= k / len(pos)
-    seeds = _explain(pos, {g for g, k in g_pos.items() if k >= need and rare(k, g_neg[g])}, {w for w in in_pos if rare(in_pos[w], in_neg[w])}, 0.2 * need)
-    seeds = sorted(seeds, key=lambda w: (-in_pos[w], w))[:4000] or [max(sorted(in_pos), key=lambda w: in_pos[w] / len(pos) - in_neg[w] / len(neg))]
+    found = _explain(pos, {g for g, k in g_pos.items() if k >= need and rare(k, g_neg[g])}, {w for w in in_pos if rare(in_pos[w], in_neg[w])}, 0.2 * need)
+    return sorted(found, key=lambda w: (-in_pos[w], w)) or [max(sorted(in_pos), key=lambda w: in_pos[w] / len(pos) - in_neg[w] / len(neg))]
+
+
+def train(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS, negatives: int = NEGATIVES, seed: int = 5) -> Model | None:
+    """A model from whole labelled texts; None without both classes."""
+    rng = np.random.default_rng(seed)
+    texts = [t or "" for t in texts]
+    bags = [sorted({u for u in map(letters, units(t)) if u}) for t in texts]
+    known = [(t, bool(y), b) for t, y, b in zip(texts, toxic, bags) if b]
+    texts, is_pos, bags = [t for t, _, _ in known], np.array([y for _, y, _ in known], dtype=bool), [b for _, _, b in known]
+    if is_pos.all() or not is_pos.any():
+        return None
+    pos, neg = [b for b, y in zip(bags, is_pos) if y], [b for b, y in zip(bags, is_pos) if not y]
+    in_pos, in_neg = Counter(w for b in pos for w in b), Counter(w for b in neg for w in b)
+    alphabet = Alphabet(in_pos + in_neg)
+    seeds = first_guesses(bags, is_pos.tolist())
     taken = set(seeds)
     common = sorted((w for w in in_neg if w not in taken), key=lambda w: (-in_neg[w], w))
     if not common:
@@ -196,8 +368,17 @@ def train(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS,
     clean = common[: negatives // 3]
     tail = common[negatives // 3 :]
     clean += [tail[i] for i in sorted(rng.permutation(len(tail))[: negatives - len(clean)])]
+    clean_texts = [t for t, y in zip(texts, is_pos) if not y]
+    for i in rng.integers(len(clean_texts), size=negatives // 3):  # stretches of two and three words
+        t = clean_texts[i]
+        at = int(rng.integers(max(1, len(t))))
+        run = [w for w in map(letters, t[at : at + 120].lower().split()[1:]) if w][: int(rng.integers(2, STRETCH + 1))]
+        if len(run) > 1 and taken.isdisjoint(run):
+            clean.append(" ".join(run))
+    del tail, bags
 
     def stretched(words: list[str]) -> list[str]:
+        """The strings with one letter inserted."""
         out = []
         for w in words:
             at = int(rng.integers(1, max(2, len(w))))
@@ -210,41 +391,35 @@ def train(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS,
             return list(words)
         out, near = [words[0]], np.full(len(words), -1.0)
         while len(out) < k:
-            near = np.maximum(near, dot_table(alphabet, words, feature_tables(alphabet, out[-1:])[0]))
+            near = np.maximum(near, Landmarks(alphabet, out[-1:]).kernel(words)[:, 0])
             out.append(words[int(near.argmin())])
         return out + more
 
     toxic_words, hard = list(seeds), []
     for last in (False, False, True):
         top = sorted(toxic_words, key=lambda w: (-in_pos[w], w))
-        marks = list(dict.fromkeys(farthest(top[:1500], landmarks // 4, top[: landmarks // 4]) + hard[: landmarks // 4]))
+        marks = list(dict.fromkeys(farthest(top, landmarks // 4, top[: landmarks // 4]) + hard[: landmarks // 4]))
         marks += [clean[i] for i in sorted(rng.permutation(len(clean))[: max(1, landmarks - len(marks))])]
-        rows = feature_tables(alphabet, marks)
-        value, vector = np.linalg.eigh((rows @ rows.T).astype(float))
+        near = Landmarks(alphabet, marks)
+        value, vector = np.linalg.eigh(near.kernel(marks).astype(float))
         root = vector @ np.diag(np.where(value > 1e-6 * value.max(), np.maximum(value, 1e-12) ** -0.5, 0)) @ vector.T
-
-        def features(words: list[str]) -> np.ndarray:
-            return np.column_stack([dot_table(alphabet, words, r) for r in rows]) @ root
-
         own = list(dict.fromkeys(clean + hard))
-        x = np.vstack([features(toxic_words), features(stretched(toxic_words)), features(own), features(stretched(own))])
-        weight = np.array([in_pos[w] ** 0.5 for w in toxic_words] * 2 + [max(in_neg[w], 1) ** 0.25 for w in own] * 2)
+        x = np.vstack([near.kernel(w) for w in (toxic_words, stretched(toxic_words), own, stretched(own))]) @ root.astype(np.float32)
+        weight = np.array([max(in_pos[w], 1) ** 0.5 for w in toxic_words] * 2 + [max(in_neg[w], 1) ** 0.25 for w in own] * 2)
         y = np.r_[np.ones(2 * len(toxic_words)), -np.ones(2 * len(own))]
         weight[y > 0] *= weight[y < 0].sum() / weight[y > 0].sum()
         w = squared_hinge(x, y, weight, 0.02)
-        table, bias = ((root @ w[:-1]) @ rows.astype(float)), float(w[-1])
+        table, bias = near.table(root @ w[:-1]), float(w[-1])
+        worst, said = worst_stretches(alphabet, table, texts)
+        best = worst + bias
         if not last:
-            every = sorted(common)
-            order = np.argsort(-dot_table(alphabet, every, table), kind="stable")
-            hard = list(dict.fromkeys([every[i] for i in order[: negatives // 6]] + hard))
-            known = set(toxic_words)
-            for b in pos:
-                if known.isdisjoint(b):
-                    mine = [u for u in b if u not in in_neg]
-                    if mine and (s := dot_table(alphabet, mine, table) + bias).max() > 0.5:
-                        toxic_words.append(mine[int(s.argmax())])
-    best = np.array([(dot_table(alphabet, b, table) + bias).max() for b in pos + neg])
-    is_pos = np.r_[np.ones(len(pos), bool), np.zeros(len(neg), bool)]
+            order = np.argsort(-dot_table(alphabet, common, table), kind="stable")
+            by_text = [said[i] for i in np.argsort(-best, kind="stable") if not is_pos[i]]
+            hard = list(dict.fromkeys([common[i] for i in order[: negatives // 6]] + by_text[: negatives // 6] + hard))
+            found = set(toxic_words)
+            for b, f, words in zip(pos, best[is_pos], (s for s, y in zip(said, is_pos) if y)):
+                if f > 0.5 and found.isdisjoint(b) and in_neg[words] == 0 and words not in found:
+                    toxic_words.append(words)
     # the cut that is right most often, a false alarm counting ten misses; in the middle of its gap
     order = np.argsort(-best, kind="stable")
     right = np.r_[0, np.cumsum(np.where(is_pos[order], 1, -10))]
@@ -256,35 +431,42 @@ def train(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS,
     return Model(alphabet, table, bias, float(slope), float(middle))
 
 
-def _scores(model) -> callable:
+def _scores(model, text_at: int, keep: list[int], name: str):
+    """Columns `keep` of each batch and, as `name`, the scores of column text_at."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                bags = [units(t.as_py()) for t in part.column(part.schema.get_field_index("text"))]
-                every = list(set().union(*bags))
-                plain = [letters(w) for w in every]
-                value = dict(zip(every, m.margins(plain).tolist())) if every else {}
-                for w, p in zip(every, plain):
-                    if not p:
-                        value[w] = -np.inf
-                top = np.array([max(map(value.__getitem__, b), default=-np.inf) for b in bags])
-                score = np.where(np.isfinite(top), m.probability(np.where(np.isfinite(top), top, 0)), 0.0)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                score = m.scores(part.column(text_at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(score, pa.float64())], [*(part.schema.names[k] for k in keep), name])
 
     return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    """Trains on at most `sample` labelled documents of either class, by hash of the id, none of them held out."""
-    usable = labels.select(F.col("doc_id"), F.col("toxic")).where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_back(F.col("doc_id"), 3, 1)).distinct()
-    order = (F.xxhash64(F.lit(11), "doc_id"), "doc_id")
-    chosen = usable.where("toxic = 1").orderBy(*order).limit(sample).union(usable.where("toxic = 0").orderBy(*order).limit(sample))
-    chosen = materialize(chosen.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.count("*").alias("c")).where("c = 1").select("doc_id", "toxic"))
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = own.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").toPandas()
-    return train(rows["text"].tolist(), rows["toxic"].tolist()) if len(rows) else None
+    """Trains on at most `sample` labelled documents of either class, by hash of the id, none of them held out.
+
+    The sample (a documented bound) is trained on in one task; the driver gets the model, under a megabyte.
+    """
+    usable = labels.select("doc_id", "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_back(F.col("doc_id"), 3, 1)).distinct()
+    usable = usable.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.count("*").alias("c")).where("c = 1").select("doc_id", "toxic")
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    chosen = None
+    for y in (0, 1):
+        part = hash_sample(usable.where(F.col("toxic") == y), "doc_id", sample, 11)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    rows = own.join(F.broadcast(materialize(chosen)), "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
+        found.sort(key=lambda r: (r[0], r[2] or ""))
+        model = train([r[2] for r in found], [r[1] for r in found])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    got = rows.select("doc_id", "toxic", "text").repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(bytes(got["model"])) if got else None
 
 
 def toxicity(docs: DataFrame, model: Model | None, *, cut: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,13 +476,19 @@ def toxicity(docs: DataFrame, model: Model | None, *, cut: float = 0.7, id_col:
         scored = own.select("doc_id", F.lit(0.0).alias("score"))
     else:
         kind = docs.schema[id_col].dataType.simpleString()
-        scored = own.mapInArrow(_scores(docs.sparkSession.sparkContext.broadcast(model)), f"doc_id {kind}, score double")
+        scored = own.mapInArrow(_scores(docs.sparkSession.sparkContext.broadcast(model), 1, [0], "score"), f"doc_id {kind}, score double")
     return scored.select("doc_id", held_back(F.col("doc_id"), 3, 1).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, cut: float = 0.7) -> DataFrame:
-    gone = materialize(toxicity(docs, fit(docs, labels), cut=cut).where("predicted = 1").select("doc_id"))
-    return by_ids(docs, gone, "doc_id", "left_anti").select(*docs.columns)
+    """docs without the rows whose own text is toxic, whatever their ids: rows are judged one by one, nothing is joined."""
+    model = fit(docs, labels)
+    if model is None:
+        return docs
+    score = unused("toxic_score", docs)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scored = docs.mapInArrow(_scores(shared, docs.columns.index("text"), list(range(len(docs.columns))), score), StructType([*docs.schema.fields, StructField(score, DoubleType())]))
+    return scored.where(F.col(score) < cut).select(*docs.columns)
 
 
 # ---------------------------------------------------------------- query
