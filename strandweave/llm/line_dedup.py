@@ -1,9 +1,9 @@
 """Line dedup as an exact set-similarity join, with DataFrame functions only.
 
 A line goes if an earlier line of the corpus, by (doc_id, line number), has Jaccard similarity `threshold` or more on
-distinct lower-cased words. Lines under `min_chars` characters always stay.
+distinct lower-cased words. Lines without a word stay, and so do those under `min_chars` characters (default: none).
 
-1. Rarity: words are counted over all documents in 2^16 hash buckets; a word's order is (rank of its bucket, hash).
+1. Rarity: words are counted over all documents in 2^18 hash buckets; a word's order is (rank of its bucket, hash).
    Any total order is right, a rarer first word only makes buckets smaller, so the table has a fixed size.
 2. Equal lines are one class: grouped by hash, the first stays.
 3. Each line emits its prefix, the n - ceil(t n) + 1 rarest words, with n, the position and a parity bitmap of its
@@ -18,7 +18,8 @@ The most frequent repeated lines, up to a bound on their number, are broadcast,
 prefix index; copies of other lines do, and find their first line there or by step 2.
 
 Edge cases: null text has no lines; blank lines stay; ties can't arise, as (doc_id, line number) is total, but for rows
-that repeat an id, which count as one document whose equal line numbers keep each other; null ids come first.
+that repeat an id, which count as one document whose equal line numbers keep each other; null ids come first and are
+such a document too. Empty tables: no rows. Very long lines: all words count. Extra columns of any name are kept.
 """
 
 from __future__ import annotations
@@ -26,54 +27,63 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, SPACE, materialize
+from .common import BROADCAST_IDS, materialize, unused
 
-BUCKETS = 1 << 16
+BUCKETS, CLASSES = 1 << 18, 128
 
 
-def _norm(text: Column) -> Column:
-    return F.btrim(F.lower(text), F.lit(" \t\u000b\u000c\r\n"))
+#: One white space character. A split at single ones is much cheaper than at runs; empty words are taken out after it.
+BLANK = r"[ \t\n\u000b\u000c\r]"
 
 
 def _words(norm: Column) -> Column:
-    return F.split(norm, SPACE)
+    return F.array_remove(F.split(norm, BLANK), "")
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """`doc_id, line_no, norm` of lines that count."""
+    """`doc_id, line_no, norm` of lines that count: lower-cased, without blanks at the ends, not only of white space."""
     exploded = docs.select(F.col("doc_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     # the explode of a one-element array keeps the optimizer from normalising once for the filter and again for each use
-    return exploded.select("doc_id", "line_no", F.explode(F.array(_norm(F.col("line")))).alias("norm")).where(F.length("norm") >= min_chars)
+    lines = exploded.select("doc_id", "line_no", F.explode(F.array(F.trim(F.lower("line")))).alias("norm"))
+    has_word = (F.ascii("norm") > 32) | (F.btrim("norm", F.lit(" \t\u000b\u000c\r")) != "")
+    return lines.where((F.length("norm") >= min_chars) & has_word)
 
 
-def rarity_ranks(docs: DataFrame) -> DataFrame:
-    """One row: an array with the rank of each of the 2^16 buckets by its number of words."""
+def rarity_classes(docs: DataFrame) -> Column:
+    """An array literal with the class, 0 the rarest, of each of the 2^18 buckets by its number of words.
+
+    A literal, as a column of the table would be copied into every row; bytes, as these are shared when boxed.
+    """
     spark = docs.sparkSession
-    words = docs.select(F.explode(_words(_norm(F.col("text")))).alias("w"))
+    lines = docs.select(F.explode(F.split(F.lower("text"), "\n")).alias("line"))
+    # split at blanks only, which needs no regex: a word that touches a tab is counted with it, which costs no exactness
+    words = lines.select(F.explode(F.split("line", " ")).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(BUCKETS - 1).alias("b")).agg(F.count("*").alias("c"))
     counts = spark.range(BUCKETS).withColumnRenamed("id", "b").join(counts, "b", "left").fillna(0, ["c"])
-    ranked = counts.select("b", (F.row_number().over(Window.orderBy("c", "b")) - 1).alias("r"))
-    return ranked.agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "r"))), lambda x: x["r"].cast("long")).alias("ranks"))
+    ranked = counts.select("b", F.floor((F.row_number().over(Window.orderBy("c", "b")) - 1) * CLASSES / BUCKETS).alias("r"))
+    text = ranked.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "r"))), lambda x: x["r"].cast("string")), ",")).first()[0]
+    return F.split(F.lit(text), ",").cast("array<tinyint>")
 
 
-#: Lines of more words than this have a bitmap of 128 bits (m0, m1), others one of 64 (m0; m1 is 0). m0 ^ m1 folds 128 to 64.
+#: Lines of more words than this have a bitmap of 128 bits, of which m1 is one half and m the two halves folded; others one of 64 (m; m1 is 0).
 LONG = 64
 
 
 def _toggled(keys: Column) -> Column:
-    return F.aggregate(keys, F.expr("0L"), lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.expr("1L"), x.bitwiseAND(63).cast("int"))))
+    bits = F.aggregate(keys, F.expr("0L"), lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.expr("1L"), x.bitwiseAND(63).cast("int"))))
+    return F.coalesce(bits, F.expr("0L"))  # never null, so no filter on it is inferred that would compute it twice
 
 
 def _near(a: str, b: str, t: float) -> Column:
-    """Length, positional and bitmap filters between the rows called a and b."""
+    """Bitmap, length and positional filters between the rows called a and b, the strongest first."""
     n, m, i, j = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.i", f"{b}.i"))
-    need = F.ceil((n + m) * (t / (1 + t)) - 1e-9)
-    m0, m1 = (F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}")) for m in ("m0", "m1"))
-    differ = F.when((n > LONG) & (m > LONG), F.bit_count(m0) + F.bit_count(m1)).otherwise(F.bit_count(m0.bitwiseXOR(m1)))
-    return (F.least(n, m) >= F.greatest(n, m) * t - 1e-9) & (F.least(n - i, m - j) >= need) & (n + m - need * 2 >= differ)
+    far, shared = (n + m) * ((1 - t) / (1 + t)) + 1e-9, (n + m) * (t / (1 + t)) - 1e-9
+    low, high = (F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")) for c in ("m", "m1"))
+    long = (n <= LONG) | (m <= LONG) | (F.bit_count(low.bitwiseXOR(high)) + F.bit_count(high) <= far)
+    return (F.bit_count(low) <= far) & (F.least(n, m) >= F.greatest(n, m) * t - 1e-9) & (F.least(n - i, m - j) >= shared) & long
 
 
-def repeated_lines(docs: DataFrame, *, threshold: float = 0.8, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, *, threshold: float = 0.8, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc_id, line_no, like_doc_id, like_line_no` for every line that goes, with an earlier line that it is like."""
     t = threshold
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -90,31 +100,29 @@ def repeated_lines(docs: DataFrame, *, threshold: float = 0.8, min_chars: int =
             break
         least = r["c"]
     hot = several.where(F.col("c") >= least).select(F.col("h1"), F.col("at.doc_id").alias("hot_doc"), F.col("at.line_no").alias("hot_line"))
-    ranks = materialize(rarity_ranks(docs))
+    classes_of = rarity_classes(docs)
     parts = _lines(docs, min_chars).select("doc_id", "line_no", "norm", F.xxhash64("norm").alias("h1"))
     parts = parts.join(F.broadcast(hot), "h1", "left").where("hot_line is null or (hot_doc <=> doc_id and hot_line = line_no)")
-    parts = parts.select("h1", F.transform(_words(F.col("norm")), lambda w: F.xxhash64(w)).alias("hashes"), ranks.scalar().alias("ranks"))
-    # key: 16 bits of rank, 47 of hash; equal keys within two lines are equal words but for a chance of 1e-11
-    key = lambda h: F.shiftleft(F.get("ranks", h.bitwiseAND(BUCKETS - 1).cast("int")), 47).bitwiseOR(F.shiftrightunsigned(h, 17))
-    # as in _lines, explodes stand between what is computed and its uses
-    parts = parts.select("h1", F.explode(F.array(F.sort_array(F.array_distinct(F.transform("hashes", key))))).alias("keys"))
+    # key: 7 bits of class, 56 of hash; equal keys within two lines are equal words but for a chance of 1e-14
+    parts = parts.select("h1", F.transform(_words(F.col("norm")), lambda w: F.xxhash64(w)).alias("hashes"))
+    rarity = lambda h: F.coalesce(F.get(classes_of, h.bitwiseAND(BUCKETS - 1).cast("int")).cast("long"), F.lit(0).cast("long"))
+    parts = parts.select("h1", F.sort_array(F.transform(F.array_distinct("hashes"), lambda h: F.shiftleft(rarity(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))).alias("keys"))
     n = F.size("keys")
     upper = F.when(n > LONG, _toggled(F.filter("keys", lambda x: x.bitwiseAND(64) == 64))).otherwise(F.expr("0L"))
-    parts = parts.select("h1", F.slice("keys", 1, (n - F.ceil(n * t - 1e-9) + 1).cast("int")).alias("prefix"), F.explode(F.array(F.struct(n.alias("n"), _toggled(F.col("keys")).alias("m"), upper.alias("m1")))).alias("s"))
-    parts = parts.select("h1", "s.n", F.col("s.m").bitwiseXOR(F.col("s.m1")).alias("m0"), "s.m1", "prefix")
-    index = parts.select("h1", "n", "m0", "m1", F.posexplode("prefix").alias("i", "key"))
+    parts = parts.select("h1", n.alias("n"), F.slice("keys", 1, (n - F.ceil(n * t - 1e-9) + 1).cast("int")).alias("prefix"), _toggled(F.col("keys")).alias("m"), upper.alias("m1"))
+    index = parts.select("h1", "n", "m", "m1", F.posexplode_outer("prefix").alias("i", "key"))  # outer, as no filter is inferred then that would compute prefixes twice
 
     a, b = index.alias("a"), index.alias("b")
     likely = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.h1") != F.col("b.h1")) & _near("a", "b", t), "left_semi").distinct()
-    first = classes.groupBy("h1").agg(F.min("at").alias("at"))
-    likely = materialize(materialize(likely).join(first, "h1"))
+    likely = materialize(likely.join(classes.select("h1", "at"), "h1"))
 
     # the words of likely lines, each class once
     wanted = materialize(likely.select("h1", "at").distinct())
-    own = _lines(docs, min_chars).select("doc_id", "line_no", "norm", F.xxhash64("norm").alias("h1"))
     at = wanted.select("h1", F.col("at.doc_id").alias("d"), F.col("at.line_no").alias("l"))
-    own = own.join(F.broadcast(at) if wanted.count() <= BROADCAST_IDS else at, "h1").where((F.col("doc_id").eqNullSafe(F.col("d"))) & (F.col("line_no") == F.col("l")))
-    words = materialize(own.select("h1", F.array_distinct(_words(F.col("norm"))).alias("words")).dropDuplicates(["h1"]))
+    raw = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    own = raw.join(F.broadcast(at) if wanted.count() <= BROADCAST_IDS else at, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")))
+    own = own.select("h1", F.explode(F.array(F.trim(F.lower("line")))).alias("norm")).where(F.xxhash64("norm") == F.col("h1"))
+    words = materialize(own.select("h1", F.array_distinct(_words(F.col("norm"))).alias("words")))
 
     def alike(pairs: DataFrame) -> DataFrame:
         both = pairs.join(words.select(F.col("h1").alias("x"), F.col("words").alias("wx")), "x").join(words.select(F.col("h1").alias("y"), F.col("words").alias("wy")), "y")
@@ -125,7 +133,7 @@ def repeated_lines(docs: DataFrame, *, threshold: float = 0.8, min_chars: int =
         on = (F.col("a.key") == F.col("b.key")) & (F.col("b.at") < F.col("a.at")) & _near("a", "b", t)
         return left.alias("a").join(right.alias("b"), on).select(F.col("a.h1").alias("x"), F.col("a.at").alias("x_at"), F.col("b.h1").alias("y"), F.col("b.at").alias("y_at")).distinct()
 
-    heads = likely.groupBy("key").agg(F.min(F.struct("at", "h1", "n", "i", "m0", "m1")).alias("s")).select("key", "s.*")
+    heads = likely.groupBy("key").agg(F.min(F.struct("at", "h1", "n", "i", "m", "m1")).alias("s")).select("key", "s.*")
     tried = materialize(pairs_of(likely, heads))
     found = materialize(alike(tried))
     rest = likely.join(found.select(F.col("x").alias("h1")).distinct(), "h1", "left_anti")
@@ -136,21 +144,22 @@ def repeated_lines(docs: DataFrame, *, threshold: float = 0.8, min_chars: int =
 
 
 def removed_by_doc(docs: DataFrame, *, id_col: str = "doc_id", **params) -> DataFrame:
-    """id and the sorted distinct line numbers that go."""
-    gone = repeated_lines(docs, id_col=id_col, **params)
-    return gone.groupBy(F.col("doc_id").alias(id_col)).agg(F.array_sort(F.collect_set("line_no")).alias("_gone"))
+    """`id, gone`: the sorted distinct line numbers that go."""
+    lines = repeated_lines(docs, id_col=id_col, **params)
+    return lines.groupBy(F.col("doc_id").alias("id")).agg(F.array_sort(F.collect_set("line_no")).alias("gone"))
 
 
 def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """docs without the lines that go; a document that loses all its words this way goes too."""
-    gone = materialize(removed_by_doc(docs, id_col=id_col, text_col=text_col, **params).withColumnRenamed(id_col, "_id"))
-    small = gone.agg(F.coalesce(F.sum(F.size("_gone") + 4), F.lit(0))).first()[0] <= 2 * BROADCAST_IDS
-    out = docs.join(F.broadcast(gone) if small else gone, F.col(id_col).eqNullSafe(F.col("_id")) if small else F.col(id_col) == F.col("_id"), "left")
-    left = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    out = out.withColumn("_left", F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left))
-    out = out.where(F.col("_gone").isNull() | (F.length(F.btrim("_left", F.lit(" \t\u000b\u000c\r\n"))) > 0)).withColumn(text_col, F.col("_left"))
+    key, gone, left = (unused(name, docs) for name in ("removed_id", "removed_lines", "left_text"))
+    removed = materialize(removed_by_doc(docs, id_col=id_col, text_col=text_col, **params).toDF(key, gone))
+    small = removed.agg(F.coalesce(F.sum(F.size(gone) + 4), F.lit(0))).first()[0] <= 2 * BROADCAST_IDS
+    out = docs.join(F.broadcast(removed) if small else removed, docs[id_col].eqNullSafe(removed[key]), "left")
+    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n")
+    out = out.withColumn(left, F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(kept))
+    out = out.where(F.col(gone).isNull() | (F.length(F.btrim(left, F.lit(" \t\u000b\u000c\r\n"))) > 0)).withColumn(text_col, F.col(left))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length(text_col)).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.length(text_col)).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
@@ -159,10 +168,10 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
 
 def op10_line_set_join(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    gone = removed_by_doc(docs)
+    removed = removed_by_doc(docs)
     counted = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    out = counted.join(gone, "doc_id", "left")
-    return out.select("doc_id", "n_lines", F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join(F.col("_gone").cast("array<string>"), ","), F.lit("")).alias("removed"))
+    out = counted.join(removed, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    return out.select("doc_id", "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join(F.col("gone").cast("array<string>"), ","), F.lit("")).alias("removed"))
 
 
 def line_dedup_stage(spark, docs, sf_dir):
@@ -176,11 +185,11 @@ ORACLE = {
     "op10_line_set_join": r"""
 WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 raw AS (SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line_no, unnest(ls) AS line FROM docs),
-norm AS (SELECT doc_id, line_no, trim(lower(line), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM raw),
-kept AS (SELECT * FROM norm WHERE length(line) >= 20),
+norm AS (SELECT doc_id, line_no, trim(lower(line), ' ') AS line FROM raw),
+kept AS (SELECT * FROM norm WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 classes AS (
   SELECT line, min(struct_pack(d := doc_id, l := line_no)) AS pos, row_number() OVER (ORDER BY line) AS id FROM kept GROUP BY line),
-sets AS (SELECT id, pos, list_distinct(regexp_split_to_array(line, '[\x20\x09-\x0D]+')) AS ws FROM classes),
+sets AS (SELECT id, pos, list_distinct(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS ws FROM classes),
 words AS (SELECT id, pos, len(ws) AS n, unnest(ws) AS w FROM sets),
 pairs AS (
   SELECT b.id, any_value(b.pos) AS pos, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS shared

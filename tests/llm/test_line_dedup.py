@@ -3,9 +3,9 @@ import random
 from strandweave.llm.line_dedup import drop_repeated_lines, removed_by_doc, repeated_lines
 
 
-def brute(rows, t=0.8, min_chars=20):
+def brute(rows, t=0.8):
     lines = [(d, k, x.strip(" \t\v\f\r").lower()) for d, text in sorted(rows) for k, x in enumerate((text or "").split("\n"))]
-    lines = [(d, k, x, frozenset(x.split())) for d, k, x in lines if len(x) >= min_chars]
+    lines = [(d, k, x, frozenset(x.split())) for d, k, x in lines if x.split()]
     return {(d, k) for n, (d, k, x, s) in enumerate(lines) if any(len(s & o) >= t * len(s | o) - 1e-9 for _, _, _, o in lines[:n])}
 
 
@@ -48,7 +48,7 @@ def test_near_copies_of_one_line(spark):
 
 
 def test_edges(edge, none):
-    gone = {r["doc_id"]: list(r["_gone"]) for r in removed_by_doc(edge).collect()}
+    gone = {r["id"]: list(r["gone"]) for r in removed_by_doc(edge).collect()}
     assert gone[5] == [1] and gone[6] == [0]
     out = drop_repeated_lines(edge)
     rows = {r["doc_id"]: r for r in out.collect()}
