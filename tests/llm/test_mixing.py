@@ -43,6 +43,47 @@ def test_targets_and_taken(spark):
     assert coarse == again
 
 
+def simulated(rows, weights, packets):
+    """Packets served one by one: always the one of the least virtual finish time, until the budget is used up."""
+    import hashlib
+    from math import ceil, floor
+
+    sizes, queues = {}, {}
+    for k, s, t in sorted(rows, key=lambda r: (hashlib.md5(f"17:{r[0]}".encode()).hexdigest(), r[0], len(r[2].split()))):
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+        queues.setdefault(s, []).append((k, len(t.split())))
+    target = fill(sizes, weights, 1.5, 2)
+    waiting = []
+    for s, queue in queues.items():
+        at, quantum = 0, max(1, ceil(target[s] / packets))
+        for k, n in queue * 2:
+            for lo in range(0, n, quantum):
+                part = min(quantum, n - lo)
+                waiting.append(((at + lo + part) / target[s], "-" if s is None else "+" + s, at + lo + part, k, part))
+            at += n
+    left, taken = floor(sum(target.values())), {}
+    for _, _, _, k, n in sorted(waiting):
+        n = min(n, left)
+        taken[k], left = taken.get(k, 0) + n, left - n
+    return taken
+
+
+@pytest.mark.parametrize("packets", [1, 7, 4096])
+def test_taken_equals_a_sequential_simulation(spark, packets):
+    rng = random.Random(packets)
+    rows = [(k, rng.choice(["a", "b", "b", "b", "d", None]), " ".join("w" * rng.randint(0, 60))) for k in range(150)]
+    out = fair_mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), packets=packets, rows_per_slot=10).collect()
+    want = simulated(rows, {"a": 3, "b": 1, "d": 2, None: 3}, packets)
+    assert {r["doc_id"]: r["taken"] for r in out} == {k: want.get(k, 0) for k, _, _ in rows}
+
+
+def test_equal_ids_and_sizes_are_told_apart(spark):
+    rows = [(1, "a", "x y z"), (1, "a", "u v w"), (2, "b", "p q"), (2, "b", "p q")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    runs = [sorted((r["text"], r["taken"]) for r in fair_mix(df.repartition(n), share=0.5).collect()) for n in (1, 3)]
+    assert runs[0] == runs[1]
+
+
 def test_edges(edge, none):
     out = fair_mix(edge).collect()
     assert len(out) == edge.count() and {r["size"] for r in out if r["doc_id"] in (1, 2, 3)} == {0}
