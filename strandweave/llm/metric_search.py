@@ -8,12 +8,15 @@ queries goes through a tree best first: the node with the smallest lower bound o
 distances avoid computations: |d(q, parent) - d(o, parent)| bounds d(q, o) from below, so nodes and objects that no
 query of the batch needs are never compared. All bounds keep ties, scores are exact integers.
 
-Queries are broadcast in blocks of at most `QUERY_BLOCK` (64 dimensions: 26 MB as float64), so a larger query set takes more
-passes. A task keeps the best k of each query of the block over all its pages.
-
-Edge cases: vectors that are null, empty, or hold a null or non-finite component take no part. Fewer than k candidates:
-all. Ties: smaller vec_id. A query's own id is no candidate; repeated rows are candidates each, queries once per
-distinct vector of an id. Vectors of other lengths than the query's are no candidates.
+Queries are broadcast in blocks of at most `QUERY_BLOCK` (64 dimensions: 26 MB as float64). A larger query set takes a
+pass over the rows for every block, one after the other, each written before the next. A task keeps the best k of each
+query of the block over all its pages.
+
+Edge cases: vectors that are null or hold a null or non-finite component take no part, nor do null ids; vectors without
+components are alike (score 0). Fewer than k candidates: all. Ties: smaller vec_id. Rows of a query's own id are no
+candidates for it; other repeated rows are candidates each. Rows of one id and vector are one query, rows of one id and
+different vectors are queries of their own, so that the id has several lists of ranks. Vectors of other lengths than the
+query's are no candidates. Scores are exact below 2^53. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,9 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 PAGE, LEAF, BATCH = 8192, 96, 256
 QUERY_BLOCK = 50_000
-_SLACK = 1e-6
+#: Rounding of distances, as a share of the largest norm: squares are exact, mixed products are within a few units in the last place.
+_SLACK = 1e-7
 
 
 class Node:
@@ -83,13 +89,14 @@ class MTree:
         """visit(rows, query numbers, scores) for what may enter a query's best; limit(): the scores to reach, by query."""
         square = (queries * queries).sum(axis=1)
         base = square + self.top
+        slack = _SLACK * float(np.sqrt(base.max() + 1))
 
         def distance(center: int, who: np.ndarray) -> np.ndarray:
             return np.sqrt(np.maximum(0.0, base[who] - 2 * (queries[who] @ self.vectors[center])))
 
         def reach(who: np.ndarray) -> np.ndarray:
             least = limit()[who]
-            return np.where(np.isfinite(least), np.sqrt(np.maximum(0.0, base[who] - 2 * least)), np.inf) + _SLACK
+            return np.where(np.isfinite(least), np.sqrt(np.maximum(0.0, base[who] - 2 * least)), np.inf) + slack
 
         everyone = np.arange(len(queries))
         d = distance(self.root.center, everyone)
@@ -145,10 +152,10 @@ class Best:
 
 def _task(block, k: int, page: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = [(ids, vectors, Best(ids, k)) for ids, vectors in block.value]
+        groups = [(ids, tags, vectors, Best(ids, k)) for ids, tags, vectors in block.value]
 
         def search(ids: np.ndarray, vectors: np.ndarray) -> None:
-            for query_ids, queries, best in groups:
+            for _, _, queries, best in groups:
                 if queries.shape[1] == vectors.shape[1]:
                     tree = MTree(vectors)
                     for at in range(0, len(queries), BATCH):
@@ -167,10 +174,10 @@ def _task(block, k: int, page: int):
         for own in held.values():
             if own:
                 search(np.array([i for i, _ in own]), np.stack([x for _, x in own]))
-        for query_ids, _, best in groups:
+        for query_ids, tags, _, best in groups:
             ok = np.isfinite(best.score)
             who = np.repeat(np.arange(len(query_ids)), k).reshape(ok.shape)[ok]
-            yield pa.RecordBatch.from_arrays([pa.array(query_ids[who]), pa.array(best.id[ok]), pa.array(best.score[ok].astype(np.int64))], ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(query_ids[who]), pa.array(tags[who]), pa.array(best.id[ok]), pa.array(best.score[ok].astype(np.int64))], ["query_id", "tag", "vec_id", "score"])
 
     return run
 
@@ -179,25 +186,31 @@ def quantized(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     v = F.col(vector_col)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     whole = F.transform(v, lambda x: F.floor(x.cast("double") * 64).cast("double"))
-    return rows.where(v.isNotNull() & (F.size(v) > 0) & finite & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v"))
+    return rows.where(v.isNotNull() & finite & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v"))
 
 
 def top_k(rows: DataFrame, queries: DataFrame, *, k: int = 20, page: int = PAGE, query_block: int = QUERY_BLOCK) -> DataFrame:
     """`query_id, rank, vec_id, score` of `vec_id, v` tables: the k rows of the largest inner product for every query."""
     spark = rows.sparkSession
-    queries = queries.distinct()
+    queries = queries.select("vec_id", "v", F.xxhash64("v").alias("tag")).distinct()
     n, blocks = rows.count(), -(-queries.count() // query_block)
     dealt = rows.repartition(max(1, -(-n // page)), "vec_id")
-    out = []
+    schema, out = "query_id long, tag long, vec_id long, score long", []
     for b in range(blocks):
-        own = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id").collect()
-        sizes = sorted({len(r["v"]) for r in own})
-        block = [(np.array([r["vec_id"] for r in own if len(r["v"]) == s]), np.array([r["v"] for r in own if len(r["v"]) == s])) for s in sizes]
-        out.append(dealt.mapInArrow(_task(spark.sparkContext.broadcast(block), k, page), "query_id long, vec_id long, score long"))
-    if not out:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = reduce(DataFrame.unionByName, out).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
+        own = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id", "tag").collect()
+        block = []
+        for size in sorted({len(r["v"]) for r in own}):
+            alike = [r for r in own if len(r["v"]) == size]
+            block.append((np.array([r["vec_id"] for r in alike]), np.array([r["tag"] for r in alike]), np.array([r["v"] for r in alike], dtype=float).reshape(len(alike), size)))
+        shared = spark.sparkContext.broadcast(block)
+        found = dealt.mapInArrow(_task(shared, k, page), schema)
+        if blocks > 1:  # one block at a time is held and worked on
+            found = materialize(found)
+            shared.destroy()
+        out.append(found)
+    found = reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], schema)
+    first = Window.partitionBy("query_id", "tag").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
@@ -215,7 +228,7 @@ ORACLE = {
     "op9_mtree_search": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 64)) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score

@@ -14,7 +14,7 @@ def test_top_k_equals_brute_force(spark, page, block):
     v[50:60] = v[50]  # ties
     rows = [(int(k), [float(x) for x in np.float32(r)]) for k, r in enumerate(v)] + [(500, None), (520, [1.0, None] + [0.0] * 10), (540, [float("nan")] * 12), (560, []), (580, [1.0, 2.0])]
     q = quantized(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
-    assert q.count() == 401
+    assert q.count() == 402  # those without components count
     out = top_k(q, q.where(F.col("vec_id") % 20 == 0), k=5, page=page, query_block=block).collect()
     x = np.floor(np.float32(v).astype(float) * 64)
     want = set()
@@ -24,6 +24,17 @@ def test_top_k_equals_brute_force(spark, page, block):
     assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out} == want
 
 
+def test_repeated_ids_and_long_vectors(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (3, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 2.0]), (40, []), (5, [])]
+    q = quantized(spark.createDataFrame([(k, v, 1, 2) for k, v in rows], "vec_id long, embedding array<double>, rank int, tag long"))
+    out = sorted((r["query_id"], r["score"], r["rank"], r["vec_id"]) for r in top_k(q, q.where("vec_id % 20 = 0"), k=2).collect())
+    # 20 has two distinct vectors, so two lists; rows of its own id are no candidates, equal rows of others are candidates each
+    assert out == [(20, 0, 2, 3), (20, 4096, 1, 3), (20, 4096, 2, 3), (20, 8192, 1, 4), (40, 0, 1, 5)]
+    big = quantized(spark.createDataFrame([(k, [float(10**5 + k)] * 3) for k in range(50)], "vec_id long, embedding array<double>"))
+    best = {r["query_id"]: r["vec_id"] for r in top_k(big, big.where("vec_id % 20 = 0"), k=1).collect()}
+    assert best == {0: 49, 20: 49, 40: 49}
+
+
 def test_tree_skips_work():
     rng = np.random.default_rng(3)
     centers = rng.normal(size=(20, 8)) * 40
