@@ -2,14 +2,16 @@
 
 A value is taken apart to its letters and digits, each with its own radix; the mixed-radix number is permuted by an
 eight-round Feistel network (rounds keyed by BLAKE2b over key, kind and domain) with cycle walking, until it lies in
-the domain and validates. Separators, case and lengths stay; check digits are recomputed. The permutation depends on
-the key, the kind and the format only, so equal values stay linked across documents, and `restore` inverts it.
+the domain and validates. Separators, case and lengths stay (numbers of an IP address may take more or fewer digits); check
+digits are recomputed. The permutation depends on the key, the kind and the format only, so equal values stay linked
+across documents, and `replace(..., back=True)` inverts it. Who has the key can invert it, so there is no default: it is
+an argument, and the query takes it from `spark.strandweave.pii.key`, else a new one for each run.
 
 Kinds: payment cards (13 to 19 digits, Luhn), IBANs (mod 97), IPv4 addresses, calendar dates (1900 to 2099, ISO or with
 slashes or dots), social security numbers (valid areas), phone numbers (7 to 15 digits, country code kept), local
 parts of e-mail addresses, access keys and values of password, token and key assignments.
 
-Edge cases: null text: null, no finds. Invalid numbers (a failed check, 31 February) are left alone. Values that
+Edge cases: null text: null, no finds. Very long texts, with or without blanks, take time in proportion to their length. Invalid numbers (a failed check, 31 February) are left alone. Values that
 overlap: the first, then the longest by the order above. Repeated rows give equal results. Extra columns pass through
 `pseudonymize`; a column named `n_found` is replaced.
 """
@@ -19,6 +21,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import secrets
 from collections.abc import Iterator
 from math import prod
 
@@ -26,11 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-KEY = b"replace-me"
 _EPOCH, _DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
 
 _FIND = re.compile(
-    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
+    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
     r"|(?P<secret>(?i:(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?)[A-Za-z0-9+/_\-]{8,}|\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
     r"|(?P<iban>\b[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d))"
@@ -204,10 +206,10 @@ _KINDS = {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "date":
 
 def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all values that validate."""
-    return [(m.lastgroup, m.start(), m.end()) for m in _FIND.finditer(text) if _KINDS[m.lastgroup](m.group(), KEY, False) is not None]
+    return [(m.lastgroup, m.start(), m.end()) for m in _FIND.finditer(text) if _KINDS[m.lastgroup](m.group(), b"any", False) is not None]
 
 
-def replace(text: str | None, key: bytes = KEY, back: bool = False) -> tuple[str | None, int]:
+def replace(text: str | None, key: bytes, back: bool = False) -> tuple[str | None, int]:
     """text with pseudonyms, and their number. back: restores what was replaced with the same key."""
     if not text or not _MAYBE.search(text):
         return text, 0
@@ -239,7 +241,7 @@ def _run(key: bytes, column: int):
     return run
 
 
-def pseudonymize(docs: DataFrame, *, key: bytes = KEY, text_col: str = "text") -> DataFrame:
+def pseudonymize(docs: DataFrame, *, key: bytes, text_col: str = "text") -> DataFrame:
     """docs with pseudonyms in the text, and n_found, their number."""
     docs = docs.drop("n_found")
     schema = StructType([*docs.schema.fields, StructField("n_found", LongType())])
@@ -250,7 +252,8 @@ def pseudonymize(docs: DataFrame, *, key: bytes = KEY, text_col: str = "text") -
 
 
 def op6_feistel_pseudonyms(spark, sf_dir):
-    return pseudonymize(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    key = spark.conf.get("spark.strandweave.pii.key", None) or secrets.token_hex(32)
+    return pseudonymize(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), key=key.encode())
 
 
 QUERIES = {"op6_feistel_pseudonyms": op6_feistel_pseudonyms}

@@ -59,7 +59,7 @@ def test_kernel_table_equals_the_kernel():
     import numpy as np
 
     want = sum(v * b[k] for k, v in a.items()) / (n(np.array([8]))[0] * n(np.array([7]))[0])
-    got = toxicity.dot_table(al, ["abcab"], toxicity.feature_tables(al, ["banana"])[0])[0]
+    got = toxicity.Landmarks(al, ["banana"]).kernel(["abcab"])[0, 0]
     assert got == pytest.approx(want, rel=1e-5)
 
 
@@ -114,6 +114,54 @@ def test_urls(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_urls_by_segmented_and_learned_words(spark):
+    good = [f"https://{h}.example.net/{p}/{k}" for k, h, p in product(range(15), ("garden", "books", "music"), ("velvet", "summer"))]
+    bad = [f"http://casino.royale-vegas.example.net/{k}" for k in range(20)]
+    probe = ["http://royalevegas.example.net/1", "http://vegas.example.net/royale", "http://gardenmusic.example.net/2", "http://velvetbooks.example.net/3", "http://unseenname.example.net/4"]
+    urls = good + bad + probe
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    got = {urls[r["page_id"]]: r["verdict"] for r in url_filter.judge(df).collect()}
+    assert not {"royale", "vegas"} & set(url_filter.SPAM_WORDS)  # what is learned isn't listed
+    assert [got[u] for u in probe] == ["block", "block", "allow", "allow", "allow"]
+
+
+def brute_segment(name, cost, base, longest):
+    best = None
+    for cuts in product((0, 1), repeat=len(name) - 1):
+        parts, at = [], 0
+        for k, c in enumerate((*cuts, 1)):
+            if c:
+                parts.append(name[at : k + 1])
+                at = k + 1
+        if all(len(p) <= longest for p in parts):
+            c = sum(cost.get(p, base + 3.4 * len(p)) for p in parts)
+            best = min(best or (c, parts), (c, parts))
+    return best[0]
+
+
+def test_segments_and_odds_equal_brute_force():
+    rng = random.Random(2)
+    words = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 4))): rng.randint(1, 60) for _ in range(25)}
+    cut = url_filter.Segmenter(words)
+    for _ in range(60):
+        name = "".join(rng.choice("abcd") for _ in range(rng.randint(1, 11)))
+        got = cut(name)
+        assert "".join(got) == name and abs(sum(cut.cost.get(p, cut.base + 3.4 * len(p)) for p in got) - brute_segment(name, cut.cost, cut.base, url_filter.LONGEST)) < 1e-9
+    counts = {("a", True): 4, ("b", True): 1, ("a", False): 2, ("c", False): 9}
+    model = url_filter.Bayes(counts, (9, 3), url_filter.Segmenter({"a": 1, "b": 1, "c": 1}))
+    import math
+
+    e, p = url_filter.PSEUDO, {w: ((counts.get((w, True), 0) + url_filter.PSEUDO) / (5 + 4 * url_filter.PSEUDO), (counts.get((w, False), 0) + url_filter.PSEUDO) / (11 + 4 * url_filter.PSEUDO)) for w in "abc"}
+    assert e > 0 and abs(model.score("a.b", "/c/a") - (math.log(4 / 10) + sum(math.log(x / y) for x, y in (p[w] for w in "abca")))) < 1e-9
+
+
+def test_url_edges(spark):
+    rows = [(1, None, "a", "b", "allow"), (2, "", "a", "b", "allow"), (2, "", "a", "b", "allow"), (None, "http://x.example.com/en/1", "a", "b", "z"), (4, "https://" + "ab" * 20_000 + ".example.net/" + "/w" * 30_000, "h", "p", "v")]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string, path string, verdict string")
+    got = url_filter.judge(df).collect()
+    assert sorted((r["page_id"] or 0, r["verdict"]) for r in got)[:4] == [(0, "block"), (1, "allow"), (2, "allow"), (2, "allow")] and len(got) == 5
+
+
 # ---- decontamination
 
 
@@ -146,8 +194,8 @@ def test_tiles_equal_brute_force(seed):
     parts = [item[: cut[0]], item[cut[0] : cut[1]], item[cut[1] : cut[2]], item[cut[2] :]]
     rng.shuffle(parts)
     doc = sum(parts, [99]) + item[5:15]
-    at = [(a, b) for a in range(len(item) - 2) for b in range(len(doc) - 2) if item[a : a + 3] == doc[b : b + 3]]
-    got = decontam.greedy_tiles(np.array([a for a, _ in at]), np.array([b for _, b in at]), 3)
+    words = [np.array(x, dtype=np.uint64) + np.uint64(100) for x in (item, doc)]
+    got = decontam.greedy_tiles(decontam.maximal_runs(*words, 3), len(item), len(doc), 3)
     assert sorted(n for _, _, n in got) == sorted(n for _, _, n in brute_tiles(item, doc, 3))
 
 
@@ -216,6 +264,161 @@ def test_feistel_is_a_permutation():
 
 def test_pseudonyms_link_documents(spark, edge, none):
     df = spark.createDataFrame([(1, "a 4785380592391139"), (2, "b 4785380592391139 c"), (3, None)], "doc_id long, text string").withColumn("n_found", F.lit("x"))
-    out = {r["doc_id"]: r for r in pii.pseudonymize(df).collect()}
+    out = {r["doc_id"]: r for r in pii.pseudonymize(df, key=b"k").collect()}
     assert out[1]["text"].split()[1] == out[2]["text"].split()[1] != "4785380592391139" and out[3]["text"] is None and out[3]["n_found"] == 0
-    assert pii.pseudonymize(edge).count() == edge.count() and pii.pseudonymize(none).count() == 0
+    assert pii.pseudonymize(edge, key=b"k").count() == edge.count() and pii.pseudonymize(none, key=b"k").count() == 0
+
+
+def test_long_unbroken_text_takes_linear_time():
+    import time
+
+    def seconds(n):
+        text = "Ab9+" * (n // 4) + "=1"
+        began = time.perf_counter()
+        assert pii.replace(text, b"k") == (text, 0)
+        return time.perf_counter() - began
+
+    seconds(4000)
+    assert seconds(400_000) < 5  # by the square of the length it would take minutes
+
+
+# ---- brute-force versions
+
+
+def test_scores_equal_brute_force_naive_bayes(spark):
+    import math
+
+    rng = random.Random(4)
+    rows = [(k, " ".join("".join(rng.choice(a) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 9))), lang) for k in range(90) for lang, a in ((rng.choice(("xx", "yy")), rng.choice(("abcde", "cdefé"))),)]
+    rows += [(90, None, "xx"), (91, "12 34", "yy"), (92, "abc", None), (93, "ABC!de", "xx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = {r["doc_id"]: r for r in langid.identify(df, langid.fit(df.select("text", "lang"))).collect()}
+
+    def buckets(text):
+        clean = " " + "".join(c if c.isalpha() else " " for c in text.lower())
+        out = []
+        for e in range(len(clean)):
+            for n in (1, 2, 3):
+                gram = (" " * 3 + clean)[e + 4 - n : e + 4]
+                if gram.strip():
+                    out.append((n, gram))
+        return out
+
+    counts = {lang: {} for lang in ("xx", "yy")}
+    for _, text, lang in rows:
+        for g in buckets(text) if text and lang else ():
+            counts[lang][g] = counts[lang].get(g, 0) + 1
+    cells = 1 << langid.BITS
+    for k, text, _ in rows:
+        if not text or not any(c.isalpha() for c in text):
+            assert got[k]["lang_pred"] == "und" and got[k]["score"] == 0
+            continue
+        logs = [sum(math.log((c.get(g, 0) + 0.5) / (sum(c.values()) + 0.5 * cells)) for g in buckets(text)) for c in (counts["xx"], counts["yy"])]
+        assert got[k]["lang_pred"] == ("xx" if logs[0] >= logs[1] else "yy")
+        assert abs(got[k]["score"] - 1 / (1 + math.exp(-abs(logs[0] - logs[1])))) < 0.02  # no two of these few grams share a bucket, single precision apart
+
+
+def test_language_is_not_learned_from_held_out_rows(spark, tmp_path):
+    import zlib
+
+    held = [k for k in range(200) if zlib.crc32(str(k).encode()) % 4 == 2]
+    rows = [(k, "zzz zzz" if k in held else "abc abd" if k % 2 else "efg efh", "held" if k in held else "a" if k % 2 else "e") for k in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = langid.op5_ngram_bayes_langid(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in out if r["held_out"]} == set(held) and "held" not in {r["lang_pred"] for r in out}
+
+
+def test_expectation_maximisation_equals_a_plain_version():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    patterns = np.unique(rng.integers(-1, 2, size=(40, 5)), axis=0)
+    counts = rng.integers(1, 50, size=len(patterns)).astype(float)
+    post, prior = quality.expectation_maximisation(patterns, counts, rounds=3)
+    p, share = [[[0.3, 0.4, 0.3] for _ in range(5)], [[0.02, 0.43, 0.55] for _ in range(5)]], 0.8
+    for _ in range(3):
+        q = []
+        for row in patterns:
+            bad, good = 1 - share, share
+            for j, v in enumerate(row):
+                bad, good = bad * p[0][j][v + 1], good * p[1][j][v + 1]
+            q.append(good / (good + bad))
+        w = [sum(c * (1 - x) for c, x in zip(counts, q)), sum(c * x for c, x in zip(counts, q))]
+        share = min(max((w[1] + 8) / (sum(w) + 10), 0.05), 0.99)
+        for j in range(5):
+            for c in (0, 1):
+                t = [sum(n * (x if c else 1 - x) for n, x, row in zip(counts, q, patterns) if row[j] == v) + (v == 0) for v in (-1, 0, 1)]
+                p[c][j] = [x / sum(t) for x in t]
+            p[0][j][0] = max(p[0][j][0], min(quality.RATIO * p[1][j][0], 0.6))
+            p[1][j][0] = min(p[1][j][0], p[0][j][0] / quality.RATIO)
+            p[1][j][2] = max(p[1][j][2], p[0][j][2])
+            for c in (0, 1):
+                p[c][j] = [x / sum(p[c][j]) for x in p[c][j]]
+    assert np.allclose(post, q) and abs(prior - share) < 1e-9
+
+
+def test_scorer_is_a_logistic_model_of_hashed_features():
+    import numpy as np
+
+    texts = ["the cat sat on the mat. the dog too."] * 6 + ["%%% $$$ %%% ###"] * 6
+    y = np.array([0.9] * 6 + [0.1] * 6)
+    rows = [quality.features(t, quality.measure(t)) for t in texts]
+    w = quality.fit_linear(rows, y, updates=4000)
+    p = [1 / (1 + np.exp(-(sum(w[i] * v for i, v in zip(*r)) + w[-1]))) for r in (rows[0], rows[-1])]
+    assert p[0] > 0.7 and p[1] < 0.3
+
+
+def test_contaminated_equals_brute_force(spark):
+    rng = random.Random(11)
+    vocabulary = [f"v{k}" for k in range(30)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.randint(5, 25))] for _ in range(6)]
+    docs = []
+    for _ in range(25):
+        d = [rng.choice(vocabulary) for _ in range(rng.randint(0, 10))]
+        for _ in range(rng.randint(0, 3)):
+            it = rng.choice(items)
+            a = rng.randrange(len(it))
+            d += it[a : a + rng.randint(3, 20)] + [rng.choice(vocabulary)]
+        docs.append(d)
+    docs += [["a"] * 300, ["a", "b"] * 100]
+    items += [["a"] * 40, ["b", "a"] * 15]
+    want = {}
+    for i, d in enumerate(docs):
+        for j, it in enumerate(items):
+            share = sum(n for _, _, n in brute_tiles(it, d, 5)) / len(it)
+            if share >= 0.5:
+                want[i, j] = share
+    make = lambda rows, name: spark.createDataFrame([(k, " ".join(r)) for k, r in enumerate(rows)], f"{name} long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in decontam.contaminated(make(docs, "doc_id"), make(items, "item_id")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_stretches_equal_the_kernel_of_their_strings():
+    import numpy as np
+    from collections import Counter
+
+    al, rng = toxicity.Alphabet(Counter(["abcdefghé"])), np.random.default_rng(0)
+    table = rng.normal(size=toxicity.LETTERS**3).astype(np.float32)
+    texts = ["Abc def. gh", "", "é a-b c!d\n\nabcc", "...", "a"]
+    sentences = [[["abc", "def"], ["gh"]], [], [["é", "ab", "cd"], ["abcc"]], [], [["a"]]]
+    best, said = toxicity.worst_stretches(al, table, texts)
+    for k, own in enumerate(sentences):
+        strings = [" ".join(s[i : i + n]) for s in own for n in (1, 2, 3) for i in range(len(s) - n + 1)]
+        want = toxicity.dot_table(al, strings, table)
+        assert (not strings and best[k] == -np.inf) or (abs(best[k] - want.max()) < 1e-5 and said[k] == strings[int(want.argmax())])
+
+
+def test_toxicity_rules_of_rows(spark):
+    import zlib
+
+    rows = toxic_corpus(300, 3)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    make = lambda change: toxicity.fit(docs, spark.createDataFrame([x for i, _, y in rows for x in change(i, y)], "doc_id long, toxic int"))
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    a, b = make(lambda i, y: [(i, y)]), make(lambda i, y: [(i, 1 - y if held(i) else y)] * 2)
+    assert (a.table == b.table).all() and a.middle == b.middle  # neither held-out labels nor repeated ones are learned
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    bad = next(t for _, t, y in rows if y)
+    more = spark.createDataFrame([*((None, bad, 1.0),) * 2, (None, "balo ten mi", 1.0), (7, None, 1.0)], "doc_id long, text string, toxic_score double").unionByName(docs, allowMissingColumns=True)
+    kept = toxicity.drop_toxic(more, labels)
+    assert kept.columns == more.columns and [r["text"] for r in kept.where("doc_id is null").collect()] == ["balo ten mi"]
