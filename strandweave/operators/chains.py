@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import log_evalue
+from ..scratch import written
 from .intervals import union_length, weighted_over_segments
 
 CHAIN = ("sample", "sacc")
@@ -133,19 +134,18 @@ def query_components(hits: DataFrame, *, sample: str = "sample", rounds: int | N
     Chains interact through shared queries only, so greedy selection of each component alone selects the same groups
     as of the whole.
     """
-    kept = lambda df: df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
-    edges = hits.select(sample, "qacc", "sacc").distinct().cache()
+    edges = written(hits.select(sample, "qacc", "sacc").distinct())
     labels = edges.select(sample, "sacc").distinct().withColumn("component", F.col("sacc"))
     for k in count(1):
         own = edges.join(labels, [sample, "sacc"])
         low = own.groupBy(sample, "qacc").agg(F.min("component").alias("m"))
-        hung = kept(own.join(low, [sample, "qacc"]).groupBy(sample, "component").agg(F.min("m").alias("_to")))
+        hung = written(own.join(low, [sample, "qacc"]).groupBy(sample, "component").agg(F.min("m").alias("_to")))
         if hung.where("component <> _to").isEmpty():
             return labels
         if k == rounds:
             raise RuntimeError(f"labels of subjects that share queries still change after {rounds} rounds")
         ahead = labels.select(sample, F.col("sacc").alias("_to"), F.col("component").alias("_next"))
-        labels = kept(labels.join(hung, [sample, "component"]).join(ahead, [sample, "_to"]).select(sample, "sacc", F.col("_next").alias("component")))
+        labels = written(labels.join(hung, [sample, "component"]).join(ahead, [sample, "_to"]).select(sample, "sacc", F.col("_next").alias("component")))
 
 
 def greedy_select(hits: DataFrame, *, penalty: float = 20.0, alt: float = 0.9, alternatives: str = "post_prune", by_component: bool = True) -> DataFrame:

@@ -11,29 +11,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import written
+
 ROOT = 1
 
 
-def lineage(nodes: DataFrame, *, most: int = 64) -> DataFrame:
+def lineage(nodes: DataFrame) -> DataFrame:
     """`tax_id, name, rank, path, names, ranks`: ids, names and ranks from below the root to the node (TAX-03).
 
-    Levels are joined top down until a level is empty: as many joins as the tree is deep. The root has empty lists.
+    Paths double in each round: what a node's path hangs on is replaced by that node's own path, so a tree of depth d
+    takes log2 d joins. The root has empty lists; nodes that no path leads to are left out; a cycle is an error.
     """
+    one = lambda c, kind: F.array(F.col(c).cast(kind))
     child = nodes.where((F.col("tax_id") != ROOT) & (F.col("parent_id") != F.col("tax_id")))
-    empty = F.array()
-    top = nodes.where(F.col("tax_id") == ROOT)
-    level = top.select("tax_id", "name", "rank", empty.cast("array<bigint>").alias("path"), empty.cast("array<string>").alias("names"), empty.cast("array<string>").alias("ranks"))
-    out = level
-    for _ in range(most):
-        up = level.select(F.col("tax_id").alias("parent_id"), "path", "names", "ranks")
-        level = child.join(up, "parent_id").select(
-            "tax_id", "name", "rank",
-            F.concat("path", F.array(F.col("tax_id").cast("long"))).alias("path"), F.concat("names", F.array("name")).alias("names"), F.concat("ranks", F.array("rank")).alias("ranks"),
-        )
-        if level.isEmpty():
+    state = child.select("tax_id", "name", "rank", F.col("parent_id").alias("up"), one("tax_id", "bigint").alias("path"), one("name", "string").alias("names"), one("rank", "string").alias("ranks"))
+    left = None
+    while True:
+        state = written(state)
+        open_ = state.where(F.col("up") != ROOT).count()
+        if not open_:
             break
-        out = out.unionByName(level)
-    return out
+        if left is not None and open_ >= left:
+            raise ValueError(f"{open_} nodes of the tree lie on a cycle")
+        above = state.select(F.col("tax_id").alias("up"), F.col("up").alias("_up"), *[F.col(c).alias(f"_{c}") for c in ("path", "names", "ranks")])
+        hung = state.where(F.col("up") != ROOT).join(above, "up")  # nodes that hang on nothing fall out here
+        hung = hung.select("tax_id", "name", "rank", F.col("_up").alias("up"), *[F.concat(f"_{c}", c).alias(c) for c in ("path", "names", "ranks")])
+        state, left = state.where(F.col("up") == ROOT).unionByName(hung), open_
+    empty = F.array()
+    top = nodes.where(F.col("tax_id") == ROOT).select("tax_id", "name", "rank", empty.cast("array<bigint>").alias("path"), empty.cast("array<string>").alias("names"), empty.cast("array<string>").alias("ranks"))
+    return top.unionByName(state.drop("up"))
 
 
 def lineage_recursive(nodes: DataFrame) -> DataFrame:
