@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Bases and ambiguity codes with their complements.
 _BASES, _COMPLEMENTS = "ACGTURYSWKMBDHVNacgturyswkmbdhvn", "TGCAAYRSWMKVHDBNtgcaayrswmkvhdbn"
@@ -25,27 +30,49 @@ def count_bp(seq: Column) -> Column:
 
 def homopolymer_ratio(seq: Column, kmin: int = 5) -> Column:
     """Share of the sequence in runs of more than kmin equal letters; null for an empty sequence (SEQ-03)."""
-    runs = "|".join(f"{c}{{{kmin + 1},}}" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-    return F.when(F.length(seq) > 0, 1 - F.length(F.regexp_replace(seq, runs, "")) / F.length(seq))
+    return F.when(F.length(seq) > 0, 1 - F.length(F.regexp_replace(seq, rf"([A-Z])\1{{{kmin},}}", "")) / F.length(seq))
 
 
-def kmers(seq: Column, k: int) -> Column:
-    """All k-mers, as an array; empty where the sequence is shorter."""
-    n = F.length(seq) - (k - 1)
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+def _entropy(codes: np.ndarray, letters: int, k: int) -> float:
+    """Entropy of the k-mers of a text of letter codes, in bits over 2k; 0 where it is shorter than k."""
+    n = len(codes) - k + 1
+    if n < 1:
+        return 0.0
+    words, base = codes[:n].astype(np.int64), letters
+    for j in range(1, k):
+        if base > (1 << 62) // letters:  # ranks instead of numbers that no longer fit
+            words = np.unique(words, return_inverse=True)[1]
+            base = int(words.max()) + 1
+        words, base = words * letters + codes[j : n + j], base * letters
+    counts = np.bincount(words) if base <= 4 * n + 1024 else np.unique(words, return_counts=True)[1]
+    counts = counts[counts > 0]
+    return float((np.log2(n) - (counts * np.log2(counts)).sum() / n) / (2 * k))
 
 
-def sequence_entropy(df: DataFrame, key: str, seq: str, k: int, name: str | None = None) -> DataFrame:
-    """`key, entropy{k}`: Shannon entropy of k-mers in bits over 2k, 0 for sequences shorter than k (SEQ-02).
+def with_entropies(df: DataFrame, seq: str, ks: Sequence[int]) -> DataFrame:
+    """df with `entropy{k}` for each k instead of the column seq (SEQ-02), in one Arrow pass without a shuffle.
 
-    K-mers are counted by an aggregation with map-side combine, so a sequence's length doesn't bound a task's memory.
+    A sequence takes about 24 bytes of a worker's memory a base. Null sequences have entropy 0.
     """
-    name = name or f"entropy{k}"
-    counts = df.select(key, F.explode(kmers(F.col(seq), k)).alias("kmer")).groupBy(key, "kmer").agg(F.count("*").alias("n"))
-    # -sum p log2 p = log2 N - (sum n log2 n) / N
-    sums = counts.groupBy(key).agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.log2("n")).alias("s"))
-    value = (F.log2("total") - F.col("s") / F.col("total")) / (2.0 * k)
-    return df.select(key).distinct().join(sums.select(key, value.alias(name)), key, "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
+    at, keep = df.columns.index(seq), [k for k, c in enumerate(df.columns) if c != seq]
+    schema = T.StructType([*(df.schema.fields[k] for k in keep), *(T.StructField(f"entropy{k}", T.DoubleType()) for k in ks)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[list[float]] = [[] for _ in ks]
+            for text in batch.column(at):
+                points = np.frombuffer((text.as_py() or "").encode("utf-32-le"), dtype=np.uint32)
+                letters, codes = np.unique(points, return_inverse=True)
+                for own, k in zip(found, ks):
+                    own.append(_entropy(codes, max(len(letters), 1), k))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *(pa.array(x, pa.float64()) for x in found)], [*(batch.schema.names[k] for k in keep), *(f"entropy{k}" for k in ks)])
+
+    return df.mapInArrow(run, schema)
+
+
+def sequence_entropy(df: DataFrame, key: str, seq: str, k: int, name: str | None = None) -> DataFrame:
+    """`key, entropy{k}`: Shannon entropy of k-mers in bits over 2k, 0 for sequences shorter than k."""
+    return with_entropies(df.select(key, seq), seq, [k]).withColumnRenamed(f"entropy{k}", name or f"entropy{k}")
 
 
 def btop_ops(btop: Column) -> Column:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import numbered
+
 
 def collapse(df: DataFrame, keys: Sequence[str], sep: str = ";") -> DataFrame:
     """One row by key: a column's value where it is constant, else all values joined; and n (AGG-21)."""
@@ -74,13 +76,13 @@ def gene_summary(tx: DataFrame, tx2gene: DataFrame) -> DataFrame:
     return rows.groupBy("gene_id", "sample").agg(F.sum("counts").alias("counts"), F.sum("abundance").alias("abundance"), length.alias("length"))
 
 
-# Biotypes that count as coding.
-CODING = ("protein_coding", "IG_C_gene", "IG_D_gene", "IG_J_gene", "IG_V_gene", "TR_C_gene", "TR_D_gene", "TR_J_gene", "TR_V_gene")
+# Biotypes of ribosomal genes.
+RIBOSOMAL = ("rRNA", "rRNA_pseudogene")
 
 
 def gene_class(name: Column, biotype: Column) -> Column:
-    """mito, ribo, coding or noncoding (FLT-21)."""
-    return F.when(name.rlike("^MT-"), "mito").when(biotype.isin("rRNA", "Mt_rRNA", "rRNA_pseudogene"), "ribo").when(biotype.isin(*CODING), "coding").otherwise("noncoding")
+    """mito (by name), ribo, noncoding or coding; a gene without a biotype counts as coding (FLT-21)."""
+    return F.when(name.rlike("^MT-"), "mito").when(biotype.isin(*RIBOSOMAL), "ribo").when(biotype != "protein_coding", "noncoding").otherwise("coding")
 
 
 def sample_qc(expr: DataFrame, genes: DataFrame) -> DataFrame:
@@ -143,8 +145,10 @@ def regression(df: DataFrame, keys: Sequence[str], y: str, x: str) -> DataFrame:
 
 def percentile_stats(df: DataFrame, value: str, keys: Sequence[str] = (), points=(0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)) -> DataFrame:
     """Mean, minimum, maximum and inclusive percentiles (AGG-34; true extremes, Q11)."""
-    named = [F.percentile(value, F.lit(p)).alias(f"p{int(round(p * 100)):02d}") for p in points]
-    return df.groupBy(*keys).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"), *named)
+    # one aggregate for all points: value counts are combined map-side, so a key's memory is its number of distinct values
+    at = F.percentile(value, F.array(*[F.lit(p) for p in points])).alias("at")
+    out = df.groupBy(*keys).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"), at)
+    return out.select(*keys, "mean", "min", "max", *[F.get("at", k).alias(f"p{int(round(p * 100)):02d}") for k, p in enumerate(points)])
 
 
 # ---- run-time benchmarks of jobs
@@ -216,5 +220,4 @@ def rpkm(reads: Column, length: Column, total: Column) -> Column:
 
 def bind_columns(a: DataFrame, b: DataFrame, order_a: Sequence[str], order_b: Sequence[str]) -> DataFrame:
     """Columns side by side, by position in a stated order (JOI-21)."""
-    number = lambda df, by: df.withColumn("_row", F.row_number().over(Window.orderBy(*by)))
-    return number(a, order_a).join(number(b, order_b), "_row").drop("_row")
+    return numbered(a, order_a, "_row").join(numbered(b, order_b, "_row"), "_row").drop("_row")

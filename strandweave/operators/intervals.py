@@ -1,7 +1,7 @@
 """Interval algebra on 1-based closed intervals, keyed. Reversed intervals are swapped first.
 
 Covered lengths need one shuffle on the key and a running maximum. Segments (what holds between two neighbouring
-breakpoints) are found from the distinct breakpoints of a key and joined back by key with a containment condition.
+breakpoints) are found from the distinct breakpoints of a key and joined back by bins of the intervals' own size.
 """
 
 from __future__ import annotations
@@ -26,14 +26,31 @@ def breakpoints(df: DataFrame, keys: Sequence[str], start: str, end: str) -> Dat
     return points.select(*keys, "start", (ahead - 1).alias("end")).where("end is not null")
 
 
+def _covered(seg: DataFrame, rows: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """seg `keys, start, end` joined with rows `keys, _lo, _hi, …` that contain them.
+
+    An interval of 2^(L-1) to 2^L bases lies in two bins of width 2^L at most, and is looked up from a segment by the bin of
+    its start, once for each L that occurs with the key. So intervals of any lengths meet only segments near them, and a
+    key with a large share of all rows is spread over its bins.
+    """
+    level = F.ceil(F.log2((F.col("_hi") - F.col("_lo") + 1).cast("double"))).cast("int")
+    rows = rows.withColumn("_level", level)
+    cut = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("_level"))).cast("long")
+    binned = rows.withColumn("_bin", F.explode(F.sequence(cut("_lo"), cut("_hi"))))
+    levels = rows.groupBy(*keys).agg(F.collect_set("_level").alias("_levels"))  # 63 at most
+    same = lambda a, b: [a[k].eqNullSafe(b[k]) for k in keys]
+    probe = seg.join(levels, same(seg, levels), "left").select(*[seg[k] for k in keys], "start", "end", F.explode_outer("_levels").alias("_level"))
+    probe = probe.withColumn("_bin", cut("start"))
+    over = (F.col("_lo") <= F.col("start")) & (F.col("_hi") >= F.col("end"))
+    on = [*same(probe, binned), probe["_level"] == binned["_level"], probe["_bin"] == binned["_bin"], over]
+    return probe.join(binned, on, how).select(*[probe[k] for k in keys], "start", "end", *[c for c in rows.columns if c not in (*keys, "_level")])
+
+
 def segments(df: DataFrame, keys: Sequence[str], start: str, end: str, payload: str, order: str) -> DataFrame:
     """`keys, start, end, payload`: elementary segments with the payloads over them in insertion order, empty in gaps (REG-01, REG-04)."""
     lo, hi = oriented(start, end)
     rows = df.select(*keys, lo.alias("_lo"), hi.alias("_hi"), F.col(order).alias("_ord"), F.col(payload).alias("_payload"))
-    seg = breakpoints(df, keys, start, end)
-    over = (F.col("_lo") <= F.col("start")) & (F.col("_hi") >= F.col("end"))
-    on = [seg[k].eqNullSafe(rows[k]) for k in keys]
-    joined = seg.join(rows, [*on, over], "left").select(*[seg[k] for k in keys], "start", "end", "_ord", "_payload")
+    joined = _covered(breakpoints(df, keys, start, end), rows, keys, "left")
     held = F.array_sort(F.collect_list(F.when(F.col("_ord").isNotNull(), F.struct("_ord", "_payload"))))
     return joined.groupBy(*keys, "start", "end").agg(F.transform(held, lambda x: x["_payload"]).alias("payload"))
 
@@ -67,10 +84,9 @@ def segment_values(df: DataFrame, keys: Sequence[str], start: str, end: str, val
     """`keys, start, end, value`: max or avg of the values over each covered segment."""
     lo, hi = oriented(start, end)
     rows = df.select(*keys, lo.alias("_lo"), hi.alias("_hi"), F.col(value).alias("_v"))
-    seg = breakpoints(df, keys, start, end)
-    joined = seg.join(rows, [*[seg[k].eqNullSafe(rows[k]) for k in keys], F.col("_lo") <= F.col("start"), F.col("_hi") >= F.col("end")])
+    joined = _covered(breakpoints(df, keys, start, end), rows, keys, "inner")
     agg = F.max("_v") if how == "max" else F.avg("_v")
-    return joined.groupBy(*[seg[k] for k in keys], "start", "end").agg(agg.alias("value"))
+    return joined.groupBy(*keys, "start", "end").agg(agg.alias("value"))
 
 
 def weighted_over_segments(df: DataFrame, keys: Sequence[str], start: str, end: str, value: str, *, how: str = "max", digits: int = 1, name: str = "value") -> DataFrame:
