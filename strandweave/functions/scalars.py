@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Words that titles of sequences share.
+# Words that say nothing in titles of sequences.
 STOP_WORDS = (
-    "genome", "complete", "sequence", "strain", "isolate", "and", "or", "virus", "cds", "partial", "gene", "from", "of", "the", "clone", "segment", "genomic",
+    "genome", "complete", "sequence", "strain", "isolate", "and", "or", "sapiens", "genes", "predicted", "human", "homo", "assembly", "mus", "musculus", "virus", "polyprotein",
 )
 
 
@@ -106,14 +106,13 @@ def bit_score(score: Column, *, lam: float = 0.625, kappa: float = 0.41) -> Colu
 
 
 def title_words(title: Column, stop_words: Sequence[str] = STOP_WORDS, short: int = 2) -> Column:
-    """Words of a title: punctuation off at the ends, sentence case undone, stop words out, short words joined to what
-    precedes them. `alpha b c delta` gives `alpha b c`, `alpha b`, `alpha`, `delta`."""
+    """Words of a title: punctuation off at the ends, sentence case undone, short words (also what was punctuation only)
+    joined to what precedes them, then stop words of any case out. `alpha b c delta` gives `alpha b c`, `alpha b`,
+    `alpha`, `delta`."""
     words = F.filter(F.split(F.trim(title), r"\s+"), lambda w: w != "")
     words = F.transform(words, lambda w: F.regexp_replace(w, r"^\p{Punct}+|\p{Punct}+$", ""))
-    plain = lambda w: F.substring(w, F.lit(2), F.length(w))
-    words = F.transform(words, lambda w: F.when((plain(w) == F.lower(plain(w))) & plain(w).rlike("[a-z]"), F.lower(w)).otherwise(w))
-    stops = F.array(*[F.lit(w) for w in stop_words])
-    words = F.filter(words, lambda w: (w != "") & ~F.array_contains(stops, w))
+    rest = lambda w: F.substring(w, F.lit(2), F.length(w))
+    words = F.transform(words, lambda w: F.when((rest(w) == F.lower(rest(w))) & (rest(w) != F.upper(rest(w))), F.lower(w)).otherwise(w))
     # done: finished words; run: the current word with its short followers, longest first
     empty = F.array().cast("array<string>")
     start = F.struct(empty.alias("done"), empty.alias("run"))
@@ -126,14 +125,17 @@ def title_words(title: Column, stop_words: Sequence[str] = STOP_WORDS, short: in
             F.when(short_word, joined).otherwise(F.array(w)).alias("run"),
         )
 
-    return F.aggregate(words, start, step, lambda acc: F.concat(acc["done"], acc["run"]))
+    found = F.aggregate(words, start, step, lambda acc: F.concat(acc["done"], acc["run"]))
+    stops = F.array(*[F.lit(w) for w in stop_words])
+    return F.filter(found, lambda w: ~F.array_contains(stops, F.lower(w)))
 
 
 def best_words(scored: Column, k: int = 4) -> Column:
-    """At most k distinct single words of a score-ordered array of (possibly joined) words (SRT-04)."""
+    """The first k single words of a score-ordered array of (possibly joined) words, none twice (SRT-04)."""
     start = F.array().cast("array<string>")
 
     def step(acc, w):
-        return F.when(F.size(acc) > k, acc).otherwise(F.concat(acc, F.array_except(F.split(w, " "), acc)))
+        new = F.filter(F.split(w, " "), lambda x: (x != "") & ~F.array_contains(acc, x))
+        return F.when(F.size(acc) > k, acc).otherwise(F.concat(acc, new))
 
     return F.slice(F.aggregate(scored, start, step), 1, k)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import first_elements, genome_coverage
+from .ordering import numbered
 from .taxonomy import longest_prefix
 
 
@@ -93,29 +94,67 @@ def species_found(calls: DataFrame) -> DataFrame:
     return calls.groupBy("species").agg(F.countDistinct("sample").alias("n_samples"), F.sum("numreads").alias("numreads")).orderBy("species")
 
 
-def merge_species(calls: DataFrame) -> DataFrame:
-    """One row for each (sample, species): sums, maxima, read-weighted means, sorted unique lists (AGG-16)."""
-    unique = lambda c, sep="; ": F.array_join(F.array_sort(F.collect_set(c)), sep).alias(c)
-    w = F.col("numreads")
-    mean = lambda c, d: F.round(F.sum(F.col(c) * w) / F.sum(F.when(F.col(c).isNotNull(), w)), d).alias(c)
-    aggs = {
-        "taxname": lambda: unique("taxname"), "sacc": lambda: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-w).alias("o"), "sacc"))), lambda x: x["sacc"]), "; ").alias("sacc"),
-        "numreads": lambda: F.sum("numreads").alias("numreads"), "bp": lambda: F.sum("bp").alias("bp"), "slen": lambda: F.sum("slen").alias("slen"),
-        "genome_coverage": lambda: F.max("genome_coverage").alias("genome_coverage"), "log_evalue": lambda: F.min("log_evalue").alias("log_evalue"),
-        "pident": lambda: mean("pident", 1), "pcthp": lambda: mean("pcthp", 1), "host": lambda: unique("host"), "lineage": lambda: F.min("lineage").alias("lineage"),
-    }
-    return calls.groupBy("sample", "species").agg(*[make() for c, make in aggs.items() if c in calls.columns])
+# Terms of known respiratory viruses, where no list is given.
+RESPIRATORY = (
+    "Rhinovirus", "Coronavirus", "Influenza", "Metapneumovirus", "Enterovirus", "Orthopneumovirus", "Parainfluenza", "Respirovirus", "Rubulavirus", "Respiratory", "Bocavirus", "Adenovirus",
+)
 
 
-def merge_samples(calls: DataFrame, columns: Sequence[str], *, by: str = "species", order: str = "numreads", sep: str = " | ") -> DataFrame:
-    """One row for each species: columns concatenated over samples, most reads first, ties by sample (AGG-17)."""
-    rows = F.array_sort(F.collect_list(F.struct((-F.col(order)).alias("_o"), F.col("sample").alias("_s"), *[F.col(c).cast("string").alias(c) for c in columns])))
-    grouped = calls.groupBy(by).agg(rows.alias("_rows"))
+def flag_respiratory(calls: DataFrame, patterns: Sequence[str] = RESPIRATORY, col: str = "taxname") -> DataFrame:
+    """calls with `respiratory` right after the name: whether any of the patterns matches it, in any case (FLT-14). Calls without names are judged by species."""
+    col = col if col in calls.columns else "species"
+    at = calls.columns.index(col) + 1
+    flag = F.col(col).rlike("(?i)(" + "|".join(patterns) + ")").alias("respiratory")
+    others = [c for c in calls.columns if c != "respiratory"]
+    return calls.select(*others[:at], flag, *others[at:])
 
-    def joined(c: str) -> Column:
-        return F.array_join(F.transform("_rows", lambda x: x[c]), sep, "NA").alias(c)
 
-    return grouped.select(by, *[joined(c) for c in columns])
+def _text(value: Column) -> Column:
+    """A value as it is written in a list: whole numbers without a point, null as NA."""
+    return F.coalesce(F.regexp_replace(value.cast("string"), r"\.0$", ""), F.lit("NA"))
+
+
+def _listed(name: str, order: Sequence[str], sep: str) -> Column:
+    """The values of a group in a stated order."""
+    rows = F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(order)], _text(F.col(name)).alias("v"))))
+    return F.array_join(F.transform(rows, lambda x: x["v"]), sep)
+
+
+def _distinct(values: Column) -> Column:
+    return F.array_join(F.transform(F.array_sort(values), lambda v: _text(v)), ", ")
+
+
+def merge_species(calls: DataFrame, *, order: Sequence[str] = ("sacc",)) -> DataFrame:
+    """One row for each (sample, species) (AGG-16).
+
+    Reads are summed, the largest scaffold and the least log e-value kept, identity is weighted by subject length,
+    homopolymer share and entropy by scaffold length. Names and ids become sorted distinct lists (", "), the values of single
+    calls lists in the calls' order (";"). Columns that calls lack are left out.
+    """
+    mean = lambda c, w, d: F.round(F.sum(F.col(c) * F.col(w)) / F.sum(w), d)
+    has = set(calls.columns)
+    out = [("taxnames", {"taxname"}, lambda: _distinct(F.collect_set("taxname"))), ("numreads", {"numreads"}, lambda: F.sum("numreads")), ("max_bp", {"bp"}, lambda: F.max("bp"))]
+    out += [("pident", {"pident", "slen"}, lambda: mean("pident", "slen", 1)), ("pcthp", {"pcthp", "bp"}, lambda: mean("pcthp", "bp", 1)), ("entropy", {"entropy", "bp"}, lambda: mean("entropy", "bp", 4))]
+    out += [(f"{c}s", {c}, lambda c=c: _listed(c, order, ";")) for c in ("genome_coverage", "bp", "n_frag")]
+    out += [("min_log_evalue", {"log_evalue"}, lambda: F.min("log_evalue")), ("saccs", {"sacc"}, lambda: _listed("sacc", order, ";"))]
+    if "staxids" in has:
+        ids = F.col("staxids").cast("array<string>") if calls.schema["staxids"].dataType.simpleString().startswith("array") else F.split("staxids", ";")
+        out.append(("staxids", {"staxids"}, lambda: _distinct(F.array_distinct(F.flatten(F.collect_list(ids))))))
+    out += [("taxids", {"taxid"}, lambda: _distinct(F.collect_set("taxid"))), ("lineages", {"lineage"}, lambda: _distinct(F.collect_set("lineage")))]
+    return calls.groupBy("sample", "species").agg(*[make().alias(name) for name, need, make in out if need <= has])
+
+
+# Columns of the by-species table and their names in the by-sample table.
+BY_SAMPLE = {
+    "taxnames": "taxnames", "numreads": "numreadss", "max_bp": "max_bps", "pident": "pidents", "pcthp": "pcthps", "entropy": "entropies", "n_frags": "n_frags",
+    "genome_coverages": "genome_coverages", "min_log_evalue": "min_log_evalues", "saccs": "saccs",
+}
+
+
+def merge_samples(merged: DataFrame, *, sep: str = " | ") -> DataFrame:
+    """One row for each sample of a by-species table: its values as lists, most reads first, ties by species (AGG-17)."""
+    rows = merged.withColumn("_most", -F.col("numreads"))
+    return rows.groupBy("sample").agg(*[_listed(c, ("_most", "species"), sep).alias(name) for c, name in BY_SAMPLE.items() if c in merged.columns])
 
 
 def sheet_rollup(units: DataFrame) -> DataFrame:
@@ -156,9 +195,14 @@ def properties(spark, items: dict[str, Sequence]) -> DataFrame:
 
 # Codes of report columns and their display names.
 DISPLAY_NAMES = {
-    "sample": "Sample", "unit": "Unit", "species": "Species", "taxname": "Taxonomic Name", "numreads": "# Reads", "bp": "# Bases", "pident": "% Identity",
-    "log_evalue": "log E-Value", "genome_coverage": "% Genome", "genome_size": "Genome Size", "pcthp": "% Homopolymer", "entropy": "Entropy", "n_frag": "# Fragments",
-    "host": "Host", "lineage": "Lineage", "sacc": "Accession", "stitle": "Reference Title", "words": "Words", "contig_coverage": "% Contig",
+    "unit": "Unit", "sample": "Sample", "samples": "Sample(s)", "n_samples": "Sample Count", "words": "Title Summary", "log_evalue": "Log E-Value", "min_log_evalue": "Log E-Value (min)",
+    "min_log_evalues": "Log E-Value(s) (min)", "n_frag": "Contig Count", "n_frags": "Contig Count(s)", "sacc": "Reference Accession", "saccs": "Reference Accession(s)", "stitle": "Reference Title",
+    "staxids": "Reference Taxonomy IDs", "genome_size": "Reference Genome Size", "genome_size_source": "Reference Size Source", "pident": "% Identity", "pidents": "% Identity(s)",
+    "numreads": "Read Count", "numreadss": "Read Count(s)", "taxid": "Taxonomy ID", "taxids": "Taxonomy IDs", "taxname": "Taxonomic Name", "taxnames": "Taxonomic Name(s)",
+    "species": "Species Name", "lineage": "Lineage", "lineages": "Lineage(s)", "lineage_ranks": "Lineage Ranks", "bp": "Scaffold BP", "bps": "Scaffold BP(s)", "max_bp": "Max. Scaffold BP",
+    "max_bps": "Max. Scaffold BP(s)", "slen": "Subject Length", "genome_coverage": "% Genome", "genome_coverages": "% Genome(s)", "contig_coverage": "% Aligned",
+    "positive_samples": "Positive Samples", "host": "Host", "respiratory": "Known Respiratory Virus", "unit_names": "Sequencing Units", "num_units": "Unit Count",
+    "trimmed_read_count": "Trimmed Reads", "mapped_read_count": "Mapped Reads", "pcthp": "% Homopolymer", "pcthps": "% Homopolymer(s)", "entropy": "Entropy", "entropies": "Entropy(s)",
 }
 
 
@@ -267,5 +311,5 @@ def best_call(calls: DataFrame) -> DataFrame:
 
 
 def pages(calls: DataFrame, per_page: int, order: Sequence[str]) -> DataFrame:
-    """Page numbers for plots (SRT-09)."""
-    return calls.withColumn("page", F.ceil(F.row_number().over(Window.orderBy(*order)) / per_page))
+    """Page numbers for plots, numbered over a range partitioning (SRT-09)."""
+    return numbered(calls, order).withColumn("page", F.floor(F.col("_number") / per_page) + 1).drop("_number")

@@ -13,14 +13,16 @@ from ..operators import chains, hits as H, report, scaffold, taxonomy
 
 # Names of taxa that the default filters leave out.
 HIT_EXCLUDES = (
-    "artificial sequences", "unclassified sequences", "unclassified entries", "environmental samples", "uncultured bacterium", "uncultured virus", "synthetic construct",
+    "artificial sequences", "unclassified sequences", "uncultured bacterium", "uncultured eukaryote", "uncultured fungus", "uncultured phage", "uncultured virus",
 )
 CLASS_EXCLUDES = ("Euteleostomi",)
 BIN_EXCLUDES = ("Hominidae",)
 
 
 def prefilter(hits: DataFrame, lin: DataFrame, *, hit_excludes: Sequence[str] = HIT_EXCLUDES, class_excludes: Sequence[str] = CLASS_EXCLUDES, hit_includes: Sequence[str] = ()) -> DataFrame:
-    """Class, majority and relative score filters, in this order."""
+    """Class, majority and relative score filters, in this order. A hit exclude of "None" lifts all hit excludes."""
+    if "None" in hit_excludes:
+        hit_excludes = ()
     if class_excludes:
         excluded = taxonomy.subtree(lin, taxonomy.ids_by_name(lin, class_excludes).select("tax_id"))
         hits = H.class_prefilter(hits, taxonomy.classify_contigs(hits, lin), excluded)
@@ -29,11 +31,16 @@ def prefilter(hits: DataFrame, lin: DataFrame, *, hit_excludes: Sequence[str] =
     return H.relative_score_prefilter(hits)
 
 
-def word_scores(chain_rows: DataFrame, keys: Sequence[str], *, k: int = 4, weight: float = 2.0) -> DataFrame:
-    """`keys, words`: the words of the chains' titles, log e-values halved with each place, summed, best k (TXT-06, AGG-30)."""
-    words = chain_rows.select(*keys, "log_evalue", F.posexplode(title_words(F.col("stitle"))).alias("idx", "word"))
-    per = words.groupBy(*keys, "word").agg(F.sum(F.col("log_evalue") / F.pow(F.lit(weight), F.col("idx"))).alias("score"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("score", "word"))), lambda x: x["word"])
+def word_scores(chain_rows: DataFrame, keys: Sequence[str], *, k: int = 4, weight: float = 2.0, order: str | None = None) -> DataFrame:
+    """`keys, words`: the words of the chains' titles, log e-values halved with each place, summed, best k (TXT-06, AGG-30).
+
+    Words of equal score come as first met, by `order` of the chains and place in the title; without it by name.
+    """
+    met = F.struct((F.col(order) if order else F.lit(0)).alias("o"), "idx")
+    words = chain_rows.select(*keys, "log_evalue", *([order] if order else []), F.posexplode(title_words(F.col("stitle"))).alias("idx", "word"))
+    per = words.groupBy(*keys, "word").agg(F.sum(F.col("log_evalue") / F.pow(F.lit(weight), F.col("idx"))).alias("score"), F.min(met).alias("met"))
+    rank = F.struct("score", "met", "word") if order else F.struct("score", "word")
+    ordered = F.transform(F.array_sort(F.collect_list(rank)), lambda x: x["word"])
     return per.groupBy(*keys).agg(F.array_join(best_words(ordered, k), " ").alias("words"))
 
 
@@ -53,7 +60,7 @@ def blastbin(
     key = ["sample", "component", "bin"]
     ids = members.select(*key, F.explode("staxids").alias("tax_id"), "position")
     lca = taxonomy.quorum_lca(ids, lin, key, "tax_id", order=F.col("position")).select(*key, "taxid")
-    words = word_scores(members, key)
+    words = word_scores(members, key, order="position")
     top = members.where("representative").join(lca, key).join(words, key, "left")
     allowed = taxonomy.allowed_ids(lin, bin_includes, bin_excludes).select(F.col("tax_id").alias("taxid"))
     top = top.join(allowed, "taxid", "left_semi")
@@ -76,12 +83,9 @@ def filter_blast(hits: DataFrame, contigs: DataFrame, *, min_unaligned: int = 1,
 def fasta_qc(contigs: DataFrame, *, ks: Sequence[int] = (1, 2, 3, 4, 6, 10), kmin: int = 5) -> DataFrame:
     """Lengths, k-mer entropies and homopolymer share of each contig."""
     used = S.normalize_sequence(F.col("seq"))
-    base = contigs.select("acc", F.length("seq").alias("len_all"), F.length(used).alias("len_used"), used.alias("_used"))
-    out = base.select("acc", "len_all", "len_used", F.round(S.homopolymer_ratio(F.col("_used"), kmin), 4).alias("frac_hp"))
-    for k in ks:
-        e = S.sequence_entropy(base, "acc", "_used", k)
-        out = out.join(e.withColumn(f"entropy{k}", F.round(f"entropy{k}", 4)), "acc")
-    return out.select("acc", "len_all", "len_used", *[f"entropy{k}" for k in ks], "frac_hp")
+    base = contigs.select("acc", F.length("seq").alias("len_all"), F.length(used).alias("len_used"), F.round(S.homopolymer_ratio(used, kmin), 4).alias("frac_hp"), used.alias("used"))
+    out = S.with_entropies(base, "used", ks)
+    return out.select("acc", "len_all", "len_used", *[F.round(f"entropy{k}", 4).alias(f"entropy{k}") for k in ks], "frac_hp")
 
 
 def blast_classify(hits: DataFrame, lin: DataFrame, **kw) -> DataFrame:
@@ -141,15 +145,14 @@ def download_candidates(genomes: DataFrame, taxid: int, size: float, *, toleranc
 
 
 def full_report(calls: DataFrame, coverage: DataFrame, scaffolds: DataFrame, qc: DataFrame, vhdb: DataFrame, *, whitelist: Sequence[str] = (), host: str | None = None, **thresholds) -> dict[str, DataFrame]:
-    """Sheets of the report: all calls, thresholds, species, viruses with hosts, by species and by sample."""
+    """Sheets of the report: all calls, thresholds, species, viruses with hosts and respiratory flag, by species and by sample."""
     joined = report.join_parts(calls, coverage, scaffolds, qc)
     full = report.add_genome_coverage(joined)
     kept, removed = report.threshold_cascade(full, report.default_rules(**thresholds))
-    hosted = report.annotate_hosts(report.viruses(kept), vhdb)
+    hosted = report.flag_respiratory(report.annotate_hosts(report.viruses(kept), vhdb), whitelist or report.RESPIRATORY)
     chosen = hosted.where(F.col("host").rlike(host)) if host else hosted
-    merged = report.merge_species(report.whitelisted(chosen, whitelist))
-    columns = [c for c in ("sample", "numreads", "bp", "genome_coverage", "pident", "log_evalue", "pcthp", "sacc") if c in merged.columns]
-    out = {"Calls": full, "Filtered": kept, "Thresholds": removed, "Species": report.species_found(kept), "Viruses": hosted, "By Species": merged, "By Sample": report.merge_samples(merged, columns)}
+    merged = report.merge_species(chosen.where("respiratory"))
+    out = {"Calls": full, "Filtered": kept, "Thresholds": removed, "Species Found": report.species_found(kept), "Virus Detections": hosted, "Respiratory Viruses": merged, "Positive Samples": report.merge_samples(merged)}
     out["Summary"] = report.summary([(name, df, name) for name, df in out.items()])
     return out
 
