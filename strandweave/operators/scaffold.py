@@ -13,6 +13,9 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..scratch import written
 
 _FLIP = str.maketrans("ACGTURYSWKMBDHVNacgturyswkmbdhvn", "TGCAAYRSWMKVHDBNtgcaayrswmkvhdbn")
 _TOKEN = re.compile(r"(\d+)|([A-Za-z*-]{2})")
@@ -149,48 +152,48 @@ def scaffold_contigs(alignments: Sequence[Alignment], max_fill: int = 50_000) ->
             queries = reconcile([s for _, s in over])
             votes = [*queries, subject] if len(subject) == len(queries[0]) else queries
             sec.text, sec.kind = consensus(votes), "consensus"
-        if k >= 2 and len(over) and not secs[k - 1].alignments:
-            _join_split(secs, pieces, k, over)
+        if k >= 2 and over and not secs[k - 1].alignments:
+            _join_split(pieces, over)
         pieces.append((sec, where))
     _overhang(pieces, alignments)
-    return _split(pieces, max_fill)
+    return _split(pieces, max_fill, {a.qacc: len(a.query) for a in alignments})
 
 
-def _join_split(secs, pieces, k, over) -> None:
-    """A gap between two parts of one contig, same strand, is filled with the contig's bases between them."""
-    before = pieces[k - 2][1]
+def _join_split(pieces, over) -> None:
+    """A gap between two parts of one contig on the same strand gets the contig's bases between them, none where they overlap."""
+    (_, before), (gap, _) = pieces[-2:]
     for a, s in over:
         left = [w for w in before if w[0] == a.qacc]
-        if len(left) != 1 or sum(x.qacc == a.qacc for x, _ in over) != 1 or left[0][3] == a.forward:
+        if len(left) != 1 or left[0][3] == a.forward:
             continue
         lo, hi = (left[0][2], s.qstart) if a.forward else (s.qend, left[0][1])
-        if hi > lo:
-            text = a.query[lo : hi - 1]
-            gap = secs[k - 1]
-            gap.text, gap.kind = text if a.forward else flip(text), "unique"
-            pieces[k - 1] = (gap, [(a.qacc, lo + 1, hi - 1, not a.forward)])
-        return
+        text = a.query[lo : max(lo, hi - 1)]
+        gap.text = text if a.forward else flip(text)
+        if text:
+            pieces[-1] = (gap, [(a.qacc, lo + 1, hi - 1, not a.forward)])
+            return
 
 
 def _overhang(pieces, alignments) -> None:
-    """Unaligned contig ends beyond the first and last section are kept if one contig with one piece lies there."""
-    used = [(qacc, lo, hi) for _, where in pieces for qacc, lo, hi, _ in where]
+    """Contig ends beyond the first and the last section are kept where one contig lies there once, unless they are used elsewhere.
+
+    They take subject coordinates before the first section's start and after the last one's end.
+    """
     for first in (True, False):
         sec, where = pieces[0] if first else pieces[-1]
         if len(where) != 1:
             continue
         qacc, lo, hi, rev = where[0]
         query = next(a.query for a in alignments if a.qacc == qacc)
-        left_side = first != rev  # the contig's start sticks out
-        a, b = (1, lo - 1) if left_side else (hi + 1, len(query))
-        if a > b or any(q == qacc and x <= b and y >= a for q, x, y in used):
+        a, b = (1, lo - 1) if first != rev else (hi + 1, len(query))
+        if a > b or any(q == qacc and (x <= a <= y or x <= b <= y) for _, own in pieces for q, x, y, _ in own):
             continue
-        text = flip(query[a - 1 : b]) if rev else query[a - 1 : b]
-        edge = Section(sec.start, sec.start, [], text, "edge") if first else Section(sec.end, sec.end, [], text, "edge")
+        text, n = flip(query[a - 1 : b]) if rev else query[a - 1 : b], b - a + 1
+        edge = Section(sec.start - n, sec.start - 1, [], text, "edge") if first else Section(sec.end + 1, sec.end + n, [], text, "edge")
         pieces.insert(0 if first else len(pieces), (edge, [(qacc, a, b, rev)]))
 
 
-def _split(pieces, max_fill: int) -> tuple[dict[str, str], list[dict]]:
+def _split(pieces, max_fill: int, lengths: dict[str, int]) -> tuple[dict[str, str], list[dict]]:
     groups: list[list] = [[]]
     for sec, where in pieces:
         if max_fill > 0 and sec.text and set(sec.text) == {"n"} and len(sec.text) > max_fill:
@@ -198,35 +201,38 @@ def _split(pieces, max_fill: int) -> tuple[dict[str, str], list[dict]]:
         else:
             groups[-1].append((sec, where))
     groups = [g for g in groups if g]
-    name = "+".join(dict.fromkeys(w[0] for g in groups for _, where in g for w in where))
+    name = "+".join(sorted({w[0] for _, where in pieces for w in where}))
     seqs, rows = {}, []
     for k, group in enumerate(groups):
         acc = name if k == 0 else f"{name}.{k + 1}"
         seqs[acc] = "".join(s.text for s, _ in group)
         for s, where in group:
-            for qacc, lo, hi, rev in where or [(None, None, None, None)]:
-                rows.append({"acc": acc, "sstart": s.start, "send": s.end, "qacc": qacc, "qstart": lo, "qend": hi, "reversed": rev, "bp": sum(s.text.count(c) for c in "ACGT"), "scaffold": s.kind})
+            for qacc, lo, hi, rev in where:
+                rows.append({"acc": acc, "sstart": s.start, "send": s.end, "qacc": qacc, "qstart": lo, "qend": hi, "qlen": lengths[qacc], "reversed": rev, "bp": sum(s.text.count(c) for c in "ACGT"), "scaffold": s.kind})
     return seqs, rows
 
 
-def scaffolds(hits: DataFrame, contigs: DataFrame, *, max_fill: int = 50_000) -> tuple[DataFrame, DataFrame]:
-    """(sequences, mapping) of all (sample, sacc): hits with btop, joined with contigs `qacc, seq`."""
+_ROW = "sstart int, send int, qacc string, qstart int, qend int, qlen int, reversed boolean, bp int, scaffold string"
+
+
+def scaffold_table(hits: DataFrame, contigs: DataFrame, *, max_fill: int = 50_000) -> DataFrame:
+    """`sample, sacc, acc, seq, parts`: each scaffold with the mapping rows of its sections, in one pass."""
     rows = hits.join(contigs, "qacc").select("sample", "sacc", "qacc", "qstart", "qend", "sstart", "send", "btop", "seq", "ord")
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}
+    names = [c.split(" ")[0] for c in _ROW.split(", ")]
 
-    def run(pdf: pd.DataFrame):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord", kind="stable")
         als = [Alignment(str(r.qacc), r.seq, int(r.qstart), int(r.qend), int(r.sstart), int(r.send), r.btop) for r in pdf.itertuples()]
-        return pdf["sample"].iloc[0], pdf["sacc"].iloc[0], *scaffold_contigs(als, max_fill)
+        found, parts = scaffold_contigs(als, max_fill)
+        own = {acc: [{c: p[c] for c in names} for p in parts if p["acc"] == acc] for acc in found}
+        return pd.DataFrame([(pdf["sample"].iloc[0], pdf["sacc"].iloc[0], acc, seq, own[acc]) for acc, seq in found.items()], columns=["sample", "sacc", "acc", "seq", "parts"])
 
-    def seqs(pdf: pd.DataFrame) -> pd.DataFrame:
-        sample, sacc, found, _ = run(pdf)
-        return pd.DataFrame([(sample, sacc, acc, seq) for acc, seq in found.items()], columns=["sample", "sacc", "acc", "seq"])
+    fields = ", ".join(c.replace(" ", ": ") for c in _ROW.split(", "))
+    return rows.groupBy("sample", "sacc").applyInPandas(run, f"sample {kind['sample']}, sacc {kind['sacc']}, acc string, seq string, parts array<struct<{fields}>>")
 
-    def mapping(pdf: pd.DataFrame) -> pd.DataFrame:
-        sample, sacc, _, found = run(pdf)
-        return pd.DataFrame([{"sample": sample, "sacc": sacc, **r} for r in found], columns=["sample", "sacc", "acc", "sstart", "send", "qacc", "qstart", "qend", "reversed", "bp", "scaffold"])
 
-    by = rows.groupBy("sample", "sacc")
-    head = f"sample {kind['sample']}, sacc {kind['sacc']}, acc string"
-    return by.applyInPandas(seqs, f"{head}, seq string"), by.applyInPandas(mapping, f"{head}, sstart int, send int, qacc string, qstart int, qend int, reversed boolean, bp int, scaffold string")
+def scaffolds(hits: DataFrame, contigs: DataFrame, *, max_fill: int = 50_000) -> tuple[DataFrame, DataFrame]:
+    """(sequences, mapping) of all (sample, sacc): hits with btop, joined with contigs `qacc, seq`. Gaps have no mapping rows."""
+    both = written(scaffold_table(hits, contigs, max_fill=max_fill))
+    return both.drop("parts"), both.select("sample", "sacc", "acc", F.inline("parts"))

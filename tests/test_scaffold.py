@@ -115,3 +115,30 @@ def test_reconcile_and_consensus():
     assert consensus(["A-G", "A-G", "ATG"]) == "AG"
     with pytest.raises(ValueError):
         consensus(["A", "AC"])
+
+
+def plain(k, a, b):
+    """A contig of SUBJECT[a - 1 : b] with its hit."""
+    return hit(k, SUBJECT[a - 1 : b], a, b)
+
+
+def test_ids_are_sorted_and_rows_have_lengths():
+    seqs, rows = scaffold_contigs([plain("zeta", 1, 8), plain("alpha", 12, 20)])
+    assert list(seqs) == ["alpha+zeta"] and {(r["qacc"], r["qlen"]) for r in rows} == {("zeta", 8), ("alpha", 9)}
+    assert all(r["qacc"] for r in rows)  # gaps have no rows
+
+
+def test_edges_lie_outside_the_hit():
+    q = "TTTT" + SUBJECT[9:15] + "GGG"
+    _, rows = scaffold_contigs([hit("a", q, 10, 15, 5, 10)])
+    at = {(r["sstart"], r["send"], r["qstart"], r["qend"], r["scaffold"]) for r in rows}
+    assert at == {(6, 9, 1, 4, "edge"), (10, 15, 5, 10, "unique"), (16, 18, 11, 13, "edge")}
+
+
+def test_gap_of_a_contig_whose_parts_overlap_is_emptied():
+    q = SUBJECT[:5] + SUBJECT[9:15]
+    seqs, rows = scaffold_contigs([hit("a", q, 1, 5, 1, 5), hit("a", q, 10, 15, 6, 11)])
+    assert seqs["a"] == q and {r["scaffold"] for r in rows} == {"unique"}
+    long = SUBJECT[:5] + "AAA" + SUBJECT[9:15]
+    seqs, rows = scaffold_contigs([hit("a", long, 1, 5, 1, 5), hit("a", long, 10, 15, 9, 14)])
+    assert seqs["a"] == long and {(r["sstart"], r["send"], r["qstart"], r["qend"]) for r in rows if r["scaffold"] == "gap"} == {(6, 9, 6, 8)}
