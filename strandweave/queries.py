@@ -54,7 +54,7 @@ _SEG = f"""{HITS_SQL}, p AS (SELECT DISTINCT sample, sacc, unnest([lo, hi + 1])
 
 
 @query(f"""WITH {_SEG} SELECT g.sample, g.sacc, g.start, g."end", count(h.ord) AS n, coalesce(string_agg(CAST(h.qacc AS VARCHAR), ',' ORDER BY h.ord), '') AS queries
-  FROM g LEFT JOIN h ON g.sample = h.sample AND g.sacc = h.sacc AND h.lo <= g.start AND h.hi >= g."end" WHERE g."end" IS NOT NULL AND g.sample < 5 GROUP BY ALL""")
+  FROM g LEFT JOIN h ON g.sample = h.sample AND g.sacc = h.sacc AND h.lo <= g.start AND h.hi >= g."end" WHERE g."end" IS NOT NULL GROUP BY ALL""")
 def region_segments(spark, sf):
     seg = intervals.segments(hits(spark, sf), ["sample", "sacc"], "sstart", "send", "qacc", "ord")
     return seg.select("sample", "sacc", "start", "end", F.size("payload").cast("long").alias("n"), F.array_join(F.col("payload").cast("array<string>"), ",").alias("queries"))
@@ -79,7 +79,7 @@ def merge_intervals_gap(spark, sf):
 
 
 @query(f"""WITH {HITS_SQL}, f AS (SELECT p_partkey % 7 AS sacc, p_partkey * 13 % 4800 + 1 AS fs, p_partkey * 13 % 4800 + p_size * 3 AS fe, p_partkey AS feature FROM part)
-  SELECT h.sacc, h.ord, f.feature, greatest(h.lo, f.fs) AS start, least(h.hi, f.fe) AS "end" FROM h JOIN f ON h.sacc = f.sacc AND h.lo <= f.fe AND f.fs <= h.hi WHERE h.sample < 3""")
+  SELECT h.sacc, h.ord, f.feature, greatest(h.lo, f.fs) AS start, least(h.hi, f.fe) AS "end" FROM h JOIN f ON h.sacc = f.sacc AND h.lo <= f.fe AND f.fs <= h.hi""")
 def interval_overlap_join(spark, sf):
     a = hits(spark, sf).select("sacc", "ord", F.least("sstart", "send").alias("start"), F.greatest("sstart", "send").alias("end"))
     b = table(spark, sf, "part").select((F.col("p_partkey") % 7).alias("sacc"), F.col("p_partkey").alias("feature"), (F.col("p_partkey") * 13 % 4800 + 1).alias("start"), (F.col("p_partkey") * 13 % 4800 + F.col("p_size") * 3).alias("end"))
@@ -195,7 +195,15 @@ def quorum_lca(spark, sf):
     return out.select("qacc", "taxid", F.round("score", 6).alias("score"))
 
 
-@query()
+@query(f"""WITH {HITS_SQL}, {TREE_SQL}, k AS (SELECT tax_id, [CAST(1 AS BIGINT)] AS path FROM nodes WHERE tax_id = 1 UNION ALL SELECT tax_id, [1, tax_id] FROM nodes WHERE rank = 'phylum' UNION ALL SELECT tax_id, [1, parent_id, tax_id] FROM nodes WHERE rank = 'genus' UNION ALL SELECT tax_id, path FROM paths),
+  r AS (SELECT h.qacc, h.bitscore AS w, generate_subscripts(k.path, 1) - 1 AS depth, unnest(k.path) AS node, h.ord FROM h JOIN k ON h.taxid = k.tax_id),
+  n AS (SELECT qacc, depth, node, sum(w) AS w, min(ord) AS first FROM r GROUP BY ALL),
+  d AS (SELECT qacc, depth, sum(w) AS tot, max(w) AS top FROM n GROUP BY ALL), t AS (SELECT qacc, max(tot) AS total FROM d GROUP BY ALL),
+  g AS (SELECT d.* FROM d JOIN t USING (qacc) WHERE tot >= total * 0.9 - 1e-9 AND top >= tot * 0.9 - 1e-9), m AS (SELECT qacc, max(depth) AS depth FROM g GROUP BY ALL),
+  a AS (SELECT n.qacc, arg_min(n.node, n.first) AS taxid, max(g.top / g.tot) AS score FROM m JOIN g USING (qacc, depth) JOIN n USING (qacc, depth) WHERE n.w >= g.top - 1e-9 GROUP BY n.qacc),
+  names AS (SELECT k.tax_id, string_agg(o.name, '; ' ORDER BY i) AS lineage, string_agg(o.rank, '; ' ORDER BY i) AS ranks, max(CASE WHEN o.rank = 'genus' THEN o.name END) AS genus
+    FROM (SELECT tax_id, generate_subscripts(path, 1) AS i, unnest(path) AS node FROM k) k JOIN nodes o ON k.node = o.tax_id WHERE k.node <> 1 GROUP BY k.tax_id)
+  SELECT a.qacc, round(a.score, 3) AS score, x.name AS taxname, coalesce(names.genus, 'Unknown') AS genus, coalesce(names.lineage, '') AS lineage, coalesce(names.ranks, '') AS ranks FROM a JOIN nodes x ON a.taxid = x.tax_id LEFT JOIN names ON a.taxid = names.tax_id""")
 def blast_classify(spark, sf):
     return commands.blast_classify(hits(spark, sf), taxonomy.lineage(taxon_nodes(spark, sf)))
 
@@ -218,26 +226,49 @@ def prefix_lookup(spark, sf):
 def _calls(spark, sf):
     o, c, n = (table(spark, sf, t) for t in ("orders", "customer", "nation"))
     rows = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    k = F.col("o_orderkey")
     return rows.select(
-        F.concat(F.lit("s"), F.col("o_orderkey") % 40).alias("sample"), F.col("n_name").alias("species"), (F.col("o_orderkey") % 1000 + 1).alias("numreads"), F.col("c_mktsegment").alias("taxname"),
-        F.col("o_orderkey").alias("sacc"), F.floor("o_totalprice").cast("long").alias("bp"), (F.col("o_orderkey") % 300 / 10.0 + 70).alias("pident"),
+        F.concat(F.lit("s"), k % 40).alias("sample"), F.col("n_name").alias("species"), (k % 1000 + 1).alias("numreads"), F.concat_ws(" ", F.lit("Influenza"), "c_mktsegment").alias("taxname"),
+        k.alias("sacc"), F.floor("o_totalprice").cast("long").alias("bp"), (k % 300 / 10.0 + 70).alias("pident"), (k % 900 + 100).alias("slen"), (k % 120 / 8.0).alias("pcthp"), (k % 17 / 16.0).alias("entropy"),
+        (k % 101).alias("genome_coverage"), (k % 5 + 1).cast("int").alias("n_frag"), (-(k % 500) / 4.0).alias("log_evalue"), F.concat_ws(";", k % 7 + 8, k % 3 + 9).alias("staxids"), (F.col("o_custkey") % 11 + 5).alias("taxid"),
+        F.concat_ws("; ", F.lit("Viruses"), "n_name").alias("lineage"),
     )
 
 
-_CALLS = """c AS (SELECT 's' || (o_orderkey % 40) AS sample, n_name AS species, o_orderkey % 1000 + 1 AS numreads, c_mktsegment AS taxname, o_orderkey AS sacc,
-  CAST(floor(o_totalprice) AS BIGINT) AS bp, o_orderkey % 300 / 10.0 + 70 AS pident FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
+_CALLS = """c AS (SELECT 's' || (o_orderkey % 40) AS sample, n_name AS species, o_orderkey % 1000 + 1 AS numreads, 'Influenza ' || c_mktsegment AS taxname, o_orderkey AS sacc,
+  CAST(floor(o_totalprice) AS BIGINT) AS bp, CAST(o_orderkey % 300 AS DOUBLE) / 10 + 70 AS pident, o_orderkey % 900 + 100 AS slen, CAST(o_orderkey % 120 AS DOUBLE) / 8 AS pcthp,
+  CAST(o_orderkey % 17 AS DOUBLE) / 16 AS entropy, o_orderkey % 101 AS genome_coverage, CAST(o_orderkey % 5 + 1 AS INTEGER) AS n_frag, -CAST(o_orderkey % 500 AS DOUBLE) / 4 AS log_evalue,
+  (o_orderkey % 7 + 8) || ';' || (o_orderkey % 3 + 9) AS staxids, o_custkey % 11 + 5 AS taxid, 'Viruses; ' || n_name AS lineage FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 
+#: By species: identity by subject length, homopolymer share and entropy by scaffold length, lists in the calls' order.
+_MERGED = """m AS (SELECT sample, species, string_agg(DISTINCT taxname, ', ' ORDER BY taxname) AS taxnames, CAST(sum(numreads) AS BIGINT) AS numreads, max(bp) AS max_bp,
+    round(sum(pident * slen) / sum(slen), 1) AS pident, round(sum(pcthp * bp) / sum(bp), 1) AS pcthp, round(sum(entropy * bp) / sum(bp), 4) AS entropy,
+    string_agg(CAST(genome_coverage AS VARCHAR), ';' ORDER BY sacc) AS genome_coverages, string_agg(CAST(bp AS VARCHAR), ';' ORDER BY sacc) AS bps, string_agg(CAST(n_frag AS VARCHAR), ';' ORDER BY sacc) AS n_frags,
+    min(log_evalue) AS min_log_evalue, string_agg(CAST(sacc AS VARCHAR), ';' ORDER BY sacc) AS saccs, array_to_string(list_sort(list_distinct(flatten(list(string_split(staxids, ';'))))), ', ') AS staxids,
+    array_to_string(list_sort(list(DISTINCT taxid)), ', ') AS taxids, string_agg(DISTINCT lineage, ', ' ORDER BY lineage) AS lineages FROM c GROUP BY sample, species)"""
 
-@query(f"""WITH {_CALLS} SELECT sample, species, string_agg(DISTINCT taxname, '; ' ORDER BY taxname) AS taxname, CAST(sum(numreads) AS BIGINT) AS numreads, CAST(sum(bp) AS BIGINT) AS bp,
-  round(CAST(sum(pident * numreads) AS DOUBLE) / sum(numreads), 1) AS pident FROM c GROUP BY sample, species""")
+
+@query(f"WITH {_CALLS}, {_MERGED} SELECT * FROM m")
 def merge_species(spark, sf):
-    return report.merge_species(_calls(spark, sf)).drop("sacc")
+    return report.merge_species(_calls(spark, sf))
+
 
+def _joined(column: str, name: str, number: bool = False) -> str:
+    text = f"regexp_replace(CAST({column} AS VARCHAR), '\\.0$', '')" if number else f"CAST({column} AS VARCHAR)"
+    return f"string_agg({text}, ' | ' ORDER BY numreads DESC, species) AS {name}"
 
-@query(f"""WITH {_CALLS}, m AS (SELECT sample, species, CAST(sum(numreads) AS BIGINT) AS numreads FROM c GROUP BY ALL)
-  SELECT species, string_agg(sample, ' | ' ORDER BY numreads DESC, sample) AS sample, string_agg(CAST(numreads AS VARCHAR), ' | ' ORDER BY numreads DESC, sample) AS numreads FROM m GROUP BY species""")
+
+_LISTS = ", ".join(_joined(c, report.BY_SAMPLE[c], c in ("pident", "pcthp", "entropy", "min_log_evalue")) for c in report.BY_SAMPLE)
+
+
+@query(f"WITH {_CALLS}, {_MERGED} SELECT sample, {_LISTS} FROM m GROUP BY sample")
 def merge_samples(spark, sf):
-    return report.merge_samples(report.merge_species(_calls(spark, sf)), ["sample", "numreads"])
+    return report.merge_samples(report.merge_species(_calls(spark, sf)))
+
+
+@query(f"WITH {_CALLS} SELECT sacc, taxname, regexp_matches(taxname, '(?i)(machinery|build)') AS respiratory FROM c")
+def respiratory_flag(spark, sf):
+    return report.flag_respiratory(_calls(spark, sf), ("Machinery", "BUILD")).select("sacc", "taxname", "respiratory")
 
 
 @query(f"WITH {_CALLS} SELECT species, count(DISTINCT sample) AS n_samples, CAST(sum(numreads) AS BIGINT) AS numreads FROM c GROUP BY species")
@@ -271,12 +302,12 @@ def weighted_qc(spark, sf):
 
 
 @query("""WITH v AS (SELECT n_name AS species, r_name || '; ' || n_name AS lineage, CAST(n_nationkey AS BIGINT) AS taxid FROM nation JOIN region ON n_regionkey = r_regionkey),
-  k AS (SELECT c_nationkey, c_mktsegment AS host FROM customer WHERE c_nationkey % 3 = 0)
+  k AS (SELECT c_nationkey, c_mktsegment AS host FROM customer)
   SELECT v.species, string_agg(DISTINCT k.host, '; ' ORDER BY k.host) AS host FROM v LEFT JOIN k ON v.taxid = k.c_nationkey GROUP BY v.species""")
 def hosts_by_taxid(spark, sf):
     n, r, c = (table(spark, sf, t) for t in ("nation", "region", "customer"))
     calls = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("species"), F.concat_ws("; ", "r_name", "n_name").alias("lineage"), F.col("n_nationkey").cast("long").alias("taxid"))
-    db = c.where("c_nationkey % 3 = 0").select(F.col("c_nationkey").cast("long").alias("virus_tax_id"), F.lit("none").alias("virus_lineage"), F.lit("none").alias("virus_name"), F.col("c_mktsegment").alias("host_name"), F.lit("a; b; c").alias("host_lineage"))
+    db = c.select(F.col("c_nationkey").cast("long").alias("virus_tax_id"), F.lit("none").alias("virus_lineage"), F.lit("none").alias("virus_name"), F.col("c_mktsegment").alias("host_name"), F.lit("a; b; c").alias("host_lineage"))
     return report.annotate_hosts(calls, db).select("species", "host")
 
 
@@ -335,9 +366,18 @@ def kmer_entropy(spark, sf):
     return S.sequence_entropy(sequences(spark, sf), "acc", "seq", 3).withColumn("entropy3", F.round("entropy3", 5))
 
 
-@query()
+_KS = (1, 2, 3, 4, 6, 10)
+
+
+def _entropy_sql(k: int) -> str:
+    return f"""e{k} AS (SELECT acc, (log2(sum(n)) - sum(n * log2(n)) / sum(n)) / {2 * k} AS e FROM (SELECT acc, substr(used, CAST(i AS BIGINT), {k}) AS w, count(*) AS n FROM (SELECT acc, used, unnest(range(1, length(used) - {k} + 2)) AS i FROM u WHERE length(used) >= {k}) GROUP BY ALL) GROUP BY acc)"""
+
+
+@query(f"""WITH {SEQ_SQL}, u AS (SELECT acc, seq, regexp_replace(upper(regexp_replace(seq, 'n+', '', 'g')), '[^AGCT]', 'n', 'g') AS used FROM s), {", ".join(_entropy_sql(k) for k in _KS)}
+  SELECT u.acc, CAST(length(seq) AS INTEGER) AS len_all, CAST(length(used) AS INTEGER) AS len_used, {", ".join(f"round(coalesce(e{k}.e, 0), 4) AS entropy{k}" for k in _KS)},
+    CASE WHEN length(used) > 0 THEN round(1 - length(regexp_replace(used, 'A{{6,}}|C{{6,}}|G{{6,}}|T{{6,}}', '', 'g')) / length(used), 4) END AS frac_hp FROM u {" ".join(f"LEFT JOIN e{k} ON u.acc = e{k}.acc" for k in _KS)}""")
 def fasta_qc(spark, sf):
-    return commands.fasta_qc(sequences(spark, sf).where("length(seq) > 0"), ks=(1, 2, 3))
+    return commands.fasta_qc(sequences(spark, sf), ks=_KS)
 
 
 @query("""SELECT p_partkey, CAST(p_partkey % 40 + 1 + p_partkey % 7 + 4 AS INTEGER) AS query_length, CAST(p_partkey % 40 + 1 + p_partkey % 7 + 3 AS INTEGER) AS subject_length, 3 AS edits FROM part""")
@@ -349,9 +389,10 @@ def btop_parse(spark, sf):
     return table(spark, sf, "part").select("p_partkey", q.alias("query_length"), s.alias("subject_length"), F.size(ops).alias("edits"))
 
 
-@query()
+@query("""WITH p AS (SELECT p_partkey, translate(rpad(regexp_replace(lower(p_name), '[^a-z]', '', 'g'), 40, 'acgt'), 'abcdefghijklmnopqrstuvwxyz', 'ACCGGTTACGTACGTACGTACGTACA') AS s FROM part)
+  SELECT 'p' AS sample, p_partkey AS sacc, p_partkey || '_0+' || p_partkey || '_1+' || p_partkey || '_2' AS acc, substr(s, 1, 25) || 'nnnnn' || substr(s, 31, 10) AS seq FROM p""")
 def scaffold_parts(spark, sf):
-    # two or three contigs by part, cut from its own sequence
+    # three contigs by part, cut from its own sequence: two that overlap, and one beyond a gap
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("sacc"), F.translate(F.rpad(F.regexp_replace(F.lower("p_name"), "[^a-z]", ""), 40, "acgt"), "abcdefghijklmnopqrstuvwxyz", "ACCGGTTACGTACGTACGTACGTACA").alias("full"))
     pieces = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(a).alias("a"), F.lit(b).alias("b")) for k, a, b in ((0, 1, 18), (1, 12, 25), (2, 31, 40))])
     rows = p.select("sacc", "full", F.explode(pieces).alias("x")).select("sacc", F.concat_ws("_", "sacc", "x.k").alias("qacc"), F.substring("full", F.col("x.a"), F.col("x.b") - F.col("x.a") + 1).alias("seq"), F.col("x.a").alias("sstart"), F.col("x.b").alias("send"), F.col("x.k").alias("ord"))
@@ -359,9 +400,18 @@ def scaffold_parts(spark, sf):
     return scaffold.scaffolds(rows.drop("seq"), rows.select("qacc", "seq"))[0]
 
 
-@query()
+@query("""WITH t AS (SELECT p_partkey % 50 AS bin, -p_retailprice AS e, list_concat(['Type ' || p_partkey % 9, 'Type'], list_concat(string_split(p_name, ' '), string_split(p_type, ' '))) AS ws FROM part),
+  w AS (SELECT bin, e, generate_subscripts(ws, 1) - 1 AS idx, unnest(ws) AS raw FROM t),
+  u AS (SELECT bin, e, idx, CASE WHEN substr(raw, 2) = lower(substr(raw, 2)) AND substr(raw, 2) <> upper(substr(raw, 2)) THEN lower(raw) ELSE raw END AS word FROM w),
+  s AS (SELECT bin, word, sum(e / pow(2, idx)) AS score FROM u GROUP BY ALL),
+  p AS (SELECT bin, score, word, generate_subscripts(string_split(word, ' '), 1) AS k, unnest(string_split(word, ' ')) AS part FROM s),
+  f AS (SELECT bin, part, row_number() OVER (PARTITION BY bin, part ORDER BY score, word, k) AS r, row_number() OVER (PARTITION BY bin ORDER BY score, word, k) AS met FROM p),
+  o AS (SELECT bin, part, row_number() OVER (PARTITION BY bin ORDER BY met) AS place FROM f WHERE r = 1)
+  SELECT bin, string_agg(part, ' ' ORDER BY place) AS words FROM o WHERE place <= 4 GROUP BY bin""")
 def word_scores(spark, sf):
-    rows = table(spark, sf, "part").select((F.col("p_partkey") % 50).alias("bin"), F.concat_ws(" ", "p_name", "p_type", F.lit("complete genome")).alias("stitle"), (-F.col("p_retailprice")).alias("log_evalue"))
+    # stop words of any case go, a single digit hangs on the word before it, punctuation is taken off
+    title = F.concat(F.lit("Complete, (Type "), F.col("p_partkey") % 9, F.lit(") "), F.col("p_name"), F.lit(" "), F.col("p_type"), F.lit(" genome; HUMAN"))
+    rows = table(spark, sf, "part").select((F.col("p_partkey") % 50).alias("bin"), title.alias("stitle"), (-F.col("p_retailprice")).alias("log_evalue"))
     return commands.word_scores(rows, ["bin"])
 
 
@@ -483,5 +533,12 @@ def genome_size_ladder(spark, sf):
 def blastbin(spark, sf):
     h = hits(spark, sf).withColumn("sample", F.col("qacc") % 499).withColumn("stitle", F.concat_ws(" ", F.lit("Isolate"), F.col("sacc").cast("string"), F.lit("region, complete")))
     lin = taxonomy.lineage(taxon_nodes(spark, sf))
-    out = commands.blastbin(h, lin, hit_excludes=(), class_excludes=(), bin_excludes=())["calls"]
+    # names of the driver tables' tree in the places of those that the command leaves out by default
+    out = commands.blastbin(h, lin, hit_excludes=("CHINA", "Supplier#000000003"), class_excludes=("MIDDLE EAST",), bin_excludes=("FRANCE",))["calls"]
     return out.select("sample", "sacc", "bin", "log_evalue", "slen", "n_frag", "contig_coverage", "pident", "words", "taxid", "taxname", "species", "lineage")
+
+
+from . import io_queries  # noqa: E402  (readers and sinks, over files written from the driver tables)
+
+QUERIES |= io_queries.QUERIES
+ORACLE |= io_queries.ORACLE

@@ -2,7 +2,6 @@ import random
 
 import pytest
 
-from strandweave.llm.components import connected_components
 from strandweave.operators import chains
 from strandweave.operators.chains import _Chain, greedy_groups
 
@@ -37,10 +36,3 @@ def test_long_chains_are_one_component(spark):
     for r in chains.greedy_select(df.where("sample = 't'")).collect():
         bins.setdefault((r["component"], r["bin"]), set()).add((r["sacc"], r["representative"]))
     assert sorted(map(sorted, bins.values())) == sorted(sorted((s, rep) for s, _, rep in g) for g in whole)
-
-
-def test_components_never_end_early(spark):
-    edges = spark.createDataFrame([(k, k + 1) for k in range(40)], "a int, b int")
-    assert {r["component"] for r in connected_components(edges).collect()} == {0}
-    with pytest.raises(RuntimeError):
-        connected_components(edges, most=1)

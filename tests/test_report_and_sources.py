@@ -36,12 +36,23 @@ def test_hosts(spark):
 def test_merges(spark):
     c = spark.createDataFrame([("s1", "v", "b", 5, "x"), ("s1", "v", "a", 7, "y"), ("s2", "v", "a", 20, "z")], "sample string, species string, taxname string, numreads long, sacc string")
     m = R.merge_species(c)
-    assert {(r["sample"], r["taxname"], r["numreads"], r["sacc"]) for r in m.collect()} == {("s1", "a; b", 12, "y; x"), ("s2", "a", 20, "z")}
-    assert R.merge_samples(m, ["sample", "numreads"]).first()["sample"] == "s2 | s1"
+    assert {(r["sample"], r["taxnames"], r["numreads"], r["saccs"]) for r in m.collect()} == {("s1", "a, b", 12, "x;y"), ("s2", "a", 20, "z")}
+    # identity by subject length, homopolymer share and entropy by scaffold length, the largest scaffold; lists as met
+    full = spark.createDataFrame(
+        [("s", "v", 1, 100, 80.0, 10, 2.0, 0.5, 50.0, 1, -3.0, "b", "2;10", 10), ("s", "v", 2, 300, 90.0, 30, 4.0, 1.0, None, 2, -9.5, "a", "9", 9), ("s", "w", 9, 5, 70.0, 1, 0.0, 0.0, 1.5, 1, -1.0, "c", "1", 1)],
+        "sample string, species string, numreads long, bp long, pident double, slen long, pcthp double, entropy double, genome_coverage double, n_frag int, log_evalue double, sacc string, staxids string, taxid long",
+    )
+    v = R.merge_species(full, order=("numreads",)).where("species = 'v'").first()
+    assert (v["max_bp"], v["pident"], v["pcthp"], v["entropy"], v["min_log_evalue"]) == (300, 87.5, 3.5, 0.875, -9.5)
+    assert (v["genome_coverages"], v["bps"], v["n_frags"], v["saccs"], v["staxids"], v["taxids"]) == ("50;NA", "100;300", "1;2", "b;a", "10, 2, 9", "9, 10")
+    one = R.merge_samples(R.merge_species(full, order=("numreads",))).first()
+    assert (one["sample"], one["numreadss"], one["saccs"], one["max_bps"], one["pidents"]) == ("s", "9 | 3", "c | b;a", "5 | 300", "70 | 87.5")
+    flagged = R.flag_respiratory(spark.createDataFrame([("human RHINOvirus", 1), ("other", 2)], "taxname string, n int"))
+    assert flagged.columns == ["taxname", "respiratory", "n"] and [r["respiratory"] for r in flagged.orderBy("n").collect()] == [True, False]
     assert R.drop_redundant_unit(c.withColumn("unit", F.col("sample"))).columns == c.columns
     assert [r["count"] for r in R.summary([("all", c, "t"), ("few", c.where("numreads < 6"), "t")]).orderBy("step").collect()] == [3, 1]
     assert R.whitelisted(c.withColumn("species", F.lit("Human Rhino")), ["rhino$"]).count() == 3
-    assert R.properties(spark, {"a": [1, 2], "b": "x"}).count() == 2 and "# Reads" in R.displayed(c).columns
+    assert R.properties(spark, {"a": [1, 2], "b": "x"}).count() == 2 and "Read Count" in R.displayed(c).columns
 
 
 def test_expression(spark):

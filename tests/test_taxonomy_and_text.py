@@ -110,6 +110,7 @@ def test_title_words(spark):
     s = F.col("s")
     v = lambda t, **kw: value(spark, C.title_words(s, **kw), s=t)
     assert v("alpha b c delta") == ["alpha b c", "alpha b", "alpha", "delta"]
-    assert v("Human rhinovirus A, complete genome") == ["human", "rhinovirus A", "rhinovirus"]
+    assert v("Human rhinovirus A, complete genome") == ["rhinovirus A", "rhinovirus"]
+    assert v("HUMAN Virus is iPSC - x") == ["virus is", "iPSC  x", "iPSC ", "iPSC"]  # stop words go after short ones were joined; punctuation alone is a short word
     assert v("") == []
     assert value(spark, C.best_words(F.split(s, ","), 3), s="b a,b,c,d") == ["b", "a", "c"]
