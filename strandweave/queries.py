@@ -534,11 +534,12 @@ def blastbin(spark, sf):
     h = hits(spark, sf).withColumn("sample", F.col("qacc") % 499).withColumn("stitle", F.concat_ws(" ", F.lit("Isolate"), F.col("sacc").cast("string"), F.lit("region, complete")))
     lin = taxonomy.lineage(taxon_nodes(spark, sf))
     # names of the driver tables' tree in the places of those that the command leaves out by default
-    out = commands.blastbin(h, lin, hit_excludes=("CHINA", "Supplier#000000003"), class_excludes=("MIDDLE EAST",), bin_excludes=("FRANCE",))["calls"]
+    out = commands.blastbin(h, lin, hit_excludes=("NATION_3", "Supplier#000000003"), class_excludes=("AMERICA",), bin_excludes=("NATION_7",))["calls"]
     return out.select("sample", "sacc", "bin", "log_evalue", "slen", "n_frag", "contig_coverage", "pident", "words", "taxid", "taxname", "species", "lineage")
 
 
-from . import io_queries  # noqa: E402  (readers and sinks, over files written from the driver tables)
+from . import io_queries, operator_queries  # noqa: E402  (readers and sinks, over files written from the driver tables; single operators)
 
-QUERIES |= io_queries.QUERIES
-ORACLE |= io_queries.ORACLE
+for more in (io_queries, operator_queries):
+    QUERIES |= more.QUERIES
+    ORACLE |= more.ORACLE
