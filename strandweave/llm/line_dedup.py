@@ -3,7 +3,7 @@
 A line goes if an earlier line of the corpus, by (doc_id, line number), has Jaccard similarity `threshold` or more on
 distinct lower-cased words. Lines without a word stay, and so do those under `min_chars` characters (default: none).
 
-1. Rarity: words are counted over all documents in 2^18 hash buckets; a word's order is (rank of its bucket, hash).
+1. Rarity: words are counted over all documents in 2^16 hash buckets; a word's order is (rank of its bucket, hash).
    Any total order is right, a rarer first word only makes buckets smaller, so the table has a fixed size.
 2. Equal lines are one class: grouped by hash, the first stays.
 3. Each line emits its prefix, the n - ceil(t n) + 1 rarest words, with n, the position and a parity bitmap of its
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_IDS, materialize, unused
 
-BUCKETS, CLASSES = 1 << 18, 128
+BUCKETS, CLASSES = 1 << 16, 128
 
 
 #: One white space character. A split at single ones is much cheaper than at runs; empty words are taken out after it.
@@ -50,7 +50,7 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def rarity_classes(docs: DataFrame) -> Column:
-    """An array literal with the class, 0 the rarest, of each of the 2^18 buckets by its number of words.
+    """An array literal with the class, 0 the rarest, of each of the 2^16 buckets by its number of words.
 
     A literal, as a column of the table would be copied into every row; bytes, as these are shared when boxed.
     """

@@ -16,7 +16,8 @@ two components is left out.
 With 20 bands of 4 registers a pair at Jaccard 0.85 shares no band with probability 4e-7 (0.80: 3e-5); sketches rule out
 what agrees in fewer registers than 4.5 standard deviations below the threshold (3e-6).
 
-Edge cases: null or blank text: no shingles, linked with nothing. Fewer words than a shingle: the whole sequence is
+Edge cases: null or blank text: no shingles, linked with nothing. Very long texts: a set of all shingles is held in one
+worker (8 bytes each), a text's walk at a time. Fewer words than a shingle: the whole sequence is
 one shingle. Rows with a null id form no links and are kept. Rows that repeat an id are one node. Empty table: no
 rows. Extra columns are ignored by `near_duplicates`, and kept by `drop_near_duplicates`.
 """
@@ -288,5 +289,19 @@ def near_dedup_stage(spark, docs, sf_dir):
 
 QUERIES = {"op8_super_minhash": op8_super_minhash}
 
-#: Exact Jaccard links by shared shingles, and the smallest id reachable.
-ORACLE = {}
+#: Exact: links by counts of shared shingles over all pairs that share any, and the smallest id reachable.
+ORACLE = {
+    "op8_super_minhash": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+n AS (SELECT doc_id, ws, least(5, len(ws)) AS k, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + k - 1], ' ') AS s FROM n),
+sz AS (SELECT doc_id, count(*) AS c FROM sh GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM shared JOIN sz p ON x = p.doc_id JOIN sz q ON y = q.doc_id WHERE 100 * k >= 85 * (p.c + q.c - k)),
+e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS id, doc_id AS c FROM sz UNION SELECT e.b, r.c FROM r JOIN e ON r.id = e.a WHERE r.c < e.b),
+m AS (SELECT id, min(c) AS c FROM r GROUP BY id)
+SELECT d.doc_id, coalesce(sz.c, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id, coalesce(m.c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sz ON d.doc_id = sz.doc_id LEFT JOIN m ON d.doc_id = m.id
+"""
+}
