@@ -83,3 +83,73 @@ def test_pipeline(spark, tmp_path):
         assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         seen.append({r["doc_id"] for r in kept.select("doc_id").collect()})
     assert seen[0] == clean | {1000, 1001, 1002} and 1000 not in seen[1] and seen[3] == clean | {1002}
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Every stage by a plain version over all rows; toxicity by the same model, whose kernel and folds have tests of their own."""
+    from test_filters import brute_tiles
+    from test_line_dedup import brute as repeated
+    from test_mixing import simulated
+    from test_near_dedup import brute as groups
+
+    import corpus_pipeline
+    from strandweave.llm import toxicity
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice(["ba", "lo", "mi", "ten", "sur", "ka", "ro"]) for _ in range(rng.randint(2, 4)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    items = [prose(30), prose(12), "four words of it"]
+    lines = [prose(rng.randint(1, 25)) for _ in range(30)]
+    rows = []
+    for k in range(130):
+        own = [rng.choice(lines) if rng.random() < 0.15 else prose(rng.randint(1, 25)) for _ in range(rng.randint(1, 5))]
+        if k % 5 == 0:
+            own[0] += " grumfuk zwodel"
+        if k % 17 == 3:
+            own.append(" ".join(rng.choice(items).split()[rng.randint(0, 3) :]))
+        if k % 11 == 7 and rows:
+            own = rows[-1][1].split("\n")[::-1]
+        rows.append((k, "\n".join(own), "en", f"s{k % 3}"))
+    rows += [(900, None, "en", "s0"), (901, " \n", "en", None)]
+    d = str(tmp_path)
+    spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{d}/documents.parquet")
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(130)], "doc_id long, toxic int")
+    labels.write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    got = {r["doc_id"]: (r["text"], r["taken"]) for r in corpus_pipeline.run(spark, d).collect()}
+
+    scores = toxicity.fit(spark.read.parquet(f"{d}/documents.parquet"), labels).scores([r[1] for r in rows])
+    kept = [(k, t, s) for (k, t, _, s), x in zip(rows, scores) if x < 0.7]
+    gone = repeated([(k, t) for k, t, _ in kept])
+    left = [(k, t if t is None or not any((k, i) in gone for i in range(t.count("\n") + 1)) else "\n".join(x for i, x in enumerate(t.split("\n")) if (k, i) not in gone), s, t) for k, t, s in kept]
+    kept = [(k, t, s) for k, t, s, old in left if t == old or t.split()]
+    group = groups([(k, t) for k, t, _ in kept], 80)
+    kept = [r for r in kept if group[r[0]] == r[0]]
+
+    def covered(doc, item):
+        doc, item = (doc or "").split(), item.split()
+        width = min(5, len(item))
+        return sum(n for _, _, n in brute_tiles(item, doc, width)) >= 0.5 * len(item) if width == 5 else any(doc[i : i + width] == item for i in range(len(doc)))
+
+    kept = [r for r in kept if not any(covered(r[1], i) for i in items)]
+    taken = simulated([(k, s, t or "") for k, t, s in kept], {"s0": 3, "s1": 1, "s2": 2, None: 3}, 4096)
+    want = {k: (t, taken[k]) for k, t, _ in kept if taken.get(k, 0) > 0}
+    assert {k: t for k, (t, _) in got.items()} == {k: t for k, (t, _) in want.items()}
+    # all queues end at virtual time 1, where rounding of targets decides which source's last packet, here one word, comes first
+    assert all(abs(got[k][1] - want[k][1]) <= 1 for k in want) and sum(n for _, n in got.values()) == sum(n for _, n in want.values())
+    assert 20 < len(got) < 100
+
+
+def test_pipeline_edges(spark, edge, none, no_labels, tmp_path):
+    import corpus_pipeline
+
+    for name, docs in (("edge", edge), ("none", none)):
+        d = f"{tmp_path}/{name}"
+        docs.write.parquet(f"{d}/documents.parquet")
+        no_labels.write.parquet(f"{d}/labels.parquet")
+        spark.createDataFrame([(1, "no such words in any of the documents")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, d)
+        assert {"doc_id", "text", "removed_id", "_gone", "slot", "hash", "taken"} <= set(out.columns)
+        ids = [r["doc_id"] for r in out.collect()]
+        assert name == "edge" or ids == []
+    assert set(ids) <= {4, 5, 6, 8, 9, None}
