@@ -1,6 +1,13 @@
 """The corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+
+Edge cases: rows of null or blank text pass all stages but the last, which takes no words of them. Null ids: toxicity
+judges each row, line dedup takes all of them for one document that comes first, near dedup keeps them, decontamination
+drops them together. Rows that repeat an id are toxic each for itself, one document whose equal line numbers keep each other in
+line dedup, one node in near dedup, and stand or fall together in decontamination. Ties: the smaller id stays. Without
+labels nothing is toxic; empty tables give no rows. Extra columns are kept, whatever their names, but for those that
+the last stage adds (size, source_size, target, taken, finish).
 """
 
 from __future__ import annotations
@@ -37,5 +44,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Trained models and tilings are not SQL; the stages are tested one by one against brute force.
+#: Trained models and tilings are not SQL; the whole pipeline is tested against a brute-force version of its stages.
 ORACLE_SQL = None
