@@ -5,7 +5,7 @@ Counts per language come from all training documents: each task adds up its own,
 log probabilities (2^15 x languages, a size that doesn't grow with the corpus) is broadcast, and batches are scored by
 gathers and segment sums in numpy.
 
-Edge cases: null text, or text without a letter: `und`, score 0. Null languages are not learned. No training rows:
+Edge cases: null text, or text without a letter: `und`, score 0. Null languages are not learned, and classes have no priors. Very long texts are scored whole, one at a time beyond `CHUNK`. No training rows:
 `und` for all. Ties go to the language first by code point. Repeated rows are judged alike; extra columns are ignored.
 """
 

@@ -6,7 +6,7 @@ patterns (at most 3^12, in practice dozens, counted by Spark). The posterior of
 applied: logistic regression on hashed words and on hashed steps of the same measures, trained on a bounded sample of
 documents by hash of the id, and broadcast (2^16 weights). It sees words that the labellers don't.
 
-Edge cases: null, empty or blank text: score 0, not kept. No documents: no rows. If all votes abstain the prior decides.
+Edge cases: null, empty or blank text: score 0, not kept. Very long texts are measured whole, one at a time. No documents: no rows. If all votes abstain the prior decides.
 Repeated rows score alike; extra columns are ignored by `score`, kept by nothing else here.
 """
 
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, word_hashes
+from .common import hash_sample, materialize, word_hashes
 
 BITS, SAMPLE, KEEP, RATIO = 16, 6000, 0.5, 30
 _SYMBOL = str.maketrans("", "", "#$%&*|<>{}[]=@^~_\\/+")
@@ -183,7 +183,7 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, id_col: str = "doc_id", text_c
     patterns = np.array([[int(x) for x in r["votes"].split(",")] for r in seen])
     post, _ = expectation_maximisation(patterns, np.array([r["count"] for r in seen], dtype=float))
     label = {tuple(p): q for p, q in zip(patterns.tolist(), post.tolist())}
-    ids = materialize(docs.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct().orderBy(F.xxhash64(F.lit(23), "doc_id"), "doc_id").limit(sample))
+    ids = materialize(hash_sample(docs.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct(), "doc_id", sample, 23))
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
     rows, y = [], []
     for r in own.orderBy("doc_id", "text").toLocalIterator():

@@ -298,7 +298,7 @@ def worst_stretches(alphabet: Alphabet, table: np.ndarray, texts: list[str | Non
                 own, part, held = [], [], 0
     if part:
         flush()
-    return best, said
+    return np.round(best, 6), said  # running sums differ in the last digits by what stands before a stretch
 
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float) -> np.ndarray:
@@ -420,11 +420,12 @@ def train(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS,
             for b, f, words in zip(pos, best[is_pos], (s for s, y in zip(said, is_pos) if y)):
                 if f > 0.5 and found.isdisjoint(b) and in_neg[words] == 0 and words not in found:
                     toxic_words.append(words)
-    # the cut that is right most often, a false alarm counting ten misses; in the middle of its gap
+    # the cut that is right most often, a false alarm counting ten misses; between two values, in the middle of its gap
     order = np.argsort(-best, kind="stable")
-    right = np.r_[0, np.cumsum(np.where(is_pos[order], 1, -10))]
-    top = int(right.argmax())
     ranked = best[order]
+    right = np.r_[0, np.cumsum(np.where(is_pos[order], 1, -10))].astype(float)
+    right[1:-1][ranked[1:] == ranked[:-1]] = -np.inf
+    top = int(right.argmax())
     cut = ranked[0] + 0.5 if top == 0 else ranked[-1] - 0.5 if top == len(ranked) else (ranked[top - 1] + ranked[top]) / 2
     slope = 2 / max(float(np.median(best[is_pos])) - cut, 0.2)
     middle = cut - np.log(0.7 / 0.3) / slope  # a probability of 0.7 at the cut

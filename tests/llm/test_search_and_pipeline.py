@@ -113,7 +113,7 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     rows += [(900, None, "en", "s0"), (901, " \n", "en", None)]
     d = str(tmp_path)
     spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{d}/documents.parquet")
-    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(130)], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(k, int("grumfuk" in t)) for k, t, *_ in rows[:130]], "doc_id long, toxic int")
     labels.write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     got = {r["doc_id"]: (r["text"], r["taken"]) for r in corpus_pipeline.run(spark, d).collect()}
