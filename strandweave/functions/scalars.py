@@ -86,12 +86,53 @@ def last_match(text: Column, cases: Sequence[tuple[str, str]], default: str | No
 
 
 def recode(text: Column, steps: Sequence[tuple[str, str]]) -> Column:
-    """Regex replacements in order (PRJ-18)."""
+    """Regex replacements in order, of the first match each (PRJ-18). Groups that replacements use must be named."""
     for pattern, value in steps:
-        text = F.regexp_replace(text, pattern, value)
+        text = F.regexp_replace(text, f"(?s)^(?<before>.*?)(?:{pattern})", "${before}" + value)
     return text
 
 
+# Steps from names of taxa to short names of viruses with their strains.
+VIRUS_STEPS = (
+    (" virus.*", ""), ("rhinovirus sp.", "rhinovirus B"), ("rhinovirus 1B", "rhinovirus A"), ("(?:Human )?[Rr]hinovirus (?<strain>[A-Z]).*", "HRV ${strain}"),
+    ("Human orthopneumovirus", "RSV"), ("Human metapneumovirus", "HMPV"), ("Human respirovirus", "HPIV"), ("Human coronavirus", "CoV"), ("(?:Human )?[Ee]nterovirus", "EV"),
+)
+
+
+def virus_and_strain(taxname: Column) -> tuple[Column, Column]:
+    """(virus, strain) of a taxon's name: the nine steps, then cut at what is neither letter nor digit; further pieces dropped."""
+    parts = F.split(recode(taxname, VIRUS_STEPS), r"[^\p{Alnum}]+")
+    return F.get(parts, 0), F.get(parts, 1)
+
+
+def recode_values(value: Column, names: dict[str, str]) -> Column:
+    """Values renamed by a map of old to new names, others as they are (PRJ-11)."""
+    pairs = [x for old, new in names.items() for x in (F.lit(old), F.lit(new))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), value), value) if pairs else value
+
+
+def contig_number(acc: Column) -> Column:
+    """`NODE_12_length_…` to `12` (PRJ-13)."""
+    return F.regexp_replace(acc, r"^NODE_([0-9]+)_.*", "$1")
+
+
+def species_of_path(path: Column) -> Column:
+    """`…/Some_name.fasta.gz` to `Some name`; null for other names (SCL-07)."""
+    name = F.regexp_extract(path, r"(?:^|/)([^.]+)\.fasta\.gz", 1)
+    return F.when(name != "", F.replace(F.substring_index(name, "/", -1), F.lit("_"), F.lit(" ")))
+
+
+def clock_seconds(text: Column) -> Column:
+    """`h:m:s` in seconds; hours may exceed a day (SCL-21)."""
+    parts = F.transform(F.split(text, ":"), lambda x: x.try_cast("double"))
+    return F.when(F.size(parts) == 3, F.get(parts, 0) * 3600 + F.get(parts, 1) * 60 + F.get(parts, 2))
+
+
+def xml_text(document: Column, path: str) -> Column:
+    """All texts at an XPath of an XML document (SCL-28)."""
+    return F.xpath(document, F.lit(f"{path}/text()"))
+
+
 def log_evalue(score: Column, qlen: Column, *, lam: float = 0.625, kappa: float = 0.41, db_size: int = 1_004_024_614) -> Column:
     """log10 of the expected number of hits of a raw score (AGG-08)."""
     natural = score * -lam + F.log(F.lit(kappa)) + F.log(F.lit(float(db_size))) + F.log(qlen.cast("double"))

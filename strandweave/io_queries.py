@@ -142,6 +142,27 @@ def read_quant(spark, sf):
     return readers.quant(spark, path).select("feature_id", "counts", "abundance", "length")
 
 
+@query("SELECT 'x' || p_partkey AS feature_id, p_retailprice AS counts, CAST(p_size AS DOUBLE) AS abundance, CAST(p_size + 100 AS DOUBLE) AS length FROM part")
+def read_gene_quant(spark, sf):
+    """Gene level quantification."""
+    p, n = table(spark, sf, "part"), F.col("p_size")
+    q = p.select(F.concat(F.lit("x"), "p_partkey").alias("gene_id"), F.lit("t1,t2").alias("transcript_id(s)"), (n + 200).alias("length"), (n + 100).alias("effective_length"), F.col("p_retailprice").alias("expected_count"), n.alias("TPM"), n.alias("FPKM"))
+    path = new_path(spark, "genes")
+    q.write.csv(path, header=True, sep="\t")
+    return readers.gene_quant(spark, path).select("feature_id", "counts", "abundance", "length")
+
+
+@query("SELECT p_partkey AS feature_id, s AS sample, CAST(p_size * s AS DOUBLE) AS counts, CAST(p_size + 1 AS DOUBLE) AS length FROM part, (VALUES (1), (2)) v(s)")
+def read_exon_counts(spark, sf):
+    """Exon counts, a column for each sample, to long form."""
+    n = F.col("p_size")
+    x = table(spark, sf, "part").select(F.col("p_partkey").alias("feature_id"), F.lit("g").alias("gene_id"), F.lit("c").alias("chrom"), F.lit(10).alias("start"), (n + 10).alias("end"), F.lit("+").alias("strand"), n.alias("s1"), (n * 2).alias("s2"))
+    path = new_path(spark, "exons")
+    x.write.csv(path, header=True, sep="\t")
+    out = readers.exon_counts(spark, path)
+    return out.select(F.col("feature_id").cast("long").alias("feature_id"), F.substring("sample", 2, 1).cast("int").alias("sample"), "counts", "length")
+
+
 @query(f"WITH {HITS_SQL} SELECT 'c' || sacc AS contig, CAST(lo AS INTEGER) AS pos, CAST(count(*) AS INTEGER) AS depth FROM h GROUP BY sacc, lo")
 def read_depth(spark, sf):
     d = hits(spark, sf).groupBy(F.concat(F.lit("c"), "sacc").alias("contig"), F.least("sstart", "send").alias("pos")).agg(F.count("*").alias("depth"))

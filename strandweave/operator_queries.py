@@ -281,6 +281,44 @@ def hits_of_chains(spark, sf):
     return chains.chain_hits(chosen, chains.without_queries(h, used, ("qacc",)))
 
 
+@query("SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'HRV' WHEN 1 THEN 'HRV' WHEN 2 THEN 'RSV' WHEN 3 THEN 'EV' WHEN 4 THEN 'Influenza' ELSE 'HRV' END AS virus, CASE p_size % 6 WHEN 0 THEN 'C' WHEN 1 THEN 'A' WHEN 2 THEN NULL WHEN 3 THEN 'D68' WHEN 4 THEN 'A' ELSE 'B' END AS strain FROM part")
+def virus_names(spark, sf):
+    """Names by the nine steps, cut to virus and strain."""
+    n = F.col("p_size") % 6
+    names = F.when(n == 0, F.concat(F.lit("Human rhinovirus C"), F.col("p_partkey"))).when(n == 1, "rhinovirus 1B").when(n == 2, "Human orthopneumovirus").when(n == 3, "Human enterovirus D68/x").when(n == 4, "Influenza A virus (A/1)").otherwise("rhinovirus sp. virus")
+    meta = table(spark, sf, "part").select(F.lit("a").alias("study"), F.col("p_partkey").alias("sample"), F.lit("u").alias("unit"))
+    calls = table(spark, sf, "part").select(F.lit("a").alias("study"), F.col("p_partkey").alias("sample"), F.lit("u").alias("unit"), names.alias("taxname"))
+    return E.calls_of_samples(meta, calls).select(F.col("sample").alias("p_partkey"), "virus", "strain")
+
+
+@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'open' ELSE o_orderstatus END AS status, CAST(o_orderkey % 77 AS VARCHAR) AS contig, 'Some name ' || o_custkey AS species, CAST(o_orderkey % 50 * 3600 + 61 AS DOUBLE) AS seconds, 't' || o_orderkey AS title, round_even(o_totalprice / 8, 0) AS e FROM orders")
+def names_and_clocks(spark, sf):
+    """Values renamed, contig numbers, species of paths, clock times, texts of XML, whole columns rounded half to even."""
+    o, k = table(spark, sf, "orders"), F.col("o_orderkey")
+    xml = F.concat(F.lit("<a><b x='1'><t>t"), k, F.lit("</t></b><b x='2'><t>no</t></b></a>"))
+    out = o.select(
+        C.contig_number(F.concat(F.lit("NODE_"), k % 77, F.lit("_length_9"))).alias("contig"), "o_orderkey", C.recode_values(F.col("o_orderstatus"), {"F": "done", "O": "open"}).alias("status"),
+        C.species_of_path(F.concat(F.lit("/data/Some_name_"), "o_custkey", F.lit(".fasta.gz"))).alias("species"), C.clock_seconds(F.concat(k % 50, F.lit(":01:01"))).alias("seconds"), F.get(C.xml_text(xml, "a/b[@x='1']/t"), 0).alias("title"),
+        (F.col("o_totalprice") / 8).alias("e"),
+    )
+    return R.relocated(R.rounded(out, ("e",)), ["status"], after="o_orderkey")
+
+
+@query(f"WITH {HITS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY sacc, qacc ORDER BY qstart, sstart) AS r FROM h), c AS (SELECT sacc, qacc, (sstart + send) / 2.0 - (qstart + qend) / 2.0 + 1 AS cstart, (sstart + send) / 2.0 - (qstart + qend) / 2.0 + 1 + qlen AS cend FROM r WHERE r = 1) SELECT h.ord, c.cstart, c.cend FROM h LEFT JOIN c ON h.sacc = c.sacc AND h.qacc = c.qacc")
+def placed_contigs(spark, sf):
+    return R.placed(hits(spark, sf)).select("ord", "cstart", "cend")
+
+
+@query("SELECT c_custkey AS sample, CASE WHEN c_custkey % 3 = 0 THEN c_name END AS name, CASE WHEN c_custkey % 5 = 0 THEN '/f/' || c_custkey END AS path FROM customer")
+def run_meta_and_paths(spark, sf):
+    """Samples with the scalars of their runs, and with the paths of their files by id and mate."""
+    c = table(spark, sf, "customer")
+    meta = c.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("sample"), F.col("c_name").alias("name"))
+    paths = c.where("c_custkey % 5 = 0").select(F.col("c_custkey").alias("id"), F.lit("R1").alias("mate"), F.concat(F.lit("/f/"), "c_custkey").alias("path"))
+    rows = E.with_run_meta(c.select(F.col("c_custkey").alias("sample")), meta).withColumn("id", F.col("sample")).withColumn("mate", F.lit("R1"))
+    return E.with_fastq_paths(rows, paths).select("sample", "name", "path")
+
+
 # ---- plans
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import virus_and_strain
 from .ordering import numbered
 
 
@@ -214,6 +215,22 @@ def infection_rates(calls: DataFrame, samples: DataFrame, *, study: str = "study
     return hit.join(total, study).join(any_, study).withColumn("rate", F.col("n") / F.col("n_samples")).withColumn("prevalence", F.col("n") / F.col("n_infected"))
 
 
+def calls_of_samples(metadata: DataFrame, calls: DataFrame) -> DataFrame:
+    """Metadata of all units with their virus calls, if any, and the calls' short names (JOI-17, PRJ-18)."""
+    virus, strain = virus_and_strain(F.col("taxname"))
+    return metadata.join(calls, ["study", "sample", "unit"], "left").withColumn("virus", virus).withColumn("strain", strain)
+
+
+def with_run_meta(coldata: DataFrame, meta: DataFrame) -> DataFrame:
+    """Sample table with the scalars of each sample's quantification run (JOI-18)."""
+    return coldata.join(meta, "sample", "left")
+
+
+def with_fastq_paths(fastqc: DataFrame, paths: DataFrame) -> DataFrame:
+    """FastQC rows with the path of their file, by id and mate (JOI-20)."""
+    return fastqc.join(paths.select("id", "mate", "path"), ["id", "mate"], "left")
+
+
 def rpkm(reads: Column, length: Column, total: Column) -> Column:
     return reads * 1e9 / (length * total)
 

@@ -206,6 +206,23 @@ DISPLAY_NAMES = {
 }
 
 
+def relocated(df: DataFrame, columns: Sequence[str], *, after: str | None = None) -> DataFrame:
+    """df with some columns moved to the front, or behind another one; the order of the rest stays (PRJ-02)."""
+    rest = [c for c in df.columns if c not in columns]
+    at = rest.index(after) + 1 if after else 0
+    return df.select(*rest[:at], *columns, *rest[at:])
+
+
+def rounded(df: DataFrame, columns: Sequence[str] = ("log_evalue",)) -> DataFrame:
+    """Whole columns rounded to whole numbers, halves to even (PRJ-21)."""
+    return df.withColumns({c: F.bround(c) for c in columns if c in df.columns})
+
+
+def placed(hits: DataFrame) -> DataFrame:
+    """hits with the placement of their contig on their subject (JOI-13)."""
+    return hits.join(contig_placement(hits), ["sacc", "qacc"], "left")
+
+
 def displayed(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({c: DISPLAY_NAMES[c] for c in df.columns if c in DISPLAY_NAMES})
 

@@ -13,20 +13,31 @@ from ..schemas import BLAST6, COVERAGE, DEPTH, FIELD_NAMES, FIELD_TYPES, VHDB, f
 
 
 def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """`value, path, file, pos`: lines with their place in the file. A text file that is split is read in order of blocks."""
-    raw = spark.read.text(paths)
-    return raw.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), (F.shiftleft(F.col("_metadata.file_block_start"), 0) * 1_000_000 + F.monotonically_increasing_id()).alias("pos"))
+    """`value, path, file, pos`: lines with their place in the file.
+
+    A file that is split is read in blocks: the block's first byte in the upper bits, the row within the task in the lower 27, which
+    hold for blocks of up to 128 MB and files of up to 64 GB; files that aren't split (gzip) have no such bounds.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # the upper bits number partitions
+    pos = F.shiftleft(F.col("_metadata.file_block_start").cast("long"), 27) + row
+    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), pos.alias("pos"))
 
 
-def blast7(spark: SparkSession, paths: str | Sequence[str], *, suffix: str = "blast7") -> DataFrame:
+def blast7(spark: SparkSession, paths: str | Sequence[str], *, suffix: str = "blast7", checked: bool = True) -> DataFrame:
     """Tabular alignments that describe themselves: columns as in `# Fields:`, long names shortened, unknown ones kept (SRC-01).
 
-    Fields may differ between files. The distinct header lines (a few) come to the driver and give the columns.
+    Fields may differ between files. One row for each file (its first line and its fields) is made; the distinct fields, a
+    few, and up to five names of files whose first line doesn't name the tool, which is an error, come to the driver.
     """
     lines = _lines(spark, paths)
-    head = lines.where(F.col("value").startswith("# Fields: ")).select("path", F.substring("value", 11, 10_000).alias("fields")).groupBy("path").agg(F.min("fields").alias("fields"))
-    kinds = [r["fields"] for r in head.select("fields").distinct().orderBy("fields").collect()]
-    data = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).join(head, "path")
+    fields = F.min(F.when(F.col("value").startswith("# Fields: "), F.expr("substring(value, 11)")))
+    head = lines.groupBy("path").agg(F.min_by("value", "pos").alias("first"), fields.alias("fields"))
+    if checked:
+        bad = [r["path"] for r in head.where(~F.col("first").contains("BLAST")).limit(5).collect()]
+        if bad:
+            raise ValueError(f"not alignment files by their first line: {', '.join(bad)}")
+    kinds = [r["fields"] for r in head.select("fields").where("fields is not null").distinct().orderBy("fields").collect()]
+    data = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).join(head.drop("first"), "path")
     parts, out = F.split("value", "\t"), None
     for fields in kinds:
         names = [FIELD_NAMES.get(f.strip(), f.strip()) for f in fields.split(",")]
@@ -62,7 +73,7 @@ def fasta(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def fasta_accessions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Accessions only (SRC-05)."""
-    return spark.read.text(paths).where(F.col("value").startswith(">")).select(head_tail(F.substring("value", 2, 100_000))[0].alias("acc"))
+    return spark.read.text(paths).where(F.col("value").startswith(">")).select(head_tail(F.expr("substring(value, 2)"))[0].alias("acc"))
 
 
 def coverage(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -98,9 +109,12 @@ def host_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", header=True, schema=VHDB)
 
 
-def path_list(spark: SparkSession, path: str) -> list[str]:
-    """Paths of a list file, one a line (SRC-12)."""
-    return [r[0].strip() for r in spark.read.text(path).collect() if r[0].strip()]
+def path_list(spark: SparkSession, path: str, *, must_exist: bool = False) -> list[str]:
+    """Paths of a list file, one a line; with must_exist a missing one is Spark's error that names it (SRC-12)."""
+    paths = [r[0].strip() for r in spark.read.text(path).collect() if r[0].strip()]
+    if must_exist and paths:
+        spark.read.format("binaryFile").load(paths).limit(0).collect()
+    return paths
 
 
 def many_csv(spark: SparkSession, paths: Sequence[str], *, unit: str = r"([^/]+)\.[^/]*$", sep: str = ",", schema: T.StructType | None = None) -> DataFrame:
@@ -139,6 +153,21 @@ def quant(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return raw.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("sample"), F.col("Name").alias("feature_id"), F.col("NumReads").alias("counts"), F.col("TPM").alias("abundance"), F.col("EffectiveLength").alias("length"))
 
 
+def gene_quant(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Gene level quantification, `sample` from the file name (SRC-17)."""
+    cols = "gene_id string, `transcript_id(s)` string, length double, effective_length double, expected_count double, TPM double, FPKM double"
+    raw = spark.read.csv(paths, sep="\t", header=True, schema=cols)
+    return raw.select(sample_name(F.col("_metadata.file_name"), r"genes\.results").alias("sample"), F.col("gene_id").alias("feature_id"), F.col("expected_count").alias("counts"), F.col("TPM").alias("abundance"), F.col("effective_length").alias("length"))
+
+
+def exon_counts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Exon counts as tables of parts and samples, to long form; a part's length from its ends (SRC-17)."""
+    raw = spark.read.csv(paths, sep="\t", header=True, inferSchema=True)
+    fixed = ["feature_id", "gene_id", "chrom", "start", "end", "strand"]
+    long = raw.unpivot(fixed, [c for c in raw.columns if c not in fixed], "sample", "counts")
+    return long.select("sample", "feature_id", "gene_id", F.col("counts").cast("double").alias("counts"), (F.col("end") - F.col("start") + 1).cast("double").alias("length"))
+
+
 def run_meta(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Scalars of quantification runs' JSON (SCL-27)."""
     raw = spark.read.json(paths, multiLine=True)
