@@ -36,3 +36,49 @@ def test_long_chains_are_one_component(spark):
     for r in chains.greedy_select(df.where("sample = 't'")).collect():
         bins.setdefault((r["component"], r["bin"]), set()).add((r["sacc"], r["representative"]))
     assert sorted(map(sorted, bins.values())) == sorted(sorted((s, rep) for s, _, rep in g) for g in whole)
+
+
+def plain_selection(hits, penalty=20.0, alt=0.9):
+    """Greedy selection of one sample by its definition, with sets of positions for covered bases."""
+    from math import log
+
+    def measures(own):
+        queries = {h["qacc"] for h in own}
+        qlen = sum(next(h["qlen"] for h in own if h["qacc"] == q) for q in queries)
+        raw = sum(h["score"] for h in own) - penalty * (len(own) - 1)
+        e = round((-0.625 * raw + log(0.41) + log(1_004_024_614) + log(qlen)) / log(10), 2)
+        covered = {p for h in own for p in range(min(h["sstart"], h["send"]), max(h["sstart"], h["send"]) + 1)}
+        return queries, qlen, e, len(covered)
+
+    chains, groups = {}, []
+    for h in sorted(hits, key=lambda h: h["ord"]):
+        chains.setdefault(h["sacc"], []).append(h)
+    while chains:
+        m = {s: measures(own) for s, own in chains.items()}
+        best = max(chains, key=lambda s: -m[s][2])
+        queries, qlen, e, slen = m[best]
+        alts = [s for s in chains if s != best and -m[s][2] > alt * -e and m[s][2] < alt * e and m[s][3] > alt * slen and m[s][1] > alt * qlen and len(m[s][0] & queries) > len(queries) / 10]
+        groups.append((best, sorted(alts)))
+        chains = {s: [h for h in own if h["qacc"] not in queries] for s, own in chains.items() if s != best}
+        chains = {s: own for s, own in chains.items() if own}
+    return sorted(groups)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_greedy_selection_equals_its_definition(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for sample in ("a", "b"):
+        for k in range(90):
+            start, n = rng.randrange(1, 600), rng.randint(50, 300)
+            ends = (start, start + n) if rng.random() < 0.5 else (start + n, start)
+            q = rng.randrange(12)
+            rows.append((sample, f"q{q}", f"s{(q // 3) * 2 + rng.randrange(2)}", len(rows), 300 + q, *ends, float(rng.randint(60, 400)) + k / 128))
+    got = {}
+    for r in chains.greedy_select(spark.createDataFrame(rows, HITS)).collect():
+        got.setdefault((r["sample"], r["component"], r["bin"]), []).append((r["sacc"], r["representative"]))
+    names = [c.split(" ")[0] for c in HITS.split(", ")]
+    for sample in ("a", "b"):
+        want = plain_selection([dict(zip(names, r)) for r in rows if r[0] == sample])
+        found = sorted((next(s for s, rep in g if rep), sorted(s for s, rep in g if not rep)) for (own, *_), g in got.items() if own == sample)
+        assert found == want
