@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import shared_folder as scratch_dir  # noqa: F401
+from ..scratch import written as materialize  # noqa: F401
+
 #: A word is a run of anything but ASCII white space, as bytes.split() sees it.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -24,30 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_LOCAL: list[str] = []
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir). A session without one may use a folder of this machine only if it
-    runs on this machine only; on a cluster executors wouldn't see it, so that is an error."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if at:
-        return at.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="strandweave-"))
-    return _LOCAL[0]
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def unused(name: str, *tables: DataFrame) -> str:
     """A column name that none of the tables has."""
     taken = {c.lower() for t in tables for c in t.columns}
