@@ -3,7 +3,7 @@
 A line goes if an earlier line of the corpus, by (doc_id, line number), has Jaccard similarity `threshold` or more on
 distinct lower-cased words. Lines without a word stay, and so do those under `min_chars` characters (default: none).
 
-1. Rarity: words are counted over all documents in 2^16 hash buckets; a word's order is (rank of its bucket, hash).
+1. Rarity: words are counted over all documents in 2^16 hash buckets; a word's order is (class of its bucket among 128 by rank, hash).
    Any total order is right, a rarer first word only makes buckets smaller, so the table has a fixed size.
 2. Equal lines are one class: grouped by hash, the first stays.
 3. Each line emits its prefix, the n - ceil(t n) + 1 rarest words, with n, the position and a parity bitmap of its

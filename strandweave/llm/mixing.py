@@ -153,8 +153,11 @@ def op7_weighted_fair_mix(spark, sf_dir):
 
 
 def mix_corpus(spark, docs, sf_dir):
-    """Pipeline stage: documents that the mix takes words of, with what it takes, in the order of the mix; the rest go."""
-    return in_virtual_order(fair_mix(docs).where("taken > 0"))
+    """Pipeline stage: documents that the mix takes words of, with what it takes and `finish`, their place in it; the rest go.
+
+    Who reads the mix in order sorts by finish; sorting the texts here would move all of them once more.
+    """
+    return fair_mix(docs).where("taken > 0")
 
 
 QUERIES = {"op7_weighted_fair_mix": op7_weighted_fair_mix}
