@@ -100,7 +100,9 @@ def test_scalars(spark):
     assert v(C.round_half_even(s, 1), 0.25) == 0.2
     assert v(C.drop_last(s), "a;b;c") == "a;b"
     assert v(C.last_match(s, [("a", "1"), ("b", "2")], "0"), "ab") == "2"
-    assert v(C.recode(s, [("a", "b"), ("b", "c")]), "ab") == "cc"
+    assert v(C.recode(s, [("a", "b"), ("b", "c")]), "ab") == "cb"  # the first match of each step only
+    virus, strain = C.virus_and_strain(s)
+    assert (v(virus, "Human rhinovirus A12"), v(strain, "Human rhinovirus A12")) == ("HRV", "A") and v(strain, "Human coronavirus") is None
     assert v(C.merge_lists(F.array(s, F.lit("b;a")), ";"), "c;a") == "a;b;c"
     assert v(C.log_evalue(s, F.lit(100)), 50.0) == round((-0.625 * 50 + -0.8916 + 20.7273 + 4.60517) / 2.302585, 2)
     assert v(C.genome_coverage(F.lit(50), s), 0) is None and v(C.genome_coverage(F.lit(50), s), 200) == 25
