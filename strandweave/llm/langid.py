@@ -26,8 +26,8 @@ CHUNK = 400_000
 
 
 def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of all texts, non-letters as blanks, each text after a blank; starts; which texts have a letter."""
-    lowered = [" " + (t or "").lower() for t in texts]
+    """Code points of all texts, non-letters as blanks, each text after two blanks; starts; which texts have a letter."""
+    lowered = ["  " + (t or "").lower() for t in texts]
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     starts = np.zeros(len(texts), dtype=np.int64)
     np.cumsum([len(t) for t in lowered[:-1]], out=starts[1:])
@@ -36,8 +36,9 @@ def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(letter, points, 32).astype(np.uint32), starts, has
 
 
-def grams(points: np.ndarray) -> list[np.ndarray]:
-    """Buckets of the 1-, 2- and 3-grams that end at each position; grams of blanks only are bucket 0, which is not counted."""
+def grams(points: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Buckets of the 1-, 2- and 3-grams that end at each position. Bucket 0 isn't counted: grams of blanks only, and those
+    that end in a text's two leading blanks, as they reach into the text before."""
     out, mask = [], np.uint32((1 << BITS) - 1)
     h = np.zeros(len(points), dtype=np.uint32)
     blank = np.ones(len(points), dtype=bool)
@@ -48,6 +49,7 @@ def grams(points: np.ndarray) -> list[np.ndarray]:
             blank &= shifted == 32
             b = (h ^ (h >> np.uint32(15))) * np.uint32(2246822519)
             out.append(np.where(blank, 0, ((b >> np.uint32(13)) & mask) | np.uint32(1)))
+            out[-1][starts] = out[-1][starts + 1] = 0
     return out
 
 
@@ -70,7 +72,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, part in _batches(batch.column(0)):
             points, starts, _ = codes(part)
             ends = np.append(starts[1:], len(points))
-            every = grams(points)
+            every = grams(points, starts)
             for k in range(len(part)):
                 into = counts.setdefault(langs[at + k], np.zeros(1 << BITS, dtype=np.int64))
                 for g in every:
@@ -106,7 +108,7 @@ def _predict(model):
             for at, part in _batches(batch.column(1)):
                 points, starts, has = codes(part)
                 total = np.zeros((len(part), len(langs)))
-                for g in grams(points):
+                for g in grams(points, starts):
                     for j, column in enumerate(columns):
                         total[:, j] += np.add.reduceat(column[g], starts, dtype=np.float64)
                 best = total.argmax(axis=1)

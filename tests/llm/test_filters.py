@@ -347,7 +347,7 @@ def test_expectation_maximisation_equals_a_plain_version():
         share = min(max((w[1] + 8) / (sum(w) + 10), 0.05), 0.99)
         for j in range(5):
             for c in (0, 1):
-                t = [sum(n * (x if c else 1 - x) for n, x, row in zip(counts, q, patterns) if row[j] == v) + (v == 0) for v in (-1, 0, 1)]
+                t = [sum(n * (x if c else 1 - x) for n, x, row in zip(counts, q, patterns) if row[j] == v) + 1 for v in (-1, 0, 1)]
                 p[c][j] = [x / sum(t) for x in t]
             p[0][j][0] = max(p[0][j][0], min(quality.RATIO * p[1][j][0], 0.6))
             p[1][j][0] = min(p[1][j][0], p[0][j][0] / quality.RATIO)
