@@ -93,11 +93,12 @@ def fair_mix(
     key = F.when(F.col(source_col).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(source_col).cast("string")))
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     # "+" sorts before "-": null sources come last
-    rows = materialize(docs.select(
+    # computed anew for sums, packets and result: counting words thrice costs less than writing all texts once
+    rows = docs.select(
         F.struct(*keep).alias("row"), F.col(id_col).alias("id"), key.alias("key"), hashed.alias("hash"),
         (text_words(F.col(text_col)) if size is None else size).cast("long").alias("size"), (F.xxhash64(text_col) if tie is None else tie).alias("tie"),
-    ))
-    slots = 1 << max(4, (max(1, rows.count()) // rows_per_slot).bit_length())
+    )
+    slots = 1 << max(4, (max(1, docs.count()) // rows_per_slot).bit_length())
     # the slot is the top of the hash, so slot order is hash order
     rows = rows.withColumn("slot", F.floor(F.conv(F.substring("hash", 1, 8), 16, 10).cast("long") / (2**32 // slots)).cast("long"))
     sums = materialize(rows.groupBy("key", "slot").agg(F.sum("size").alias("n")))
