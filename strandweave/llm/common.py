@@ -117,3 +117,22 @@ def by_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     own = unused("joined_id", rows)
     ids = ids.select(F.col(key).alias(own)).distinct()
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, rows[key].eqNullSafe(F.col(own)), how)
+
+
+#: Groups of copies joined by broadcast are those with over 1 / HOT of all rows: there can't be more than HOT of them.
+HOT = 10_000
+
+
+def join_copies(rows: DataFrame, groups: DataFrame, keys: list[str], copies: str) -> DataFrame:
+    """rows with the columns of their group. groups has one row for each combination of keys (without nulls) and how many rows share it.
+
+    Groups with so many rows that there are HOT at most are joined by broadcast, so that no task gets all rows of one;
+    the others are joined by shuffle, or broadcast too where there are few.
+    """
+    total, count = groups.agg(F.coalesce(F.sum(copies), F.lit(0)), F.count("*")).first()
+    hot = groups.where(F.col(copies) * HOT > total)
+    if count <= HOT:
+        return rows.join(F.broadcast(groups), keys)
+    often = rows.join(F.broadcast(hot), keys)
+    seldom = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(groups.where(F.col(copies) * HOT <= total), keys)
+    return often.unionByName(seldom)

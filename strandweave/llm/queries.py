@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, line_dedup, metric_search, mixing, near_dedup, pii, quality, toxicity, url_filter
+from . import decontam, importance, langid, line_dedup, metric_search, mixing, near_dedup, pii, quality, toxicity, url_filter
 
-MODULES = (decontam, langid, line_dedup, metric_search, mixing, near_dedup, pii, quality, toxicity, url_filter)
+MODULES = (decontam, toxicity, url_filter, quality, langid, pii, mixing, near_dedup, metric_search, line_dedup, importance)
 
 
 def queries() -> dict:
