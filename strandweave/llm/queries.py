@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontam, filter_audit, importance, langid, line_dedup, metric_search, mixing, near_dedup, pii, quality, toxicity, url_filter
+from . import decontam, filter_audit, importance, langid, line_dedup, metric_search, mixing, near_dedup, pii, quality, toxicity, url_filter, vector_dedup
 
-MODULES = (decontam, toxicity, url_filter, quality, langid, pii, mixing, near_dedup, metric_search, line_dedup, filter_audit, importance)
+MODULES = (decontam, toxicity, url_filter, quality, langid, pii, mixing, near_dedup, metric_search, line_dedup, filter_audit, importance, vector_dedup)
 
 
 def queries() -> dict:
