@@ -37,6 +37,8 @@ from .common import join_copies, materialize
 BUCKETS, ORDER = 10_000, 3
 #: Words hashed together, and bytes of texts read together; they bound a worker's memory.
 WORDS, BYTES = 1 << 18, 1 << 21
+#: Tasks that add up the tasks' histograms; the driver gets one of 80 kB from each.
+SUMS = 16
 
 
 def _byte_kinds() -> np.ndarray:
@@ -178,13 +180,20 @@ def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(copies, buckets, counts) to (bucket, n): at most BUCKETS rows a task."""
+    """(copies, buckets, counts) to one row: the features of all buckets."""
     total = np.zeros(BUCKETS, dtype=np.int64)
     for batch in batches:
         row, bucket, count = _lists(batch)
         np.add.at(total, bucket, count * batch.column(0).to_numpy(zero_copy_only=False)[row])
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array([total.astype("<i8").tobytes()], pa.binary())], ["totals"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(BUCKETS, dtype=np.int64)
+    for batch in batches:
+        for x in batch.column(0):
+            total += np.frombuffer(x.as_buffer(), "<i8")
+    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["totals"])
 
 
 def _weigh(gains):
@@ -216,12 +225,9 @@ def _digest(text: Column) -> Column:
 
 
 def histogram(features: DataFrame) -> np.ndarray:
-    """Features in each bucket, copies included. BUCKETS rows reach the driver."""
-    rows = features.select("copies", "buckets", "counts").mapInArrow(_histogram, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(BUCKETS, dtype=np.int64)
-    for r in rows:
-        out[r["bucket"]] = r["n"]
-    return out
+    """Features in each bucket, copies included: a row for each task, added in SUMS tasks, and those on the driver."""
+    rows = features.select("copies", "buckets", "counts").mapInArrow(_histogram, "totals binary").repartition(SUMS).mapInArrow(_added, "totals binary").collect()
+    return sum((np.frombuffer(r["totals"], "<i8") for r in rows), np.zeros(BUCKETS, dtype=np.int64))
 
 
 def gains_of(corpus: np.ndarray, target: np.ndarray) -> np.ndarray:
