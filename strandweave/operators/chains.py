@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import count
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,63 +67,116 @@ def alignment_filter(best: DataFrame, *, min_unaligned: int = 1, max_aligned: in
 
 
 # ---- greedy selection
-
-
-def _union_bases(spans: list[tuple[int, int]]) -> int:
-    total, reach = 0, 0
-    for lo, hi in sorted(spans):
-        total += max(0, hi - max(lo, reach + 1) + 1)
-        reach = max(reach, hi)
-    return total
-
-
-class _Chain:
-    """Hits of one subject as plain tuples (qacc, qlen, lo, hi, score); metrics are made again after hits were removed."""
-
-    def __init__(self, sacc, hits, penalty):
-        self.sacc, self.penalty = sacc, penalty
-        self.keep(hits)
-
-    def keep(self, hits):
-        self.hits, self.queries = hits, {h[0] for h in hits}
-        lengths = {}
-        for h in hits:
-            lengths.setdefault(h[0], h[1])
-        self.qlen = sum(lengths.values())
-        self.slen = _union_bases([(h[2], h[3]) for h in hits])
-        raw = sum(h[4] for h in hits) - self.penalty * (len(hits) - 1)
-        self.log_evalue = _log_evalue(raw, self.qlen) if hits else 0.0
-        self.score = -self.log_evalue
-
-
-def _log_evalue(raw: float, qlen: int) -> float:
-    from math import log
-
-    return round((-0.625 * raw + log(0.41) + log(1_004_024_614) + log(qlen)) / log(10), 2)
-
-
-def greedy_groups(chains: list[_Chain], alt: float = 0.9) -> list[list[tuple[str, list, bool]]]:
-    """Groups of (subject, hits at selection, is the representative), best chain first.
-
-    A chain is an alternative if score, log e-value, covered subject and query length are beyond alt times the best's
-    and more than a tenth of the best's queries are shared. Queries of the best are then removed from all other chains.
+#
+# One by one, the chain of the best score is selected, its queries are removed from all others, and these are scored
+# again. A removal can raise a score (a query whose hits score less than the penalty goes, the query length shrinks), so
+# selected scores don't simply fall. Chains act on each other through shared queries only, which allows rounds: a chain whose score beats the highest score
+# that any chain it shares queries with can still reach is selected before all of these, whatever happens
+# elsewhere; all such chains, and the best of each sample, are selected at once. What came first is known afterwards
+# from a key: a chain follows the last one that took queries from it, at once if it is better than that.
+
+
+def query_scores(hits: DataFrame) -> DataFrame:
+    """`sample, sacc, first, qacc, qlen, s, n`: a row for each query of a chain; first is the chain's place in the file."""
+    per = hits.groupBy("sample", "sacc", "qacc").agg(F.min_by("qlen", "ord").alias("qlen"), F.sum(F.col("score").cast("double")).alias("s"), F.count("*").alias("n"))
+    place = hits.groupBy("sample", "sacc").agg(F.min("ord").alias("first"))
+    return per.join(place, ["sample", "sacc"]).dropna(subset=["sample", "sacc", "qacc"])
+
+
+def _round(live: DataFrame, after: DataFrame, penalty: float) -> DataFrame:
+    """`sample, sacc, key` of the chains that are selected in this round."""
+    gain = F.col("s") - penalty * F.col("n")
+    chains = live.groupBy("sample", "sacc", "first").agg(
+        F.sum("s").alias("_s"), F.sum("n").alias("_n"), F.sum("qlen").alias("_qlen"), F.sum(F.greatest(gain, F.lit(0.0))).alias("_up"), F.max(gain).alias("_one"), F.min("qlen").alias("_least"), F.count("*").alias("queries")
+    )
+    now = log_evalue(F.col("_s") - penalty * (F.col("_n") - 1), F.col("_qlen"))
+    most = log_evalue(penalty + F.when(F.col("_one") > 0, F.col("_up")).otherwise(F.col("_one")), F.col("_least"))
+    bound = F.when(F.col("queries") == 1, now).otherwise(F.least(now, most) - 0.01)  # a unit of rounding to spare
+    chains = chains.select("sample", "sacc", "first", "queries", now.alias("neg"), bound.alias("bound"))
+    rows = live.select("sample", "sacc", "qacc").join(chains, ["sample", "sacc"])
+    top = rows.groupBy("sample", "qacc").agg(F.min(F.struct("bound", "first", "sacc")).alias("top"))
+    tops = top.groupBy("sample", F.col("top.sacc").alias("sacc")).agg(F.count("*").alias("tops"))
+    behind = rows.join(top, ["sample", "qacc"]).where(F.col("sacc") != F.col("top.sacc"))
+    rival = behind.groupBy("sample", F.col("top.sacc").alias("sacc")).agg(F.min(F.struct("bound", "first")).alias("rival"))
+    ahead = chains.join(tops, ["sample", "sacc"]).where(F.col("tops") == F.col("queries")).join(rival, ["sample", "sacc"], "left")
+    own = F.struct(F.col("neg").alias("bound"), "first")
+    ahead = ahead.where(F.col("rival").isNull() | (own < F.col("rival"))).select("sample", "sacc", "neg", "first")
+    best = chains.groupBy("sample").agg(F.min(F.struct("neg", "first", "sacc")).alias("b")).select("sample", "b.sacc", "b.neg", "b.first")
+    place = F.struct("neg", "first")
+    key = F.concat(F.filter(F.coalesce("last", F.array().cast("array<struct<neg:double,first:bigint>>")), lambda x: x > place), F.array(place))
+    return ahead.unionByName(best).distinct().join(after, ["sample", "sacc"], "left").select("sample", "sacc", key.alias("key"))
+
+
+def greedy_owners(hits: DataFrame, *, penalty: float = 20.0) -> DataFrame:
+    """`sample, qacc, owner, key`: the selected chain that takes each query; the order of keys is the order of selection.
+
+    A round scores chains, finds each query's best bound and the best behind it, and removes the queries of the selected
+    chains: aggregations and equi-joins by chain and by query. Rounds go on until no query is left; their number is that of
+    the longest row of selections each of which waits for the one before.
+    """
+    live = written(query_scores(hits).withColumn("first", F.col("first").cast("bigint")))
+    after = live.sparkSession.createDataFrame([], f"sample {live.schema['sample'].dataType.simpleString()}, sacc {live.schema['sacc'].dataType.simpleString()}, last array<struct<neg:double,first:bigint>>")
+    out = []
+    while not live.isEmpty():
+        chosen = written(_round(live, after, penalty))
+        used = live.join(chosen, ["sample", "sacc"]).select("sample", "qacc", F.col("sacc").alias("owner"), "key")
+        marked = written(live.join(used, ["sample", "qacc"], "left"))
+        out.append(marked.where("sacc = owner").select("sample", "qacc", "owner", "key"))
+        lost = marked.where("sacc <> owner").select("sample", "sacc", F.col("key").alias("last"))
+        live = marked.where("owner is null").select(*live.columns)
+        after = written(after.unionByName(lost).groupBy("sample", "sacc").agg(F.max("last").alias("last")))
+    return reduce(DataFrame.unionByName, out) if out else live.select("sample", "qacc", F.col("sacc").alias("owner"), F.lit(None).cast("array<struct<neg:double,first:bigint>>").alias("key"))
+
+
+def selected_hits(hits: DataFrame, owners: DataFrame) -> DataFrame:
+    """Hits of each selected chain as it was when it was selected: those of the queries that it took."""
+    return hits.join(owners.select("sample", "qacc", F.col("owner").alias("sacc")), ["sample", "qacc", "sacc"], "left_semi")
+
+
+def greedy_groups(hits: DataFrame, owners: DataFrame, *, penalty: float = 20.0, alt: float = 0.9, alternatives: str = "post_prune") -> DataFrame:
+    """`sample, bin, position, sacc, representative, n_hits, n_queries, slen, log_evalue` of the selected chains and their alternatives.
+
+    An alternative shares more than a tenth of the selected chain's queries, and its score, log e-value, covered
+    subject and query length at that time are beyond alt times the selected chain's. What a chain had when another was
+    selected are its queries that this or a later one takes, so a running sum from the last owner back gives its measures for all
+    owners at once. Covered subject bases are found for pairs that pass all else.
+    """
+    own = query_scores(hits).join(owners, ["sample", "qacc"])
+    by_owner = own.groupBy("sample", "sacc", "first", "owner", "key").agg(F.sum("qlen").alias("qlen"), F.sum("s").alias("s"), F.sum("n").alias("n"), F.count("*").alias("shared"))
+    since = Window.partitionBy("sample", "sacc").orderBy(F.desc("key")).rowsBetween(Window.unboundedPreceding, 0)
+    then = by_owner.select("sample", "sacc", "first", "owner", "key", "shared", *[F.sum(c).over(since).alias(c) for c in ("qlen", "s", "n")], F.sum("shared").over(since).alias("queries"))
+    then = written(then.withColumn("e", log_evalue(F.col("s") - penalty * (F.col("n") - 1), F.col("qlen"))))
+
+    lo, hi = F.least("sstart", "send").alias("lo"), F.greatest("sstart", "send").alias("hi")
+    spans = hits.select("sample", "sacc", "qacc", lo, hi).join(owners, ["sample", "qacc"])
+    covered = union_length(spans.where("sacc = owner"), ["sample", "sacc"], "lo", "hi", "slen")
+    best = then.where("sacc = owner").join(covered, ["sample", "sacc"])
+    best = written(best.withColumn("bin", (F.row_number().over(Window.partitionBy("sample").orderBy("key")) - 1).cast("int")))
+    reps = best.select("sample", F.col("sacc").alias("owner"), "bin", *[F.col(c).alias(f"_{c}") for c in ("e", "qlen", "queries", "slen")])
+    pairs = then.where("sacc <> owner").join(reps, ["sample", "owner"])
+    pairs = pairs.where((-F.col("e") > alt * -F.col("_e")) & (F.col("e") < alt * F.col("_e")) & (F.col("qlen") > alt * F.col("_qlen")) & (F.col("shared") * 10 > F.col("_queries")))
+    pairs = written(pairs)
+    theirs = pairs.select("sample", "sacc", F.col("owner").alias("_c"), F.col("key").alias("_ck")).join(spans, ["sample", "sacc"]).where("key >= _ck")
+    covered = union_length(theirs, ["sample", "sacc", "_c"], "lo", "hi", "slen").withColumnRenamed("_c", "owner")
+    alts = pairs.join(covered, ["sample", "sacc", "owner"]).where(F.col("slen") > alt * F.col("_slen"))
+    place = F.row_number().over(Window.partitionBy("sample", "owner").orderBy("e", "first")).cast("int")
+    measures = [F.col("n").cast("int").alias("n_hits"), F.col("queries").cast("int").alias("n_queries"), F.col("slen").cast("int").alias("slen"), F.col("e").alias("log_evalue")]
+    alts = alts.select("sample", "bin", place.alias("position"), "sacc", F.lit(False).alias("representative"), *measures)
+    if alternatives == "post_prune":
+        final = best.select("sample", "sacc", *measures)
+        names = ("n_hits", "n_queries", "slen")
+        alts = alts.drop(*names, "log_evalue").join(final, ["sample", "sacc"], "left").fillna({**dict.fromkeys(names, 0), "log_evalue": 0.0})
+    tops = best.select("sample", "bin", F.lit(0).alias("position"), "sacc", F.lit(True).alias("representative"), *measures)
+    return tops.unionByName(alts)
+
+
+def greedy_select(hits: DataFrame, *, penalty: float = 20.0, alt: float = 0.9, alternatives: str = "post_prune") -> DataFrame:
+    """Greedy selection (CHN-04); bins are numbered from 0 within a sample as they are selected, position 0 is the selected chain.
+
+    alternatives: `post_prune` describes an alternative by what is left of it in the end, as a consumer sees it that
+    drains the selection first: what it had when it was selected itself, or nothing; `snapshot` by what it had when the group was formed.
     """
-    chains, out = list(chains), []
-    while chains:
-        best = max(chains, key=lambda c: c.score)
-        chains.remove(best)
-        alts = [
-            c for c in chains
-            if c.score > alt * best.score and c.log_evalue < alt * best.log_evalue and c.slen > alt * best.slen and c.qlen > alt * best.qlen
-            and len(c.queries & best.queries) > len(best.queries) / 10
-        ]
-        alts.sort(key=lambda c: c.log_evalue)
-        out.append([(c.sacc, list(c.hits), c is best) for c in [best, *alts]])
-        for c in chains:
-            if c.queries & best.queries:
-                c.keep([h for h in c.hits if h[0] not in best.queries])
-        chains = [c for c in chains if c.hits]
-    return out
+    return greedy_groups(hits, greedy_owners(hits, penalty=penalty), penalty=penalty, alt=alt, alternatives=alternatives)
 
 
 def query_components(hits: DataFrame, *, sample: str = "sample", rounds: int | None = None) -> DataFrame:
@@ -131,8 +184,7 @@ def query_components(hits: DataFrame, *, sample: str = "sample", rounds: int | N
 
     Subjects of one label hang on the smallest label that any of their queries has, and on the label of the subject
     that this one names, until no label changes. More than `rounds`, where given, is an error.
-    Chains interact through shared queries only, so greedy selection of each component alone selects the same groups
-    as of the whole.
+    Chains interact through shared queries only, so greedy selection of a component alone selects the same groups.
     """
     edges = written(hits.select(sample, "qacc", "sacc").distinct())
     labels = edges.select(sample, "sacc").distinct().withColumn("component", F.col("sacc"))
@@ -148,36 +200,6 @@ def query_components(hits: DataFrame, *, sample: str = "sample", rounds: int | N
         labels = written(labels.join(hung, [sample, "component"]).join(ahead, [sample, "_to"]).select(sample, "sacc", F.col("_next").alias("component")))
 
 
-def greedy_select(hits: DataFrame, *, penalty: float = 20.0, alt: float = 0.9, alternatives: str = "post_prune", by_component: bool = True) -> DataFrame:
-    """`sample, component, bin, position, sacc, representative, n_hits, n_queries, slen, log_evalue`: greedy selection (CHN-04).
-
-    alternatives: `post_prune` gives an alternative's metrics after the best's queries were removed from it, as a
-    consumer sees them that drains the selection first; `snapshot` gives them as of the selection.
-    """
-    rows = hits.select("sample", "qacc", "sacc", "ord", "qlen", F.least("sstart", "send").alias("lo"), F.greatest("sstart", "send").alias("hi"), F.col("score").cast("double").alias("score"))
-    rows = rows.join(query_components(hits), ["sample", "sacc"]) if by_component else rows.withColumn("component", F.lit(None).cast(hits.schema["sacc"].dataType))
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = f"sample {kinds['sample']}, component {kinds['component']}, bin int, position int, sacc {kinds['sacc']}, representative boolean, n_hits int, n_queries int, slen int, log_evalue double"
-
-    def select(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord", kind="stable")
-        chains = []
-        for sacc, g in pdf.groupby("sacc", sort=False):
-            g = g.sort_values("lo", kind="stable")
-            chains.append(_Chain(sacc, list(zip(g["qacc"], g["qlen"].astype(int), g["lo"].astype(int), g["hi"].astype(int), g["score"])), penalty))
-        out = []
-        used: set = set()
-        for b, group in enumerate(greedy_groups(chains, alt)):
-            best_queries = {h[0] for h in group[0][1]}
-            used |= best_queries
-            for p, (sacc, own, rep) in enumerate(group):
-                c = _Chain(sacc, own if rep or alternatives == "snapshot" else [h for h in own if h[0] not in best_queries], penalty)
-                out.append((pdf["sample"].iloc[0], pdf["component"].iloc[0], b, p, sacc, rep, len(c.hits), len(c.queries), c.slen, c.log_evalue))
-        return pd.DataFrame(out, columns=["sample", "component", "bin", "position", "sacc", "representative", "n_hits", "n_queries", "slen", "log_evalue"])
-
-    return rows.groupBy("sample", "component").applyInPandas(select, schema)
-
-
 def without_queries(hits: DataFrame, used: DataFrame, keys: Sequence[str] = ("sample", "qacc")) -> DataFrame:
     """Hits of queries that weren't used (CHN-03)."""
     return hits.join(used.select(*keys).distinct(), list(keys), "left_anti")

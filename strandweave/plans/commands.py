@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import sequence as S
 from ..functions.scalars import best_words, file_safe, title_words
 from ..operators import chains, hits as H, report, scaffold, taxonomy
+from ..scratch import written
 
 # Names of taxa that the default filters leave out.
 HIT_EXCLUDES = (
@@ -54,10 +55,12 @@ def blastbin(
     if qc is not None:
         hits = H.max_homopolymer(hits, qc, max_pcthp)
     hits = prefilter(hits, lin, **filters)
-    groups = chains.greedy_select(hits, penalty=penalty)
+    owners = written(chains.greedy_owners(hits, penalty=penalty))
+    groups = chains.greedy_groups(hits, owners, penalty=penalty)
+    hits = written(chains.selected_hits(hits, owners))
     metrics = chains.chain_metrics(hits, penalty=penalty, reads=coverage, qc=qc)
-    members = groups.select("sample", "component", "bin", "position", "sacc", "representative").join(metrics, ["sample", "sacc"])
-    key = ["sample", "component", "bin"]
+    members = written(groups.select("sample", "bin", "position", "sacc", "representative").join(metrics, ["sample", "sacc"]))  # alternatives of which nothing was left fall out
+    key = ["sample", "bin"]
     ids = members.select(*key, F.explode("staxids").alias("tax_id"), "position")
     lca = taxonomy.quorum_lca(ids, lin, key, "tax_id", order=F.col("position")).select(*key, "taxid")
     words = word_scores(members, key, order="position")
@@ -68,7 +71,7 @@ def blastbin(
         from ..sources.readers import genome_sizes
 
         top = genome_sizes(top, sizes)
-    calls = taxonomy.annotate(top, lin, "taxid").drop("component", "position", "representative")
+    calls = taxonomy.annotate(top, lin, "taxid").drop("position", "representative")
     return {"calls": calls, "hits": chains.chain_hits(calls, hits)}
 
 

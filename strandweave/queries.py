@@ -97,11 +97,31 @@ def chain_metrics(spark, sf):
     return chains.chain_metrics(hits(spark, sf)).select("sample", "sacc", "qlen", "n_frag", "slen", "raw_score", "contig_coverage", "log_evalue")
 
 
-@query()
+#: Greedy selection one chain after the other: `step` has the selected chain of each step and the queries used up to it,
+#: `m` the measures of all chains that are left at a step. Over `hh`, the hits, with log e-values as in chain_metrics.
+GREEDY_SQL = f"""
+  e AS (SELECT sample, sacc, qacc, arg_min(qlen, ord) AS qlen, sum(score) AS s, count(*) AS n, min(first) AS first FROM hh GROUP BY sample, sacc, qacc),
+  step AS (
+    SELECT DISTINCT sample, CAST(-1 AS INTEGER) AS bin, CAST(NULL AS BIGINT) AS best, CAST([] AS BIGINT[]) AS used FROM e
+    UNION ALL SELECT sample, bin + 1, arg_min(sacc, struct_pack(ev, first)), list_concat(used, arg_min(queries, struct_pack(ev, first))) FROM (
+      SELECT t.sample, t.bin, t.used, e.sacc, e.first, list(e.qacc) AS queries, round(((sum(s) - 20 * (sum(n) - 1)) * -0.625 + ln(0.41) + ln(1004024614.0) + ln(CAST(sum(e.qlen) AS DOUBLE))) / ln(10.0), 2) AS ev
+      FROM step t JOIN e ON e.sample = t.sample AND NOT list_contains(t.used, e.qacc) GROUP BY t.sample, t.bin, t.used, e.sacc, e.first) GROUP BY sample, bin, used),
+  st AS (SELECT a.sample, a.bin, a.best, b.used, a.used[len(b.used) + 1:] AS own FROM step a JOIN step b ON a.sample = b.sample AND b.bin = a.bin - 1),
+  lh AS (SELECT st.bin, st.best, own, hh.*, max(hi) OVER (PARTITION BY hh.sample, st.bin, hh.sacc ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+    FROM st JOIN hh ON hh.sample = st.sample AND NOT list_contains(st.used, hh.qacc)),
+  lq AS (SELECT sample, bin, best, sacc, qacc, bool_or(list_contains(own, qacc)) AS mine, arg_min(qlen, ord) AS qlen, sum(score) AS s, count(*) AS n, min(first) AS first FROM lh GROUP BY ALL),
+  lc AS (SELECT sample, bin, sacc, CAST({UNION} AS INTEGER) AS slen FROM lh GROUP BY ALL),
+  m AS (SELECT sample, bin, best, sacc, sum(qlen) AS qlen, CAST(sum(n) AS INTEGER) AS n_hits, CAST(count(*) AS INTEGER) AS n_queries, count(*) FILTER (mine) AS shared, any_value(slen) AS slen, min(first) AS first,
+    round(((sum(s) - 20 * (sum(n) - 1)) * -0.625 + ln(0.41) + ln(1004024614.0) + ln(CAST(sum(qlen) AS DOUBLE))) / ln(10.0), 2) AS ev FROM lq JOIN lc USING (sample, bin, sacc) GROUP BY ALL),
+  members AS (SELECT a.sample, a.bin, CASE WHEN a.sacc = a.best THEN 0 ELSE CAST(row_number() OVER (PARTITION BY a.sample, a.bin, a.sacc = a.best ORDER BY a.ev, a.first) AS INTEGER) END AS position, a.sacc, a.sacc = a.best AS representative
+    FROM m a JOIN m b ON a.sample = b.sample AND a.bin = b.bin AND b.sacc = b.best
+    WHERE a.sacc = a.best OR (-a.ev > 0.9 * -b.ev AND a.ev < CAST(0.9 AS DOUBLE) * b.ev AND a.slen > 0.9 * b.slen AND a.qlen > 0.9 * b.qlen AND a.shared * 10 > b.n_queries))"""
+
+
+@query(f"""WITH RECURSIVE {HITS_SQL}, hh AS (SELECT *, min(ord) OVER (PARTITION BY sample, sacc) AS first FROM h), {GREEDY_SQL}
+  SELECT g.*, coalesce(n_hits, 0) AS n_hits, coalesce(n_queries, 0) AS n_queries, coalesce(slen, 0) AS slen, coalesce(ev, 0.0) AS log_evalue FROM members g LEFT JOIN m ON m.sample = g.sample AND m.sacc = g.sacc AND m.sacc = m.best""")
 def greedy_bins(spark, sf):
-    # thirteen subjects for each of many samples, so that components are small and many
-    h = hits(spark, sf).withColumn("sample", F.col("qacc") % 997)
-    return chains.greedy_select(h)
+    return chains.greedy_select(hits(spark, sf))
 
 
 # ---- hit filters
@@ -531,7 +551,7 @@ def genome_size_ladder(spark, sf):
 
 @query()
 def blastbin(spark, sf):
-    h = hits(spark, sf).withColumn("sample", F.col("qacc") % 499).withColumn("stitle", F.concat_ws(" ", F.lit("Isolate"), F.col("sacc").cast("string"), F.lit("region, complete")))
+    h = hits(spark, sf).withColumn("stitle", F.concat_ws(" ", F.lit("Isolate"), F.col("sacc").cast("string"), F.lit("region, complete")))
     lin = taxonomy.lineage(taxon_nodes(spark, sf))
     # names of the driver tables' tree in the places of those that the command leaves out by default
     out = commands.blastbin(h, lin, hit_excludes=("NATION_3", "Supplier#000000003"), class_excludes=("AMERICA",), bin_excludes=("NATION_7",))["calls"]
