@@ -43,9 +43,9 @@ def chain_metrics(hits: DataFrame, *, keys: Sequence[str] = CHAIN, penalty: floa
         cols = [c for c in qc.columns if c.startswith("entropy") or c == "frac_hp"]
         with_qc = hits.join(qc.select(F.col("acc").alias("qacc"), *cols), "qacc", "left")
         for c in cols:
-            name, digits = ("pcthp", 4) if c == "frac_hp" else (c, 3)
-            out = out.join(weighted_over_segments(with_qc.where(F.col(c).isNotNull()), keys, "sstart", "send", c, how="avg", digits=digits, name=name), keys, "left")
-            out = out.withColumn(name, F.coalesce(F.round(F.col(name) * 100, 1) if c == "frac_hp" else F.col(name), F.lit(-1.0)))
+            name, unit = ("pcthp", 100) if c == "frac_hp" else (c, 1)
+            out = out.join(weighted_over_segments(with_qc.where(F.col(c).isNotNull()), keys, "sstart", "send", c, how="avg", digits=12, name=name), keys, "left")
+            out = out.withColumn(name, F.coalesce(F.round(F.col(name) * unit, 2), F.lit(-1.0)))
     return out.drop("_s", "_n", "_qcov")
 
 

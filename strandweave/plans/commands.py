@@ -54,7 +54,7 @@ def blastbin(
         hits = H.min_reads(hits, coverage, min_reads)
     if qc is not None:
         hits = H.max_homopolymer(hits, qc, max_pcthp)
-    hits = prefilter(hits, lin, **filters)
+    hits = written(prefilter(hits, lin, **filters))
     owners = written(chains.greedy_owners(hits, penalty=penalty))
     groups = chains.greedy_groups(hits, owners, penalty=penalty)
     hits = written(chains.selected_hits(hits, owners))

@@ -549,13 +549,55 @@ def genome_size_ladder(spark, sf):
     return readers.genome_sizes(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("taxid")), s)
 
 
-@query()
+#: The command step by step: reads and homopolymer filters, class of each query, majority and relative score filters, greedy
+#: selection, measures of the selected hits by segments, quorum LCA and words of the groups, filter of the calls.
+_BLASTBIN = f"""WITH RECURSIVE {HITS_SQL}, {TREE_SQL},
+  below AS (SELECT tax_id, unnest(path) AS up FROM paths UNION ALL SELECT n.tax_id, p.tax_id FROM nodes n JOIN nodes p ON p.tax_id IN (n.tax_id, n.parent_id) WHERE n.rank <> 'species'),
+  named AS (SELECT b.tax_id, n.name AS up FROM below b JOIN nodes n ON b.up = n.tax_id),
+  qc AS (SELECT o_orderkey AS acc, o_orderkey % 40 / 200.0::DOUBLE AS frac_hp, o_orderkey % 17 / 16.0::DOUBLE AS entropy2 FROM orders),
+  reads AS (SELECT o_orderkey % 50 AS sample, o_orderkey AS qacc, CAST(o_orderkey % 23 + o_orderkey % 5 AS BIGINT) AS numreads FROM orders),
+  h1 AS (SELECT h.*, numreads, frac_hp, entropy2 FROM h JOIN reads r ON h.sample = r.sample AND h.qacc = r.qacc JOIN qc ON h.qacc = acc WHERE numreads >= 5 AND frac_hp * 100 <= 15),
+  cx AS (SELECT sample, qacc, taxid, bitscore AS w, min(ord) AS ord FROM h1 GROUP BY ALL), cr AS (SELECT sample, qacc, w, generate_subscripts(path, 1) - 1 AS depth, unnest(path) AS node, ord FROM cx JOIN paths ON taxid = tax_id),
+  cn AS (SELECT sample, qacc, depth, node, sum(w) AS w, min(ord) AS first FROM cr GROUP BY ALL), cd AS (SELECT sample, qacc, depth, sum(w) AS tot, arg_min(struct_pack(node, w), struct_pack(neg := -w, first)) AS b FROM cn GROUP BY ALL),
+  cg AS (SELECT *, max(tot) OVER (PARTITION BY sample, qacc) AS total FROM cd), class AS (SELECT sample, qacc, arg_max(b.node, depth) AS taxid FROM cg WHERE tot >= total * 0.9 - 1e-9 AND b.w >= tot * 0.9 - 1e-9 GROUP BY ALL),
+  h2 AS (SELECT * FROM h1 WHERE (sample, qacc) NOT IN (SELECT (sample, qacc) FROM class JOIN named ON taxid = tax_id WHERE up = 'AMERICA')),
+  h3 AS (SELECT * EXCLUDE keep, taxid NOT IN (SELECT tax_id FROM named WHERE up IN ('NATION_3', 'Supplier#000000003')) AS ok, bitscore > 0.9 * max(bitscore) OVER (PARTITION BY sample, qacc) AS top FROM h2),
+  h4 AS (SELECT * FROM (SELECT *, sum(CASE WHEN top AND ok THEN 1 ELSE 0 END) OVER q AS k, sum(CASE WHEN top THEN 1 ELSE 0 END) OVER q AS a FROM h3 WINDOW q AS (PARTITION BY sample, qacc)) WHERE k * 2 >= a AND ok),
+  h5 AS (SELECT *, CASE WHEN lag(sacc) OVER (PARTITION BY sample, qacc ORDER BY ord) = sacc THEN 0 ELSE 1 END AS new FROM h4), h6 AS (SELECT *, sum(new) OVER (PARTITION BY sample, qacc ORDER BY ord ROWS UNBOUNDED PRECEDING) AS island FROM h5),
+  ha AS (SELECT sample, qacc, island, sum(score) AS s, avg(pident) AS p FROM h6 GROUP BY ALL), hb AS (SELECT sample, qacc, s AS s0, p AS p0 FROM ha WHERE island = 1),
+  hh AS (SELECT h6.*, min(ord) OVER (PARTITION BY h6.sample, sacc) AS first FROM h6 JOIN ha USING (sample, qacc, island) JOIN hb USING (sample, qacc) WHERE s > s0 * 0.9 AND p > 100 - (100 - p0) * 1.5 - 0.5),
+  {GREEDY_SQL},
+  sel AS (SELECT hh.* FROM hh JOIN st ON hh.sample = st.sample AND hh.sacc = st.best AND list_contains(own, hh.qacc)),
+  sq AS (SELECT *, max(qend) OVER (PARTITION BY sample, sacc, qacc ORDER BY qstart, qend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM sel),
+  cov AS (SELECT sample, sacc, sum(greatest(0, qend - greatest(qstart, coalesce(r + 1, qstart)) + 1)) AS c FROM sq GROUP BY ALL),
+  once AS (SELECT DISTINCT sample, sacc, qacc, numreads FROM sel), nr AS (SELECT sample, sacc, CAST(sum(numreads) AS BIGINT) AS numreads FROM once GROUP BY ALL), firsts AS (SELECT sample, sacc, arg_min(taxid, ord) AS taxid FROM sel GROUP BY ALL),
+  sp AS (SELECT DISTINCT sample, sacc, unnest([lo, hi + 1]) AS s FROM sel), sg AS (SELECT sample, sacc, s AS b, lead(s) OVER (PARTITION BY sample, sacc ORDER BY s) - 1 AS e FROM sp),
+  sv AS (SELECT sg.sample, sg.sacc, b, e, max(pident) AS p, avg(frac_hp) AS f, avg(entropy2) AS n FROM sg JOIN sel ON sg.sample = sel.sample AND sg.sacc = sel.sacc AND lo <= b AND hi >= e GROUP BY ALL),
+  wt AS (SELECT sample, sacc, round(sum((e - b + 1) * p) / sum(e - b + 1), 1) AS pident, round(sum((e - b + 1) * f) / sum(e - b + 1) * 100, 2) AS pcthp, round(sum((e - b + 1) * n) / sum(e - b + 1), 2) AS entropy2 FROM sv GROUP BY ALL),
+  mem AS (SELECT g.sample, g.bin, g.position, g.sacc, m.ev, firsts.taxid FROM members g JOIN m ON m.sample = g.sample AND m.sacc = g.sacc AND m.sacc = m.best JOIN firsts ON firsts.sample = g.sample AND firsts.sacc = g.sacc),
+  lr AS (SELECT sample, bin, position, generate_subscripts(path, 1) - 1 AS depth, unnest(path) AS node FROM mem JOIN paths ON taxid = tax_id), ln AS (SELECT sample, bin, depth, node, count(*) AS w, min(position) AS first FROM lr GROUP BY ALL),
+  ld AS (SELECT sample, bin, depth, sum(w) AS tot, arg_min(struct_pack(node, w), struct_pack(neg := -w, first)) AS b FROM ln GROUP BY ALL), lg AS (SELECT *, max(tot) OVER (PARTITION BY sample, bin) AS total FROM ld),
+  lca AS (SELECT sample, bin, arg_max(b.node, depth) AS taxid FROM lg WHERE tot >= total * 0.9 - 1e-9 AND b.w >= tot * 0.9 - 1e-9 GROUP BY ALL),
+  wa AS (SELECT sample, bin, position * 2 AS met, 'isolate ' || sacc AS w, ev FROM mem UNION ALL SELECT sample, bin, position * 2 + 1, 'region', ev / 2 FROM mem), ws AS (SELECT sample, bin, w, sum(ev) AS s, min(met) AS met FROM wa GROUP BY ALL),
+  wu AS (SELECT sample, bin, s, met, generate_subscripts(string_split(w, ' '), 1) AS i, unnest(string_split(w, ' ')) AS word FROM ws), wf AS (SELECT sample, bin, word, min(struct_pack(s, met, i)) AS o FROM wu GROUP BY ALL),
+  words AS (SELECT sample, bin, array_to_string(list(word ORDER BY o)[1:4], ' ') AS words FROM wf GROUP BY ALL)
+  SELECT g.sample, g.sacc, g.bin, m.ev AS log_evalue, CAST(m.slen AS BIGINT) AS slen, m.n_hits AS n_frag, round(cov.c * 100 / m.qlen, 1) AS contig_coverage, pident, numreads, pcthp, entropy2, words.words, lca.taxid, t.name AS taxname,
+    CASE WHEN t.rank = 'species' THEN t.name ELSE 'Unknown' END AS species, coalesce(paths.lineage, (SELECT string_agg(n.name, '; ' ORDER BY n.tax_id) FROM below b JOIN nodes n ON b.up = n.tax_id WHERE b.tax_id = lca.taxid AND n.tax_id <> 1), '') AS lineage
+  FROM members g JOIN m ON m.sample = g.sample AND m.bin = g.bin AND m.sacc = g.sacc JOIN cov ON cov.sample = g.sample AND cov.sacc = g.sacc JOIN wt ON wt.sample = g.sample AND wt.sacc = g.sacc JOIN nr ON nr.sample = g.sample AND nr.sacc = g.sacc
+  JOIN lca ON lca.sample = g.sample AND lca.bin = g.bin JOIN words ON words.sample = g.sample AND words.bin = g.bin JOIN nodes t ON t.tax_id = lca.taxid LEFT JOIN paths ON paths.tax_id = lca.taxid
+  WHERE g.representative AND lca.taxid NOT IN (SELECT tax_id FROM named WHERE up = 'NATION_7')"""
+
+
+@query(_BLASTBIN)
 def blastbin(spark, sf):
     h = hits(spark, sf).withColumn("stitle", F.concat_ws(" ", F.lit("Isolate"), F.col("sacc").cast("string"), F.lit("region, complete")))
     lin = taxonomy.lineage(taxon_nodes(spark, sf))
+    o = table(spark, sf, "orders")
+    qc = o.select(F.col("o_orderkey").alias("acc"), (F.col("o_orderkey") % 40 / F.lit(200.0)).alias("frac_hp"), (F.col("o_orderkey") % 17 / F.lit(16.0)).alias("entropy2"))
+    units = [o.select((F.col("o_orderkey") % 50).alias("sample"), F.col("o_orderkey").alias("qacc"), (F.col("o_orderkey") % n).alias("numreads")) for n in (23, 5)]  # two coverage files
     # names of the driver tables' tree in the places of those that the command leaves out by default
-    out = commands.blastbin(h, lin, hit_excludes=("NATION_3", "Supplier#000000003"), class_excludes=("AMERICA",), bin_excludes=("NATION_7",))["calls"]
-    return out.select("sample", "sacc", "bin", "log_evalue", "slen", "n_frag", "contig_coverage", "pident", "words", "taxid", "taxname", "species", "lineage")
+    out = commands.blastbin(h, lin, coverage=units[0].unionByName(units[1]), qc=qc, min_reads=5, max_pcthp=15, hit_excludes=("NATION_3", "Supplier#000000003"), class_excludes=("AMERICA",), bin_excludes=("NATION_7",))["calls"]
+    return out.select("sample", "sacc", "bin", "log_evalue", "slen", "n_frag", "contig_coverage", "pident", "numreads", "pcthp", "entropy2", "words", "taxid", "taxname", "species", "lineage")
 
 
 from . import io_queries, operator_queries  # noqa: E402  (readers and sinks, over files written from the driver tables; single operators)
