@@ -140,16 +140,45 @@ def sheet_rollup(spark, sf):
     return R.sheet_rollup(c)
 
 
-@query("""WITH r AS (SELECT o_custkey % 50 AS k, 'h' || o_orderkey % 31 AS host, CASE WHEN o_orderkey % 20 = 0 THEN 'X; rare; z' WHEN o_orderkey % 2 = 0 THEN 'A; b; c' ELSE 'A; d; e' END AS lineage FROM orders),
-  x AS (SELECT *, count(*) OVER (PARTITION BY k) AS n, count(*) OVER (PARTITION BY k, string_split(lineage, ';')[1]) AS a FROM r), y AS (SELECT *, count(*) OVER (PARTITION BY k, string_split(lineage, ';')[1:2]) AS b FROM x WHERE a >= n * 0.1),
-  z AS (SELECT *, count(*) OVER (PARTITION BY k, string_split(lineage, ';')[1:3]) AS c FROM y WHERE b >= n * 0.1) SELECT k, string_agg(DISTINCT host, ';' ORDER BY host) AS host FROM z WHERE c >= n * 0.1 GROUP BY k""")
+@query("""WITH r AS (SELECT o_custkey % 50 AS k, CASE WHEN o_orderkey % 11 > 0 THEN 'h' || o_orderkey % 31 END AS host,
+    CASE WHEN o_orderkey % 3 = 0 AND o_custkey % 50 < 40 OR o_custkey % 50 = 49 THEN NULL WHEN o_orderkey % 20 = 1 THEN 'X; rare; z' WHEN o_orderkey % 2 = 0 THEN 'A; b; c; ' || o_orderkey ELSE 'A; d; e' END AS lineage FROM orders),
+  f AS (SELECT *, string_split(lineage, ';') AS p FROM r WHERE host IS NOT NULL AND lineage IS NOT NULL), t AS (SELECT k, count(*) AS n FROM r GROUP BY k),
+  x AS (SELECT *, count(*) OVER (PARTITION BY k, p[1]) AS a FROM f), y AS (SELECT x.*, count(*) OVER (PARTITION BY k, p[1:2]) AS b FROM x JOIN t USING (k) WHERE a / n >= 0.1),
+  z AS (SELECT y.*, count(*) OVER (PARTITION BY k, p[1:3]) AS c FROM y JOIN t USING (k) WHERE b / n >= 0.1), s AS (SELECT k, string_agg(DISTINCT host, ';' ORDER BY host) AS host FROM z JOIN t USING (k) WHERE c / n >= 0.1 GROUP BY k)
+  SELECT k, coalesce(host, '') AS host FROM t LEFT JOIN s USING (k)""")
 def host_summary(spark, sf):
-    """Hosts whose lineage levels each hold a tenth of a key's rows."""
-    k = F.col("o_orderkey")
-    rows = table(spark, sf, "orders").select((F.col("o_custkey") % 50).alias("k"), F.concat(F.lit("h"), k % 31).alias("host_name"), F.when(k % 20 == 0, "X; rare; z").when(k % 2 == 0, "A; b; c").otherwise("A; d; e").alias("lineage"))
+    """Hosts whose lineage levels each hold a tenth of a key's rows, those without a name or a lineage included in the total."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey") % 50
+    lineage = F.when(((k % 3 == 0) & (c < 40)) | (c == 49), F.lit(None)).when(k % 20 == 1, "X; rare; z").when(k % 2 == 0, F.concat(F.lit("A; b; c; "), k)).otherwise("A; d; e")
+    rows = table(spark, sf, "orders").select(c.alias("k"), F.when(k % 11 > 0, F.concat(F.lit("h"), k % 31)).alias("host_name"), lineage.alias("lineage"))
     return R.host_summary(rows, "k", "host_name", "lineage")
 
 
+@query("""WITH v AS (SELECT c_custkey, CASE WHEN c_custkey % 9 > 0 THEN c_mktsegment END AS host, CASE WHEN c_custkey % 7 > 0 THEN 'H' || c_custkey % 3 || '; ' || c_mktsegment || '; z' END AS host_lineage,
+    r_name || CASE WHEN n_nationkey % 5 = 0 THEN '; unplaced' WHEN n_nationkey % 2 = 1 THEN '; ' || n_name || '-like' ELSE '; ' || n_name END || '; ' || c_name AS lin FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+  q AS (SELECT s_suppkey, r_name || '; ' || n_name || '; ' || s_name AS lineage, [r_name || '; ' || n_name || '; ' || s_name, r_name || '; ' || n_name, r_name] AS ups FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    UNION ALL SELECT -1 - c_custkey, lin, [lin, regexp_replace(lin, '; [^;]*$', ''), split_part(lin, '; ', 1)] FROM v),
+  u AS (SELECT DISTINCT lineage, ups[i] AS prefix, i FROM q, range(1, 4) g(i)), l AS (SELECT lineage, arg_min(prefix, i) AS prefix FROM u WHERE EXISTS (SELECT 1 FROM v WHERE starts_with(v.lin, u.prefix)) GROUP BY lineage),
+  m AS (SELECT p.prefix, v.* FROM (SELECT DISTINCT prefix FROM l) p JOIN v ON starts_with(v.lin, p.prefix)), t AS (SELECT prefix, count(*) AS n FROM m GROUP BY 1),
+  c AS (SELECT prefix, host_lineage, count(*) AS k FROM m WHERE host IS NOT NULL AND host_lineage IS NOT NULL GROUP BY ALL),
+  s AS (SELECT m.prefix, string_agg(DISTINCT host, ';' ORDER BY host) AS host FROM m JOIN t ON m.prefix = t.prefix JOIN c ON c.prefix = m.prefix AND c.host_lineage = m.host_lineage WHERE host IS NOT NULL AND k / n >= 0.1 GROUP BY 1)
+  SELECT q.s_suppkey AS call, q.lineage, CASE WHEN l.prefix IS NOT NULL THEN coalesce(s.host, '') END AS host FROM q LEFT JOIN l USING (lineage) LEFT JOIN s ON l.prefix = s.prefix""")
+def hosts_by_string_prefix(spark, sf):
+    """Hosts of lineages by the longest prefix that any known virus begins with, prefixes that end inside a name (`NATION_1` of `NATION_12`) included."""
+    n, r, c, s = (table(spark, sf, t) for t in ("nation", "region", "customer", "supplier"))
+    places = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    k, genus = F.col("n_nationkey"), F.col("n_name")
+    genus = F.when(k % 5 == 0, "unplaced").when(k % 2 == 1, F.concat(genus, F.lit("-like"))).otherwise(genus)
+    own = c.join(places, F.col("c_nationkey") == k)
+    vhdb = own.select(
+        F.col("c_custkey").cast("long").alias("virus_tax_id"), F.concat_ws("; ", "r_name", genus).alias("virus_lineage"), F.col("c_name").alias("virus_name"), F.when(F.col("c_custkey") % 9 > 0, F.col("c_mktsegment")).alias("host_name"),
+        F.when(F.col("c_custkey") % 7 > 0, F.concat(F.lit("H"), F.col("c_custkey") % 3, F.lit("; "), "c_mktsegment", F.lit("; z"))).alias("host_lineage"),
+    )
+    calls = s.join(places, F.col("s_nationkey") == k).select(F.col("s_suppkey").cast("long").alias("call"), F.concat_ws("; ", "r_name", "n_name", "s_name").alias("lineage"))
+    calls = calls.unionByName(vhdb.select((-1 - F.col("virus_tax_id")).alias("call"), F.concat_ws("; ", "virus_lineage", "virus_name").alias("lineage"))).withColumn("taxid", F.lit(-1).cast("long"))
+    return R.annotate_hosts(calls, vhdb, mode="string").select("call", "lineage", "host")
+
+
 @query("WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS r FROM orders) SELECT o_orderkey, CAST(r // 40 + 1 AS BIGINT) AS page FROM n")
 def page_numbers(spark, sf):
     """Pages of 40 rows in a global order, numbered over a range partitioning."""

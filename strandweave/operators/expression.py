@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import virus_and_strain
-from .ordering import numbered
+from ..scratch import written
+from .ordering import before, join_groups, numbered
 
 
 def collapse(df: DataFrame, keys: Sequence[str], sep: str = ";") -> DataFrame:
@@ -125,7 +126,8 @@ def size_factors(expr: DataFrame) -> DataFrame:
     """Size factors from geometric means over positive counts (poscounts), scaled to geometric mean 1 (STA-01)."""
     n = expr.select("sample").distinct().count()
     gm = expr.groupBy("feature_id").agg(F.exp(F.sum(F.when(F.col("counts") > 0, F.log("counts")).otherwise(0.0)) / n).alias("_gm"), F.max("counts").alias("_top")).where("_top > 0")
-    ratio = expr.join(gm, "feature_id").where("counts > 0").groupBy("sample").agg(F.exp(F.median(F.log(F.col("counts") / F.col("_gm")))).alias("sf"))
+    logs = expr.join(gm, "feature_id").where("counts > 0").select("sample", F.log(F.col("counts") / F.col("_gm")).alias("_log"))
+    ratio = percentiles(logs, "_log", ["sample"], (0.5,), ("_m",)).select("sample", F.exp("_m").alias("sf"))
     return ratio.withColumn("sf", F.col("sf") / F.exp(F.avg(F.log("sf")).over(Window.partitionBy())))
 
 
@@ -144,12 +146,36 @@ def regression(df: DataFrame, keys: Sequence[str], y: str, x: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.corr(y, x).alias("r"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.count("*").alias("n"))
 
 
+def percentiles(df: DataFrame, value: str, keys: Sequence[str] = (), points: Sequence[float] = (0.5,), names: Sequence[str] = ("median",)) -> DataFrame:
+    """`keys` and a column for each point: inclusive percentiles of the values that aren't null, interpolated.
+
+    Selection over a global order: distinct values are counted map-side and range-partitioned by key and value, running
+    counts tell which of them hold the two ranks around each point, and only these values are aggregated. So the values
+    of one key are spread over many tasks.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    placed = written(before(counts, list(keys), ["_v"], sums={"_before": "_n"}))
+    sizes = placed.groupBy(*keys).agg(F.sum("_n").alias("_all"), F.count("*").alias("_rows"))
+    rows = join_groups(placed, sizes, list(keys), "_rows")
+    picks = []
+    for k, p in enumerate(points):
+        at = (F.col("_all") - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            picks.append(F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n")), F.col("_v"))).alias(f"_{side}{k}"))
+        picks.append(F.max(at - F.floor(at)).alias(f"_f{k}"))
+    out = rows.groupBy(*keys).agg(*picks)
+    return out.select(*keys, *[(F.col(f"_lo{k}") + (F.col(f"_hi{k}") - F.col(f"_lo{k}")) * F.col(f"_f{k}")).alias(n) for k, n in enumerate(names)])
+
+
 def percentile_stats(df: DataFrame, value: str, keys: Sequence[str] = (), points=(0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)) -> DataFrame:
     """Mean, minimum, maximum and inclusive percentiles (AGG-34; true extremes, Q11)."""
-    # one aggregate for all points: value counts are combined map-side, so a key's memory is its number of distinct values
-    at = F.percentile(value, F.array(*[F.lit(p) for p in points])).alias("at")
-    out = df.groupBy(*keys).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"), at)
-    return out.select(*keys, "mean", "min", "max", *[F.get("at", k).alias(f"p{int(round(p * 100)):02d}") for k, p in enumerate(points)])
+    names = [f"p{int(round(p * 100)):02d}" for p in points]
+    base = df.groupBy(*keys).agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"))
+    at = percentiles(df, value, keys, points, names)
+    if not keys:
+        return base.join(F.broadcast(at), how="left").select("mean", "min", "max", *names)  # a row each
+    right = at.toDF(*[f"_k{i}" for i in range(len(keys))], *names)
+    return base.join(right, [base[k].eqNullSafe(right[f"_k{i}"]) for i, k in enumerate(keys)], "left").select(*keys, "mean", "min", "max", *names)
 
 
 # ---- run-time benchmarks of jobs
@@ -177,19 +203,21 @@ def core_hours(jobs: DataFrame, threads: dict[str, int], *, keys=("stage", "stac
 
 def share_of_total(df: DataFrame, value: str, within: Sequence[str] = (), name: str = "share") -> DataFrame:
     """value over its sum within a key (WIN-12)."""
-    return df.withColumn(name, F.col(value) / F.sum(value).over(Window.partitionBy(*within)))
+    totals = df.groupBy(*within).agg(F.sum(value).alias("_sum"), F.count("*").alias("_rows"))
+    return join_groups(df, totals, list(within), "_rows").withColumn(name, F.col(value) / F.col("_sum")).drop("_sum", "_rows")
 
 
 def average_rank(df: DataFrame, value: str, within: Sequence[str], name: str = "rank") -> DataFrame:
-    """Ranks with ties at their mean (WIN-11)."""
-    tied = F.count("*").over(Window.partitionBy(*within, value))
-    return df.withColumn(name, F.rank().over(Window.partitionBy(*within).orderBy(value)) + (tied - 1) / 2)
+    """Ranks with ties at their mean (WIN-11); null has none. Distinct values are counted and ranked in a global order, as for percentiles."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*within, value).agg(F.count("*").alias("_n"))
+    ranks = before(counts, list(within), [value], sums={"_before": "_n"}).withColumn(name, F.col("_before") + (F.col("_n") + 1) / 2)
+    return join_groups(df, written(ranks.drop("_before")), [*within, value], "_n", "left").drop("_n")
 
 
 def fill_down(df: DataFrame, columns: Sequence[str], within: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Nulls replaced by the last value before (WIN-09)."""
-    w = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+    out = before(df, list(within), list(order), lasts={f"_last_{c}": c for c in columns})
+    return out.withColumns({c: F.coalesce(c, f"_last_{c}") for c in columns}).drop(*[f"_last_{c}" for c in columns])
 
 
 # ---- cohorts

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import first_elements, genome_coverage
-from .ordering import numbered
-from .taxonomy import longest_prefix
+from ..scratch import written
+from .ordering import join_groups, numbered
+from .taxonomy import prefix_rows
 
 
 def parse_scaffold_id(acc: Column) -> tuple[Column, Column, Column]:
@@ -236,33 +237,45 @@ def host_table(raw: DataFrame, blacklist: DataFrame | None = None, prefix: str =
     return out.join(blacklist, blacklist.columns, "left_anti") if blacklist is not None else out
 
 
-def share_filter(rows: DataFrame, key: str, lineage: str, least: float = 0.1) -> DataFrame:
-    """Keeps host lineages whose first, first two and first three levels each hold `least` of all matched rows (FLT-18)."""
-    out = rows.withColumn("_all", F.count("*").over(Window.partitionBy(key)))
-    for n in (1, 2, 3):
-        level = first_elements(F.col(lineage), n)
-        out = out.withColumn("_n", F.count("*").over(Window.partitionBy(key, level))).where(F.col("_n") >= F.col("_all") * least)
-    return out.drop("_all", "_n")
+def share_filter(rows: DataFrame, key: str, name: str, lineage: str, least: float = 0.1) -> DataFrame:
+    """Rows with a name and a lineage whose first, first two and first three levels each hold `least` of all the key's rows (FLT-18, WIN-13).
+
+    A level's rows are among those of the level above, so the three filters in a row are one on the first three levels. Rows
+    without a name or a lineage count in the total only. Counts are aggregated and joined back, no key's rows meet in one task.
+    """
+    level = F.when(F.col(name).isNotNull(), first_elements(F.col(lineage), 3))
+    known = rows.withColumn("_level", level)
+    counts = known.groupBy(key, "_level").agg(F.count("*").alias("_n"))
+    total = counts.groupBy(key).agg(F.sum("_n").alias("_all"))
+    good = counts.where("_level is not null").join(total, key).where(F.col("_n") / F.col("_all") >= least).select(key, "_level", "_n")
+    return join_groups(known.where("_level is not null"), written(good), [key, "_level"], "_n").drop("_level", "_n")
 
 
 def host_summary(rows: DataFrame, key: str, name: str, lineage: str) -> DataFrame:
-    """Sorted unique host names joined by ";", UNSPECIFIC from 2^15 characters on (AGG-20)."""
-    kept = share_filter(rows.where(F.col(name).isNotNull()), key, lineage)
-    text = F.array_join(F.array_sort(F.collect_set(name)), ";")
-    out = kept.groupBy(key).agg(text.alias("host"))
-    return out.withColumn("host", F.when(F.length("host") >= 1 << 15, "UNSPECIFIC").otherwise(F.col("host")))
+    """Sorted unique host names joined by ";", UNSPECIFIC from 2^15 characters on, empty where no host is left (AGG-20).
+
+    Shares are of all rows, those without a name too. Names are collected only where they fit.
+    """
+    kept = share_filter(rows, key, name, lineage).select(key, F.col(name).alias("_name")).distinct()
+    size = kept.groupBy(key).agg((F.sum(F.length("_name") + 1) - 1).alias("_size"))
+    short = kept.join(size.where(F.col("_size") < 1 << 15), key).groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("_name")), ";").alias("_host"))
+    long_ = size.where(F.col("_size") >= 1 << 15).select(key, F.lit("UNSPECIFIC").alias("_host"))
+    return rows.select(key).distinct().join(short.unionByName(long_), key, "left").select(key, F.coalesce("_host", F.lit("")).alias("host"))
 
 
 def annotate_hosts(calls: DataFrame, vhdb: DataFrame, *, mode: str = "element") -> DataFrame:
     """calls with `host`: hosts by taxid, else by the longest lineage prefix that the table knows (TAX-14, JOI-09).
 
-    vhdb: `virus_tax_id, virus_lineage, virus_name, host_name, host_lineage`.
+    vhdb: `virus_tax_id, virus_lineage, virus_name, host_name, host_lineage`. Hosts are summed up once for each prefix,
+    however many calls it serves.
     """
     by_id = vhdb.where(F.col("host_name").isNotNull()).groupBy(F.col("virus_tax_id").alias("taxid")).agg(F.array_join(F.array_sort(F.collect_set("host_name")), "; ").alias("_by_id"))
     out = calls.join(by_id, "taxid", "left")
     table = vhdb.select(F.concat_ws("; ", "virus_lineage", "virus_name").alias("_lineage"), "host_name", "host_lineage")
     pending = out.where("_by_id is null and lineage is not null").select("lineage")
-    found = host_summary(longest_prefix(pending, table, "lineage", "_lineage", mode=mode), "lineage", "host_name", "host_lineage").withColumnRenamed("host", "_by_lineage")
+    chosen, below = prefix_rows(pending, table, "lineage", "_lineage", mode=mode)
+    hosts = host_summary(below, "prefix", "host_name", "host_lineage").withColumnRenamed("host", "_by_lineage")
+    found = chosen.join(hosts, "prefix").select("lineage", "_by_lineage")
     return out.join(found, "lineage", "left").withColumn("host", F.coalesce("_by_id", "_by_lineage")).drop("_by_id", "_by_lineage").select(*calls.columns, "host")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import written
+from .ordering import HOT, before
 
 ROOT = 1
 
@@ -156,21 +157,91 @@ def prefixes(text: Column, sep: str = "; ") -> Column:
     return F.transform(F.reverse(F.sequence(F.lit(1), F.size(parts))), lambda n: F.array_join(F.slice(parts, 1, n), sep))
 
 
-def longest_prefix(queries: DataFrame, table: DataFrame, query_col: str, table_col: str, sep: str = "; ", *, levels: int = 25, mode: str = "element") -> DataFrame:
-    """For each distinct query lineage, all table rows below its longest prefix that has any (TAX-14, JOI-08).
+#: After all strings that begin with what it follows.
+_LAST = "\U0010ffff"
+
+
+def _below_each(prefixes: DataFrame, rows: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """(`prefix, lo, hi` of the prefixes that rows begin with, rows with their place `_at` in the order of text).
 
-    Both sides are exploded to prefixes and equi-joined, instead of a regex join, which would be a product of the two.
-    mode `string` also lets a prefix end inside an element, as string prefixes do.
+    Prefixes and rows are put in one range-partitioned order. Rows that begin with a prefix stand together in it, from the
+    place where the prefix would stand to that of the last string it begins, so the number of rows before
+    these two marks is all that is needed.
+    """
+    row = F.struct(*[F.col(c) for c in rows.columns])
+    marks = prefixes.select("prefix").distinct()
+    none = F.lit(None).cast(rows.select(row.alias("r")).schema["r"].dataType)
+    both = (
+        rows.where(F.col(text).isNotNull()).select(F.col(text).alias("_s"), F.lit(1).alias("_kind"), F.lit(1).alias("_one"), F.lit(None).cast("string").alias("prefix"), row.alias("_row"))
+        .unionByName(marks.select(F.col("prefix").alias("_s"), F.lit(0).alias("_kind"), F.lit(0).alias("_one"), "prefix", none.alias("_row")))
+        .unionByName(marks.select(F.concat("prefix", F.lit(_LAST)).alias("_s"), F.lit(2).alias("_kind"), F.lit(0).alias("_one"), "prefix", none.alias("_row")))
+    )
+    placed = written(before(both, [], ["_s", "_kind"], sums={"_at": "_one"}))
+    ends = placed.where("_kind <> 1").groupBy("prefix").agg(F.min("_at").alias("lo"), F.max("_at").alias("hi")).where("lo < hi")
+    return ends, placed.where("_kind = 1").select("_row.*", "_at")
+
+
+def in_ranges(points: DataFrame, ranges: DataFrame, at: str, lo: str, hi: str) -> DataFrame:
+    """Pairs of a point and a range with lo <= at < hi, places being whole and not negative.
+
+    A range is cut into at most two dyadic blocks of each size (at the sizes 1, 2, 4, ...), a point looks up the block
+    of each size that occurs, so there are as many rows as pairs and as points times sizes. Blocks of over 1 / HOT of all
+    places are few and joined by broadcast if they are, so a range over most points isn't one task.
+    """
+    a = lambda k: F.shiftrightunsigned(F.col(lo) + F.expr(f"shiftleft(1L, {k})") - 1, k)
+    cut = []
+    for k in range(48):
+        left, right = a(k), F.shiftrightunsigned(F.col(hi), k)
+        cut.append(F.when((left < right) & (left % 2 == 1), F.struct(F.lit(k).alias("k"), left.alias("block"))))
+        cut.append(F.when((left < right) & (right % 2 == 1), F.struct(F.lit(k).alias("k"), (right - 1).alias("block"))))
+    blocks = written(ranges.withColumn("_b", F.explode(F.filter(F.array(*cut), lambda x: x.isNotNull()))).withColumn("_k", F.col("_b.k")).withColumn("_block", F.col("_b.block")).drop("_b"))
+    sizes = sorted(r["_k"] for r in blocks.select("_k").distinct().collect())  # 48 at most
+    most = points.agg(F.coalesce(F.max(at), F.lit(0)) + 1).first()[0]
+    names = [c for c in ranges.columns]
+    out = None
+    for big in (True, False):
+        some = [k for k in sizes if (((1 << k) * HOT > most) == big)]
+        if not some:
+            continue
+        own = blocks.where(F.col("_k").isin(some))
+        own = F.broadcast(own) if big and own.count() <= BROADCAST_BLOCKS else own
+        looked = points.withColumn("_k", F.explode(F.array(*[F.lit(k) for k in some]))).withColumn("_block", F.expr(f"shiftrightunsigned({at}, _k)"))
+        pairs = looked.join(own, ["_k", "_block"]).select(*points.columns, *names)
+        out = pairs if out is None else out.unionByName(pairs)
+    return out if out is not None else points.join(ranges, F.lit(False))
+
+
+#: Most blocks that may be broadcast (a row is a prefix and four numbers).
+BROADCAST_BLOCKS = 100_000
+
+
+def prefix_rows(queries: DataFrame, table: DataFrame, query_col: str, table_col: str, sep: str = "; ", *, levels: int = 25, mode: str = "element") -> tuple[DataFrame, DataFrame]:
+    """(`query_col, prefix`: the longest prefix of each distinct query lineage that any table row is below;
+    table rows with each such `prefix` they are below) (TAX-14, JOI-08).
+
+    A prefix is a lineage without its last elements. mode `element`: a row is below it if it has the same first elements,
+    an equi-join of exploded prefixes. mode `string`: if its text begins with the prefix, which may end inside an element of
+    the row: rows below a prefix are an interval of the sorted rows.
     """
-    q = queries.select(F.col(query_col).alias("_q")).distinct()
-    ups = q.select("_q", F.posexplode(F.slice(prefixes(F.col("_q"), sep), 1, levels)).alias("up", "prefix"))
-    rows = table.withColumn("_row", F.monotonically_increasing_id())
+    q = queries.select(F.col(query_col).alias("_q")).where("_q is not null").distinct()
+    ups = written(q.select("_q", F.posexplode(F.slice(prefixes(F.col("_q"), sep), 1, levels)).alias("up", "prefix")))
     if mode == "string":
-        heads = F.element_at(F.split("prefix", sep), 1)
-        own = rows.withColumn("_head", F.element_at(F.split(table_col, sep), 1))
-        hit = ups.withColumn("_head", heads).join(own, "_head").where(F.col(table_col).startswith(F.col("prefix"))).drop("_head")
+        ends, rows = _below_each(ups, table, table_col)
+        known = ends = written(ends)
     else:
-        own = rows.withColumn("prefix", F.explode(prefixes(F.col(table_col), sep)))
-        hit = ups.join(own, "prefix")
-    nearest = Window.partitionBy("_q")
-    return hit.withColumn("_least", F.min("up").over(nearest)).where("up = _least").drop("_least", "_row").withColumnRenamed("_q", query_col)
+        own = table.withColumn("prefix", F.explode(prefixes(F.col(table_col), sep)))
+        known = own.select("prefix").distinct()
+    first = ups.join(known.select("prefix"), "prefix", "left_semi").groupBy("_q").agg(F.min_by("prefix", "up").alias("prefix"))
+    chosen = written(first.select(F.col("_q").alias(query_col), "prefix"))
+    used = chosen.select("prefix").distinct()
+    if mode == "string":
+        below = in_ranges(rows, ends.join(used, "prefix", "left_semi"), "_at", "lo", "hi").select(*table.columns, "prefix")
+    else:
+        below = own.join(used, "prefix", "left_semi").select(*table.columns, "prefix")
+    return chosen, below
+
+
+def longest_prefix(queries: DataFrame, table: DataFrame, query_col: str, table_col: str, sep: str = "; ", *, levels: int = 25, mode: str = "element") -> DataFrame:
+    """For each distinct query lineage, all table rows below its longest prefix that has any; see prefix_rows."""
+    chosen, below = prefix_rows(queries, table, query_col, table_col, sep, levels=levels, mode=mode)
+    return chosen.join(below, "prefix")
