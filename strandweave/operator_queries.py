@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .functions import scalars as C
 from .operators import chains, expression as E, hits as H, intervals as I, report as R, taxonomy as T
 from .plans import commands
+from .scratch import written
 from .sources import readers
 from .views import HITS_SQL, TREE_SQL, hits, table, taxon_nodes
 
@@ -267,12 +268,12 @@ def failed_files(spark, sf):
 # ---- intervals
 
 
-@query("""WITH x AS (SELECT p_size % 4 AS chrom, 'g' || (p_partkey % 40) AS gene, p_partkey * 37 % 3000 + 1 AS s, p_partkey * 37 % 3000 + p_size * 2 AS e FROM part WHERE p_partkey <= 400), p AS (SELECT DISTINCT chrom, unnest([s, e + 1]) AS a FROM x),
+@query("""WITH x AS (SELECT p_size % 4 AS chrom, 'g' || (p_partkey // 5) AS gene, p_partkey * 11 + 1 AS s, p_partkey * 11 + p_size * 2 AS e FROM part), p AS (SELECT DISTINCT chrom, unnest([s, e + 1]) AS a FROM x),
   g AS (SELECT chrom, a AS start, lead(a) OVER (PARTITION BY chrom ORDER BY a) - 1 AS "end" FROM p), m AS (SELECT g.chrom, g.start, g."end", count(DISTINCT gene) AS n, min(gene) AS gene FROM g JOIN x ON g.chrom = x.chrom AND x.s <= g.start AND x.e >= g."end" GROUP BY ALL) SELECT chrom, start, "end", gene FROM m WHERE n = 1""")
 def disjoint_parts(spark, sf):
     """Exonic parts of exactly one gene."""
     k = F.col("p_partkey")
-    x = table(spark, sf, "part").where("p_partkey <= 400").select((F.col("p_size") % 4).alias("chrom"), F.concat(F.lit("g"), k % 40).alias("gene"), (k * 37 % 3000 + 1).alias("start"), (k * 37 % 3000 + F.col("p_size") * 2).alias("end"))
+    x = table(spark, sf, "part").select((F.col("p_size") % 4).alias("chrom"), F.concat(F.lit("g"), F.floor(k / 5)).alias("gene"), (k * 11 + 1).alias("start"), (k * 11 + F.col("p_size") * 2).alias("end"))
     return I.disjoint_parts(x, ["chrom"], "gene")
 
 
@@ -287,15 +288,67 @@ def count_fragments(spark, sf):
     return I.count_fragments(reads, parts, ["chrom"], ["part"])
 
 
-@query(f"WITH {HITS_SQL}, r AS (SELECT sacc, lo, hi, max(hi) OVER (PARTITION BY sacc, sample ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach, sample FROM h WHERE sample % 2 = 0 AND qacc % 9 = 0),"
+@query(f"WITH {HITS_SQL}, r AS (SELECT sacc, lo, hi, max(hi) OVER (PARTITION BY sacc, sample ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach, sample FROM (SELECT qacc AS sample, sacc, lo, hi FROM h)),"
        " i AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo - reach > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY sacc, sample ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS k FROM r), b AS (SELECT sacc, sample, min(lo) AS s, max(hi) AS e FROM i GROUP BY sacc, sample, k)"
        " SELECT sacc, sample, s AS start, e AS \"end\", CAST(coalesce(sum(e - s + 1 + 20) OVER (PARTITION BY sacc, sample ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 - s AS BIGINT) AS \"offset\" FROM b")
 def compressed_axis(spark, sf):
-    """Blocks of some contigs on an axis whose gaps are 20 wide."""
-    b = hits(spark, sf).where("sample % 2 = 0 and qacc % 9 = 0").select("sacc", "sample", F.least("sstart", "send").alias("start"), F.greatest("sstart", "send").alias("end"))
+    """Blocks of all contigs on an axis whose gaps are 20 wide."""
+    b = hits(spark, sf).select("sacc", F.col("qacc").alias("sample"), F.least("sstart", "send").alias("start"), F.greatest("sstart", "send").alias("end"))
     return I.compressed_axis(b, ["sacc", "sample"], 20)
 
 
+@query(f"""WITH {HITS_SQL}, p AS (SELECT sample, sacc, ord, ord * 7 % 6000 AS pos FROM h), b AS (SELECT DISTINCT sample, sacc, unnest([lo, hi + 1]) AS s FROM h), g AS (SELECT sample, sacc, s, lead(s) OVER (PARTITION BY sample, sacc ORDER BY s) - 1 AS e FROM b),
+  n AS (SELECT p.ord, count(h.ord) AS n FROM p LEFT JOIN h ON p.sample = h.sample AND p.sacc = h.sacc AND lo <= pos AND hi >= pos GROUP BY 1)
+  SELECT p.ord, pos, g.s AS start, g.e AS "end", n FROM p JOIN n USING (ord) LEFT JOIN g ON p.sample = g.sample AND p.sacc = g.sacc AND g.s <= pos AND g.e >= pos""")
+def segments_at_points(spark, sf):
+    """The segment over each of many positions, and how many hits it holds."""
+    h = hits(spark, sf)
+    segs = I.segments(h, ["sample", "sacc"], "sstart", "send", "qacc", "ord")
+    points = h.select("sample", "sacc", "ord", (F.col("ord") * 7 % 6000).alias("pos"))
+    return I.at_points(points, segs, ["sample", "sacc"], "pos").select("ord", "pos", "start", "end", F.coalesce(F.size("payload"), F.lit(0)).cast("long").alias("n"))
+
+
+@query(f"""WITH {HITS_SQL}, k AS (SELECT * FROM h WHERE score >= 40), p AS (SELECT DISTINCT sample, sacc, unnest([lo, hi + 1]) AS s FROM k), g AS (SELECT sample, sacc, s AS start, lead(s) OVER (PARTITION BY sample, sacc ORDER BY s) - 1 AS "end" FROM p)
+  SELECT g.sample, g.sacc, g.start, g."end", coalesce(string_agg(CAST(k.ord AS VARCHAR), ',' ORDER BY k.ord), '') AS hits
+  FROM g LEFT JOIN k ON g.sample = k.sample AND g.sacc = k.sacc AND k.lo <= g.start AND k.hi >= g."end" WHERE g."end" IS NOT NULL GROUP BY ALL""")
+def removed_payloads(spark, sf):
+    """Segments of all hits from which the weak ones were removed, neighbours merged: as if these had never been there."""
+    h = hits(spark, sf)
+    segs = written(I.segments(h, ["sample", "sacc"], "sstart", "send", "ord", "ord"))
+    out = I.without_payloads(segs, h.where("score < 40"), ["sample", "sacc"], "sstart", "send", "ord")
+    return out.select("sample", "sacc", "start", "end", F.array_join(F.transform("payload", lambda x: x.cast("string")), ",").alias("hits"))
+
+
+_AXIS = f"""{HITS_SQL}, r AS (SELECT qacc, lo, hi, max(hi) OVER (PARTITION BY qacc ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM h),
+  i AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo - reach > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY qacc ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS k FROM r), b AS (SELECT qacc, k, min(lo) AS s, max(hi) AS e FROM i GROUP BY qacc, k),
+  a AS (SELECT qacc, s, e, coalesce(sum(e - s + 1 + 20) OVER (PARTITION BY qacc ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS t FROM b)"""
+
+
+@query(f"""WITH {_AXIS}, n AS (SELECT *, t + e - s AS u, lead(s) OVER o AS s2, lead(t) OVER o AS t2, s = min(s) OVER (PARTITION BY qacc) AS head FROM a WINDOW o AS (PARTITION BY qacc ORDER BY s)), p AS (SELECT qacc, ord, ord * 13 % 6000 AS pos, ord * 13 % 900 AS place FROM h)
+  SELECT p.ord, p.pos, round(CASE WHEN pos <= x.e THEN x.t + pos - x.s WHEN x.s2 IS NULL THEN x.u + pos - x.e ELSE x.u + (pos - x.e) * CAST(x.t2 - x.u AS DOUBLE) / (x.s2 - x.e) END, 9) AS mapped,
+    round(CASE WHEN place <= y.u THEN y.s + place - y.t WHEN y.s2 IS NULL THEN y.e + place - y.u ELSE y.e + (place - y.u) * CAST(y.s2 - y.e AS DOUBLE) / (y.t2 - y.u) END, 9) AS inverse
+  FROM p JOIN n x ON x.qacc = p.qacc AND (x.s <= pos OR x.head) AND (x.s2 IS NULL OR pos < x.s2) JOIN n y ON y.qacc = p.qacc AND (y.t <= place OR y.head) AND (y.t2 IS NULL OR place < y.t2)""")
+def axis_both_ways(spark, sf):
+    """Positions on the compressed axis of each query, those in gaps and outside too, and back from it."""
+    h = hits(spark, sf)
+    axis = written(I.compressed_axis(h.select("qacc", F.least("sstart", "send").alias("start"), F.greatest("sstart", "send").alias("end")), ["qacc"], 20, merge_gap=50))
+    points = h.select("qacc", "ord", (F.col("ord") * 13 % 6000).alias("pos"), (F.col("ord") * 13 % 900).alias("place"))
+    there = I.to_axis(points, axis, ["qacc"], "pos")
+    both = I.to_axis(there.withColumnRenamed("mapped", "there"), axis, ["qacc"], "place", back=True)
+    return both.select("ord", "pos", F.round("there", 9).alias("mapped"), F.round("mapped", 9).alias("inverse"))
+
+
+@query(f"""WITH RECURSIVE {HITS_SQL}, r AS (SELECT sample, sacc, ord, lo, hi, row_number() OVER (PARTITION BY sample, sacc ORDER BY lo, hi, ord) AS k FROM h),
+  s AS (SELECT DISTINCT sample, sacc, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS ord, CAST(0 AS BIGINT) AS lane, CAST([] AS BIGINT[]) AS ends FROM h
+    UNION ALL SELECT sample, sacc, k, ord, lane, list_concat(list_concat(ends[:lane - 1], [hi]), ends[lane + 1:]) FROM (
+      SELECT s.sample, s.sacc, r.k, r.ord, r.hi, s.ends, coalesce(nullif(list_position(list_transform(s.ends, lambda x: x < r.lo), true), 0), len(s.ends) + 1) AS lane FROM s JOIN r ON r.sample = s.sample AND r.sacc = s.sacc AND r.k = s.k + 1))
+  SELECT sample, sacc, ord, CAST(lane AS INTEGER) AS lane FROM s WHERE k > 0""")
+def lanes(spark, sf):
+    """Hits of each subject packed into lanes, first fit."""
+    h = hits(spark, sf).select("sample", "sacc", "ord", F.least("sstart", "send").alias("start"), F.greatest("sstart", "send").alias("end"))
+    return I.pack_lanes(h, ["sample", "sacc"], ["start", "end", "ord"]).select("sample", "sacc", "ord", "lane")
+
+
 @query(f"WITH {HITS_SQL}, o AS (SELECT *, max(hi) OVER (PARTITION BY sample, sacc ORDER BY lo, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM h) SELECT ord, CAST(sum(CASE WHEN reach - lo + 1 <= 5 THEN 0 ELSE 1 END) OVER (PARTITION BY sample, sacc ORDER BY lo, ord ROWS UNBOUNDED PRECEDING) AS BIGINT) AS chain FROM o")
 def build_chains(spark, sf):
     return chains.build_chains(hits(spark, sf), max_overlap=5).select("ord", "chain")

@@ -6,13 +6,18 @@ breakpoints) are found from the distinct breakpoints of a key and joined back by
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from heapq import heappop, heappush
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scratch import written
+from .ordering import before, join_groups
+
 
 def oriented(start: str, end: str) -> tuple[Column, Column]:
     return F.least(start, end), F.greatest(start, end)
@@ -60,6 +65,63 @@ def at_point(segs: DataFrame, position: Column | int) -> DataFrame:
     return segs.where((F.col("start") <= position) & (F.col("end") >= position))
 
 
+def last_start(points: DataFrame, segs: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
+    """points with the other columns of the last segment of their key that starts at or before the position, null if none.
+
+    Points and segments are put in one order of key and position, and each point takes the last segment before it: no
+    join, so it doesn't matter how many of either a key has. Columns of segs that points have too are taken from points.
+    """
+    more = [c for c in segs.columns if c not in keys and c not in points.columns]
+    own = [c for c in points.columns if c not in keys]
+    point, seg = F.struct(*own).alias("_point"), F.struct(*more).alias("_seg")
+    kinds = {c: x.select(s).schema[c].dataType for x, s, c in ((points, point, "_point"), (segs, seg, "_seg"))}
+    both = segs.select(*keys, F.col("start").cast("double").alias("_pos"), F.lit(0).alias("_kind"), F.lit(None).cast(kinds["_point"]).alias("_point"), seg)
+    both = both.unionByName(points.select(*keys, F.col(position).cast("double").alias("_pos"), F.lit(1).alias("_kind"), point, F.lit(None).cast(kinds["_seg"]).alias("_seg")))
+    found = before(both, list(keys), ["_pos", "_kind"], lasts={"_last": "_seg"}).where("_kind = 1")
+    return found.select(*keys, *[F.col(f"_point.{c}").alias(c) for c in own], *[F.when(F.col("_pos").isNotNull(), F.col(f"_last.{c}")).alias(c) for c in more])
+
+
+def at_points(points: DataFrame, segs: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
+    """points with the segment over each, null where there is none (REG-03). Segments of a key don't overlap."""
+    more = [c for c in segs.columns if c not in keys and c not in points.columns]
+    out = last_start(points, segs, keys, position)
+    inside = F.col("end") >= F.col(position)
+    return out.select(*points.columns, *[F.when(inside, F.col(c)).alias(c) for c in more])
+
+
+def runs(segs: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """`keys, start, end, value`: neighbouring segments of equal value in one, by run detection over the order of keys and starts.
+
+    Segments that don't touch aren't neighbours.
+    """
+    seen = before(segs.select(*keys, "start", "end", value), list(keys), ["start"], lasts={"_prev": value, "_end": "end"})
+    new = F.when((F.col("_end") + 1 == F.col("start")) & F.col("_prev").eqNullSafe(F.col(value)), 0).otherwise(1)
+    marked = before(seen.withColumn("_new", new), list(keys), ["start"], sums={"_runs": "_new"}).withColumn("_run", F.col("_runs") + F.col("_new"))
+    return marked.groupBy(*keys, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by(value, "start").alias(value)).drop("_run")
+
+
+def without_payloads(segs: DataFrame, removed: DataFrame, keys: Sequence[str], start: str, end: str, payload: str) -> DataFrame:
+    """Segments (as of `segments`) after entries were removed: one equal entry of each segment under a removed interval goes,
+    equal neighbours are merged, and nothing empty is left at a key's ends (REG-02).
+
+    Removed intervals are such as were added, so they begin and end with segments.
+    """
+    lo, hi = oriented(start, end)
+    gone = removed.select(*keys, lo.alias("_lo"), hi.alias("_hi"), F.col(payload).alias("_payload"))
+    over = _covered(segs.select(*keys, "start", "end"), gone, keys, "inner").groupBy(*keys, "start", "end").agg(F.collect_list("_payload").alias("_gone"))
+    over = over.toDF(*[f"_over{i}" for i in range(len(keys) + 2)], "_gone")
+
+    def drop_one(left, x):
+        at = F.array_position(left, x).cast("int")
+        return F.when(at > 0, F.concat(F.slice(left, F.lit(1), at - 1), F.slice(left, at + 1, F.size(left)))).otherwise(left)
+
+    on = [segs[k].eqNullSafe(F.col(f"_over{i}")) for i, k in enumerate([*keys, "start", "end"])]
+    left = segs.join(over, on, "left").select(*keys, "start", "end", F.when(F.col("_gone").isNull(), F.col("payload")).otherwise(F.aggregate("_gone", F.col("payload"), drop_one)).alias("payload"))
+    whole = written(runs(left, keys, "payload"))
+    ends = whole.where("size(payload) > 0").groupBy(*keys).agg(F.min("start").alias("_first"), F.max("end").alias("_last"), F.count("*").alias("_n"))
+    return join_groups(whole, ends, list(keys), "_n").where("start >= _first and end <= _last").drop("_first", "_last", "_n")
+
+
 def merged(df: DataFrame, keys: Sequence[str], start: str, end: str, min_gap: int = 1) -> DataFrame:
     """`keys, start, end, n`: unions of intervals whose gap is under min_gap bases; 1 merges adjacent ones (REG-06)."""
     lo, hi = oriented(start, end)
@@ -121,64 +183,98 @@ def disjoint_parts(exons: DataFrame, keys: Sequence[str], gene: str) -> DataFram
     return parts.withColumn("genes", F.array_distinct("payload")).where("size(genes) = 1").select(*keys, "start", "end", F.get("genes", 0).alias(gene))
 
 
-def count_fragments(reads: DataFrame, parts: DataFrame, keys: Sequence[str], part: Sequence[str], *, stranded: str = "inverted") -> DataFrame:
-    """Distinct fragments over each part; `inverted` reads the library's strand backwards (JOI-22)."""
+def count_fragments(reads: DataFrame, parts: DataFrame, keys: Sequence[str], part: Sequence[str], *, stranded: str = "inverted", bin_width: int = 1000) -> DataFrame:
+    """Distinct fragments over each part; `inverted` reads the library's strand backwards (JOI-22). Joined in bins of positions."""
     flip = F.when(F.col("strand") == "+", "-").when(F.col("strand") == "-", "+").otherwise(F.col("strand"))
     reads = reads.withColumn("strand", flip) if stranded == "inverted" and "strand" in reads.columns else reads
-    pairs = overlap_join(reads, parts, keys)
+    pairs = overlap_join(reads, parts, keys, bin_width=bin_width)
     return pairs.groupBy(*keys, *[F.col(f"b_{c}").alias(c) for c in part]).agg(F.countDistinct("a_fragment").alias("n"))
 
 
-def pack_lanes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A greedy lane for each interval, so that those of one lane don't overlap (REG-08). Groups are plot-sized."""
-    schema = T.StructType([*df.schema.fields, T.StructField("lane", T.IntegerType())])
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["start", "end"], kind="stable")
-        ends, lanes = [], []
-        for s, e in zip(pdf["start"], pdf["end"]):
-            k = next((k for k, x in enumerate(ends) if x < s), len(ends))
-            ends[k : k + 1] = [e]
-            lanes.append(k + 1)
-        return pdf.assign(lane=lanes)
+def islands_of(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """df with `_island`: intervals of a key that touch no position in common with any before begin a new one."""
+    seen = before(df, list(keys), list(order), highs={"_reach": "end"})
+    seen = seen.withColumn("_new", F.when(F.col("_reach").isNull() | (F.col("_reach") < F.col("start")), 1).otherwise(0))
+    return before(seen, list(keys), list(order), sums={"_islands": "_new"}).withColumn("_island", F.col("_islands") + F.col("_new")).drop("_reach", "_new", "_islands")
 
-    return df.groupBy(*keys).applyInPandas(pack, schema)
 
+def pack_lanes(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("start", "end")) -> DataFrame:
+    """The first free lane, from 1, for each interval in order, so that those of one lane don't overlap (REG-08).
 
-def spread(df: DataFrame, keys: Sequence[str], rounds: int = 100) -> DataFrame:
-    """Moves overlapping intervals apart around their common centre until they are disjoint, 100 rounds at most (REG-07)."""
+    Where nothing covers a position all lanes are free, so intervals between two such positions are packed by themselves.
+    They are streamed in order; what is held are the ends of the lanes in use.
+    """
+    cut = islands_of(df, keys, order)
+    schema = T.StructType([*df.schema.fields, T.StructField("lane", T.IntegerType())])
+    names = [*keys, "_island"]
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, busy, free, used = None, [], [], 0
+        for pdf in frames:
+            lanes = []
+            for row in zip(*[pdf[c] for c in names], pdf["start"], pdf["end"]):
+                if row[:-2] != own:
+                    own, busy, free, used = row[:-2], [], [], 0
+                while busy and busy[0][0] < row[-2]:
+                    heappush(free, heappop(busy)[1])
+                if free:
+                    lane = heappop(free)
+                else:
+                    lane = used = used + 1
+                heappush(busy, (row[-1], lane))
+                lanes.append(lane)
+            yield pdf.drop(columns="_island").assign(lane=lanes)
+
+    return cut.repartition(*names).sortWithinPartitions(*names, *order).mapInPandas(pack, schema)
+
+
+def spread(df: DataFrame, keys: Sequence[str], spacing: int = 0, rounds: int = 100) -> DataFrame:
+    """Moves intervals that overlap or are closer than spacing apart (REG-07): each cluster is laid out side by side around its
+    centre, again while clusters meet, rounds at most. Groups are one plot's contigs."""
+    half = spacing // 2
 
     def move(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start", "end"], kind="stable").reset_index(drop=True)
-        s, width = pdf["start"].astype(float).tolist(), (pdf["end"] - pdf["start"] + 1).tolist()
+        start, width = pdf["start"].to_numpy(dtype=np.int64) - half, (pdf["end"] - pdf["start"] + 1).to_numpy(dtype=np.int64) + 2 * half
         for _ in range(rounds):
-            moved = False
-            for k in range(len(s) - 1):
-                over = s[k] + width[k] - s[k + 1]
-                if over > 0:
-                    s[k] -= over / 2
-                    s[k + 1] += over / 2
-                    moved = True
-            if not moved:
+            order = np.argsort(start, kind="stable")
+            s, reach = start[order], np.maximum.accumulate((start + width)[order])  # one past the last end so far
+            if not (s[1:] < reach[:-1]).any():
                 break
-        start = pd.Series(s).round().astype(int)
-        return pdf.assign(start=start, end=start + pd.Series(width) - 1)
+            new = np.concatenate([[True], s[1:] > reach[:-1]])  # clusters, touching ones included
+            first = np.flatnonzero(new)[np.cumsum(new) - 1]
+            w = width[order]
+            laid = np.cumsum(w) - w
+            offset = laid - laid[first]
+            total, merged_width = np.bincount(np.cumsum(new) - 1, w), reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(s) - 1]])] - s[new]
+            left = ((total - merged_width + 1) / 2)[np.cumsum(new) - 1]
+            start[order] = s + np.trunc(s[first] + offset - s - left).astype(np.int64)
+        start = start + half
+        return pdf.assign(start=start, end=start + width - 2 * half - 1)
 
     return df.groupBy(*keys).applyInPandas(move, df.schema)
 
 
-def compressed_axis(blocks: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
-    """Merged blocks with their place on an axis where every gap is drawn `gap` wide (REG-09, WIN-10)."""
-    b = merged(blocks, keys, "start", "end")
-    order = Window.partitionBy(*keys).orderBy("start")
-    before = F.coalesce(F.sum(F.col("end") - F.col("start") + 1 + gap).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return b.withColumn("offset", before + 1 - F.col("start")).drop("n")
+def compressed_axis(blocks: DataFrame, keys: Sequence[str], gap: int, merge_gap: int = 1) -> DataFrame:
+    """Blocks, merged where less than merge_gap bases lie between, with their place on an axis where every gap is drawn `gap` wide (REG-09, WIN-10)."""
+    b = merged(blocks, keys, "start", "end", merge_gap).withColumn("_wide", F.col("end") - F.col("start") + 1 + gap)
+    return before(b, list(keys), ["start"], sums={"_left": "_wide"}).select(*keys, "start", "end", (F.col("_left") + 1 - F.col("start")).alias("offset"))
 
 
 def to_axis(points: DataFrame, axis: DataFrame, keys: Sequence[str], position: str, back: bool = False) -> DataFrame:
-    """Positions mapped onto the compressed axis, or back; positions in gaps are null."""
-    shift = F.col("offset") if back else F.lit(0)
-    hit = (F.col(position) >= F.col("_s") + shift) & (F.col(position) <= F.col("_e") + shift)
-    ax = axis.select(*keys, F.col("start").alias("_s"), F.col("end").alias("_e"), "offset")
-    out = points.join(ax, [*[points[k] == ax[k] for k in keys], hit], "left")
-    return out.select(*[points[c] for c in points.columns], (F.col(position) + F.when(F.lit(back), -F.col("offset")).otherwise(F.col("offset"))).alias("mapped"))
+    """points with `mapped`: positions on the compressed axis, or back from it (REG-09).
+
+    A block is shifted, a gap is stretched between the ends of the blocks around it, what lies before the first or after the last block is
+    shifted with it. Null positions, and those of keys without blocks, are null.
+    """
+    here, there = (F.col("offset"), F.lit(0)) if back else (F.lit(0), F.col("offset"))
+    ends = [F.struct((F.col(c) + here).cast("double").alias("start"), (F.col(c) + there).cast("double").alias("_to")) for c in ("start", "end")]
+    anchors = axis.select(*keys, F.explode(F.array(*ends)).alias("_a")).select(*keys, "_a.*").distinct()
+    anchors = before(anchors.withColumns({"_down": -F.col("start"), "_one": F.struct(F.col("start").alias("f"), F.col("_to").alias("t"))}), list(keys), ["_down"], lasts={"_next": "_one"})
+    first = anchors.groupBy(*keys).agg(F.min_by("_one", "start").alias("_next")).select(*keys, F.lit(float("-inf")).alias("start"), F.lit(None).cast("double").alias("_to"), "_next")
+    segs = anchors.select(*keys, "start", "_to", "_next").unionByName(first).withColumnRenamed("_next", "_after").withColumn("_from", F.col("start"))
+    found = last_start(points, segs.select(*keys, "start", "_from", "_to", "_after"), keys, position)
+    x = F.col(position)
+    stretched = F.col("_to") + (x - F.col("_from")) * (F.col("_after.t") - F.col("_to")) / F.nullif(F.col("_after.f") - F.col("_from"), F.lit(0.0))
+    mapped = F.when(F.col("_to").isNull(), F.col("_after.t") + (x - F.col("_after.f"))).when(F.col("_after").isNull(), F.col("_to") + (x - F.col("_from"))).otherwise(stretched)
+    return found.select(*points.columns, mapped.alias("mapped"))

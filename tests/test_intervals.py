@@ -27,11 +27,39 @@ def test_segments(spark, name):
     assert [(r["start"], r["end"], "".join(r["payload"])) for r in got] == want
 
 
-def test_removing_a_payload_is_leaving_its_row_out(spark):
-    rows = [(10, 20, "a"), (30, 40, "b"), (15, 35, "c")]
-    without = I.segments(frame(spark, rows).where("p <> 'b'"), ["key"], "s", "e", "p", "ord")
-    assert without.agg(F.max("end")).first()[0] == 35
-    assert I.at_point(without, 18).first()["payload"] == ["a", "c"] and I.at_point(without, 99).count() == 0
+def held(rows, positions):
+    return {p: [d for s, e, d in rows if min(s, e) <= p <= max(s, e)] for p in positions}
+
+
+def test_segments_over_points(spark):
+    rows = CASES["bridge"][0]
+    segs = I.segments(frame(spark, rows), ["key"], "s", "e", "p", "ord")
+    points = spark.createDataFrame([("k", p) for p in [*range(0, 50), None]] + [("other", 15)], "key string, pos int")
+    got = I.at_points(points, segs, ["key"], "pos").collect()
+    assert {r["pos"]: r["payload"] or [] for r in got if r["key"] == "k" and r["pos"] is not None} == held(rows, range(50))
+    assert len(got) == 52 and next(r for r in got if r["key"] == "other")["payload"] is None
+    assert I.at_point(segs, 18).first()["payload"] == ["a", "c"] and I.at_point(segs, 99).count() == 0
+
+
+#: Rows, what is removed, what is left: neighbours that become equal are one, nothing empty at the ends.
+REMOVALS = {
+    "one of two": ([(10, 20, "a"), (30, 40, "b")], [(30, 40, "b")], [(10, 20, "a")]),
+    "the first": ([(10, 20, "a"), (30, 40, "b")], [(10, 20, "a")], [(30, 40, "b")]),
+    "the bridge": ([(10, 20, "a"), (30, 40, "b"), (15, 35, "c")], [(15, 35, "c")], [(10, 20, "a"), (21, 29, ""), (30, 40, "b")]),
+    "inside": ([(10, 40, "a"), (20, 30, "b")], [(20, 30, "b")], [(10, 40, "a")]),
+    "outside": ([(10, 40, "a"), (20, 30, "b")], [(40, 10, "a")], [(20, 30, "b")]),
+    "one of two equal": ([(10, 40, "a"), (10, 40, "a")], [(10, 40, "a")], [(10, 40, "a")]),
+    "equal neighbours": ([(10, 19, "a"), (20, 30, "a"), (40, 50, "c")], [(40, 50, "c")], [(10, 30, "a")]),
+    "all": ([(10, 40, "a"), (20, 30, "b")], [(10, 40, "a"), (20, 30, "b")], []),
+}
+
+
+@pytest.mark.parametrize("name", REMOVALS)
+def test_removed_payloads(spark, name):
+    rows, gone, want = REMOVALS[name]
+    segs = I.segments(frame(spark, rows), ["key"], "s", "e", "p", "ord")
+    left = I.without_payloads(segs, frame(spark, gone), ["key"], "s", "e", "p").orderBy("start").collect()
+    assert [(r["start"], r["end"], "".join(r["payload"])) for r in left] == want
 
 
 def test_against_brute_force(spark):
@@ -56,18 +84,39 @@ def test_against_brute_force(spark):
     assert plain == sum(max(min(a[1:3]), min(b[1:3])) <= min(max(a[1:3]), max(b[1:3])) for a in rows for b in rows if a[0] == b[0])
 
 
-def test_lanes_spread_and_axis(spark):
-    df = spark.createDataFrame([("k", 1, 10), ("k", 5, 12), ("k", 11, 20), ("k", 30, 35)], "key string, start int, end int")
-    lanes = {(r["start"], r["lane"]) for r in I.pack_lanes(df, ["key"]).collect()}
-    assert lanes == {(1, 1), (5, 2), (11, 1), (30, 1)}
-    moved = sorted((r["start"], r["end"]) for r in I.spread(df, ["key"]).collect())
-    assert all(a[1] <= b[0] for a, b in zip(moved, moved[1:]))
+def test_lanes(spark):
+    rng = random.Random(1)
+    rows = [(k, s, s + rng.randint(0, 30), n) for n, (k, s) in enumerate((rng.choice("aab"), rng.randint(1, 400)) for _ in range(150))]
+    got = {r["n"]: r["lane"] for r in I.pack_lanes(spark.createDataFrame(rows, "key string, start int, end int, n int"), ["key"], ["start", "end", "n"]).collect()}
+    want = {}
+    for key in "ab":
+        ends = []
+        for k, s, e, n in sorted((r for r in rows if r[0] == key), key=lambda r: r[1:]):
+            lane = next((i for i, x in enumerate(ends) if x < s), len(ends))
+            ends[lane : lane + 1] = [e]
+            want[n] = lane + 1
+    assert got == want and max(got.values()) > 3
+
+
+def test_spread(spark):
+    df = spark.createDataFrame([("k", 1, 10), ("k", 5, 12), ("k", 11, 20), ("k", 30, 35), ("one", 3, 9)], "key string, start int, end int")
+    moved = sorted((r["key"], r["start"], r["end"]) for r in I.spread(df, ["key"]).collect())
+    # 28 bases in 20: shifts of -4.5, 1.5 and 3.5 are cut to whole ones, so -3, 6 and 14 still meet; then 28 in 27: shifts of -1, 0 and 0
+    assert moved == [("k", -4, 5), ("k", 6, 13), ("k", 14, 23), ("k", 30, 35), ("one", 3, 9)]
+    apart = sorted((r["start"], r["end"]) for r in I.spread(df.where("key = 'k'"), ["key"], spacing=4).collect())
+    assert all(b[0] - a[1] > 4 for a, b in zip(apart, apart[1:])) and [e - s for s, e in apart] == [9, 7, 9, 5]
+
+
+def test_axis(spark):
+    df = spark.createDataFrame([("k", 1, 10), ("k", 5, 12), ("k", 11, 20), ("k", 30, 35), ("z", 5, 5)], "key string, start int, end int")
     axis = I.compressed_axis(df, ["key"], gap=2)
-    points = spark.createDataFrame([("k", 1), ("k", 20), ("k", 25), ("k", 30)], "key string, pos int")
-    there = I.to_axis(points, axis, ["key"], "pos").orderBy("pos").collect()
-    assert [r["mapped"] for r in there] == [1, 20, None, 23]
-    back = I.to_axis(spark.createDataFrame([("k", 23)], "key string, pos int"), axis, ["key"], "pos", back=True).first()
-    assert back["mapped"] == 30
+    points = spark.createDataFrame([("k", p) for p in (-3, 1, 20, 25, 30, 35, 40, None)] + [("z", 4), ("z", 5), ("z", 9), ("no", 1)], "key string, pos int")
+    there = {(r["key"], r["pos"]): r["mapped"] for r in I.to_axis(points, axis, ["key"], "pos").collect()}
+    # blocks 1-20 and 23-28: the gap of ten steps is drawn in three
+    assert there == {("k", -3): -3, ("k", 1): 1, ("k", 20): 20, ("k", 25): 21.5, ("k", 30): 23, ("k", 35): 28, ("k", 40): 33, ("k", None): None, ("z", 4): 0, ("z", 5): 1, ("z", 9): 5, ("no", 1): None}
+    mapped = spark.createDataFrame([(k, p, m) for (k, p), m in there.items()], "key string, was int, pos double")
+    assert all(r["mapped"] == r["was"] or r["was"] is None or r["key"] == "no" for r in I.to_axis(mapped, axis, ["key"], "pos", back=True).collect())
+    assert I.compressed_axis(df, ["key"], gap=2, merge_gap=10).where("key = 'k'").count() == 1
 
 
 def test_exonic_parts(spark):
