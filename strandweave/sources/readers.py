@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import before_last, head_tail, sample_name, tax_ids
 from ..schemas import BLAST6, COVERAGE, DEPTH, FIELD_NAMES, FIELD_TYPES, VHDB, fasta_qc
+from ..scratch import written
 
 
 def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -23,28 +24,41 @@ def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), pos.alias("pos"))
 
 
+#: Most files whose rows of fields may be broadcast (under 1 kB each).
+BROADCAST_FILES = 50_000
+
+
 def blast7(spark: SparkSession, paths: str | Sequence[str], *, suffix: str = "blast7", checked: bool = True) -> DataFrame:
     """Tabular alignments that describe themselves: columns as in `# Fields:`, long names shortened, unknown ones kept (SRC-01).
 
-    Fields may differ between files. One row for each file (its first line and its fields) is made; the distinct fields, a
-    few, and up to five names of files whose first line doesn't name the tool, which is an error, come to the driver.
+    Fields may differ between files. A first pass makes one row for each file, its first line and its fields; the distinct
+    fields, a few, and up to five names of files whose first line doesn't name the tool, which is an error, come to the driver.
+    The plan returned scans the files once: lines find their file's fields by a broadcast of those rows, where there are
+    several kinds of fields at all, and are not shuffled.
     """
     lines = _lines(spark, paths)
     fields = F.min(F.when(F.col("value").startswith("# Fields: "), F.expr("substring(value, 11)")))
-    head = lines.groupBy("path").agg(F.min_by("value", "pos").alias("first"), fields.alias("fields"))
+    head = written(lines.groupBy("path").agg(F.min_by("value", "pos").alias("first"), fields.alias("fields")))
     if checked:
         bad = [r["path"] for r in head.where(~F.col("first").contains("BLAST")).limit(5).collect()]
         if bad:
             raise ValueError(f"not alignment files by their first line: {', '.join(bad)}")
     kinds = [r["fields"] for r in head.select("fields").where("fields is not null").distinct().orderBy("fields").collect()]
-    data = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).join(head.drop("first"), "path")
-    parts, out = F.split("value", "\t"), None
+    data = lines.where(~F.col("value").startswith("#") & (F.col("value") != ""))
+    if len(kinds) == 1:
+        data = data.withColumn("fields", F.lit(kinds[0]))
+    else:
+        head = head.drop("first")
+        data = data.join(F.broadcast(head) if head.count() <= BROADCAST_FILES else head, "path")
+    if not kinds:
+        return spark.createDataFrame([], "sample string, ord long, qacc string, sacc string")
+    parts, found = F.split("value", "\t"), {}
     for fields in kinds:
-        names = [FIELD_NAMES.get(f.strip(), f.strip()) for f in fields.split(",")]
-        cols = [F.get(parts, k).try_cast(FIELD_TYPES[n]).alias(n) if n in FIELD_TYPES else tax_ids(F.get(parts, k)).alias(n) if n == "staxids" else F.get(parts, k).alias(n) for k, n in enumerate(names)]
-        one = data.where(F.col("fields") == fields).select(sample_name(F.col("file"), suffix).alias("sample"), F.col("pos").alias("ord"), *cols)
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    return out if out is not None else spark.createDataFrame([], "sample string, ord long, qacc string, sacc string")
+        for k, text in enumerate(fields.split(",")):
+            n = FIELD_NAMES.get(text.strip(), text.strip())
+            one = F.get(parts, k).try_cast(FIELD_TYPES[n]) if n in FIELD_TYPES else tax_ids(F.get(parts, k)) if n == "staxids" else F.get(parts, k)
+            found.setdefault(n, []).append(F.when(F.col("fields") == fields, one))
+    return data.select(sample_name(F.col("file"), suffix).alias("sample"), F.col("pos").alias("ord"), *[F.coalesce(*cols).alias(n) for n, cols in found.items()])
 
 
 def is_blast7(spark: SparkSession, path: str) -> bool:
