@@ -63,6 +63,17 @@ def read_fasta(spark, sf):
     return out.select("acc", "comment", F.md5("seq").alias("seq"), F.length("seq").alias("bp"))
 
 
+@query(f"WITH {SEQ_SQL}, r AS (SELECT 'd' || acc AS acc, seq, acc * 37 % 900 + 1 AS start, CASE WHEN acc % 10 > 0 THEN acc * 37 % 900 + acc % 300 END AS stop FROM s) SELECT acc, start, stop, substr(seq, start, greatest(0, coalesce(stop, length(seq)) - start + 1)) AS slice FROM r")
+def fasta_random_access(spark, sf):
+    """Slices of all records by an index of byte offsets; the rest of the files isn't read. A third of the records are one line."""
+    s = sequences(spark, sf)
+    wrapped = F.when(F.col("acc") % 3 == 0, F.col("seq")).otherwise(F.regexp_replace("seq", r"(.{70})(?=.)", "$1\n"))
+    at = _text(s.select(F.concat(F.lit(">d"), F.col("acc"), F.lit(" über "), F.col("acc"), F.lit("\n"), wrapped).alias("value")), spark, "fasta")
+    start = F.col("acc") * 37 % 900 + 1
+    requests = s.select(F.concat(F.lit("d"), "acc").alias("acc"), start.alias("start"), F.when(F.col("acc") % 10 > 0, start - 1 + F.col("acc") % 300).alias("stop"))
+    return readers.fasta_slices(requests, readers.fasta_index(spark, at))
+
+
 @query(f"WITH {SEQ_SQL} SELECT 'd' || acc AS acc FROM s")
 def read_fasta_accessions(spark, sf):
     rows = sequences(spark, sf).select(F.concat(F.lit(">d"), F.col("acc"), F.lit(" x\n"), F.col("seq")).alias("value"))

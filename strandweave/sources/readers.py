@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import before_last, head_tail, sample_name, tax_ids
+from ..operators.ordering import before
 from ..schemas import BLAST6, COVERAGE, DEPTH, FIELD_NAMES, FIELD_TYPES, VHDB, fasta_qc
 from ..scratch import written
 
@@ -90,6 +93,64 @@ def fasta_accessions(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     return spark.read.text(paths).where(F.col("value").startswith(">")).select(head_tail(F.expr("substring(value, 2)"))[0].alias("acc"))
 
 
+def fasta_index(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """`path, acc, length, offset, line_bases, line_bytes, n_bytes`: where each record's bases are in its uncompressed file (SRC-06).
+
+    Records have the offset that the bytes of those before them add up to, in the order of a file, so only a row for a
+    record is moved. line_bases is null where lines aren't of one length but the last; such a record is read whole. Lines
+    end in a newline alone. An accession's last record wins.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    pos = F.shiftleft(F.col("_metadata.file_block_start").cast("long"), 27) + row
+    raw = spark.read.option("lineSep", "\n>").text(paths).select(F.col("_metadata.file_path").alias("path"), pos.alias("pos"), F.regexp_replace("value", "^>", "").alias("rec"))
+    head = F.regexp_extract("rec", r"^([^\n]*)", 1)
+    body = F.regexp_replace(F.regexp_replace("rec", r"^[^\n]*\n?", ""), r"\n+$", "")
+    rows = raw.select("path", "pos", F.octet_length("rec").cast("long").alias("_all"), F.octet_length(head).cast("long").alias("_head"), head_tail(head)[0].alias("acc"), body.alias("body"))
+    first, bases = F.length(F.substring_index("body", "\n", 1)), F.length(F.regexp_replace("body", r"\s", ""))
+    rows = rows.select("path", "pos", "acc", "_head", (F.col("_all") + 2).alias("_step"), F.octet_length("body").cast("long").alias("n_bytes"), bases.cast("long").alias("length"), first.cast("long").alias("_width"))
+    even = F.col("n_bytes") == F.col("length") + F.ceil(F.col("length") / F.greatest(F.col("_width"), F.lit(1))) - 1
+    placed = before(rows, ["path"], ["pos"], sums={"_before": "_step"}).withColumn("line_bases", F.when(even & (F.col("_width") > 0), F.col("_width")))
+    offset = F.col("_before") + F.col("_head") + 2  # ">" and the newline after the header
+    last = Window.partitionBy("path", "acc").orderBy(F.desc("pos"))
+    placed = placed.where("acc <> ''").withColumn("_r", F.row_number().over(last)).where("_r = 1")
+    return placed.select("path", "acc", "length", offset.alias("offset"), "line_bases", (F.col("line_bases") + 1).alias("line_bytes"), "n_bytes")
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(..., path, from, to, skip, take) to (..., slice): reads bytes from to to, drops line ends, then cuts."""
+    path, file = None, None
+    for batch in batches:
+        out = []
+        for p, a, b, skip, take in zip(*[batch.column(k).to_pylist() for k in range(batch.num_columns - 5, batch.num_columns)]):
+            if p != path:
+                fs, at = pafs.FileSystem.from_uri(p)
+                path, file = p, fs.open_input_file(at)
+            text = b"".join(file.read_at(b - a, a).split()).decode() if b > a else ""
+            out.append(text[skip : skip + take])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-5], pa.array(out, pa.string())], [*batch.schema.names[:-5], "slice"])
+
+
+def fasta_slices(requests: DataFrame, index: DataFrame) -> DataFrame:
+    """requests `acc, start, stop` (1-based, closed; null stop: to the end) with `slice`, read from the indexed files by byte ranges.
+
+    Tasks read the ranges asked for and nothing else, those of a file one after the other. The files must be where pyarrow's
+    file systems reach them (local or mounted folders, HDFS, object stores). Unknown accessions fall out; what lies beyond
+    the end is left out.
+    """
+    lo = F.greatest(F.col("start"), F.lit(1)).cast("long") - 1
+    hi = F.least(F.coalesce(F.col("stop").cast("long"), F.col("length")), F.col("length"))
+    at = lambda x: F.col("offset") + F.floor(x / F.col("line_bases")) * F.col("line_bytes") + x % F.col("line_bases")
+    even = F.col("line_bases").isNotNull()
+    rows = requests.join(index, "acc").withColumns({"_lo": lo, "_hi": hi})
+    some = F.col("_hi") > F.col("_lo")
+    rows = rows.select(
+        *requests.columns, "path", F.when(~some, 0).when(even, at(F.col("_lo"))).otherwise(F.col("offset")).cast("long").alias("_from"), F.when(~some, 0).when(even, at(F.col("_hi") - 1) + 1).otherwise(F.col("offset") + F.col("n_bytes")).cast("long").alias("_to"),
+        F.when(even, 0).otherwise(F.col("_lo")).cast("long").alias("_skip"), F.greatest(F.col("_hi") - F.col("_lo"), F.lit(0)).cast("long").alias("_take"),
+    )
+    rows = rows.repartitionByRange("path", "_from").sortWithinPartitions("path", "_from")
+    return rows.mapInArrow(_slices, T.StructType([*rows.schema.fields[: len(requests.columns)], T.StructField("slice", T.StringType())]))
+
+
 def coverage(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Coverage tables with `unit`, the file name up to its last dot (SRC-07)."""
     raw = spark.read.csv(paths, sep="\t", header=True, schema=COVERAGE)

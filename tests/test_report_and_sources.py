@@ -144,3 +144,23 @@ def test_stream(spark, tmp_path):
     finally:
         q.stop()
     assert spark.sql("select * from qc").first()["frac_hp"] == 0.6
+
+
+def test_fasta_slices_read_ranges(spark, tmp_path):
+    import random
+
+    from strandweave.sources import readers
+
+    rng = random.Random(2)
+    seqs = {f"r{k}": "".join(rng.choice("ACGTn") for _ in range(rng.choice([0, 1, 59, 60, 61, 500]))) for k in range(12)}
+    wrap = lambda s, n: "\n".join(s[i : i + n] for i in range(0, len(s), n))
+    text = "".join(f">{a} some words é\n{wrap(s, 60)}\n" for a, s in seqs.items())
+    text = ">r3 replaced below\nAAAA\n" + text + ">odd\nACGT\nAC\nACGTACGT\n>last one\nACGTAC\nGT"
+    seqs |= {"odd": "ACGTACACGTACGT", "last": "ACGTACGT"}
+    (tmp_path / "a.fasta").write_text(text)
+    index = readers.fasta_index(spark, str(tmp_path / "a.fasta"))
+    assert {r["acc"]: r["length"] for r in index.collect()} == {a: len(s) for a, s in seqs.items()}
+    assert {r["acc"] for r in index.where("line_bases is null").collect()} == {"odd"} | {a for a, s in seqs.items() if not s}
+    asked = [(a, start, stop) for a in seqs for start, stop in ((1, None), (1, 1), (60, 61), (3, 130), (61, 60), (600, 700), (0, 5))] + [("unknown", 1, 2)]
+    got = {(r["acc"], r["start"], r["stop"]): r["slice"] for r in readers.fasta_slices(spark.createDataFrame(asked, "acc string, start long, stop long"), index).collect()}
+    assert got == {(a, b, e): seqs[a][max(b, 1) - 1 : e] for a, b, e in asked if a in seqs}
