@@ -2,7 +2,8 @@
 
 A value is taken apart to its letters and digits, each with its own radix; the mixed-radix number is permuted by an
 eight-round Feistel network (rounds keyed by BLAKE2b over key, kind and domain) with cycle walking, until it lies in
-the domain and validates. Separators, case and lengths stay (numbers of an IP address may take more or fewer digits); check
+the domain and validates. Longer values (over 64 letters and digits) are permuted as digit strings: the halves are shifted
+in turn, digit by digit, by a keyed hash of the other half, which takes linear time and never leaves the domain. Separators, case and lengths stay (numbers of an IP address may take more or fewer digits); check
 digits are recomputed. The permutation depends on the key, the kind and the format only, so equal values stay linked
 across documents, and `replace(..., back=True)` inverts it. Who has the key can invert it, so there is no default: it is
 an argument, and the query takes it from `spark.strandweave.pii.key`, else a new one for each run.
@@ -12,7 +13,7 @@ slashes or dots), social security numbers (valid areas), phone numbers (7 to 15
 parts of e-mail addresses, access keys and values of password, token and key assignments.
 
 Edge cases: null text: null, no finds. Very long texts, with or without blanks, take time in proportion to their length. Invalid numbers (a failed check, 31 February) are left alone. Values that
-overlap: the first, then the longest by the order above. Repeated rows give equal results. Extra columns pass through
+overlap: the first, then the longest by the order above. A value over a line break isn't found. Repeated rows give equal results. Extra columns pass through
 `pseudonymize`; a column named `n_found` is replaced.
 """
 
@@ -25,6 +26,7 @@ import secrets
 from collections.abc import Iterator
 from math import prod
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
@@ -32,7 +34,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 _EPOCH, _DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
 
 _FIND = re.compile(
-    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
+    r"(?P<email>(?<![A-Za-z0-9._%+-])[._%+-]*+[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,})"
     r"|(?P<secret>(?i:(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?)[A-Za-z0-9+/_\-]{8,}|\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
     r"|(?P<iban>\b[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d))"
@@ -81,11 +83,48 @@ class Feistel:
                 return y
 
 
+def permute_digits(digits: np.ndarray, bases: np.ndarray, key: bytes, tweak: str, back: bool = False, rounds: int = 8) -> np.ndarray:
+    """Feistel rounds over the two halves of a digit string: each half in turn is shifted, digit by digit, by a keyed hash of the other."""
+    out, cut = digits.astype(np.int64), len(digits) // 2
+    seed = hashlib.blake2b(f"{tweak}:{len(digits)}".encode(), key=key[:64]).digest()
+    for k in reversed(range(rounds)) if back else range(rounds):
+        own, other = (slice(0, cut), slice(cut, None)) if k % 2 else (slice(cut, None), slice(0, cut))
+        noise = hashlib.shake_256(seed + bytes([k]) + out[other].astype(np.uint8).tobytes()).digest(8 * len(out[own]))
+        shift = (np.frombuffer(noise, "<u8") % bases[own].astype(np.uint64)).astype(np.int64)
+        out[own] = (out[own] - shift if back else out[own] + shift) % bases[own]
+    return out
+
+
+#: Values of more letters and digits are permuted as digit strings, in linear time, instead of as one number.
+AS_NUMBER = 64
 _CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_HEX = "0123456789abcdef"
+
+
+def _kinds(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of a text, which of the three classes each is of (3: none), and its place in the class."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    kind = np.select([(points >= ord(c[0])) & (points <= ord(c[-1])) for c in _CLASSES], [0, 1, 2], 3)
+    return points, kind, points - np.array([ord(c[0]) for c in _CLASSES] + [0])[kind]
+
+
+def _permute_long(text: str, key: bytes, tweak: str, back: bool) -> str:
+    points, kind, digit = _kinds(text)
+    at = np.flatnonzero(kind < 3)
+    bases = np.array([len(c) for c in _CLASSES])[kind[at]]
+    shape = hashlib.blake2b(kind[at].astype(np.uint8).tobytes()).hexdigest()
+    new = permute_digits(digit[at], bases, key, f"{tweak}:{shape}", back)
+    points[at] += new - digit[at]
+    return points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
 
 
 def permute_text(text: str, key: bytes, kind: str, back: bool = False, valid=lambda s: True) -> str:
     """Digits, small and capital letters are permuted among their like; all else stays."""
+    if len(text) > AS_NUMBER and (_kinds(text)[1] < 3).sum() > AS_NUMBER:
+        while True:
+            text = _permute_long(text, key, kind, back)
+            if valid(text):
+                return text
     at = [(i, c) for i, ch in enumerate(text) for c in _CLASSES if ch in c]
     if not at:
         return text
@@ -105,6 +144,16 @@ def permute_text(text: str, key: bytes, kind: str, back: bool = False, valid=lam
     return join(Feistel(key, f"{kind}:{shape}", prod(bases))(n, back, lambda y: valid(join(y))))
 
 
+def permute_hex(text: str, key: bytes, kind: str, back: bool = False) -> str:
+    """Hexadecimal digits among each other."""
+    if len(text) <= AS_NUMBER:
+        return format(Feistel(key, kind, 16 ** len(text))(int(text, 16), back), f"0{len(text)}x")
+    raw = np.frombuffer(text.encode(), np.uint8)
+    digits = np.where(raw >= ord("a"), raw - ord("a") + 10, raw - ord("0")).astype(np.int64)
+    new = permute_digits(digits, np.full(len(raw), 16), key, kind, back)
+    return np.frombuffer(_HEX.encode(), np.uint8)[new].tobytes().decode()
+
+
 def luhn(digits: str) -> int:
     """The check digit that follows digits."""
     total = 0
@@ -197,7 +246,7 @@ def _secret(v, key, back):
     if m[1] is not None and not re.search(r"\d", body):
         return None  # a word, not a secret
     if re.fullmatch(r"[0-9a-f]+", body):  # stay hexadecimal
-        return head + format(Feistel(key, "hex", 16 ** len(body))(int(body, 16), back), f"0{len(body)}x")
+        return head + permute_hex(body, key, "hex", back)
     return head + permute_text(body, key, "secret", back)
 
 
