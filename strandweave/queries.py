@@ -420,6 +420,36 @@ def scaffold_parts(spark, sf):
     return scaffold.scaffolds(rows.drop("seq"), rows.select("qacc", "seq"))[0]
 
 
+#: 60 bases for each part, and where its first contig differs from them: for a third of the parts under the second contig, where it is outvoted.
+_SUBJECT = """p AS (SELECT p_partkey AS k, upper(translate(rpad(regexp_replace(lower(p_name), '[^a-z]', '', 'g'), 60, 'acgttgca'), 'abcdefghijklmnopqrstuvwxyz', 'ACCGGTTACGTACGTACGTACGTACA')) AS s,
+    CASE WHEN p_partkey % 3 = 0 THEN 17 ELSE 2 + p_partkey % 10 END AS m FROM part),
+  c AS (SELECT *, k || '_0+' || k || '_1+' || k || '_2' AS acc, CASE WHEN m < 15 THEN substr(s, 1, m - 1) || translate(s[m], 'ACGT', 'CATG') || substr(s, m + 1, 14 - m) ELSE substr(s, 1, 14) END AS head FROM p)"""
+
+
+@query(f"""WITH {_SUBJECT} SELECT acc, 'GG' || head || substr(s, 15, 16) || 'nnnnn' || substr(s, 36, 4) || 'G' || substr(s, 40, 6) || 'TTT' || substr(s, 51, 4) || substr(s, 56, 5) || 'CC' AS seq, x.a AS sstart, x.b AS send, k || x.q AS qacc, x.c AS qstart, x.d AS qend, x.n AS qlen, x.r AS reversed, x.bp, x.t AS scaffold
+  FROM c, (VALUES (-1, 0, '_0', 1, 2, 22, false, 2, 'edge'), (1, 14, '_0', 3, 16, 22, false, 14, 'unique'), (15, 20, '_0', 17, 22, 22, false, 6, 'consensus'), (15, 20, '_1', 11, 16, 16, true, 6, 'consensus'), (21, 30, '_1', 1, 10, 16, true, 10, 'unique'),
+    (36, 45, '_2', 1, 11, 25, false, 11, 'unique'), (46, 50, '_2', 12, 14, 25, false, 3, 'gap'), (51, 60, '_2', 15, 23, 25, false, 9, 'unique'), (61, 62, '_2', 24, 25, 25, false, 2, 'edge')) x(a, b, q, c, d, n, r, bp, t)""")
+def scaffold_edits(spark, sf):
+    """Scaffolds and their mapping rows: an exchange, a reverse contig over part of it, a gap, a contig with a base that the subject
+    lacks and without one that it has, in two hits whose gap holds other bases, and ends that hang over."""
+    full = F.translate(F.rpad(F.regexp_replace(F.lower("p_name"), "[^a-z]", ""), 60, "acgttgca"), "abcdefghijklmnopqrstuvwxyz", "ACCGGTTACGTACGTACGTACGTACA")
+    m = F.when(F.col("p_partkey") % 3 == 0, 17).otherwise(2 + F.col("p_partkey") % 10).cast("int")
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("sacc"), full.alias("s"), m.alias("m"))
+    cut = lambda a, n: F.substring("s", a, n)
+    at = F.substring(F.col("s"), F.col("m"), F.lit(1))
+    other = F.translate(at, "ACGT", "CATG")
+    first = F.concat(F.lit("GG"), F.substring(F.col("s"), F.lit(1), F.col("m") - 1), other, F.substring(F.col("s"), F.col("m") + 1, F.lit(20) - F.col("m")))
+    third = F.concat(cut(36, 4), F.lit("G"), cut(40, 6), F.lit("TTT"), cut(51, 4), cut(56, 5), F.lit("CC"))
+    name = lambda k: F.concat_ws("_", "sacc", F.lit(str(k)))
+    contigs = p.select(F.explode(F.array(*[F.struct(name(k).alias("qacc"), x.alias("seq")) for k, x in enumerate((first, S.reverse_complement(cut(15, 16)), third))])).alias("c")).select("c.*")
+    edit = F.concat((F.col("m") - 1).cast("string"), other, at, (20 - F.col("m")).cast("string"))
+    rows = ((0, 3, 22, 1, 20, edit), (1, 1, 16, 30, 15, F.lit("16")), (2, 1, 11, 36, 45, F.lit("4G-6")), (2, 15, 23, 51, 60, F.concat(F.lit("4-"), cut(55, 1), F.lit("5"))))
+    aligned = [F.struct(name(k).alias("qacc"), *[F.lit(v).alias(c) for v, c in zip(ends, ("qstart", "qend", "sstart", "send"))], btop.alias("btop"), F.lit(n).alias("ord")) for n, (k, *ends, btop) in enumerate(rows)]
+    h = p.select(F.lit("p").alias("sample"), "sacc", F.explode(F.array(*aligned)).alias("h")).select("sample", "sacc", "h.*")
+    seqs, mapping = scaffold.scaffolds(h, contigs)
+    return mapping.join(seqs.select("sacc", "acc", "seq"), ["sacc", "acc"]).drop("sample", "sacc")
+
+
 @query("""WITH t AS (SELECT p_partkey % 50 AS bin, -p_retailprice AS e, list_concat(['Type ' || p_partkey % 9, 'Type'], list_concat(string_split(p_name, ' '), string_split(p_type, ' '))) AS ws FROM part),
   w AS (SELECT bin, e, generate_subscripts(ws, 1) - 1 AS idx, unnest(ws) AS raw FROM t),
   u AS (SELECT bin, e, idx, CASE WHEN substr(raw, 2) = lower(substr(raw, 2)) AND substr(raw, 2) <> upper(substr(raw, 2)) THEN lower(raw) ELSE raw END AS word FROM w),
