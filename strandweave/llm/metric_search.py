@@ -9,8 +9,9 @@ distances avoid computations: |d(q, parent) - d(o, parent)| bounds d(q, o) from
 query of the batch needs are never compared. All bounds keep ties, scores are exact integers.
 
 Queries are broadcast in blocks of at most `QUERY_BLOCK` (64 dimensions: 26 MB as float64). A larger query set takes a
-pass over the rows for every block, one after the other, each written before the next. A task keeps the best k of each
-query of the block over all its pages.
+pass over the rows for every block, one after the other, each written before the next. There are as many tasks as shuffle
+partitions at most, however many pages; a task keeps the best k of each query of the block over all its pages, so what is
+shuffled is tasks x queries x k rows.
 
 Edge cases: vectors that are null or hold a null or non-finite component take no part, nor do null ids; vectors without
 components are alike (score 0). Fewer than k candidates: all. Ties: smaller vec_id. Rows of a query's own id are no
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, partitions_for
 
 PAGE, LEAF, BATCH = 8192, 96, 256
 QUERY_BLOCK = 50_000
@@ -194,7 +195,7 @@ def top_k(rows: DataFrame, queries: DataFrame, *, k: int = 20, page: int = PAGE,
     spark = rows.sparkSession
     queries = queries.select("vec_id", "v", F.xxhash64("v").alias("tag")).distinct()
     n, blocks = rows.count(), -(-queries.count() // query_block)
-    dealt = rows.repartition(max(1, -(-n // page)), "vec_id")
+    dealt = rows.repartition(max(1, min(-(-n // page), partitions_for(spark))), "vec_id")
     schema, out = "query_id long, tag long, vec_id long, score long", []
     for b in range(blocks):
         own = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id", "tag").collect()

@@ -13,7 +13,8 @@ bits of each register) in blocks of bounded size, and what a sketch can't rule o
 copies costs a pair per document, rows of a large bucket are never paired in a table, and no candidate that could join
 two components is left out.
 
-With 20 bands of 4 registers a pair at Jaccard 0.85 shares no band with probability 4e-7 (0.80: 3e-5); sketches rule out
+Bands follow from the threshold: at 0.80 and 0.85 they are 20 of 4 registers, and a pair there shares none with probability
+3e-5 (0.85: 4e-7); lower thresholds take more or shorter ones, and one that no bands serve is an error. Sketches rule out
 what agrees in fewer registers than 4.5 standard deviations below the threshold (3e-6).
 
 Edge cases: null or blank text: no shingles, linked with nothing. Very long texts: a set of all shingles is held in one
@@ -25,6 +26,7 @@ rows. Extra columns are ignored by `near_duplicates`, and kept by `drop_near_dup
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,8 @@ from pyspark.sql import functions as F
 from .common import MIX_A, by_ids, materialize, scramble, shingle_hashes, word_hashes, words_of
 from .components import connected_components
 
-#: The first BANDS * ROWS of the REGISTERS make bands, all of them the sketch.
-BANDS, ROWS, REGISTERS = 20, 4, 256
+#: All registers make the sketch, the first of them the bands. MISS: the chance that a pair at the threshold shares no band.
+REGISTERS, MISS = 256, 3e-5
 #: Shingles walked together, and rows compared together; they bound a worker's memory.
 WALK, BLOCK = 80_000, 1024
 
@@ -204,10 +206,22 @@ def _verify(num: int, den: int):
     return run
 
 
+def bands_for(threshold_pct: int, miss: float = MISS) -> tuple[int, int]:
+    """(bands, registers in each): the longest bands of up to four registers, 20 at least, that keep to the chance of a miss."""
+    for rows in (4, 3, 2, 1):
+        alike = (threshold_pct / 100) ** rows
+        bands = max(20, ceil(log(miss) / log(1 - alike))) if alike < 1 else 20
+        if bands * rows <= REGISTERS:
+            return bands, rows
+    raise ValueError(f"no bands of {REGISTERS} registers find pairs at {threshold_pct} %")
+
+
 def near_duplicates(
-    docs: DataFrame, *, threshold_pct: int = 85, width: int = 5, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, *, threshold_pct: int = 85, width: int = 5, bands: int | None = None, rows: int | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """`doc_id, n_shingles, component_id, kept` for every row: component_id is the smallest id linked with it."""
+    if bands is None or rows is None:
+        bands, rows = bands_for(threshold_pct)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = materialize(texts.mapInArrow(_signatures(width, bands, rows), "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>, sketch binary"))
     classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "key1", "key2").agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"))
