@@ -429,6 +429,23 @@ def genomes_of_a_size(spark, sf):
     return commands.download_candidates(g, 3, 1000.0).select("p_partkey")
 
 
+@query(f"""WITH {TREE_SQL}, up AS (SELECT tax_id, unnest(path) AS node FROM paths UNION ALL SELECT n_nationkey + 100, unnest([1, n_regionkey + 10, n_nationkey + 100]) FROM nation),
+  g AS (SELECT 's' || s_suppkey AS acc, s_suppkey AS ord, s_suppkey + 1000 AS taxid, s_acctbal AS length, s_suppkey % 6 = 0 AS ref FROM supplier UNION ALL SELECT 'c' || c_custkey, 1000000 + c_custkey, c_nationkey + 100, c_acctbal, c_nationkey % 4 = 1 AND c_custkey % 3 = 0 FROM customer),
+  a AS (SELECT acc, ord, length, ref, node FROM g JOIN up ON taxid = tax_id), t AS (SELECT tax_id, CASE WHEN tax_id % 5 > 0 THEN 3000.0 + tax_id * 10 END AS size, rank, parent_id FROM nodes WHERE rank IN ('genus', 'species')),
+  f AS (SELECT node, arg_min(acc, ord) AS acc FROM a WHERE ref GROUP BY node)
+  SELECT t.tax_id AS taxid, node AS source, acc FROM t JOIN a ON node = t.tax_id WHERE length BETWEEN coalesce(size * 0.8, 500) AND coalesce(size * 1.2, 50000)
+  UNION ALL SELECT t.tax_id, f.node, f.acc FROM t JOIN nodes n ON n.parent_id = t.parent_id AND n.rank = t.rank AND n.tax_id <> t.tax_id JOIN f ON f.node = n.tax_id""")
+def genomes_and_outgroups(spark, sf):
+    """Genomes of every genus and species, and the first reference genome of each of its siblings."""
+    c, s_ = table(spark, sf, "customer"), table(spark, sf, "supplier")
+    nodes = taxon_nodes(spark, sf)
+    g = s_.select(F.concat(F.lit("s"), "s_suppkey").alias("acc"), F.col("s_suppkey").cast("long").alias("ord"), (F.col("s_suppkey") + 1000).cast("long").alias("taxid"), F.col("s_acctbal").alias("length"), (F.col("s_suppkey") % 6 == 0).alias("reference"))
+    own = (F.col("c_nationkey") % 4 == 1) & (F.col("c_custkey") % 3 == 0)
+    g = g.unionByName(c.select(F.concat(F.lit("c"), "c_custkey").alias("acc"), (F.col("c_custkey") + 1000000).cast("long").alias("ord"), (F.col("c_nationkey") + 100).cast("long").alias("taxid"), F.col("c_acctbal").alias("length"), own.alias("reference")))
+    taxa = nodes.where("rank in ('genus', 'species')").select(F.col("tax_id").alias("taxid"), F.when(F.col("tax_id") % 5 > 0, 3000.0 + F.col("tax_id") * 10).alias("size"))
+    return commands.genome_sets(g, nodes, T.lineage(nodes), taxa, outgroup="yes")
+
+
 @query("WITH r AS (SELECT l_partkey AS chrom, l_linenumber AS pos, l_returnflag AS strand, l_suppkey % 3 AS umi FROM lineitem) SELECT chrom, pos, strand, CAST(umi AS VARCHAR) AS umi FROM r GROUP BY ALL")
 def umi_dedup(spark, sf):
     """One read for each position, strand and UMI of the id."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -147,6 +148,32 @@ def download_candidates(genomes: DataFrame, taxid: int, size: float, *, toleranc
     return genomes.where((F.col("taxid") == taxid) & F.col("length").between(size * (1 - tolerance), size * (1 + tolerance)))
 
 
+def genome_sets(genomes: DataFrame, nodes: DataFrame, lin: DataFrame, taxa: DataFrame, *, outgroup: str = "no", tolerance: float = 0.2, min_len: float = 500, max_len: float = 50_000) -> DataFrame:
+    """`taxid, source, acc`: for every taxon of `taxa` (`taxid, size`) the genomes to compare, from a table that was fetched before (API-08, SRT-08).
+
+    Own genomes are those of the taxon or of anything below it, within the tolerance of its size, or from min_len to
+    max_len where the size is null. outgroup `yes` adds, and `only` gives, for each sibling (same parent and rank) the first
+    reference genome of the sibling or below it; siblings without one are left out. genomes: `acc, ord, taxid, length, reference`.
+
+    Genomes climb to all their ancestors once, for all taxa together, and only the first of each node goes on to the siblings.
+    """
+    up = lin.select(F.col("tax_id").alias("taxid"), F.explode(F.concat(F.array(F.lit(taxonomy.ROOT).cast("long")), "path")).alias("source"))
+    above = genomes.join(up, "taxid").drop("taxid")
+    own = taxa.select(F.col("taxid").cast("long").alias("taxid"), F.col("size").cast("double").alias("size"))
+    out = []
+    if outgroup != "only":
+        lo, hi = F.coalesce(F.col("size") * (1 - tolerance), F.lit(float(min_len))), F.coalesce(F.col("size") * (1 + tolerance), F.lit(float(max_len)))
+        mine = above.join(own.withColumnRenamed("taxid", "source"), "source").where(F.col("length").between(lo, hi))
+        out.append(mine.select(F.col("source").alias("taxid"), "source", "acc"))
+    if outgroup != "no":
+        first = above.where("reference").groupBy("source").agg(F.min_by("acc", F.struct("ord", "acc")).alias("acc"))
+        tree = nodes.where(F.col("parent_id") != F.col("tax_id"))
+        me = tree.join(own.select(F.col("taxid").alias("tax_id")).distinct(), "tax_id").select(F.col("tax_id").alias("taxid"), "parent_id", "rank")
+        near = me.join(tree.select(F.col("tax_id").alias("source"), "parent_id", "rank"), ["parent_id", "rank"]).where(F.col("taxid") != F.col("source"))
+        out.append(near.join(first, "source").select("taxid", "source", "acc"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def full_report(calls: DataFrame, coverage: DataFrame, scaffolds: DataFrame, qc: DataFrame, vhdb: DataFrame, *, whitelist: Sequence[str] = (), host: str | None = None, **thresholds) -> dict[str, DataFrame]:
     """Sheets of the report: all calls, thresholds, species, viruses with hosts and respiratory flag, by species and by sample."""
     joined = report.join_parts(calls, coverage, scaffolds, qc)
@@ -184,5 +211,5 @@ def junctions(rows: DataFrame, least: int, most: int) -> DataFrame:
 
 REGISTRY = {
     "blast-classify": blast_classify, "blastbin": blastbin, "download-genomes": download_candidates, "export-fasta": export_fasta, "fasta-qc": fasta_qc, "filter-blast": filter_blast,
-    "find-bins": find_bins, "index-tree": index_tree, "prepare-phylo": prepare_phylo, "report": full_report,
+    "find-bins": find_bins, "genome-sets": genome_sets, "index-tree": index_tree, "prepare-phylo": prepare_phylo, "report": full_report,
 }
