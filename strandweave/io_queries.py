@@ -8,6 +8,7 @@ from .functions import scalars as C
 from .operators import expression
 from .scratch import new_path
 from .sources import readers, writers
+from .streaming import stateful
 from .views import HITS_SQL, SEQ_SQL, TREE_SQL, hits, sequences, table, taxon_nodes
 
 QUERIES: dict = {}
@@ -230,3 +231,17 @@ def names_of_files(spark, sf):
     """Samples and units out of file names."""
     n = table(spark, sf, "nation").withColumn("f", F.concat(F.lit("sample_"), "n_nationkey", F.lit(".blast7.gz"))).withColumn("g", F.concat(F.lit("u"), "n_nationkey", F.lit(".coverage")))
     return n.select("n_name", C.sample_name(F.col("f"), "blast7").alias("sample"), C.before_last(F.col("g")).alias("unit"))
+
+
+@query(f"""WITH {HITS_SQL}, l AS (SELECT sample, qacc, ord, sacc, CASE WHEN lag(sacc) OVER (PARTITION BY qacc ORDER BY ord) = sacc THEN 0 ELSE 1 END AS new FROM h)
+  SELECT sample, qacc, ord, CAST(sum(new) OVER (PARTITION BY qacc ORDER BY ord ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM l""")
+def streamed_islands(spark, sf):
+    """Runs of equal subjects over a stream of files, the hits of a query coming in several of them."""
+    h = hits(spark, sf).select("sample", "qacc", "ord", "sacc")
+    at = new_path(spark, "stream")
+    for k, part in enumerate(("ord % 1000 <= 2", "ord % 1000 between 3 and 4", "ord % 1000 > 4")):
+        h.where(part).coalesce(1).write.mode("append").parquet(f"{at}/in/batch={k}")  # files are taken in the order in which they were written
+    stream = spark.readStream.schema(h.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in/batch=*")
+    run = stateful.islands(stream).writeStream.trigger(availableNow=True).option("checkpointLocation", f"{at}/state").format("parquet").start(f"{at}/out")
+    run.awaitTermination()
+    return spark.read.parquet(f"{at}/out").select("sample", "qacc", "ord", "island")

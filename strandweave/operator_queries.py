@@ -229,6 +229,19 @@ def size_factors(spark, sf):
     return E.size_factors(x).select("sample", F.round("sf", 6).alias("sf"))
 
 
+@query("""WITH x AS (SELECT l_partkey % 200 AS f, l_orderkey % 12 AS s, CAST(sum(l_linenumber - 1) AS DOUBLE) AS c FROM lineitem GROUP BY ALL), g AS (SELECT f, exp(sum(CASE WHEN c > 0 THEN ln(c) ELSE 0 END) / 12) AS gm FROM x GROUP BY 1 HAVING max(c) > 0),
+  r AS (SELECT s, exp(median(ln(c / gm))) AS sf FROM x JOIN g ON x.f = g.f WHERE c > 0 GROUP BY 1), z AS (SELECT s, sf / exp((SELECT avg(ln(sf)) FROM r)) AS sf FROM r), v AS (SELECT f, x.s, log2(c / sf + 1) AS v FROM x JOIN z ON x.s = z.s),
+  n AS (SELECT DISTINCT f FROM v), w AS (SELECT n.f, z.s, coalesce(v.v, 0) AS v FROM n CROSS JOIN z LEFT JOIN v ON v.f = n.f AND v.s = z.s), m AS (SELECT f, s, v - avg(v) OVER (PARTITION BY f) AS v FROM w),
+  k AS (SELECT a.s AS i, b.s AS j, sum(a.v * b.v) / 11 AS k FROM m a JOIN m b ON a.f = b.f GROUP BY ALL), k2 AS (SELECT a.i, b.j, sum(a.k * b.k) AS k FROM k a JOIN k b ON a.j = b.i GROUP BY ALL), k3 AS (SELECT a.i, b.j, sum(a.k * b.k) AS k FROM k2 a JOIN k b ON a.j = b.i GROUP BY ALL),
+  k4 AS (SELECT a.i, b.j, sum(a.k * b.k) AS k FROM k2 a JOIN k2 b ON a.j = b.i GROUP BY ALL)
+  SELECT 1 AS power, round(sum(k), 4) AS total FROM k WHERE i = j UNION ALL SELECT 2, round(sum(k), 4) FROM k2 WHERE i = j UNION ALL SELECT 3, round(sum(k), 4) FROM k3 WHERE i = j UNION ALL SELECT 4, round(sum(k), 4) FROM k4 WHERE i = j""")
+def component_variances(spark, sf):
+    """Sums of the first four powers of the components' variances, which are traces of powers of the samples' covariances."""
+    x = table(spark, sf, "lineitem").groupBy((F.col("l_partkey") % 200).alias("feature_id"), (F.col("l_orderkey") % 12).alias("sample")).agg(F.sum(F.col("l_linenumber") - 1).cast("double").alias("counts"))
+    variances = E.log_components(x)[2]
+    return spark.createDataFrame([(p, round(float((variances**p).sum()), 4)) for p in (1, 2, 3, 4)], "power int, total double")
+
+
 @query("SELECT n_nationkey AS id, 'id' || n_nationkey AS fastq, CASE WHEN n_nationkey % 2 = 0 THEN 'R1' ELSE 'R2' END AS mate, CAST(n_nationkey * 10 AS BIGINT) AS reads, CAST(CASE WHEN n_nationkey % 3 = 0 THEN 35 ELSE 101 END AS INTEGER) AS read_len_min, CAST(101 AS INTEGER) AS read_len_max, CAST(n_regionkey + 40 AS DOUBLE) AS pct_gc FROM nation".replace("n_nationkey AS id, 'id' || n_nationkey AS fastq", "'id' || n_nationkey AS id"))
 def fastqc_columns(spark, sf):
     k = F.col("n_nationkey")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import virus_and_strain
 from ..scratch import written
@@ -131,14 +134,74 @@ def size_factors(expr: DataFrame) -> DataFrame:
     return ratio.withColumn("sf", F.col("sf") / F.exp(F.avg(F.log("sf")).over(Window.partitionBy())))
 
 
-def log_pca(expr: DataFrame, k: int = 2) -> DataFrame:
-    """Components of log2(counts / size factor + 1) by sample; a stand-in for the exact variance-stabilising transform."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
+#: Most samples of a matrix of all pairs (8 bytes each; 128 MB), and features that a task adds to its own at a time.
+MOST_SAMPLES, FEATURES = 4000, 512
+
 
-    rows = expr.join(size_factors(expr), "sample").withColumn("v", F.log2(F.col("counts") / F.col("sf") + 1))
-    vec = rows.groupBy("sample").agg(array_to_vector(F.transform(F.array_sort(F.collect_list(F.struct("feature_id", "v"))), lambda x: x["v"])).alias("features"))
-    return PCA(k=k, inputCol="features", outputCol="pca").fit(vec).transform(vec).select("sample", "pca")
+def sample_products(rows: DataFrame, samples: Sequence, *, sample: str = "sample", feature: str = "feature_id", value: str = "v") -> np.ndarray:
+    """Samples x samples: sums over all features of the products of two samples' values, less the feature's mean; 0 where a value is missing.
+
+    Features are dealt over tasks, each task adds block after block of features as a matrix product and puts out one
+    matrix; these are added in a few tasks, then here. What is held depends on the number of samples only.
+    """
+    n = len(samples)
+    if n > MOST_SAMPLES:
+        raise ValueError(f"{n} samples; a matrix of all pairs holds {MOST_SAMPLES}")
+    place = F.broadcast(rows.sparkSession.createDataFrame([(x, k) for k, x in enumerate(samples)], T.StructType([T.StructField(sample, rows.schema[sample].dataType), T.StructField("_at", T.IntegerType())])))
+
+    def product(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, block, held, last = np.zeros((n, n)), np.zeros((FEATURES, n)), -1, None
+
+        def add():
+            own = block[: held + 1]
+            own -= own.mean(axis=1, keepdims=True)
+            total[:] += own.T @ own
+            block[:] = 0
+
+        for pdf in frames:
+            names, ats, values = pdf["f"].to_numpy(), pdf["at"].to_numpy(), pdf["v"].to_numpy()
+            new = np.concatenate([[held < 0 or names[0] != last], names[1:] != names[:-1]])
+            cuts = [*np.flatnonzero(new), len(names)]
+            if cuts[0] > 0:
+                cuts.insert(0, 0)
+            for a, b in zip(cuts, cuts[1:]):
+                if new[a]:
+                    if held + 1 == FEATURES:
+                        add()
+                        held = -1
+                    held += 1
+                np.add.at(block[held], ats[a:b], values[a:b])
+            last = names[-1]
+        if held >= 0:
+            add()
+        yield pd.DataFrame({"m": [total.tobytes()]})
+
+    def added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(n * n)
+        for pdf in frames:
+            for m in pdf["m"]:
+                total += np.frombuffer(m)
+        yield pd.DataFrame({"m": [total.tobytes()]})
+
+    dealt = rows.join(place, sample).select(F.col(feature).alias("f"), F.col("_at").alias("at"), F.col(value).cast("double").alias("v")).repartition("f").sortWithinPartitions("f")
+    parts = dealt.mapInPandas(product, "m binary").repartition(4).mapInPandas(added, "m binary").collect()  # four matrices
+    return sum((np.frombuffer(r["m"]) for r in parts), np.zeros(n * n)).reshape(n, n)
+
+
+def log_components(expr: DataFrame) -> tuple[list, np.ndarray, np.ndarray]:
+    """(samples in order, coordinates by sample and component, variances of the components) of log2(counts / size factor + 1), centred by feature (STA-01)."""
+    rows = expr.join(size_factors(expr), "sample").select("sample", "feature_id", F.log2(F.col("counts") / F.col("sf") + 1).alias("v"))
+    samples = [r[0] for r in expr.select("sample").distinct().orderBy("sample").limit(MOST_SAMPLES + 1).collect()]
+    values, vectors = np.linalg.eigh(sample_products(rows, samples))
+    values, vectors = np.maximum(values[::-1], 0), vectors[:, ::-1]
+    return samples, vectors * np.sqrt(values), values / max(1, len(samples) - 1)
+
+
+def log_pca(expr: DataFrame, k: int = 2) -> DataFrame:
+    """`sample, pca`: the first k components of each sample, whose signs are free; a stand-in for the exact variance-stabilising transform."""
+    samples, at, _ = log_components(expr)
+    kind = T.StructType([T.StructField("sample", expr.schema["sample"].dataType), T.StructField("pca", T.ArrayType(T.DoubleType()))])
+    return expr.sparkSession.createDataFrame([(s, [float(x) for x in row[:k]]) for s, row in zip(samples, at)], kind)
 
 
 def regression(df: DataFrame, keys: Sequence[str], y: str, x: str) -> DataFrame:

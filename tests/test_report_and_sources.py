@@ -164,3 +164,59 @@ def test_fasta_slices_read_ranges(spark, tmp_path):
     asked = [(a, start, stop) for a in seqs for start, stop in ((1, None), (1, 1), (60, 61), (3, 130), (61, 60), (600, 700), (0, 5))] + [("unknown", 1, 2)]
     got = {(r["acc"], r["start"], r["stop"]): r["slice"] for r in readers.fasta_slices(spark.createDataFrame(asked, "acc string, start long, stop long"), index).collect()}
     assert got == {(a, b, e): seqs[a][max(b, 1) - 1 : e] for a, b, e in asked if a in seqs}
+
+
+def test_components_equal_a_dense_decomposition(spark, monkeypatch):
+    import numpy as np
+
+    from strandweave.operators import expression
+
+    rng = np.random.default_rng(6)
+    counts = rng.integers(0, 50, size=(150, 7)) * (rng.random((150, 7)) < 0.7)
+    rows = [(f"s{j}", f"f{i:03d}", float(counts[i, j])) for i in range(150) for j in range(7) if counts[i, j] or rng.random() < 0.5]  # some zeros are left out
+    x = spark.createDataFrame(rows, "sample string, feature_id string, counts double").repartition(5)
+    sf = {r["sample"]: r["sf"] for r in expression.size_factors(x).collect()}
+    v = np.log2(counts / np.array([sf[f"s{j}"] for j in range(7)]) + 1).T
+    seen = {f for _, f, _ in rows}
+    v = v[:, [i for i in range(150) if f"f{i:03d}" in seen]]
+    u, s, _ = np.linalg.svd(v - v.mean(axis=0), full_matrices=False)
+    for block in (4, 512):
+        monkeypatch.setattr(expression, "FEATURES", block)
+        samples, at, variances = expression.log_components(x)
+        assert samples == [f"s{j}" for j in range(7)] and np.allclose(variances[:6], (s**2 / 6)[:6])
+        assert np.allclose(np.abs(at[:, :3]), np.abs(u * s)[:, :3])
+    assert {r["sample"]: len(r["pca"]) for r in expression.log_pca(x, 2).collect()} == dict.fromkeys(samples, 2)
+
+
+def test_stream_state_equals_batch(spark, tmp_path):
+    import random
+
+    from strandweave.operators import hits as H
+    from strandweave.streaming import stateful
+
+    rng = random.Random(1)
+    rows = [(f"q{k % 5}", rng.choice("ab"), k) for k in range(90)]
+    schema = "qacc string, sacc string, ord int"
+    for n, part in enumerate((rows[:20], rows[20:21], rows[21:70], rows[70:])):
+        rng.shuffle(part)
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / f"in/batch={n}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/batch=*"))
+    q = stateful.islands(stream, ["qacc"]).writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "state")).format("parquet").start(str(tmp_path / "out"))
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 4
+    got = sorted((r["ord"], r["island"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    want = sorted((r["ord"], r["island"]) for r in H.islands(spark.createDataFrame(rows, schema), ["qacc"]).collect())
+    assert got == want
+
+
+def test_combined_stream_drops_repeats(spark, tmp_path):
+    from strandweave.streaming import stateful
+
+    batches = [[(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:01:00")], [(2, "2024-01-01 00:05:00"), (3, "2024-01-01 00:06:00"), (3, "2024-01-01 00:06:30")], [(1, "2024-01-01 00:20:00"), (4, "2024-01-01 00:21:00")]]
+    for n, part in enumerate(batches):
+        df = spark.createDataFrame(part, "id int, t string").selectExpr("id", "cast(t as timestamp) as t")
+        df.coalesce(1).write.parquet(str(tmp_path / f"in/batch={n}"))
+    stream = spark.readStream.schema("id int, t timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/batch=*"))
+    q = stateful.combined(stream, ["id"], "t").writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "state")).format("parquet").start(str(tmp_path / "out"))
+    q.awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 4]
