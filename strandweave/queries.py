@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions import scalars as C
 from .functions import sequence as S
+from .functions import tables
 from .operators import chains, expression, hits as H, intervals, report, scaffold, taxonomy
 from .plans import commands
 from .sources import readers, writers
@@ -420,6 +421,16 @@ def scaffold_parts(spark, sf):
     return scaffold.scaffolds(rows.drop("seq"), rows.select("qacc", "seq"))[0]
 
 
+@query("""WITH p AS (SELECT p_partkey AS k, CAST(p_partkey % 40 + 1 AS INTEGER) AS n, CAST(p_partkey % 7 + 1 AS INTEGER) AS m FROM part)
+  SELECT k AS p_partkey, x.idx, x.kind, CASE x.idx WHEN 0 THEN n WHEN 3 THEN m ELSE 1 END AS n, x.a AS query_base, x.b AS subject_base, CASE x.idx WHEN 0 THEN 0 WHEN 1 THEN n WHEN 2 THEN n + 1 WHEN 3 THEN n + 2 WHEN 4 THEN n + 2 + m ELSE n + 3 + m END AS q,
+    CASE x.idx WHEN 0 THEN 0 WHEN 1 THEN n WHEN 2 THEN n + 1 WHEN 3 THEN n + 1 WHEN 4 THEN n + 1 + m ELSE n + 2 + m END AS s
+  FROM p, (VALUES (0, 'match', NULL, NULL), (1, 'exchange', 'C', 'A'), (2, 'insert', 'G', '-'), (3, 'match', NULL, NULL), (4, 'exchange', 'T', 'G'), (5, 'delete', '-', 'C')) x(idx, kind, a, b)""")
+def btop_lateral(spark, sf):
+    """Runs and edits of alignments as rows, by a lateral join."""
+    b = F.concat((F.col("p_partkey") % 40 + 1).cast("string"), F.lit("CAG-"), (F.col("p_partkey") % 7 + 1).cast("string"), F.lit("TG-C"))
+    return tables.with_btop_rows(table(spark, sf, "part").select("p_partkey", b.alias("btop"))).drop("btop")
+
+
 #: 60 bases for each part, and where its first contig differs from them: for a third of the parts under the second contig, where it is outvoted.
 _SUBJECT = """p AS (SELECT p_partkey AS k, upper(translate(rpad(regexp_replace(lower(p_name), '[^a-z]', '', 'g'), 60, 'acgttgca'), 'abcdefghijklmnopqrstuvwxyz', 'ACCGGTTACGTACGTACGTACGTACA')) AS s,
     CASE WHEN p_partkey % 3 = 0 THEN 17 ELSE 2 + p_partkey % 10 END AS m FROM part),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import before_last, head_tail, sample_name, tax_ids
+from ..functions.tables import features_of_records
 from ..operators.ordering import before
 from ..schemas import BLAST6, COVERAGE, DEPTH, FIELD_NAMES, FIELD_TYPES, VHDB, fasta_qc
 from ..scratch import written
@@ -274,8 +275,12 @@ def sample_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def feature_tables(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Feature tables as `acc, start, end, typ, key, value` (SRC-20)."""
-    return parse_features(_lines(spark, paths).select(F.col("path").alias("file"), "pos", "value"))
+    """Feature tables as `acc, start, end, typ, key, value` (SRC-20).
+
+    Files are split at their headers, so that an accession's table is one row, wherever it stands: no order of lines, no shuffle.
+    """
+    records = spark.read.option("lineSep", "\n>Feature ").text(paths).where(F.trim("value") != "")
+    return features_of_records(records)
 
 
 def parse_features(lines: DataFrame) -> DataFrame:

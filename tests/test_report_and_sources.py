@@ -220,3 +220,18 @@ def test_combined_stream_drops_repeats(spark, tmp_path):
     q = stateful.combined(stream, ["id"], "t").writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "state")).format("parquet").start(str(tmp_path / "out"))
     q.awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 4]
+
+
+def test_feature_tables_by_record_equal_those_by_line(spark, tmp_path):
+    from strandweave.functions import tables
+    from strandweave.sources import readers
+
+    text = ">Feature gb|A1.2|\n<1\t>90\tgene\n\t\t\tgene\tx\n200\t100\tCDS\n300\t400\n\t\t\tproduct\tp > q\n\t\t\tnote\t\n5\t6\tmisc\n>Feature B.1\n7\t8\tgene\n9^\t10\trepeat\n\t\t\tk\tv\n"
+    (tmp_path / "a.tbl").write_text(text)
+    lines = spark.createDataFrame([("f", k, x) for k, x in enumerate(text.split("\n"))], "file string, pos int, value string")
+    got = sorted(map(tuple, readers.feature_tables(spark, str(tmp_path / "a.tbl")).collect()), key=str)
+    assert got == sorted(map(tuple, readers.parse_features(lines).collect()), key=str) and ("A1", 100, 200, "CDS", "_reversed", "") in got
+    tables.register(spark)
+    spark.createDataFrame([(1, "3AC-G2"), (2, None), (3, "")], "id int, btop string").createOrReplaceTempView("aligned")
+    rows = spark.sql("SELECT id, kind, n, q, s FROM aligned, LATERAL btop_rows(btop)").collect()
+    assert sorted(map(tuple, rows)) == [(1, "delete", 1, 4, 4), (1, "exchange", 1, 3, 3), (1, "match", 2, 4, 5), (1, "match", 3, 0, 0)]
