@@ -326,6 +326,19 @@ def rpkm(reads: Column, length: Column, total: Column) -> Column:
     return reads * 1e9 / (length * total)
 
 
+def viral_loads(calls: DataFrame, *, keys: Sequence[str] = ("study", "sample")) -> DataFrame:
+    """Loads of infected samples: viruses, reads in all, without host and viral, shares in percent, reads by genome, and reads by
+    kilobase and million of all reads and of those without host."""
+    names = F.array_join(F.array_sort(F.collect_set("virus")), "+").alias("virus")
+    sums = [F.sum("raw_reads").alias("total"), F.sum("filtered_reads").alias("nonhuman"), F.max("genome_length").alias("genome"), F.sum("numreads").alias("viral")]
+    out = calls.where(F.col("virus").isNotNull()).groupBy(*keys).agg(names, *sums)
+    viral, total, nonhuman, genome = (F.col(c) for c in ("viral", "total", "nonhuman", "genome"))
+    return out.withColumns({
+        "pct_viral": viral / total * 100, "pct_viral_nonhuman": viral / nonhuman * 100, "viral_per_genome": viral / genome * 100,
+        "rpkm_all": rpkm(viral, genome, total), "rpkm_nonhuman": rpkm(viral, genome, nonhuman),
+    })
+
+
 def bind_columns(a: DataFrame, b: DataFrame, order_a: Sequence[str], order_b: Sequence[str]) -> DataFrame:
     """Columns side by side, by position in a stated order (JOI-21)."""
     return numbered(a, order_a, "_row").join(numbered(b, order_b, "_row"), "_row").drop("_row")

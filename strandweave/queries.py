@@ -641,8 +641,8 @@ def blastbin(spark, sf):
     return out.select("sample", "sacc", "bin", "log_evalue", "slen", "n_frag", "contig_coverage", "pident", "numreads", "pcthp", "entropy2", "words", "taxid", "taxname", "species", "lineage")
 
 
-from . import io_queries, operator_queries  # noqa: E402  (readers and sinks, over files written from the driver tables; single operators)
+from . import io_queries, operator_queries, plan_queries  # noqa: E402  (readers and sinks, over files written from the driver tables; single operators; whole commands)
 
-for more in (io_queries, operator_queries):
+for more in (io_queries, operator_queries, plan_queries):
     QUERIES |= more.QUERIES
     ORACLE |= more.ORACLE
