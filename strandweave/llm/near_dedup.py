@@ -151,56 +151,99 @@ def _likely(threshold_pct: int):
     return run
 
 
-def _compare(threshold_pct: int):
-    """Rows of one group (`key, i, j, block, rep, n, component, bands, sketch`) to candidate pairs of different components.
+def _columns(table: pa.Table) -> dict[str, np.ndarray]:
+    out = {c: table.column(c).to_numpy() for c in ("key", "i", "j", "block", "rep", "n", "component")}
+    out["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+    out["bands"] = np.array(table.column("bands").to_pylist(), dtype=np.int64)
+    return out
+
+
+def _suspicious(x: dict[str, np.ndarray], threshold_pct: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of the pairs of different components in one bucket that sketches can't rule out, some at a time.
 
     A pair is compared in the first bucket that both rows are in, so it is met once, not in each bucket they share.
     """
-    cut = _cut(threshold_pct)
+    cut, (key, block, rep, n, comp, i, j, bands, sketch) = _cut(threshold_pct), (x[c] for c in ("key", "block", "rep", "n", "component", "i", "j", "bands", "sketch"))
+    order = np.lexsort((rep, key))
+    ends = np.flatnonzero(np.diff(key[order], append=key[order][-1:] + 1)) + 1
+    start = 0
+    for end in ends:
+        own = order[start:end]
+        start = end
+        left, right = own[block[own] == i[own]], own[block[own] == j[own]]
+        for at in range(0, len(left), 32):
+            a = left[at : at + 32]
+            ok = (comp[a][:, None] != comp[right][None, :]) & (np.minimum(n[a][:, None], n[right][None, :]) * 100 >= np.maximum(n[a][:, None], n[right][None, :]) * threshold_pct)
+            p, q = np.nonzero(ok)
+            for s in range(0, len(p), 50_000):
+                u, v = a[p[s : s + 50_000]], right[q[s : s + 50_000]]
+                same = bands[u] == bands[v]
+                here = bands[u, same.argmax(axis=1)] == key[u]
+                u, v = u[here], v[here]
+                hit = (sketch[u] == sketch[v]).sum(axis=1) >= cut
+                yield u[hit], v[hit]
+
+
+_UNIT = ("bin", "key", "i", "j", "rep")
+
+
+def _suspects(threshold_pct: int):
+    """Rows of one group (`bin, key, i, j, block, rep, n, component, bands, sketch`) to those that are in a suspicious pair there."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x = _columns(table)
+        marked = np.zeros(table.num_rows, dtype=bool)
+        for u, v in _suspicious(x, threshold_pct):
+            marked[u] = marked[v] = True
+        return table.select(list(_UNIT)).filter(pa.array(marked))
+
+    return run
+
+
+def _joined(threshold_pct: int):
+    """The suspicious pairs of one group, which has the rows' `shingles` too, compared in full: the links that join two components.
+
+    Pairs whose components other links of the group have joined by then are left, so there are fewer links than rows,
+    and no pair leaves the task that isn't one.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        key, block, rep, n, comp, i, j = (table.column(c).to_numpy() for c in ("key", "block", "rep", "n", "component", "i", "j"))
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)
-        order = np.lexsort((rep, key))
-        ends = np.flatnonzero(np.diff(key[order], append=key[order][-1:] + 1)) + 1
-        out_a, out_b, start = [], [], 0
-        for end in ends:
-            own = order[start:end]
-            start = end
-            left, right = own[block[own] == i[own]], own[block[own] == j[own]]
-            for at in range(0, len(left), 32):
-                x = left[at : at + 32]
-                ok = (comp[x][:, None] != comp[right][None, :]) & (np.minimum(n[x][:, None], n[right][None, :]) * 100 >= np.maximum(n[x][:, None], n[right][None, :]) * threshold_pct)
-                p, q = np.nonzero(ok)
-                if not len(p):
-                    continue
-                for s in range(0, len(p), 50_000):
-                    u, v = x[p[s : s + 50_000]], right[q[s : s + 50_000]]
-                    same = bands[u] == bands[v]
-                    here = bands[u, same.argmax(axis=1)] == key[u]
-                    u, v = u[here], v[here]
-                    hit = (sketch[u] == sketch[v]).sum(axis=1) >= cut
-                    out_a.append(np.minimum(rep[u], rep[v])[hit])
-                    out_b.append(np.maximum(rep[u], rep[v])[hit])
-        both = np.unique(np.column_stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=0) if out_a else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
+        x = _columns(table)
+        sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in table.column("shingles")]
+        _, part = np.unique(x["component"], return_inverse=True)
+        root = list(range(int(part.max(initial=-1)) + 1))
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        links = []
+        for us, vs in _suspicious(x, threshold_pct):
+            for u, v in zip(us.tolist(), vs.tolist()):
+                p, q = top(part[u]), top(part[v])
+                if p != q and _alike(sets[u], sets[v], threshold_pct, 100):
+                    root[max(p, q)] = min(p, q)
+                    links.append((int(x["rep"][u]), int(x["rep"][v])))
+        return pa.table({"a": pa.array([min(k) for k in links], pa.int64()), "b": pa.array([max(k) for k in links], pa.int64())})
 
     return run
 
 
+def _alike(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
+    """den * |A & B| >= num * |A | B| of sorted sets."""
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    both = int(np.count_nonzero(b[at] == a)) if len(b) else 0
+    return den * both >= num * (len(a) + len(b) - both)
+
+
 def _verify(num: int, den: int):
     """Keeps the pairs with den * |A & B| >= num * |A | B|."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                at = np.searchsorted(b, a)
-                at[at == len(b)] = 0
-                both = int(np.count_nonzero(b[at] == a)) if len(b) else 0
-                keep.append(den * both >= num * (len(a) + len(b) - both))
+            keep = [_alike(*(np.frombuffer(x.as_buffer(), np.uint64) for x in pair), num, den) for pair in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -233,9 +276,11 @@ def near_duplicates(
 
     near = F.least("n", "hn") * 100 >= F.greatest("n", "hn") * threshold_pct
 
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return materialize(by_ids(texts, ids, "doc_id", "left_semi").mapInArrow(_sets(width), "doc_id long, shingles binary"))
+
     def linked(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id")))
-        sets = materialize(by_ids(texts, ids, "doc_id", "left_semi").mapInArrow(_sets(width), "doc_id long, shingles binary"))
+        sets = sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))))
         left = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
         full = left.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "sa", "sb")
         return full.mapInArrow(_verify(threshold_pct, 100), "a long, b long")
@@ -265,17 +310,19 @@ def near_duplicates(
             rows_ = rows_.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
             rows_ = rows_.withColumn("bin", F.when(F.col("blocks") == 1, F.pmod("key", F.lit(groups))).otherwise(F.col("key")))
             rows_ = rows_.select("bin", "key", "i", "j", "block", "rep", "n", "component", "bands", "sketch")
-            pairs = rows_.groupBy("bin", "i", "j").applyInArrow(_compare(threshold_pct), "a long, b long")
+            suspects = materialize(rows_.groupBy("bin", "i", "j").applyInArrow(_suspects(threshold_pct), "bin long, key long, i int, j int, rep long"))
+            sets = sets_of(suspects.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
+            found = rows_.join(suspects, list(_UNIT), "left_semi").join(sets, "rep").groupBy("bin", "i", "j").applyInArrow(_joined(threshold_pct), "a long, b long")
+            links = materialize(links.unionByName(found))
+            labels = materialize(connected_components(links))
         else:
             hubs = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("o"), "rep", "n", "component")).alias("hub"))
             with_hub = at.join(hubs.select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hn"), F.col("hub.component").alias("hc")), "key")
             pairs = with_hub.where(F.col("component") != F.col("hc")).where(near).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
-        pairs = materialize(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        tried = tried.unionByName(pairs)
-        links = materialize(links.unionByName(linked(pairs if last else likely(pairs))))
-        labels = materialize(connected_components(links))
+            pairs = materialize(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
+            if not pairs.isEmpty():
+                links = materialize(links.unionByName(linked(likely(pairs))))
+                labels = materialize(connected_components(links))
 
     member = classes.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select("n_shingles", "key1", "key2", F.coalesce("component", "rep").alias("component"))
     out = signed.join(member, ["n_shingles", "key1", "key2"], "left")

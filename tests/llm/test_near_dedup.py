@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 
 from strandweave.llm.components import connected_components
-from strandweave.llm.near_dedup import REGISTERS, _compare, drop_near_duplicates, near_duplicates, super_minhash
+from strandweave.llm import near_dedup
+from strandweave.llm.near_dedup import REGISTERS, _columns, _joined, _suspects, _suspicious, bands_for, drop_near_duplicates, near_duplicates, super_minhash
 
 
 def shingles(text, width=5):
@@ -84,11 +86,46 @@ def test_blocks_compare_every_pair():
         for j in range(i, 3):
             rows = [k for k in range(n) if base["block"][k] in (i, j)]
             t = pa.table({**{c: [v[k] for k in rows] for c, v in base.items()}, "key": [1] * len(rows), "i": [i] * len(rows), "j": [j] * len(rows)})
-            out = _compare(85)(t)
-            found |= set(zip(out["a"].to_pylist(), out["b"].to_pylist()))
+            for u, v in _suspicious(_columns(t), 85):
+                found |= {(min(rows[a], rows[b]), max(rows[a], rows[b])) for a, b in zip(u.tolist(), v.tolist())}
     assert len(found) == n * (n - 1) // 2
 
 
+def test_suspicious_rows_are_joined_in_their_task():
+    import pyarrow as pa
+
+    sets = [np.arange(100 + 3 * (k % 10 > 8), dtype=np.uint64) + np.uint64(1000 * (k % 2)) for k in range(40)]  # two kinds, linked within
+    sets[7] = np.arange(50, dtype=np.uint64)  # like neither
+    same = b"\0" * REGISTERS
+    t = pa.table({"bin": [1] * 40, "key": [1] * 40, "i": [0] * 40, "j": [0] * 40, "block": [0] * 40, "rep": list(range(40)), "n": [100] * 40, "component": list(range(40)), "bands": [[1] * 20] * 40, "sketch": [same] * 40})
+    assert _suspects(85)(t).num_rows == 40 and _suspects(85)(t.set_column(7, "component", pa.array([5] * 40))).num_rows == 0
+    out = _joined(85)(t.append_column("shingles", pa.array([x.tobytes() for x in sets], pa.binary())))
+    links = list(zip(out["a"].to_pylist(), out["b"].to_pylist()))
+    root = list(range(40))
+    for a, b in links:
+        root = [min(root[a], root[b]) if x in (root[a], root[b]) else x for x in root]
+    assert len(links) == 37 and root == [7 if k == 7 else k % 2 for k in range(40)]
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_chains_through_one_bucket(spark, monkeypatch, block):
+    """Documents linked with a few neighbours each: no hub reaches all, so blocks of the buckets are compared."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    vocabulary = [f"w{k}" for k in range(700)]
+    docs = [(k, " ".join(vocabulary[3 * k : 3 * k + 100])) for k in range(120)] + [(500 + k, " ".join(reversed(vocabulary[9 * k : 9 * k + 100]))) for k in range(30)]
+    out = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert out == {k: 0 if k < 500 else k for k, _ in docs}  # a shift of 9 words is 0.83
+
+
+def test_bands_follow_the_threshold():
+    assert bands_for(80) == bands_for(85) == (20, 4)
+    for pct in (30, 50, 60, 70, 90, 100):
+        bands, rows = bands_for(pct)
+        assert bands * rows <= REGISTERS and (1 - (pct / 100) ** rows) ** bands <= near_dedup.MISS
+    with pytest.raises(ValueError):
+        bands_for(2)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, 101), (101, 102), (200, 200)]
     got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
