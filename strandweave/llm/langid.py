@@ -39,7 +39,7 @@ def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def grams(points: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     """Buckets of the 1-, 2- and 3-grams that end at each position. Bucket 0 isn't counted: grams of blanks only, and those
     that end in a text's two leading blanks, as they reach into the text before."""
-    out, top = [], np.uint32((1 << BITS) - 1)
+    out, mask = [], np.uint32((1 << BITS) - 1)
     h = np.zeros(len(points), dtype=np.uint32)
     blank = np.ones(len(points), dtype=bool)
     with np.errstate(over="ignore"):
@@ -48,7 +48,7 @@ def grams(points: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
             h = (h + shifted) * np.uint32(2654435761) + np.uint32(n + 1)
             blank &= shifted == 32
             b = (h ^ (h >> np.uint32(15))) * np.uint32(2246822519)
-            out.append(np.where(blank, 0, (b >> np.uint32(13)) % top + np.uint32(1)))
+            out.append(np.where(blank, 0, np.maximum((b >> np.uint32(13)) & mask, 1)))
             out[-1][starts] = out[-1][starts + 1] = 0
     return out
 
