@@ -1,9 +1,9 @@
 import random
 
 import pytest
+from test_components import plain_selection
 
 from strandweave.operators import chains, hits as H
-from strandweave.operators.chains import _Chain, greedy_groups
 
 
 def test_majority_prefilter(spark):
@@ -46,16 +46,8 @@ def test_chain_metrics(spark):
     assert (m["numreads"], m["pcthp"], m["entropy2"]) == (7, 10.0, 0.5)
 
 
-def brute(hits, penalty=20.0, alt=0.9):
-    """The same loop over all chains at once."""
-    by = {}
-    for q, s, lo, hi, sc in hits:
-        by.setdefault(s, []).append((q, 100, lo, hi, sc))
-    return greedy_groups([_Chain(s, sorted(h, key=lambda x: x[2]), penalty) for s, h in by.items()], alt)
-
-
 @pytest.mark.parametrize("seed", range(3))
-def test_components_select_as_the_whole(spark, seed):
+def test_selected_groups(spark, seed):
     rng = random.Random(seed)
     rows, ord_ = [], 0
     for s in range(18):
@@ -64,11 +56,8 @@ def test_components_select_as_the_whole(spark, seed):
             lo = rng.randint(1, 400)
             rows.append(("s", f"q{rng.randint(0, 24)}", f"x{s:02d}", ord_, 100, lo, lo + rng.randint(20, 90), float(rng.randint(30, 200))))
     df = spark.createDataFrame(rows, "sample string, qacc string, sacc string, ord int, qlen int, sstart int, send int, score double")
-    want = {frozenset((s, rep) for s, _, rep in g) for g in brute([(r[1], r[2], r[5], r[6], r[7]) for r in rows])}
-    got = {}
-    for r in chains.greedy_select(df).collect():
-        got.setdefault((r["component"], r["bin"]), set()).add((r["sacc"], r["representative"]))
-    assert {frozenset(g) for g in got.values()} == want
+    want = {(b, p, s) for b, p, s, *_ in plain_selection([dict(zip(df.columns, r)) for r in rows])}
+    assert {(r["bin"], r["position"], r["sacc"]) for r in chains.greedy_select(df).collect()} == want
 
 
 def test_greedy_prunes_used_queries(spark):
