@@ -253,14 +253,15 @@ def job_table(raw: DataFrame, path: str = "path") -> DataFrame:
     return out.where("sample <> 'ALL' or sample is null")
 
 
-def core_hours(jobs: DataFrame, threads: dict[str, int], *, keys=("stage", "stack", "sample")) -> DataFrame:
+def core_hours(jobs: DataFrame, threads: dict[str, int], *, keys=("stage", "stack", "sample"), more_than: int | None = None) -> DataFrame:
     """Seconds, CPU seconds, core hours (two hyper-threads a core) and CPU efficiency by job (AGG-35, STA-05, JOI-23).
 
-    Stages that the map of threads lacks get -1 thread.
+    Stages that the map of threads lacks get -1 thread. more_than leaves jobs of more threads only (FLT-22).
     """
     spark = jobs.sparkSession
     t = F.broadcast(spark.createDataFrame([(k, int(v)) for k, v in threads.items()], "stage string, threads int"))
     rows = jobs.groupBy(*keys).agg(F.sum("s").alias("s"), F.sum("cpu_time").alias("cpu_time")).join(t, "stage", "left").withColumn("threads", F.coalesce("threads", F.lit(-1)))
+    rows = rows if more_than is None else rows.where(F.col("threads") > more_than)
     return rows.withColumn("core_hours", F.col("s") * F.col("threads") / 3600 / 2).withColumn("efficiency", F.col("cpu_time") / (F.col("s") * F.col("threads")))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .operators import expression as E, report as R
 from .plans import commands
 from .scratch import new_path
-from .sources import readers
+from .sources import readers, writers
 from .views import TREE_SQL, table, taxon_nodes
 
 QUERIES: dict = {}
@@ -150,6 +150,72 @@ def bundled_calls(spark, sf):
     return one("calls").unionByName(one("hits")).unionByName(one("features"))
 
 
+@query("""WITH a AS (SELECT c_nationkey AS k, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS total FROM customer GROUP BY 1) SELECT 'sheet' AS kind, k, n, total FROM a UNION ALL SELECT 'bundle', k, n * 2, total FROM a""")
+def sheets_and_bundles(spark, sf):
+    """Sheets as CSV files under their names, and tables of a bundle, read back (SNK-07, SNK-08)."""
+    c, at = table(spark, sf, "customer"), new_path(spark, "report")
+    sheet = c.groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n"), F.sum("c_custkey").alias("total"))
+    paths = writers.sheets({"Nation Counts": sheet, "Rest": sheet.limit(1)}, at)
+    assert paths[0] == f"{at}/result_nation_counts.csv"
+    writers.bundle({"more": sheet.withColumn("n", F.col("n") * 2)}, at)
+    kind = "k long, n long, total long"
+    read = spark.read.csv(paths[0], header=True, schema=kind).withColumn("kind", F.lit("sheet")).unionByName(spark.read.parquet(f"{at}/more").withColumn("kind", F.lit("bundle")))
+    return read.select("kind", F.col("k").cast("long").alias("k"), "n", F.col("total").cast("long").alias("total"))
+
+
+@query("SELECT o_orderkey % 100 AS file, CAST(o_orderkey AS BIGINT) AS n FROM orders WHERE o_orderkey % 7 > 0")
+def read_counts_of_logs(spark, sf):
+    """Numbers that log lines of a pattern hold, with their file (SRC-22)."""
+    o, at, k = table(spark, sf, "orders"), new_path(spark, "logs"), F.col("o_orderkey")
+    line = F.when(k % 7 > 0, F.concat(F.lit("Input reads: "), k, F.lit(" done"))).otherwise(F.concat(F.lit("no reads "), k))
+    o.select((k % 100).alias("file"), line.alias("value")).write.partitionBy("file").text(at)
+    out = readers.read_counts(spark, at, r"^Input reads: (\d+)")
+    return out.select(F.regexp_extract("path", r"file=(\d+)", 1).cast("long").alias("file"), "n")
+
+
+@query("SELECT p_partkey FROM part WHERE regexp_matches(lower(p_name), '(^[a-f]|green|1[0-4]$)')")
+def patterns_of_a_file(spark, sf):
+    """Rows that any pattern of a list file matches, in any case (SRC-18, FLT-13)."""
+    at = new_path(spark, "patterns")
+    spark.createDataFrame([("^[A-F]",), ("GREEN",), ("",), ("1[0-4]$",)], "value string").write.text(at)
+    return R.whitelisted(table(spark, sf, "part"), readers.whitelist(spark, at), "p_name").select("p_partkey")
+
+
+# ---- tables of samples
+
+
+@query("""WITH c AS (SELECT 'c' || c_custkey AS id, 'c' || c_custkey % 500 AS other, CAST(NULL AS VARCHAR) AS empty, 'S' AS study, CAST(c_nationkey AS VARCHAR) AS nation, CASE WHEN c_custkey % 2 = 0 THEN 'x' END AS half FROM customer),
+  p AS (SELECT 'id' AS name, count(id) AS n, count(DISTINCT id) AS d, min(id) AS v, true AS known FROM c UNION ALL SELECT 'other', count(other), count(DISTINCT other), '', true FROM c UNION ALL SELECT 'empty', count(empty), count(DISTINCT empty), NULL, true FROM c
+    UNION ALL SELECT 'study', count(study), count(DISTINCT study), min(study), false FROM c UNION ALL SELECT 'nation', count(nation), count(DISTINCT nation), '', false FROM c UNION ALL SELECT 'half', count(half), count(DISTINCT half), '', false FROM c), r AS (SELECT count(*) AS r FROM c)
+  SELECT name, n > 0 AS filled, d <= 1 AND n IN (0, r) AS constant, CASE WHEN d <= 1 AND n IN (0, r) THEN v END AS value, n = r AND d = r AND known AS ids FROM p, r""")
+def column_kinds(spark, sf):
+    """Columns of a sample table: empty, constant with their value, and those that hold ids (PRJ-09, PRJ-10, AGG-26, AGG-42)."""
+    k = F.col("c_custkey")
+    c = table(spark, sf, "customer").select(F.concat(F.lit("c"), k).alias("id"), F.concat(F.lit("c"), k % 500).alias("other"), F.lit(None).cast("string").alias("empty"), F.lit("S").alias("study"), F.col("c_nationkey").cast("string").alias("nation"), F.when(k % 2 == 0, "x").alias("half"))
+    filled, (constant, rest), ids = E.drop_empty_columns(c).columns, E.split_constant(c), E.id_columns(c, c.select("id"))
+    E.assert_constant(c, ["study", "empty"])
+    assert set(constant) | set(rest.columns) == set(c.columns)
+    return spark.createDataFrame([(x, x in filled, x in constant, constant.get(x), x in ids) for x in c.columns], "name string, filled boolean, constant boolean, value string, ids boolean")
+
+
+@query("""WITH r AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'Q' ELSE 'R' END || p_partkey || '.9' AS acc, p_partkey AS k FROM part) SELECT acc FROM r WHERE split_part(acc, '.', 1) IN (SELECT 'Q' || p_partkey FROM part WHERE p_size * 4 >= 60)""")
+def references_left_out(spark, sf):
+    """References that weren't taken, as their accession is there already (SET-07)."""
+    p, k = table(spark, sf, "part"), F.col("p_partkey")
+    q = p.select(F.concat(F.lit("Q"), k, F.lit(".1_pilon")).alias("acc"), F.repeat(F.lit("ACGT"), F.col("p_size").cast("int")).alias("seq"))
+    r = p.select(F.concat(F.when(k % 2 == 0, "Q").otherwise("R"), k, F.lit(".9")).alias("acc"), F.lit("ACGT").alias("seq"))
+    return commands.prepare_phylo(q, r, min_bp=60)[1]
+
+
+@query("""WITH j AS (SELECT event_type AS stage, user_id, sum(value) AS s, sum(value * (event_id % 5)) AS c FROM events GROUP BY ALL), t AS (SELECT *, CASE stage WHEN 'click' THEN 2 WHEN 'view' THEN 4 WHEN 'purchase' THEN 8 ELSE -1 END AS threads FROM j)
+  SELECT stage, user_id, threads, round(c / (s * threads), 6) AS efficiency FROM t WHERE threads > 2""")
+def job_efficiency(spark, sf):
+    """CPU seconds by seconds and threads, of jobs of more than two threads (STA-05, FLT-22)."""
+    j = table(spark, sf, "events").select(F.col("event_type").alias("stage"), "user_id", F.col("value").alias("s"), (F.col("value") * (F.col("event_id") % 5)).alias("cpu_time"))
+    out = E.core_hours(j, {"click": 2, "view": 4, "purchase": 8}, keys=("stage", "user_id"), more_than=2)
+    return out.select("stage", "user_id", "threads", F.round("efficiency", 6).alias("efficiency"))
+
+
 # ---- studies
 
 
