@@ -15,7 +15,7 @@ def shared_folder(spark: SparkSession) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):  # a Connect session may hide its master
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="strandweave-"))

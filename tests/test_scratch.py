@@ -18,6 +18,8 @@ def test_shared_folder_is_the_cluster_s():
     assert scratch.shared_folder(Session(**{"spark.checkpoint.dir": "hdfs://x/y/", "spark.master": "yarn"})) == "hdfs://x/y"
     with pytest.raises(ValueError):
         scratch.shared_folder(Session(**{"spark.master": "spark://host:7077"}))
+    with pytest.raises(ValueError):
+        scratch.shared_folder(Session())
     assert scratch.shared_folder(Session(**{"spark.master": "local[2]"})) == scratch.shared_folder(Session(**{"spark.master": "local[4]"}))
 
 
