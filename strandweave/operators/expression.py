@@ -216,10 +216,10 @@ def percentiles(df: DataFrame, value: str, keys: Sequence[str] = (), points: Seq
     counts tell which of them hold the two ranks around each point, and only these values are aggregated. So the values
     of one key are spread over many tasks.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    placed = written(before(counts, list(keys), ["_v"], sums={"_before": "_n"}))
-    sizes = placed.groupBy(*keys).agg(F.sum("_n").alias("_all"), F.count("*").alias("_rows"))
-    rows = join_groups(placed, sizes, list(keys), "_rows")
+    own = df.where(F.col(value).isNotNull())
+    counts = own.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    placed = before(counts, list(keys), ["_v"], sums={"_before": "_n"})
+    rows = join_groups(placed, own.groupBy(*keys).agg(F.count("*").alias("_all")), list(keys), "_all")
     picks = []
     for k, p in enumerate(points):
         at = (F.col("_all") - 1) * F.lit(float(p))
