@@ -1,17 +1,17 @@
 """Consensus scaffolds of contigs aligned to a subject.
 
 A subject's alignments are cut at all their ends; every section is filled with the contig over it, the consensus of
-several, or `n`. It is sequential along a subject, so it is a grouped function; a group is one subject's contigs.
+several, or `n`. It is sequential along a subject: rows are streamed in order, and what is held are one subject's contigs.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,16 +220,40 @@ def scaffold_table(hits: DataFrame, contigs: DataFrame, *, max_fill: int = 50_00
     rows = hits.join(contigs, "qacc").select("sample", "sacc", "qacc", "qstart", "qend", "sstart", "send", "btop", "seq", "ord")
     kind = {f.name: f.dataType.simpleString() for f in rows.schema}
     names = [c.split(" ")[0] for c in _ROW.split(", ")]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord", kind="stable")
-        als = [Alignment(str(r.qacc), r.seq, int(r.qstart), int(r.qend), int(r.sstart), int(r.send), r.btop) for r in pdf.itertuples()]
-        found, parts = scaffold_contigs(als, max_fill)
-        own = {acc: [{c: p[c] for c in names} for p in parts if p["acc"] == acc] for acc in found}
-        return pd.DataFrame([(pdf["sample"].iloc[0], pdf["sacc"].iloc[0], acc, seq, own[acc]) for acc, seq in found.items()], columns=["sample", "sacc", "acc", "seq", "parts"])
-
     fields = ", ".join(c.replace(" ", ": ") for c in _ROW.split(", "))
-    return rows.groupBy("sample", "sacc").applyInPandas(run, f"sample {kind['sample']}, sacc {kind['sacc']}, acc string, seq string, parts array<struct<{fields}>>")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Scaffolds of sorted rows; a subject's may be spread over batches."""
+        kinds = {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_()}
+        row = pa.struct([(c.split(" ")[0], kinds[c.split(" ")[1]]) for c in _ROW.split(", ")])
+        key, own, types = None, [], None
+
+        def table(out: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*out)) if out else [[]] * 5
+            types_ = [*types, pa.string(), pa.string(), pa.list_(row)]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types_)], ["sample", "sacc", "acc", "seq", "parts"])
+
+        def close() -> list[tuple]:
+            found, parts = scaffold_contigs(own, max_fill)
+            by: dict[str, list] = {acc: [] for acc in found}
+            for p in parts:
+                by[p["acc"]].append({c: p[c] for c in names})
+            return [(*key, acc, seq, by[acc]) for acc, seq in found.items()]
+
+        for batch in batches:
+            types, out = [batch.schema.field(c).type for c in ("sample", "sacc")], []
+            for sample, sacc, qacc, qstart, qend, sstart, send, btop, seq in zip(*[batch.column(c).to_pylist() for c in ("sample", "sacc", "qacc", "qstart", "qend", "sstart", "send", "btop", "seq")]):
+                if own and (sample, sacc) != key:
+                    out += close()
+                    own = []
+                key = (sample, sacc)
+                own.append(Alignment(str(qacc), seq, int(qstart), int(qend), int(sstart), int(send), btop))
+            yield table(out)
+        if own:
+            yield table(close())
+
+    dealt = rows.repartition("sample", "sacc").sortWithinPartitions("sample", "sacc", "ord")
+    return dealt.mapInArrow(run, f"sample {kind['sample']}, sacc {kind['sacc']}, acc string, seq string, parts array<struct<{fields}>>")
 
 
 def scaffolds(hits: DataFrame, contigs: DataFrame, *, max_fill: int = 50_000) -> tuple[DataFrame, DataFrame]:

@@ -142,3 +142,22 @@ def test_gap_of_a_contig_whose_parts_overlap_is_emptied():
     long = SUBJECT[:5] + "AAA" + SUBJECT[9:15]
     seqs, rows = scaffold_contigs([hit("a", long, 1, 5, 1, 5), hit("a", long, 10, 15, 9, 14)])
     assert seqs["a"] == long and {(r["sstart"], r["send"], r["qstart"], r["qend"]) for r in rows if r["scaffold"] == "gap"} == {(6, 9, 6, 8)}
+
+
+def test_subjects_over_several_batches(spark, capsys):
+    from strandweave.operators.scaffold import scaffold_table
+
+    bases = {k: "ACGGTTACGATCCATG"[k % 3 :] for k in range(12)}
+    rows = [("p", k, f"{k}_{j}", 1, b - a + 1, a, b, str(b - a + 1), j, bases[k][a - 1 : b]) for k in bases for j, (a, b) in enumerate(((1, 8), (5, 10), (12, 13)))]
+    df = spark.createDataFrame(rows, "sample string, sacc long, qacc string, qstart int, qend int, sstart int, send int, btop string, ord int, seq string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        out = scaffold_table(df.drop("seq"), df.select("qacc", "seq"))
+        got = {r["sacc"]: (r["acc"], r["seq"], len(r["parts"])) for r in out.collect()}
+        assert scaffold_table(df.drop("seq").limit(0), df.select("qacc", "seq")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {k: (f"{k}_0+{k}_1+{k}_2", f"{s[:10]}n{s[11:13]}", 5) for k, s in bases.items()}
+    capsys.readouterr()
+    out.explain()
+    assert "FlatMapGroups" not in capsys.readouterr().out  # a call for each subject
