@@ -57,12 +57,14 @@ def lineage_recursive(nodes: DataFrame) -> DataFrame:
 
 
 def resolve(ids: DataFrame, lin: DataFrame, merged: DataFrame | None = None, col: str = "tax_id") -> DataFrame:
-    """ids with the id that is valid now (merged ids followed); ids that the tree doesn't know become null (TAX-02)."""
-    if merged is not None:
-        m = merged.select(F.col("old_id").alias(col), F.col("new_id").alias("_new"))
-        ids = ids.join(m, col, "left").withColumn(col, F.coalesce("_new", col)).drop("_new")
-    known = lin.select(F.col("tax_id").alias("_known")).distinct()
-    return ids.join(known, ids[col] == known["_known"], "left").withColumn(col, F.col("_known")).drop("_known")
+    """ids with the id that is valid now: itself where the tree knows it, else the one it was merged into; ids that neither leads to
+    the tree become null (TAX-02)."""
+    valid = lin.select(F.col("tax_id").alias("_known")).distinct()
+    ids = ids.join(valid, ids[col] == valid["_known"], "left")
+    if merged is None:
+        return ids.withColumn(col, F.col("_known")).drop("_known")
+    m = merged.join(valid.withColumnRenamed("_known", "_valid"), F.col("new_id") == F.col("_valid"), "left_semi").select(F.col("old_id").alias("_old"), F.col("new_id").alias("_new"))
+    return ids.join(m, ids[col] == m["_old"], "left").withColumn(col, F.coalesce("_known", "_new")).drop("_known", "_old", "_new")
 
 
 def rank_name(rank: str, names: str = "names", ranks: str = "ranks", default: str = "Unknown") -> Column:

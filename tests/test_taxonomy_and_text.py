@@ -116,3 +116,11 @@ def test_title_words(spark):
     assert v("HUMAN Virus is iPSC - x") == ["virus is", "iPSC  x", "iPSC ", "iPSC"]  # stop words go after short ones were joined; punctuation alone is a short word
     assert v("") == []
     assert value(spark, C.best_words(F.split(s, ","), 3), s="b a,b,c,d") == ["b", "a", "c"]
+
+
+def test_ids_that_are_valid_stay_for_all_that_was_merged(spark):
+    lin = T.lineage(spark.createDataFrame([(1, 1, "root", "no rank"), (4, 1, "a", "species"), (5, 1, "b", "species")], "tax_id long, parent_id long, name string, rank string"))
+    merged = spark.createDataFrame([(4, 5), (9, 5), (8, 77)], "old_id long, new_id long")
+    ids = spark.createDataFrame([(k,) for k in (4, 5, 9, 8, 7, None)], "tax_id long").withColumn("was", F.col("tax_id"))
+    got = {r["was"]: r["tax_id"] for r in T.resolve(ids, lin, merged).collect()}
+    assert got == {4: 4, 5: 5, 9: 5, 8: None, 7: None, None: None}
