@@ -126,3 +126,15 @@ def test_exonic_parts(spark):
     reads = spark.createDataFrame([("c", "-", 1, 6, "f1"), ("c", "-", 2, 3, "f1"), ("c", "+", 1, 9, "f2")], "chrom string, strand string, start int, end int, fragment string")
     n = {(r["start"], r["n"]) for r in I.count_fragments(reads, I.disjoint_parts(ex, ["chrom", "strand"], "gene"), ["chrom", "strand"], ["start", "end", "gene"]).collect()}
     assert n == {(1, 1), (5, 1)}
+
+
+def test_segments_without_pairs(spark, capsys):
+    n = 60  # nested, with a null key
+    df = spark.createDataFrame([(key, k, 2 * n - k + 1, k) for key in ("k", None) for k in range(1, n + 1)], "key string, s int, e int, p int")
+    segs = I.segments(df, ["key"], "s", "e", "p", "p")
+    got = segs.collect()
+    assert len(got) == 2 * (2 * n - 1) and all(r["payload"] == list(range(1, min(r["start"], 2 * n - r["start"] + 1) + 1)) for r in got)
+    capsys.readouterr()
+    segs.explain()
+    plan = capsys.readouterr().out
+    assert "_near" in plan and "_level" not in plan  # arrays by bin, no row for each interval over a segment
