@@ -208,11 +208,45 @@ def disjoint_parts(exons: DataFrame, keys: Sequence[str], gene: str) -> DataFram
 
 
 def count_fragments(reads: DataFrame, parts: DataFrame, keys: Sequence[str], part: Sequence[str], *, stranded: str = "inverted", bin_width: int = 1000) -> DataFrame:
-    """Distinct fragments over each part; `inverted` reads the library's strand backwards (JOI-22). Joined in bins of positions."""
+    """Distinct fragments over each part; `inverted` reads the library's strand backwards (JOI-22).
+
+    Reads are not paired with parts. Of a fragment's islands (unions of its reads) those over a part are consecutive, so the fragments
+    over it are the islands that begin up to its end, less those that end before it, less the gaps between two islands of
+    a fragment that lie inside it. The first two are running sums over positions; gaps are counted by their ends and meet the parts around them.
+    Parts of several intervals are joined with the reads in bins of positions.
+    """
     flip = F.when(F.col("strand") == "+", "-").when(F.col("strand") == "-", "+").otherwise(F.col("strand"))
     reads = reads.withColumn("strand", flip) if stranded == "inverted" and "strand" in reads.columns else reads
-    pairs = overlap_join(reads, parts, keys, bin_width=bin_width)
-    return pairs.groupBy(*keys, *[F.col(f"b_{c}").alias(c) for c in part]).agg(F.countDistinct("a_fragment").alias("n"))
+    own = list(dict.fromkeys([*keys, *part]))
+    named = list(dict.fromkeys([*own, "start", "end"]))
+    spans = parts.select(*named).dropna(subset=[*keys, "start", "end"]).distinct()
+    sizes = spans.groupBy(*own).agg(F.count("*").alias("_n"), F.min("start").alias("_lo"), F.max("end").alias("_hi"))
+    one = sizes.where("_n = 1").drop("_n")
+    shapes = one.select(*keys, "_lo", "_hi").distinct()
+
+    islands = merged(reads.dropna(subset=[*keys, "fragment", "start", "end"]), [*keys, "fragment"], "start", "end")
+    ahead = F.lead("start").over(Window.partitionBy(*keys, "fragment").orderBy("start"))
+    islands = islands.select(*keys, "start", "end", ahead.alias("_next"))
+    zero, none = F.lit(0).cast("long"), [F.lit(None).cast(shapes.schema[c].dataType).alias(c) for c in ("_lo", "_hi")]
+    event = lambda c, kind: islands.groupBy(*keys, F.col(c).cast("double").alias("_pos")).agg(F.count("*").alias("_w")).select(*keys, "_pos", F.lit(kind).alias("_kind"), *(("_w", zero.alias("_v")) if kind == 0 else (zero.alias("_w"), F.col("_w").alias("_v"))), *none, F.lit(None).cast("int").alias("_side"))
+    asked = shapes.select(*keys, "_lo", "_hi", F.explode(F.array(F.struct(F.col("_hi").cast("double").alias("p"), F.lit(1).alias("s")), F.struct(F.col("_lo").cast("double").alias("p"), F.lit(-1).alias("s")))).alias("_a"))
+    asked = asked.select(*keys, F.col("_a.p").alias("_pos"), F.lit(1).alias("_kind"), zero.alias("_w"), zero.alias("_v"), "_lo", "_hi", F.col("_a.s").alias("_side"))
+    seen = before(event("start", 0).unionByName(event("end", 2)).unionByName(asked), list(keys), ["_pos", "_kind"], sums={"_begun": "_w", "_ended": "_v"}).where("_kind = 1")
+    met = seen.groupBy(*keys, "_lo", "_hi").agg(F.sum(F.when(F.col("_side") == 1, F.col("_begun")).otherwise(-F.col("_ended"))).alias("_met"))
+
+    longest = F.broadcast(shapes.agg(F.max(F.col("_hi") - F.col("_lo")).alias("_longest")))
+    gaps = islands.where("_next is not null").crossJoin(longest).where(F.col("_next") - F.col("end") <= F.col("_longest"))
+    gaps = gaps.groupBy(*keys, F.col("end").alias("start"), F.col("_next").alias("end")).agg(F.count("*").alias("_w"))
+    twice = _covered(gaps, shapes, keys, "inner").groupBy(*keys, "_lo", "_hi").agg(F.sum("_w").alias("_twice"))
+    found = one.join(met, [*keys, "_lo", "_hi"]).join(twice, [*keys, "_lo", "_hi"], "left")
+    out = found.select(*own, (F.col("_met") - F.coalesce("_twice", F.lit(0))).alias("n")).where("n > 0")
+    several = sizes.where("_n > 1")
+    if several.isEmpty():
+        return out
+    same = [spans[c].eqNullSafe(several[c]) for c in own]
+    pairs = overlap_join(reads, spans.join(several, same, "left_semi"), keys, bin_width=bin_width)
+    more = [c for c in own if c not in keys]
+    return out.unionByName(pairs.groupBy(*keys, *[F.col(f"b_{c}").alias(c) for c in more]).agg(F.countDistinct("a_fragment").alias("n")).where("n > 0"))
 
 
 def islands_of(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -138,3 +138,30 @@ def test_segments_without_pairs(spark, capsys):
     segs.explain()
     plan = capsys.readouterr().out
     assert "_near" in plan and "_level" not in plan  # arrays by bin, no row for each interval over a segment
+
+
+def test_fragments_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    reads = [(c, f"f{rng.randrange(40)}" if rng.random() > 0.05 else None, a, a + rng.randint(0, 9)) for c in ("x", "y", None) for a in (rng.randint(1, 150) for _ in range(90))]
+    parts = [(c, g, a, a + rng.choice((0, 3, 20, 80))) for c in ("x", "y", "z", None) for g in range(25) for a in [rng.randint(1, 150) for _ in range(1 if g % 5 else 3)]]
+    want = {}
+    for c, g, a, b in parts:
+        found = {f for d, f, s, e in reads if c is not None and c == d and f is not None and s <= b and a <= e}
+        want.setdefault((c, g), set()).update(found)
+    r, p = spark.createDataFrame(reads, "chrom string, fragment string, start int, end int"), spark.createDataFrame(parts, "chrom string, part int, start int, end int")
+    got = {(x["chrom"], x["part"]): x["n"] for x in I.count_fragments(r, p, ["chrom"], ["part"]).collect()}
+    assert got == {k: len(v) for k, v in want.items() if v}
+
+
+def test_fragments_without_pairs_of_reads_and_parts(spark, capsys):
+    n = 300  # all reads are over all parts
+    reads = spark.range(n).selectExpr("'c' AS chrom", "id AS fragment", "id % 7 + 1 AS start", "id % 7 + 500 AS end")
+    parts = spark.range(n).selectExpr("'c' AS chrom", "id AS part", "100 + id % 9 AS start", "200 + id % 9 AS end")
+    out = I.count_fragments(reads, parts, ["chrom"], ["part"])
+    got = out.collect()
+    assert len(got) == n and {r["n"] for r in got} == {n}
+    capsys.readouterr()
+    out.explain()
+    assert "a_fragment" not in capsys.readouterr().out  # positions are counted; no row for each fragment over a part
