@@ -157,13 +157,17 @@ def merged(df: DataFrame, keys: Sequence[str], start: str, end: str, min_gap: in
     return rows.groupBy(*keys, "_island").agg(F.min("_lo").alias("start"), F.max("_hi").alias("end"), F.count("*").alias("n")).drop("_island")
 
 
+def beyond(keys: Sequence[str]) -> Column:
+    """Bases of the interval `_lo, _hi` beyond the running maximum end of its key."""
+    reach = F.max("_hi").over(Window.partitionBy(*keys).orderBy("_lo", "_hi").rowsBetween(Window.unboundedPreceding, -1))
+    return F.greatest(F.lit(0), F.col("_hi") - F.greatest(F.col("_lo"), F.coalesce(reach + 1, F.col("_lo"))) + 1)
+
+
 def union_length(df: DataFrame, keys: Sequence[str], start: str, end: str, name: str = "length") -> DataFrame:
     """Covered bases of each key, overlaps counted once: each interval adds what lies beyond the running maximum end."""
     lo, hi = oriented(start, end)
     rows = df.select(*keys, lo.alias("_lo"), hi.alias("_hi"))
-    reach = F.max("_hi").over(Window.partitionBy(*keys).orderBy("_lo", "_hi").rowsBetween(Window.unboundedPreceding, -1))
-    added = F.greatest(F.lit(0), F.col("_hi") - F.greatest(F.col("_lo"), F.coalesce(reach + 1, F.col("_lo"))) + 1)
-    return rows.select(*keys, added.alias("_added")).groupBy(*keys).agg(F.sum("_added").cast("long").alias(name))
+    return rows.select(*keys, beyond(keys).alias("_added")).groupBy(*keys).agg(F.sum("_added").cast("long").alias(name))
 
 
 def segment_values(df: DataFrame, keys: Sequence[str], start: str, end: str, value: str, how: str = "max") -> DataFrame:
@@ -316,7 +320,8 @@ def spread(df: DataFrame, keys: Sequence[str], spacing: int = 0, rounds: int = 1
 def compressed_axis(blocks: DataFrame, keys: Sequence[str], gap: int, merge_gap: int = 1) -> DataFrame:
     """Blocks, merged where less than merge_gap bases lie between, with their place on an axis where every gap is drawn `gap` wide (REG-09, WIN-10)."""
     b = merged(blocks, keys, "start", "end", merge_gap).withColumn("_wide", F.col("end") - F.col("start") + 1 + gap)
-    return before(b, list(keys), ["start"], sums={"_left": "_wide"}).select(*keys, "start", "end", (F.col("_left") + 1 - F.col("start")).alias("offset"))
+    earlier = Window.partitionBy(*keys).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)  # blocks of a key stand in one task since they were merged
+    return b.select(*keys, "start", "end", (F.coalesce(F.sum("_wide").over(earlier), F.lit(0)) + 1 - F.col("start")).alias("offset"))
 
 
 def to_axis(points: DataFrame, axis: DataFrame, keys: Sequence[str], position: str, back: bool = False) -> DataFrame:
@@ -324,15 +329,59 @@ def to_axis(points: DataFrame, axis: DataFrame, keys: Sequence[str], position: s
 
     A block is shifted, a gap is stretched between the ends of the blocks around it, what lies before the first or after the last block is
     shifted with it. Null positions, and those of keys without blocks, are null.
+
+    Blocks and points are shuffled by key once and meet in windows; keys of over KEY_ROWS rows in one range-partitioned order.
     """
+    keys = list(keys)
+    both = points.select(*keys).unionByName(axis.select(*keys))
+    hot = written(both.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > KEY_ROWS).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]))
+    if hot.isEmpty():
+        return _axis_windows(points, axis, keys, position, back)
+    on = lambda a: [a[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    often, rest = [[df.join(F.broadcast(hot), on(df), how) for df in (points, axis)] for how in ("left_semi", "left_anti")]
+    return _axis_windows(*rest, keys, position, back).unionByName(_axis_ranges(*often, keys, position, back))
+
+
+#: Rows of a key that one task takes in `to_axis`.
+KEY_ROWS = 1_000_000
+
+
+def _mapped(x: Column) -> Column:
+    """The place of x by the anchor at or before it, `_from` to `_to`, and the one after it."""
+    stretched = F.col("_to") + (x - F.col("_from")) * (F.col("_after.t") - F.col("_to")) / F.nullif(F.col("_after.f") - F.col("_from"), F.lit(0.0))
+    return F.when(F.col("_to").isNull(), F.col("_after.t") + (x - F.col("_after.f"))).when(F.col("_after").isNull(), F.col("_to") + (x - F.col("_from"))).otherwise(stretched)
+
+
+def _anchors(back: bool) -> list[Column]:
     here, there = (F.col("offset"), F.lit(0)) if back else (F.lit(0), F.col("offset"))
-    ends = [F.struct((F.col(c) + here).cast("double").alias("start"), (F.col(c) + there).cast("double").alias("_to")) for c in ("start", "end")]
-    anchors = axis.select(*keys, F.explode(F.array(*ends)).alias("_a")).select(*keys, "_a.*").distinct()
+    return [F.struct((F.col(c) + here).cast("double").alias("f"), (F.col(c) + there).cast("double").alias("t")) for c in ("start", "end")]
+
+
+def _axis_windows(points: DataFrame, axis: DataFrame, keys: list[str], position: str, back: bool) -> DataFrame:
+    """to_axis for keys whose rows fit in a task. A block is shuffled as one row and becomes two anchors behind the shuffle."""
+    own = [c for c in points.columns if c not in keys]
+    point, ends = F.struct(*own), F.array_distinct(F.array(*_anchors(back)))
+    kinds = {"_point": points.select(point.alias("p")).schema["p"].dataType, "_ends": axis.select(ends.alias("e")).schema["e"].dataType}
+    none = {k: F.lit(None).cast(t).alias(k) for k, t in kinds.items()}
+    both = axis.select(*keys, none["_point"], ends.alias("_ends")).unionByName(points.select(*keys, point.alias("_point"), none["_ends"]))
+    rows = both.repartition(*keys).select(*keys, "_point", F.explode_outer("_ends").alias("_a"))
+    is_point = F.col("_point").isNotNull()
+    rows = rows.withColumn("_pos", F.when(is_point, F.col(f"_point.{position}").cast("double")).otherwise(F.col("_a.f"))).withColumn("_kind", is_point.cast("int"))
+    order = Window.partitionBy(*keys).orderBy("_pos", "_kind")
+    last = F.last("_a", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    ahead = Window.partitionBy(*keys).orderBy(F.desc("_pos"), F.desc("_kind"))
+    later = F.last(F.when(F.col("_kind") == 0, F.col("_a")), ignorenulls=True).over(ahead.rowsBetween(Window.unboundedPreceding, 0))
+    found = rows.withColumn("_last", last).withColumn("_after", later).where("_kind = 1")
+    known = F.col("_pos").isNotNull()
+    found = found.select(*keys, *[F.col(f"_point.{c}").alias(c) for c in own], F.when(known, F.col("_last.f")).alias("_from"), F.when(known, F.col("_last.t")).alias("_to"), F.when(known, F.col("_after")).alias("_after"))
+    return found.select(*points.columns, _mapped(F.col(position)).alias("mapped"))
+
+
+def _axis_ranges(points: DataFrame, axis: DataFrame, keys: list[str], position: str, back: bool) -> DataFrame:
+    """to_axis without a key's rows in one task."""
+    anchors = axis.select(*keys, F.explode(F.array(*_anchors(back))).alias("_a")).select(*keys, F.col("_a.f").alias("start"), F.col("_a.t").alias("_to")).distinct()
     anchors = before(anchors.withColumns({"_down": -F.col("start"), "_one": F.struct(F.col("start").alias("f"), F.col("_to").alias("t"))}), list(keys), ["_down"], lasts={"_next": "_one"})
     first = anchors.groupBy(*keys).agg(F.min_by("_one", "start").alias("_next")).select(*keys, F.lit(float("-inf")).alias("start"), F.lit(None).cast("double").alias("_to"), "_next")
     segs = anchors.select(*keys, "start", "_to", "_next").unionByName(first).withColumnRenamed("_next", "_after").withColumn("_from", F.col("start"))
     found = last_start(points, segs.select(*keys, "start", "_from", "_to", "_after"), keys, position)
-    x = F.col(position)
-    stretched = F.col("_to") + (x - F.col("_from")) * (F.col("_after.t") - F.col("_to")) / F.nullif(F.col("_after.f") - F.col("_from"), F.lit(0.0))
-    mapped = F.when(F.col("_to").isNull(), F.col("_after.t") + (x - F.col("_after.f"))).when(F.col("_after").isNull(), F.col("_to") + (x - F.col("_from"))).otherwise(stretched)
-    return found.select(*points.columns, mapped.alias("mapped"))
+    return found.select(*points.columns, _mapped(F.col(position)).alias("mapped"))
