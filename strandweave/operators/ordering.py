@@ -19,6 +19,17 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "_number") -> Data
     return dealt.join(F.broadcast(sizes.select("_part", before.alias("_base"))), "_part").withColumn(name, F.col("_base") + inside).drop("_part", "_base")
 
 
+#: Rows that a task of `dealt` gets on average, at most.
+TASK_ROWS = 250_000
+
+
+def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df as it is, or, where shuffles into the session's number of tasks would give one over TASK_ROWS rows, dealt by keys to as
+    many tasks as that takes. So a task's memory doesn't grow with the table; what is grouped by these keys next needs no shuffle."""
+    tasks = -(-df.count() // TASK_ROWS)
+    return df if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(tasks, *keys)
+
+
 #: Groups joined by broadcast are those with over 1 / HOT of all rows: there can't be more than HOT of them.
 HOT = 10_000
 

@@ -20,6 +20,15 @@ def rows(df):
     return sorted(df.collect(), key=str)
 
 
+def test_rows_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    df = spark.range(1000).withColumn("k", F.col("id") % 300)
+    assert ordering.dealt(df, ["k"]) is df
+    monkeypatch.setattr(ordering, "TASK_ROWS", 100)
+    dealt = ordering.dealt(df, ["k"])
+    assert dealt.rdd.getNumPartitions() == 10
+    assert shuffles(dealt.groupBy("k").count()) == 1
+
+
 def test_axis_is_made_behind_one_shuffle_and_both_ways_to_it_agree(spark, monkeypatch):
     rng = random.Random(3)
     data = [(rng.choice(["a", "b", None]), s, s + rng.randrange(30)) for s in (rng.randrange(2000) for _ in range(80))]
