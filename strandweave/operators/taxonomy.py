@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,6 +114,10 @@ def allowed_ids(lin: DataFrame, include: Sequence[str] = (), exclude: Sequence[s
     return keep.join(subtree(lin, ids_by_name(lin, exclude).select("tax_id")), "tax_id", "left_anti") if exclude else keep
 
 
+#: Most nodes of a tree whose paths may be broadcast.
+BROADCAST_NODES = 100_000
+
+
 def quorum_lca(
     df: DataFrame, lin: DataFrame, keys: Sequence[str], tax_id: str, *, weight: Column | None = None, order: Column | None = None, quorum: float = 0.9, majority: float = 0.9
 ) -> DataFrame:
@@ -121,19 +126,30 @@ def quorum_lca(
     Each row adds its weight at every depth of its path, the root being depth 0. At a depth, `tot` is the weight that
     reaches it and `top` that of its heaviest node. The deepest depth with tot >= quorum * total and top >= majority *
     tot decides; (1, 0) if there is none. Ties go to the node met first. Ids that the tree lacks don't count.
+
+    Rows of one id are added up before they get their path, so a key has as many rows as ids at most. Paths of up to
+    BROADCAST_NODES nodes are broadcast; then rows that are dealt by key already aren't shuffled again. Beyond that rows are shuffled by id, and by
+    key with their paths before these are unfolded.
     """
     w = F.lit(1.0) if weight is None else weight.cast("double")
     o = F.col(tax_id) if order is None else order
     path = lin.select(F.col("tax_id").alias("_id"), F.concat(F.array(F.lit(ROOT).cast("long")), "path").alias("_path"))
     rows = df.select(*keys, F.col(tax_id).cast("long").alias("_id"), w.alias("_w"), o.alias("_o"))
-    at = rows.join(path, "_id").select(*keys, "_w", "_o", F.posexplode("_path").alias("depth", "node"))
+    rows = rows.groupBy(*keys, "_id").agg(F.sum("_w").alias("_w"), F.min("_o").alias("_o"))
+    if path.count() <= BROADCAST_NODES:
+        at = rows.join(F.broadcast(path), "_id", "left")
+    else:
+        at = rows.join(path, "_id", "left").repartition(*keys)
+    at = at.select(*keys, "_w", "_o", F.posexplode_outer("_path").alias("depth", "node"))
     nodes = at.groupBy(*keys, "depth", "node").agg(F.sum("_w").alias("w"), F.min("_o").alias("first"))
     depths = nodes.groupBy(*keys, "depth").agg(F.sum("w").alias("tot"), F.min(F.struct((-F.col("w")).alias("neg"), "first", "node")).alias("best"))
-    total = F.max("tot").over(Window.partitionBy(*keys))  # everything reaches the root
+    total = F.max(F.when(F.col("depth").isNotNull(), F.col("tot"))).over(Window.partitionBy(*keys))  # everything reaches the root
     eps = 1e-9
-    good = depths.withColumn("total", total).where((F.col("tot") >= F.col("total") * quorum - eps) & (-F.col("best.neg") >= F.col("tot") * majority - eps) & (F.col("tot") > 0))
-    deepest = good.groupBy(*keys).agg(F.max_by(F.struct(F.col("best.node").alias("taxid"), (-F.col("best.neg") / F.col("tot")).alias("score")), "depth").alias("s"))
-    return df.select(*keys).distinct().join(deepest, list(keys), "left").select(*keys, F.coalesce("s.taxid", F.lit(ROOT)).alias("taxid"), F.coalesce("s.score", F.lit(0.0)).alias("score"))
+    good = F.col("depth").isNotNull() & (F.col("tot") >= F.col("total") * quorum - eps) & (-F.col("best.neg") >= F.col("tot") * majority - eps) & (F.col("tot") > 0)
+    found = F.struct(F.col("best.node").alias("taxid"), (-F.col("best.neg") / F.col("tot")).alias("score"))
+    deepest = depths.withColumn("total", total).groupBy(*keys).agg(F.max_by(found, F.when(good, F.col("depth"))).alias("s"))
+    named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])  # rows without a key have no class of their own
+    return deepest.select(*keys, F.coalesce(F.when(named, F.col("s.taxid")), F.lit(ROOT)).alias("taxid"), F.coalesce(F.when(named, F.col("s.score")), F.lit(0.0)).alias("score"))
 
 
 def classify_contigs(hits: DataFrame, lin: DataFrame, *, keys=("sample", "qacc"), quorum: float = 0.9, majority: float = 0.9) -> DataFrame:

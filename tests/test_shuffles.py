@@ -40,3 +40,16 @@ def test_axis_is_made_behind_one_shuffle_and_both_ways_to_it_agree(spark, monkey
     assert [rows(I.to_axis(points, axis, ["k"], "pos", back)) for back in (False, True)] == one
     monkeypatch.setattr(I, "KEY_ROWS", 0)
     assert [rows(I.to_axis(points, axis, ["k"], "pos", back)) for back in (False, True)] == one
+
+
+def test_lca_of_rows_dealt_by_key_shuffles_nothing_more(spark, monkeypatch):
+    nodes = spark.createDataFrame([(1, 1, "root", "no rank")] + [(k, max(1, k // 3), f"n{k}", "r") for k in range(2, 60)], "tax_id long, parent_id long, name string, rank string")
+    lin = T.lineage(nodes)
+    rng = random.Random(4)
+    df = spark.createDataFrame([(rng.randrange(40), rng.randrange(1, 70), float(rng.randrange(1, 9)), n) for n in range(400)], "k long, t long, w double, o long").repartition("k")
+    lca = lambda: T.quorum_lca(df, lin, ["k"], "t", weight=F.col("w"), order=F.col("o"), majority=0.5)
+    assert shuffles(lca()) == 1  # the one that dealt them
+    small = rows(lca())
+    assert len(small) == df.select("k").distinct().count()
+    monkeypatch.setattr(T, "BROADCAST_NODES", 0)
+    assert rows(lca()) == small
