@@ -79,8 +79,7 @@ def blastbin(
 def filter_blast(hits: DataFrame, contigs: DataFrame, *, min_unaligned: int = 1, max_aligned: int = 1 << 30) -> DataFrame:
     """Contigs whose best chain doesn't cover them; contigs without hits stay."""
     best = chains.best_chain_per_query(hits)
-    good = chains.alignment_filter(best, min_unaligned=min_unaligned, max_aligned=max_aligned)
-    gone = best.join(good.select("qacc"), "qacc", "left_anti").select(F.col("qacc").alias("acc"))
+    gone = best.where(F.coalesce(chains.covers(min_unaligned, max_aligned), F.lit(True))).select(F.col("qacc").alias("acc"))
     return contigs.join(gone, "acc", "left_anti")
 
 

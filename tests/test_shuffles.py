@@ -53,3 +53,18 @@ def test_lca_of_rows_dealt_by_key_shuffles_nothing_more(spark, monkeypatch):
     assert len(small) == df.select("k").distinct().count()
     monkeypatch.setattr(T, "BROADCAST_NODES", 0)
     assert rows(lca()) == small
+
+
+def _hits(spark):
+    rng = random.Random(5)
+    data = [(rng.randrange(3), rng.randrange(40), rng.randrange(7), n, 500, 1 + s, s + 40, 1 + s, s + 40, float(rng.randrange(1, 60)), 99.0) for n, s in enumerate(rng.randrange(300) for _ in range(500))]
+    return spark.createDataFrame(data, "sample long, qacc long, sacc long, ord long, qlen long, qstart long, qend long, sstart long, send long, score double, pident double")
+
+
+def test_best_chain_takes_one_shuffle(spark):
+    hits = _hits(spark)
+    assert shuffles(chains.best_chain_per_query(hits.repartition("qacc"))) == 1
+    assert shuffles(commands.filter_blast(hits.repartition("qacc"), spark.range(50).toDF("acc"))) <= 3
+    best = {r["qacc"]: r["slen"] for r in chains.best_chain_per_query(hits).collect()}
+    want = {(r["qacc"], r["sacc"]): r["slen"] for r in I.union_length(hits, ["qacc", "sacc"], "sstart", "send", "slen").collect()}
+    assert all(want[r["qacc"], r["sacc"]] == best[r["qacc"]] for r in chains.best_chain_per_query(hits).collect())
