@@ -175,7 +175,7 @@ def genome_sets(genomes: DataFrame, nodes: DataFrame, lin: DataFrame, taxa: Data
 
 def full_report(calls: DataFrame, coverage: DataFrame, scaffolds: DataFrame, qc: DataFrame, vhdb: DataFrame, *, whitelist: Sequence[str] = (), host: str | None = None, **thresholds) -> dict[str, DataFrame]:
     """Sheets of the report: all calls, thresholds, species, viruses with hosts and respiratory flag, by species and by sample."""
-    joined = report.join_parts(calls, coverage, scaffolds, qc)
+    joined = written(report.join_parts(calls, coverage, scaffolds, qc))  # every sheet and every count begins here
     full = report.add_genome_coverage(joined)
     kept, removed = report.threshold_cascade(full, report.default_rules(**thresholds))
     hosted = report.flag_respiratory(report.annotate_hosts(report.viruses(kept), vhdb), whitelist or report.RESPIRATORY)

@@ -68,3 +68,12 @@ def test_best_chain_takes_one_shuffle(spark):
     best = {r["qacc"]: r["slen"] for r in chains.best_chain_per_query(hits).collect()}
     want = {(r["qacc"], r["sacc"]): r["slen"] for r in I.union_length(hits, ["qacc", "sacc"], "sstart", "send", "slen").collect()}
     assert all(want[r["qacc"], r["sacc"]] == best[r["qacc"]] for r in chains.best_chain_per_query(hits).collect())
+
+
+def test_sheets_begin_with_calls_that_are_joined_once(spark):
+    calls = spark.createDataFrame([("s", "a", "Sp", 1, "Influenza", "Viruses; F; Sp", 99.0, 90.0, 1000, 900, 5)], "sample string, sacc string, species string, taxid long, taxname string, lineage string, contig_coverage double, pident double, genome_size long, slen long, numreads long")
+    part = lambda c: spark.createDataFrame([("s", "a", 500.0)], f"sample string, sacc string, {c} double")
+    vhdb = spark.createDataFrame([(1, "Viruses; F", "Sp", "host", "E; host")], "virus_tax_id long, virus_lineage string, virus_name string, host_name string, host_lineage string")
+    sheets = commands.full_report(calls, part("numreads"), part("bp"), spark.createDataFrame([("s", "a", 1.0)], "sample string, sacc string, pcthp double"), vhdb)
+    assert "Join" not in plan(sheets["Calls"])
+    assert {r["description"]: r["count"] for r in sheets["Summary"].collect()}["Calls"] == 1
