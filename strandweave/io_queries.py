@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions import scalars as C
 from .operators import expression
-from .scratch import new_path
+from .scratch import new_path, written
 from .sources import readers, writers
 from .streaming import stateful
 from .views import HITS_SQL, SEQ_SQL, TREE_SQL, hits, sequences, table, taxon_nodes
@@ -237,11 +237,11 @@ def names_of_files(spark, sf):
   SELECT sample, qacc, ord, CAST(sum(new) OVER (PARTITION BY qacc ORDER BY ord ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM l""")
 def streamed_islands(spark, sf):
     """Runs of equal subjects over a stream of files, the hits of a query coming in several of them."""
-    h = hits(spark, sf).select("sample", "qacc", "ord", "sacc")
+    h = written(hits(spark, sf).select("sample", "qacc", "ord", "sacc"))
     at = new_path(spark, "stream")
     for k, part in enumerate(("ord % 1000 <= 2", "ord % 1000 between 3 and 4", "ord % 1000 > 4")):
-        h.where(part).coalesce(1).write.mode("append").parquet(f"{at}/in/batch={k}")  # files are taken in the order in which they were written
-    stream = spark.readStream.schema(h.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in/batch=*")
-    run = stateful.islands(stream).writeStream.trigger(availableNow=True).option("checkpointLocation", f"{at}/state").format("parquet").start(f"{at}/out")
-    run.awaitTermination()
+        h.where(part).write.parquet(f"{at}/in/batch={k}")
+        stream = spark.readStream.schema(h.schema).parquet(f"{at}/in/batch=*")
+        run = stateful.islands(stream).writeStream.trigger(availableNow=True).option("checkpointLocation", f"{at}/state").format("parquet").start(f"{at}/out")  # goes on from the state of the run before
+        run.awaitTermination()
     return spark.read.parquet(f"{at}/out").select("sample", "qacc", "ord", "island")

@@ -20,6 +20,22 @@ def rows(df):
     return sorted(df.collect(), key=str)
 
 
+def test_stream_state_is_held_by_buckets(spark, tmp_path):
+    from strandweave.streaming import stateful
+
+    big = (1 << 60) + 1
+    data = [(k if k % 7 else None, v, big + o) for k in range(200) for o, v in enumerate((big, big, None, None, big))]
+    schema = "qacc long, sacc long, ord long"
+    for n, at in enumerate((data[:500], data[500:])):
+        spark.createDataFrame(at, schema).write.parquet(str(tmp_path / f"in/batch={n}"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in/batch=*"))
+    q = stateful.islands(stream, ["qacc"], buckets=4).writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "state")).format("parquet").start(str(tmp_path / "out"))
+    q.awaitTermination()
+    assert max(s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"]) <= 4
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(got.where("qacc is not null").select("qacc", "sacc", "ord", "island").collect(), key=str) == sorted(((k, v, big + o, i) for k in range(200) if k % 7 for o, (v, i) in enumerate(((big, 1), (big, 1), (None, 2), (None, 3), (big, 4)))), key=str)
+
+
 def test_rows_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
     df = spark.range(1000).withColumn("k", F.col("id") % 300)
     assert ordering.dealt(df, ["k"]) is df
