@@ -86,6 +86,14 @@ def test_best_chain_takes_one_shuffle(spark):
     assert all(want[r["qacc"], r["sacc"]] == best[r["qacc"]] for r in chains.best_chain_per_query(hits).collect())
 
 
+def test_greedy_rounds_do_not_shuffle_by_chain(spark, monkeypatch):
+    hits = _hits(spark)
+    assert "SortMergeJoin" not in plan(chains.query_scores(hits))
+    found = rows(chains.greedy_select(hits))
+    monkeypatch.setattr(chains, "HOT", -1)
+    assert rows(chains.greedy_select(hits)) == found
+
+
 def test_sheets_begin_with_calls_that_are_joined_once(spark):
     calls = spark.createDataFrame([("s", "a", "Sp", 1, "Influenza", "Viruses; F; Sp", 99.0, 90.0, 1000, 900, 5)], "sample string, sacc string, species string, taxid long, taxname string, lineage string, contig_coverage double, pident double, genome_size long, slen long, numreads long")
     part = lambda c: spark.createDataFrame([("s", "a", 500.0)], f"sample string, sacc string, {c} double")
