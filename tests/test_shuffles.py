@@ -101,3 +101,22 @@ def test_sheets_begin_with_calls_that_are_joined_once(spark):
     sheets = commands.full_report(calls, part("numreads"), part("bp"), spark.createDataFrame([("s", "a", 1.0)], "sample string, sacc string, pcthp double"), vhdb)
     assert "Join" not in plan(sheets["Calls"])
     assert {r["description"]: r["count"] for r in sheets["Summary"].collect()}["Calls"] == 1
+
+
+def test_overlap_join_broadcasts_a_counted_side_and_deals_large_keys_over_slices(spark, monkeypatch):
+    rng = random.Random(8)
+    make = lambda n, width: [(rng.choice("aab"), n, s, s + rng.randrange(width)) for n, s in enumerate(rng.randrange(300) for _ in range(n))]
+    left, right = make(300, 40), make(80, 60)
+    a, b = (spark.createDataFrame(x, "key string, id long, start long, end long") for x in (left, right))
+    want = sorted((k, i, j, max(s, t), min(e, f)) for k, i, s, e in left for q, j, t, f in right if k == q and s <= f and t <= e)
+    for bin_width, held in ((None, 80), (50, 1000), (None, 79), (50, 79)):
+        monkeypatch.setattr(I, "HELD_ROWS", held, raising=False)
+        out = I.overlap_join(a, b, ["key"], bin_width=bin_width).select("key", "a_id", "b_id", "start", "end")
+        assert sorted(map(tuple, out.collect())) == want
+        assert ("BroadcastHashJoin" in plan(out)) == (held >= 80), plan(out)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    one_key = I.overlap_join(a.where("key = 'a'"), b.where("key = 'a'"), ["key"])
+    pieces = one_key.groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.unset(coalesce)
+    assert len(pieces) > 1 and sum(r["count"] for r in pieces) == sum(w[0] == "a" for w in want)
