@@ -165,3 +165,61 @@ def test_fragments_without_pairs_of_reads_and_parts(spark, capsys):
     capsys.readouterr()
     out.explain()
     assert "a_fragment" not in capsys.readouterr().out  # positions are counted; no row for each fragment over a part
+
+
+@pytest.mark.parametrize("name", REMOVALS)
+def test_segments_without(spark, name):
+    rows, gone, want = REMOVALS[name]
+    left = I.segments_without(frame(spark, rows), frame(spark, gone), ["key"], "s", "e", "p", "ord").orderBy("start").collect()
+    assert [(r["start"], r["end"], "".join(r["payload"])) for r in left] == want
+
+
+def swept(rows, gone):
+    """(segments, what is left of them) of (key, s, e, payload, ord), one entry after the other."""
+    segs, left = set(), set()
+    for key in {r[0] for r in rows}:
+        own = sorted(((o is None, o, min(a, b), max(a, b), p) for k, a, b, p, o in rows if k == key), key=str)
+        cuts, runs = sorted({x for _, _, a, b, _ in own for x in (a, b + 1)}), []
+        for a, b in zip(cuts, cuts[1:]):
+            held = [p for _, o, lo, hi, p in sorted((r for r in own if not r[0]), key=lambda r: r[1]) if lo <= a and hi >= b - 1]
+            segs.add((key, a, b - 1, tuple(held)))
+            for k, lo, hi, p in gone:
+                if k == key and min(lo, hi) <= a and max(lo, hi) >= b - 1 and p is not None and p in held:
+                    held.remove(p)
+            if runs and runs[-1][2] == held:
+                runs[-1][1] = b - 1
+            else:
+                runs.append([a, b - 1, held])
+        while runs and not runs[0][2]:
+            runs.pop(0)
+        while runs and not runs[-1][2]:
+            runs.pop()
+        left |= {(key, a, b, tuple(held)) for a, b, held in runs}
+    return segs, left
+
+
+@pytest.mark.parametrize("means, listed, ends", [(8, 2_000_000, 100_000), (0.3, 20, 100_000), (1, 1, 0)])
+def test_sweeps_by_bins_equal_brute_force(spark, monkeypatch, means, listed, ends):
+    for name, value in (("BIN_MEANS", means), ("LISTED", listed), ("END_ROWS", ends)):
+        monkeypatch.setattr(I, name, value)
+    rng = random.Random(listed)
+    rows = [(rng.choice(["a", "b", None]), a, a + rng.randrange(-30, 30), rng.choice(["x", "y", "z", None]) if rng.random() < 0.6 else f"u{i}", i if rng.random() < 0.95 else None) for i in range(120) for a in [rng.randrange(-200, 300)]]
+    gone = [r[:4] for r in rows if rng.random() < 0.5] + [(rng.choice("abc"), a, a + rng.randrange(60), rng.choice("xyz")) for _ in range(30) for a in [rng.randrange(-200, 300)]]
+    df, removed = spark.createDataFrame(rows, "key string, s long, e long, p string, ord long"), spark.createDataFrame(gone, "key string, s long, e long, p string")
+    args = ["key"], "s", "e", "p"
+    found = I.segments(df, *args, "ord"), I.segments_without(df, removed, *args, "ord"), I.without_payloads(I.segments(df, *args, "ord"), removed, *args)
+    segs, left = swept(rows, gone)
+    for got, want in zip(found, (segs, left, left)):
+        got = [(r["key"], r["start"], r["end"], tuple(r["payload"])) for r in got.collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_payloads_are_not_shuffled(spark):
+    df = spark.createDataFrame([("k", n, n + 40, n, n) for n in range(60)], "key string, s int, e int, p int, ord int")
+    removed = df.where("p % 2 = 0")
+    for out, rows in ((I.segments_without(df, removed, ["key"], "s", "e", "p", "ord"), 59),):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        # each sweep is behind the one shuffle of the intervals, and no payloads are gathered before it
+        assert plan.count("RepartitionByExpression") == plan.count("MapInArrow") > 0 and "collect_list" not in plan
+        assert plan.index("MapInArrow") < plan.index("RepartitionByExpression")
+        assert out.count() == rows
