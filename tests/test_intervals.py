@@ -217,7 +217,7 @@ def test_sweeps_by_bins_equal_brute_force(spark, monkeypatch, means, listed, end
 def test_payloads_are_not_shuffled(spark):
     df = spark.createDataFrame([("k", n, n + 40, n, n) for n in range(60)], "key string, s int, e int, p int, ord int")
     removed = df.where("p % 2 = 0")
-    for out, rows in ((I.segments_without(df, removed, ["key"], "s", "e", "p", "ord"), 59),):
+    for out, rows in ((I.segments(df, ["key"], "s", "e", "p", "ord"), 100), (I.segments_without(df, removed, ["key"], "s", "e", "p", "ord"), 59)):
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         # each sweep is behind the one shuffle of the intervals, and no payloads are gathered before it
         assert plan.count("RepartitionByExpression") == plan.count("MapInArrow") > 0 and "collect_list" not in plan
