@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import written
+from .taxonomy import BROADCAST_NODES
+
 QUERY = ("sample", "qacc")
 
 
@@ -19,7 +22,17 @@ def islands(df: DataFrame, keys: Sequence[str] = QUERY, value: str = "sacc", ord
 
 
 def keep_flag(hits: DataFrame, allowed: DataFrame, name: str = "keep") -> DataFrame:
-    """hits with a flag: all of a hit's taxids are allowed; a hit without any passes."""
+    """hits with a flag: all of a hit's taxids are allowed; a hit without any passes.
+
+    Up to BROADCAST_NODES allowed ids are broadcast to the ids of each hit, which meet again in a window by query and place: hits that
+    are dealt by query aren't shuffled.
+    """
+    if allowed.count() <= BROADCAST_NODES:
+        ids = hits.select("*", F.posexplode_outer("staxids").alias("_pos", "_tax_id"))
+        found = ids.join(F.broadcast(allowed.select(F.col("tax_id").alias("_tax_id"), F.lit(True).alias("_allowed")).distinct()), "_tax_id", "left")
+        bad = F.max(F.col("_pos").isNotNull() & F.col("_allowed").isNull()).over(Window.partitionBy("sample", "qacc", "ord"))
+        unnamed = F.col("sample").isNull() | F.col("qacc").isNull() | F.col("ord").isNull()
+        return found.withColumn("_keep", unnamed | ~bad).where("coalesce(_pos, 0) = 0").select(*[c for c in hits.columns if c != name], F.col("_keep").alias(name))
     ids = hits.select("sample", "qacc", "ord", F.explode("staxids").alias("tax_id"))
     bad = ids.join(allowed.select(F.col("tax_id")), "tax_id", "left_anti").select("sample", "qacc", "ord").distinct().withColumn("_bad", F.lit(True))
     return hits.join(bad, ["sample", "qacc", "ord"], "left").withColumn(name, F.col("_bad").isNull()).drop("_bad")
@@ -55,6 +68,14 @@ def min_reads(hits: DataFrame, coverage: DataFrame, least: int) -> DataFrame:
     return hits if least <= 0 else hits.join(reads.select("sample", "qacc"), ["sample", "qacc"], "left_semi")
 
 
+def read_and_simple(hits: DataFrame, coverage: DataFrame, least: int, qc: DataFrame, most_pct: float) -> DataFrame:
+    """`min_reads` and `max_homopolymer` at once. What stays of them has one row for each query name, with its samples, so that hits which are dealt by
+    query name aren't shuffled."""
+    reads = coverage.repartition("qacc").groupBy("sample", "qacc").agg(F.sum("numreads").alias("_reads")).where(F.col("_reads") >= least)
+    stay = max_homopolymer(reads.groupBy("qacc").agg(F.collect_set("sample").alias("_samples")), qc, most_pct)
+    return hits.join(written(stay), "qacc").where(F.array_contains("_samples", F.col("sample"))).select(*hits.columns)
+
+
 def max_homopolymer(hits: DataFrame, qc: DataFrame, most_pct: float) -> DataFrame:
     """Queries whose homopolymer share is at most most_pct percent (FLT-02)."""
     good = qc.where(F.col("frac_hp") * 100 <= most_pct).select(F.col("acc").alias("qacc"))
@@ -62,6 +83,8 @@ def max_homopolymer(hits: DataFrame, qc: DataFrame, most_pct: float) -> DataFram
 
 
 def class_prefilter(hits: DataFrame, classes: DataFrame, excluded: DataFrame) -> DataFrame:
-    """Drops queries whose own class lies in an excluded subtree (FLT-06)."""
-    bad = classes.join(excluded.select(F.col("tax_id").alias("taxid")), "taxid", "left_semi").select("sample", "qacc")
-    return hits.join(bad, ["sample", "qacc"], "left_anti")
+    """Drops queries whose own class lies in an excluded subtree (FLT-06). They are found by name, with their samples, so that hits which are dealt by
+    query name aren't shuffled."""
+    ids = excluded.select(F.col("tax_id").alias("taxid"))
+    bad = classes.join(F.broadcast(ids) if ids.count() <= BROADCAST_NODES else ids, "taxid", "left_semi").groupBy("qacc").agg(F.collect_set("sample").alias("_samples"))
+    return hits.join(bad, "qacc", "left").where(~F.coalesce(F.array_contains("_samples", F.col("sample")), F.lit(False))).select(*hits.columns)

@@ -457,6 +457,20 @@ def weighted_over_segments(df: DataFrame, keys: Sequence[str], start: str, end:
     return seg.groupBy(*keys).agg(F.round(F.sum(F.col("_n") * F.col("value")) / F.sum("_n"), digits).alias(name))
 
 
+def weighted_over_segments_of(df: DataFrame, keys: Sequence[str], start: str, end: str, values: dict[str, str], digits: dict[str, int]) -> DataFrame:
+    """Means as of `weighted_over_segments` for several columns at once, given as {column: max or avg}; null where a column has no value.
+
+    The segments are those of all intervals. Those of a column's own intervals are unions of them, over which the same values hold.
+    """
+    lo, hi = oriented(start, end)
+    rows = df.select(*keys, lo.alias("_lo"), hi.alias("_hi"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(values)])
+    joined = _covered(breakpoints(df, keys, start, end), rows, keys, "inner")
+    seg = joined.groupBy(*keys, "start", "end").agg(*[(F.max if how == "max" else F.avg)(f"_v{i}").alias(f"_v{i}") for i, how in enumerate(values.values())])
+    seg = seg.withColumn("_n", F.col("end") - F.col("start") + 1)
+    own = [F.round(F.sum(F.col("_n") * F.col(f"_v{i}")) / F.sum(F.when(F.col(f"_v{i}").isNotNull(), F.col("_n"))), digits[c]).alias(c) for i, c in enumerate(values)]
+    return seg.groupBy(*keys).agg(*own)
+
+
 #: Rows of b that `overlap_join` broadcasts, at most; and slices of a key's rows beyond that, at most, so that copies of b stay in proportion.
 HELD_ROWS, SLICES = 2_000_000, 8
 

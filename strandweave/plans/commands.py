@@ -51,10 +51,11 @@ def blastbin(
     penalty: float = 20.0, bin_excludes: Sequence[str] = BIN_EXCLUDES, bin_includes: Sequence[str] = (), **filters,
 ) -> dict[str, DataFrame]:
     """calls and their hits: filters, prefilters, chains, greedy selection, LCA, words, lineage."""
-    if coverage is not None:
-        hits = H.min_reads(hits, coverage, min_reads)
-    if qc is not None:
-        hits = H.max_homopolymer(hits, qc, max_pcthp)
+    if coverage is not None and qc is not None and min_reads > 0:
+        hits = H.read_and_simple(hits, coverage, min_reads, qc, max_pcthp)
+    else:
+        hits = H.min_reads(hits, coverage, min_reads) if coverage is not None else hits
+        hits = H.max_homopolymer(hits, qc, max_pcthp) if qc is not None else hits
     hits = written(prefilter(hits, lin, **filters))
     owners = written(chains.greedy_owners(hits, penalty=penalty))
     groups = chains.greedy_groups(hits, owners, penalty=penalty)

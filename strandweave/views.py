@@ -16,13 +16,14 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of orders (queries) on supplier groups (subjects), in file order by (order, line)."""
     li = dealt(table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "qacc"), ["qacc"])  # named first, so that what is grouped by qacc isn't shuffled again
     order = Window.partitionBy("qacc").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax")
+    li = li.withColumn("_line", F.row_number().over(order))  # first, so that it is order lines that are shuffled, not what is made of them
     lo = (F.col("l_partkey") * 37 + F.col("l_linenumber") * 101) % 5000 + 1
     n = F.floor("l_quantity").cast("long") * 4
     rev = F.col("l_returnflag") == "R"
     qlo = F.col("l_linenumber") * 150 % 4000 + 1
     return li.select(
         (F.col("qacc") % 50).alias("sample"), "qacc", (F.col("l_suppkey") % 7).alias("sacc"),
-        (F.col("qacc") * 1000 + F.row_number().over(order)).alias("ord"), F.lit(5000).cast("long").alias("qlen"), qlo.cast("long").alias("qstart"), (qlo + n - 1).cast("long").alias("qend"),
+        (F.col("qacc") * 1000 + F.col("_line")).alias("ord"), F.lit(5000).cast("long").alias("qlen"), qlo.cast("long").alias("qstart"), (qlo + n - 1).cast("long").alias("qend"),
         F.when(rev, lo + n - 1).otherwise(lo).alias("sstart"), F.when(rev, lo).otherwise(lo + n - 1).alias("send"), (F.col("l_quantity") * 2).alias("score"),
         (F.col("l_quantity") * 2 + F.col("l_linenumber")).alias("bitscore"), F.round(100 - F.col("l_discount") * 100, 1).alias("pident"), (F.col("l_suppkey") + 1000).alias("taxid"),
         F.array((F.col("l_suppkey") + 1000)).alias("staxids"), ((F.col("l_partkey") + F.col("l_linenumber")) % 5 != 0).alias("keep"),

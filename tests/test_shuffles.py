@@ -120,3 +120,62 @@ def test_overlap_join_broadcasts_a_counted_side_and_deals_large_keys_over_slices
     pieces = one_key.groupBy(F.spark_partition_id()).count().collect()
     spark.conf.unset(coalesce)
     assert len(pieces) > 1 and sum(r["count"] for r in pieces) == sum(w[0] == "a" for w in want)
+
+
+def _taxa(spark):
+    nodes = [(1, 1, "root", "no rank"), (2, 1, "A", "phylum"), (3, 1, "B", "phylum")] + [(k, 2 + k % 2, f"n{k}", "species") for k in range(4, 30)]
+    return T.lineage(spark.createDataFrame(nodes, "tax_id long, parent_id long, name string, rank string"))
+
+
+def _named_hits(spark):
+    """Hits of queries that bear one name in several samples, some without a sample, taxa or a known taxon."""
+    rng = random.Random(6)
+    data = []
+    for n in range(400):
+        taxa = rng.choice([None, [], [None], *[[rng.randrange(4, 33) for _ in range(rng.randrange(1, 4))] for _ in range(9)]])
+        data.append((rng.choice([0, 1, 2, None]), rng.randrange(30), rng.randrange(5), n, float(rng.randrange(1, 60)), float(rng.randrange(1, 60)), float(rng.randrange(80, 100)), taxa))
+    return spark.createDataFrame(data, "sample long, qacc long, sacc long, ord long, score double, bitscore double, pident double, staxids array<bigint>")
+
+
+def test_reads_and_homopolymers_are_filtered_at_once(spark):
+    from strandweave.operators import hits as H
+
+    hits, rng = _named_hits(spark), random.Random(7)
+    coverage = spark.createDataFrame([(rng.choice([0, 1, 2, None]), rng.randrange(35), rng.choice([None, *range(6)])) for _ in range(200)], "sample long, qacc long, numreads long")
+    qc = spark.createDataFrame([(q, rng.choice([None, 0.1, 0.15, 0.3])) for q in range(40) if q % 9], "acc long, frac_hp double")
+    want = H.max_homopolymer(H.min_reads(hits, coverage, 5), qc, 15).select(hits.columns)
+    got = H.read_and_simple(hits.repartition("qacc"), coverage, 5, qc, 15)
+    assert rows(got) == rows(want) and 0 < want.count() < hits.count() and got.columns == hits.columns
+    assert "hashpartitioning(sample" not in plan(got)
+
+
+def test_flags_of_taxa_agree_both_ways(spark, monkeypatch):
+    from strandweave.operators import hits as H
+
+    hits, lin = _named_hits(spark), _taxa(spark)
+    allowed = T.allowed_ids(lin, (), ("A",))
+    found = rows(H.keep_flag(hits, allowed).select("ord", "keep"))
+    monkeypatch.setattr(H, "BROADCAST_NODES", -1, raising=False)
+    assert rows(H.keep_flag(hits, allowed).select("ord", "keep")) == found and {r["keep"] for r in found} == {True, False} and len(found) == 400
+
+
+def test_prefilters_do_not_shuffle_hits_that_are_dealt_by_query(spark):
+    hits, lin = _named_hits(spark), _taxa(spark)
+    dealt = commands.prefilter(hits.repartition("qacc"), lin, hit_excludes=("n5",), class_excludes=("A",))
+    assert "hashpartitioning(sample" not in plan(dealt)
+    from strandweave.operators import hits as H
+
+    classes, excluded = T.classify_contigs(hits, lin), T.subtree(lin, T.ids_by_name(lin, ("A",)).select("tax_id"))
+    bad = {(r["sample"], r["qacc"]) for r in classes.join(excluded.withColumnRenamed("tax_id", "taxid"), "taxid", "left_semi").collect()}
+    left = H.class_prefilter(hits, classes, excluded).collect()
+    assert sorted(r["ord"] for r in left) == sorted(r["ord"] for r in hits.collect() if r["sample"] is None or (r["sample"], r["qacc"]) not in bad) and 0 < len(left) < 400
+
+
+def test_means_over_segments_of_several_columns(spark):
+    rng = random.Random(9)
+    data = [(rng.choice("ab"), s, s + rng.randrange(30), float(rng.randrange(60, 99)), rng.choice([None, rng.random()])) for s in (rng.randrange(400) for _ in range(150))]
+    df = spark.createDataFrame([*data, ("c", 1, 9, 70.0, None)], "k string, s long, e long, p double, f double")
+    got = {r["k"]: (r["p"], r["f"]) for r in I.weighted_over_segments_of(df, ["k"], "s", "e", {"p": "max", "f": "avg"}, {"p": 1, "f": 9}).collect()}
+    one = lambda c, how, digits: {r["k"]: r["value"] for r in I.weighted_over_segments(df.where(F.col(c).isNotNull()), ["k"], "s", "e", c, how=how, digits=digits).collect()}
+    p, f = one("p", "max", 1), one("f", "avg", 9)
+    assert got == {k: (p[k], f.get(k)) for k in "abc"} and got["c"] == (70.0, None)
